@@ -114,17 +114,16 @@ def links(prints: DataFrame, tau: int = 2) -> DataFrame:
     many = met.where(F.col("count") > PAIRED)
     variants = F.lit(None)
     for k, mask in enumerate(masks):
-        rest = [b for b in range(BITS) if not (mask >> b) & 1]
-        flips = [0] + [(1 << b) - ((1 << BITS) if b == BITS - 1 else 0) for b in rest]
-        own = F.transform(F.array(*[F.lit(x).cast("long") for x in flips]), lambda x: x.bitwiseXOR(F.col("fp")))
+        signed = [(1 << b) - ((1 << BITS) if b == BITS - 1 else 0) for b in range(BITS) if not (mask >> b) & 1]
+        if tau == 2:
+            own = F.transform(F.array(*[F.lit(x).cast("long") for x in (0, *signed)]), lambda x: x.bitwiseXOR(F.col("fp")))
+        else:  # without the bit, under the bit's place: shared by fingerprints that differ there alone
+            own = F.transform(F.array(*[F.lit(x).cast("long") for x in signed]), lambda x: F.col("fp").bitwiseAND(F.bitwise_not(x)))
         variants = F.when(F.col("chain") == k, own).otherwise(variants)
-    listed = many.select("chain", "key", "fp", F.explode(variants).alias("variant"))
-    if tau == 1:  # a shared one-bit variant means up to two bits: only the fingerprint itself may be shared
-        listed = listed.where(F.col("variant").isNotNull())
-    low = listed.groupBy("chain", "key", "variant").agg(F.min("fp").alias("a"), F.max("fp").alias("most")).where(F.col("a") != F.col("most"))
-    star = listed.join(low, ["chain", "key", "variant"]).where(F.col("fp") != F.col("a")).select("a", F.col("fp").alias("b"))
-    if tau == 1:
-        star = star.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 1)
+    shared = ["chain", "key", "variant"] + ["place"] * (tau == 1)
+    listed = many.select("chain", "key", "fp", F.posexplode(variants).alias("place", "variant"))
+    low = listed.groupBy(*shared).agg(F.min("fp").alias("a"), F.max("fp").alias("most")).where(F.col("a") != F.col("most"))
+    star = listed.join(low, shared).where(F.col("fp") != F.col("a")).select("a", F.col("fp").alias("b"))
     return pairs.unionByName(star).distinct()
 
 
