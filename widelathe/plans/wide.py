@@ -59,8 +59,9 @@ def build_wide(obs: DataFrame, blocks: list[Block], sides: Sides | None = None,
     """
     sides = sides or Sides()
     wide = aggregate_blocks(obs, blocks, by=by)
-    # the first name of an entity comes with the same grouping
-    names = obs.groupBy("entity_id", *by).agg(first_by(F.col("entity_name"), F.col("src_ord"), ~is_empty(F.col("entity_name"))).alias("entity_name"))
+    # text in an aggregate means sorting, so that the long table is first hashed down to its distinct names
+    named = obs.groupBy("entity_id", *by, "entity_name").agg(F.min("src_ord").alias("src_ord"))
+    names = named.groupBy("entity_id", *by).agg(first_by(F.col("entity_name"), F.col("src_ord"), ~is_empty(F.col("entity_name"))).alias("entity_name"))
     wide = wide.join(names, ["entity_id", *by])
     for endpoint in sides.open_pivots:
         wide = wide.join(share_pivot(obs, endpoint), "entity_id", "left")
