@@ -79,7 +79,7 @@ def wide_full(spark, sf_dir):
 @query("""
 SELECT 'RM' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS entity_id, '' AS entity_name, event_type AS endpoint_key, 'y' || (1 + (day(ts) - 1) // 7) AS category, '' AS level,
     CASE WHEN event_id % 5 <> 0 THEN value END AS value_num, CASE WHEN event_id % 5 = 0 THEN 'n.d.' ELSE '' END AS value_text, event_id AS src_ord FROM events WHERE event_id % 11 <> 0
-""")
+""", name="normalize_long")
 def normalize_long_table(spark, sf_dir):
     raw = table(spark, sf_dir, "events").selectExpr(
         "if(event_id % 11 = 0, '  ', concat(' rm', lpad(user_id, 8, '0'))) AS CODICE_SCUOLA",

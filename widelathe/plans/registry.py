@@ -10,13 +10,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable:
-    """Lists a query under its function's name, with the SQL of the same result if there is one."""
+def query(sql: str | None = None, name: str | None = None) -> Callable:
+    """Lists a query under its function's name, or ``name``, with the SQL of the same result if there is one."""
 
     def add(f):
-        QUERIES[f.__name__] = f
+        QUERIES[name or f.__name__] = f
         if sql:
-            SQL[f.__name__] = sql
+            SQL[name or f.__name__] = sql
         return f
 
     return add
