@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, join_checked, materialize, new_path, stripped
+from .common import join_checked, materialize, new_path, stripped
 
 #: Rows of one digest that are compared with one copy of the text that stays.
 SALT_ROWS = 500
@@ -85,13 +85,12 @@ def _compare(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return salted.join(heads, ["digest", "salt"]).where(F.col("body") != F.col("head")).select("digest").distinct()
 
 
-def _rows(docs: DataFrame, columns: list[str], id_col: str, text_col: str, key: Column) -> tuple[DataFrame, str]:
-    """(columns, a struct of id, digest, length, uid and sha) as a written table, so that uid stays."""
+def _rows(docs: DataFrame, columns: list[str], id_col: str, text_col: str, key: Column) -> DataFrame:
+    """(own: a struct of the columns, row: id, digest, length and uid) as a written table, so that uid stays."""
     id_, text = F.col(id_col), F.col(text_col)
-    (row,) = fresh(docs, "lsm_row")
     length = F.coalesce(F.char_length(text), F.lit(0)).cast("long")
     packed = F.struct(id_.alias("id"), key.alias("digest"), length.alias("length"), F.monotonically_increasing_id().alias("uid"))
-    return materialize(docs.select(*[F.col(f"`{c}`") for c in columns], packed.alias(row)), "lsm-rows"), row
+    return materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("own"), packed.alias("row")), "lsm-rows")
 
 
 def exact_dedup(
@@ -118,8 +117,8 @@ def exact_dedup(
     made = ["keep_id", "group_size", "kept", "text_sha256"]
     columns = [c for c in (columns or [id_col]) if c.lower() not in made]
     id_, text = F.col(id_col), F.col(text_col)
-    rows, row = _rows(docs, columns, id_col, text_col, digest_of(text))
-    keys = rows.select(f"{row}.*")
+    rows = _rows(docs, columns, id_col, text_col, digest_of(text))
+    keys = rows.select("row.*")
     index = DigestIndex(docs.sparkSession)
     for k in range(memtables):
         index.flush(keys.where(F.pmod(F.xxhash64("uid"), F.lit(memtables)) == k))
@@ -131,15 +130,14 @@ def exact_dedup(
     body = docs.select(id_.alias("id"), digest_of(text).alias("digest"), length.alias("length"), stripped(text).alias("body"))
     hits = materialize(join_checked(body, repeated.select("digest"), ["digest"], "left_semi", BROADCAST_DIGESTS), "lsm-hits")
     if digest_of is digest and _compare(hits, repeated).isEmpty():
-        return _marked(rows, row, merged, columns, F.col(f"{row}.digest"))
+        return _marked(rows, merged, F.col("digest"))
     # texts differ under one digest, or it isn't SHA-256: the texts are the keys
-    rows, row = _rows(docs, columns, id_col, text_col, stripped(text))
-    merged = rows.select(f"{row}.*").groupBy("digest").agg(F.min(_best()).alias("best"), F.count(F.lit(1)).alias("n"))
-    return _marked(rows, row, materialize(merged, "lsm-merged"), columns, F.sha2(F.col(f"{row}.digest").cast("binary"), 256))
+    rows = _rows(docs, columns, id_col, text_col, stripped(text))
+    merged = rows.select("row.*").groupBy("digest").agg(F.min(_best()).alias("best"), F.count(F.lit(1)).alias("n"))
+    return _marked(rows, materialize(merged, "lsm-merged"), F.sha2(F.col("digest").cast("binary"), 256))
 
 
-def _marked(rows: DataFrame, row: str, merged: DataFrame, columns: list[str], sha: Column) -> DataFrame:
-    out = rows.join(merged, F.col(f"{row}.digest") == F.col("digest"))
-    picked = [F.col(f"`{c}`") for c in columns]
-    kept = F.col(f"{row}.uid") == F.col("best.uid")
-    return out.select(*picked, F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), sha.alias("text_sha256"))
+def _marked(rows: DataFrame, merged: DataFrame, sha: Column) -> DataFrame:
+    out = rows.join(merged, F.col("row.digest") == F.col("digest"))
+    kept = F.col("row.uid") == F.col("best.uid")
+    return out.select("own.*", F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), sha.alias("text_sha256"))

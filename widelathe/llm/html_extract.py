@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, without
+from .common import materialize, small_enough
 from .url_filter import host_of
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|[^<]+|<""", re.S)
@@ -175,25 +175,24 @@ def extract(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.01, ur
     ``columns``: the input columns to return, all by default.
     """
     columns = [c for c in (columns or pages.columns) if c.lower() not in ("text", "n_chars", "n_template")]
-    host, parsed, templates, salt = fresh(pages, "html_host", "html_parsed", "html_templates", "html_salt")
-    picked = [F.col(f"`{c}`") for c in columns]
-    rows = materialize(pages.select(*picked, host_of(F.col(url_col)).alias(host), parsed_blocks(F.col(html_col)).alias(parsed)), "html-blocks")
-    total = rows.groupBy(F.col(host).alias("h")).agg(F.count(F.lit(1)).alias("pages"))
-    seen = rows.select(F.col(host).alias("h"), F.explode(f"{parsed}.hashes").alias("subtree")).groupBy("h", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    picked = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    rows = materialize(pages.select(picked, host_of(F.col(url_col)).alias("host"), parsed_blocks(F.col(html_col)).alias("parsed")), "html-blocks")
+    total = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    seen = rows.select("host", F.explode("parsed.hashes").alias("subtree")).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     # subtrees below the fixed number go before the join by host
-    often = seen.where(F.col("n") >= min_pages).join(total, "h").where(F.col("n") >= F.col("pages") * min_share)
-    often = materialize(often.select("h", "subtree"), "html-templates")
-    of_host = often.groupBy("h").agg(F.collect_list("subtree").alias(templates))
-    if often.limit(BROADCAST_SUBTREES + 1).count() <= BROADCAST_SUBTREES:
-        joined = rows.join(F.broadcast(of_host), F.col(host) == F.col("h"), "left")
+    often = seen.where(F.col("n") >= min_pages).join(total, "host").where(F.col("n") >= F.col("pages") * min_share)
+    often = materialize(often.select("host", "subtree"), "html-templates")
+    of_host = often.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+    if small_enough(often, BROADCAST_SUBTREES):
+        joined = rows.join(F.broadcast(of_host), "host", "left")
     else:
-        dealt = of_host.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        own = rows.withColumn("html_deal", F.pmod(F.xxhash64(f"{parsed}.blocks"), F.lit(SALTS)).cast("int"))
-        joined = own.join(dealt, (F.col(host) == F.col("h")) & (F.col("html_deal") == F.col(salt)), "left").drop("html_deal", salt)
-    known = F.coalesce(F.col(templates), F.array().cast("array<long>"))
-    kept = F.filter(f"{parsed}.blocks", lambda b: ~F.arrays_overlap(b["chain"], known))
-    joined = without(joined.withColumn("html_kept", kept), "h")
-    text = F.concat_ws("\n\n", F.transform(F.filter("html_kept", lambda b: b["own"]), lambda b: b["text"]))
-    deleted = F.size(f"{parsed}.blocks") - F.size("html_kept")
-    out = joined.select(*picked, text.alias("text"), deleted.alias("n_template"))
+        dealt = of_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = rows.withColumn("salt", F.pmod(F.xxhash64("parsed.blocks"), F.lit(SALTS)).cast("int"))
+        joined = own.join(dealt, ["host", "salt"], "left")
+    known = F.coalesce(F.col("templates"), F.array().cast("array<long>"))
+    kept = F.filter("parsed.blocks", lambda b: ~F.arrays_overlap(b["chain"], known))
+    joined = joined.withColumn("kept", kept)
+    text = F.concat_ws("\n\n", F.transform(F.filter("kept", lambda b: b["own"]), lambda b: b["text"]))
+    deleted = F.size("parsed.blocks") - F.size("kept")
+    out = joined.select("row.*", text.alias("text"), deleted.alias("n_template"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, fresh, materialize, small_enough, without
+from .common import WORD_PATTERN, materialize, small_enough
 
 #: Bits of the hash that each level looks at, from the highest down.
 LEVELS = (12, 12, 12, 12, 12)
@@ -85,11 +85,11 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
     return ranked.withColumn("target", F.least("limit", F.col("weight") * F.lit(level))).select("source", "source_size", "target")
 
 
-def _with_source(rows: DataFrame, side: DataFrame) -> DataFrame:
+def _with_source(rows: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
     """Joins what ``side`` has for each source: by broadcast up to ``BROADCAST_SOURCES`` rows, else by a shuffle."""
     side = side.withColumnRenamed("source", "mix_side")
     side = F.broadcast(side) if small_enough(side, BROADCAST_SOURCES) else side
-    return rows.join(side, F.col("source").eqNullSafe(F.col("mix_side"))).drop("mix_side")
+    return rows.join(side, F.col("source").eqNullSafe(F.col("mix_side")), how).drop("mix_side")
 
 
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
@@ -160,20 +160,15 @@ def mix(
     """
     made = ["size", "source_size", "target", "rounds", "taken"]
     kept = [c for c in (columns or docs.columns) if c.lower() not in made]
-    h, s = fresh(docs, "mix_hash", "mix_source")
-    base = without(docs.select(F.col("*"), F.col(source_col).alias(s), doc_hash(F.col(id_col), F.col(text_col), seed).alias(h), word_count(F.col(text_col)).alias("mix_size_")), *made)
-    base = base.select(*[F.col(f"`{c}`") for c in kept], s, h, F.col("mix_size_").alias("size"))
-    rows = materialize(base.select(F.col(s).alias("source"), F.col(h).alias("hash"), "size"), "mix-rows")
+    own = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    base = docs.select(own, F.col(source_col).alias("source"), doc_hash(F.col(id_col), F.col(text_col), seed).alias("hash"), word_count(F.col(text_col)).alias("size"))
+    rows = materialize(base.select("source", "hash", "size"), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = materialize(targets(sizes, weights, share, most), "mix-targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     goal = goal.withColumn("whole", whole)
     budgets = goal.select("source", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long").alias("budget"))
-    cut = thresholds(rows, budgets)
-    plan = materialize(
-        goal.select(F.col("source").alias("g"), "source_size", "target", "whole").join(cut, F.col("g").eqNullSafe(F.col("source"))).drop("source"), "mix-plan"
-    )
-    side = F.broadcast(plan) if small_enough(plan, BROADCAST_SOURCES) else plan
-    out = base.join(side, F.col(s).eqNullSafe(F.col("g")), "left")
-    rounds = F.col("whole") + (F.col(h) < F.col("threshold")).cast("long")
-    return out.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", rounds.alias("rounds"), (F.col("size") * rounds).alias("taken"))
+    plan = materialize(_with_source(goal, thresholds(rows, budgets)), "mix-plan")
+    out = _with_source(base, plan, "left")
+    rounds = F.col("whole") + (F.col("hash") < F.col("threshold")).cast("long")
+    return out.select("row.*", "size", "source_size", "target", rounds.alias("rounds"), (F.col("size") * rounds).alias("taken"))

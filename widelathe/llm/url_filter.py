@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, join_checked, materialize, without
+from .common import join_checked, materialize
 
 BLOCK_BITS = 512
 PROBES = 8
@@ -121,7 +121,6 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, default: str = "allow", u
     made = ["host", "path", "rule", "verdict"]
     columns = [c for c in (columns or pages.columns) if c.lower() not in made]
     listed = rules.where(F.col("host").isNotNull() & F.col("path").isNotNull()).groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    (uid, may) = fresh(pages, "url_uid", "url_candidates")
     listed = materialize(listed.select(F.concat("host", F.lit(_SEPARATOR), "path").alias("key"), "host", "path", "verdict"), "url-rules")
     # lengths of paths are few: a URL's length bounds them
     lengths = sorted(r[0] for r in listed.select(F.char_length("path")).distinct().collect())
@@ -146,14 +145,15 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, default: str = "allow", u
             out.append(found or None)
         return pa.array(out, pa.list_(pa.string()))
 
-    picked = [F.col(f"`{c}`") for c in columns]
-    parsed = pages.select(*picked, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    rows = materialize(parsed.withColumn(may, possible("host", "path")).withColumn(uid, F.monotonically_increasing_id()), "url-rows")
-    hits = rows.where(F.col(may).isNotNull()).select(uid, F.explode(may).alias("key"))
-    named = listed.select("key", F.struct((F.char_length("host") + F.char_length("path")).alias("n"), F.char_length("host").alias("h"), F.concat("host", "path").alias("rule"), "verdict").alias("best"))
-    best = join_checked(hits, named, ["key"], "inner", BROADCAST_RULES).groupBy(uid).agg(F.max("best").alias("best"))
+    picked = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    parsed = pages.select(picked, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    rows = materialize(parsed.withColumn("may", possible("host", "path")).withColumn("uid", F.monotonically_increasing_id()), "url-rows")
+    hits = rows.where("may IS NOT NULL").select("uid", F.explode("may").alias("key"))
+    size = F.char_length("host")
+    named = listed.select("key", F.struct((size + F.char_length("path")).alias("n"), size.alias("h"), F.concat("host", "path").alias("rule"), "verdict").alias("best"))
+    best = join_checked(hits, named, ["key"], "inner", BROADCAST_RULES).groupBy("uid").agg(F.max("best").alias("best"))
     # rows without a possible hit need no join
-    sure = rows.where(F.col(may).isNull()).select(*picked, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    told = rows.where(F.col(may).isNotNull()).join(best, uid, "left")
-    told = told.select(*picked, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    sure = rows.where("may IS NULL").select("row.*", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    told = rows.where("may IS NOT NULL").join(best, "uid", "left")
+    told = told.select("row.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
     return sure.unionByName(told)
