@@ -161,8 +161,9 @@ def aggregate_blocks(obs: DataFrame, blocks: list[Block], key: str = "entity_id"
         obs = obs.withColumn("_scope", whole_scope())
         if any(b.scoped for b in blocks):
             groups = ["endpoint_key", *by]
-            some = obs.where(F.col("value_num").isNotNull()).groupBy(*groups).agg(F.bool_or("_scope").alias("_some"))
-            # a row for each endpoint and area
+            scoped = [b.endpoint for b in blocks if b.scoped]
+            some = obs.where(F.col("endpoint_key").isin(*scoped) & F.col("value_num").isNotNull()).groupBy(*groups).agg(F.bool_or("_scope").alias("_some"))
+            # a row for each block's endpoint (and area): as many as the blocks that are listed
             obs = obs.join(F.broadcast(some), groups, "left").withColumn("_kept", F.col("_scope") | ~F.coalesce("_some", F.lit(False)))
     label = F.col("category")
     obs = obs.withColumns({"_year": year_index(label), "_slug": slug(label)})
