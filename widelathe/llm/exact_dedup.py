@@ -60,7 +60,8 @@ class DigestIndex:
         (
             df.sortWithinPartitions("digest")
             .write.option("parquet.bloom.filter.enabled#digest", "true")
-            .option("parquet.bloom.filter.expected.ndv#digest", "1000000")
+            # filters as large as a file's digests need, not of the default megabyte
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
             .parquet(run)
         )
 
