@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import column_name, split_label_a, split_label_b, variable_slug
+from ..functions.labels import column_name, strip_prefix, variable_slug
 from ..functions.numbers import parse_number
-from ..functions.text import truncate
+from ..functions.text import squeeze, truncate
 from .dedup import first_by
 
 # Descriptors that are split or dropped, and the measures that stay.
@@ -30,11 +30,23 @@ def drop_reason(measures: tuple[str, ...] = KEPT_MEASURES) -> Column:
 
 def split_reports(rows: DataFrame, measures: tuple[str, ...] = KEPT_MEASURES) -> DataFrame:
     """Adds ``drop_reason``, the eight split columns (empty where they don't apply) and ``error`` to (descriptor, heading, column_label, …)."""
-    a = F.when(F.trim("descriptor") == DESCRIPTOR_A, split_label_a(F.col("heading")))
-    b = F.when(F.trim("descriptor") == DESCRIPTOR_B, split_label_b(F.col("column_label")))
-    out = rows.withColumn("drop_reason", drop_reason(measures)).withColumn("_a", a).withColumn("_b", b)
-    parts = {f"split_a{k}": F.coalesce(F.col(f"_a.a{k}"), F.lit("")) for k in (1, 2, 3)} | {f"split_b{k}": F.coalesce(F.col(f"_b.b{k}"), F.lit("")) for k in (1, 2, 3, 4, 5)}
-    return out.withColumns(parts).withColumn("error", F.when(F.col("drop_reason").isNull(), F.coalesce("_a.error", "_b.error"))).drop("_a", "_b")
+    # step by step: each step is a column of its own, so that no step is worked out once for each use
+    is_a, is_b = F.trim("descriptor") == DESCRIPTOR_A, F.trim("descriptor") == DESCRIPTOR_B
+    out = rows.withColumn("drop_reason", drop_reason(measures))
+    out = out.withColumn("_left", F.split(F.when(is_a, F.coalesce("heading", F.lit(""))), " - ", 2))
+    out = out.withColumn("_right", F.split(F.get("_left", F.lit(1)), r" \| ", 2))
+    out = out.withColumn("_dash", F.split(F.when(is_b, strip_prefix(F.col("column_label"))), " - ", 3))
+    out = out.withColumn("_bar", F.split(F.get("_dash", F.lit(2)), r" \| ", 3))
+    error = (
+        F.when(F.size("_left") == 1, F.lit('missing " - "'))
+        .when(F.size("_right") == 1, F.lit('missing " | " after " - "'))
+        .when(F.col("_dash").isNotNull() & (F.size("_dash") < 3), F.lit('not enough " - "'))
+        .when(F.col("_bar").isNotNull() & (F.size("_bar") < 3), F.lit('not enough " | "'))
+    )
+    out = out.withColumn("error", F.when(F.col("drop_reason").isNull(), error))
+    places = [("_left", 0), ("_right", 0), ("_right", 1), ("_dash", 0), ("_dash", 1), ("_bar", 0), ("_bar", 1), ("_bar", 2)]
+    parts = {name: F.coalesce(squeeze(F.get(c, F.lit(k))), F.lit("")) for name, (c, k) in zip(SPLIT_NAMES, places, strict=True)}
+    return out.withColumns(parts).drop("_left", "_right", "_dash", "_bar")
 
 
 class BadRows(ValueError):
