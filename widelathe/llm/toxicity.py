@@ -23,7 +23,7 @@ from .common import held_out, materialize, without
 from .words import LETTERS, letter_words, utf8
 
 #: Distinct words that a task counts before it hands on what it has.
-_HELD = 400_000
+_HELD = 250_000
 #: Lengths in bytes of the stems that are counted besides whole words.
 STEMS = (4, 5, 6)
 PASSAGES = "struct<score:double,passages:array<struct<start:int,end:int,score:double>>>"
