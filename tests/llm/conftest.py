@@ -16,5 +16,6 @@ def odd(spark):
         (1, "a b c d e f", "s1", 7), (2, None, "s1", None), (3, "", None, 7), (None, "a b c d e f", None, 7), (None, None, None, None),
         (4, " \t\n ", "s2", 7), (5, long, "s2", 7), (6, "è un’altra cosa, è così", "s1", 7), (6, "è un’altra cosa, è così", "s1", 7), (7, "a  b c d\ne f ", "s1", 7),
     ]
-    names = "doc_id long, text string, source string, size int, score int, kept int, spans int, fingerprint int, shard int, slot int, uid int, target int"
-    return spark.createDataFrame([r + (0,) * 8 for r in data], names)
+    clash = "score kept spans fingerprint shard slot uid target digest best n fp low g whole threshold h key row own root node label y"
+    names = "doc_id long, text string, source string, size int, " + ", ".join(f"{c} int" for c in clash.split())
+    return spark.createDataFrame([r + (0,) * 24 for r in data], names)

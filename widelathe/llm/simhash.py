@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, join_checked, materialize, without
+from .common import join_checked, materialize
 from .components import components
 from .words import space_words, utf8
 
@@ -137,45 +137,48 @@ def simhash_components(docs: DataFrame, *, k: int = 3, tau: int = 2, id_col: str
     columns called like an output column are replaced. ``columns``: the input columns to return, by default the id.
     """
     columns = [c for c in (columns or [id_col]) if c.lower() not in ("fingerprint", "component_id")]
-    fp, own = fresh(docs, "simhash_fp", "simhash_id")
-    picked = [F.col(f"`{c}`") for c in columns]
-    rows = materialize(docs.select(*picked, F.col(id_col).alias(own), fingerprint(F.col(text_col), k).alias(fp)), "simhash-rows")
-    prints = materialize(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(own).alias("low")), "simhash-prints")
+    own = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    rows = materialize(docs.select(own, F.col(id_col).alias("id"), fingerprint(F.col(text_col), k).alias("print")), "simhash-rows")
+    prints = materialize(rows.groupBy(F.col("print").alias("fp")).agg(F.min("id").alias("low")), "simhash-prints")
     groups = components(links(prints.select("fp"), tau))
     lows = groups.join(prints, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("low").alias("component_id"))
     united = groups.join(lows, "root").select("node", "component_id")
     named = prints.join(united, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    out = rows.join(materialize(named, "simhash-named"), F.col(fp) == F.col("fp"))
-    return out.select(*picked, F.lower(F.lpad(F.hex(fp), 16, "0")).alias("fingerprint"), "component_id")
+    out = rows.join(materialize(named, "simhash-named"), F.col("print") == F.col("fp"))
+    return out.select("row.*", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 #: Minimum hashes in a band, and bands, of the second way to candidates: a pair of similarity 0.8 shares one of the bands with probability 0.998.
 BAND_ROWS, BANDS = 5, 16
 #: Texts on one band that are compared pair by pair at most; above, each is compared with as many before it in the order of the band.
 BAND_PAIRED = 32
+#: Shingles that are hashed at once.
+_HASHED = 2048
 
 
-def _signature(text: Column, k: int) -> Column:
-    """fp, a hash of the whole word sequence, and the bands of a text's distinct ``k``-word shingles."""
+def _signature(text: Column, words: int) -> Column:
+    """fp, a hash of the whole word sequence, the number of distinct shingles of ``words`` words, and their bands."""
 
-    @F.arrow_udf("struct<fp:long,same:long,bands:array<long>>")
+    @F.arrow_udf("struct<fp:long,same:long,n:int,bands:array<long>>")
     def sign(texts: pa.Array) -> pa.Array:
         rng = np.random.default_rng(20240229)
         factor = (rng.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
         shift = rng.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint64).astype(np.uint32)
         made = []
         for raw in utf8(texts):
-            hashes = shingle_hashes(raw, k)
-            own = (hashes ^ (hashes >> np.uint64(29))).astype(np.uint32)
+            hashes = shingle_hashes(raw, words)
+            own = np.unique((hashes ^ (hashes >> np.uint64(29))).astype(np.uint32))
             bands = []
             if len(own):
-                low = np.array([(own * f + s).min() for f, s in zip(factor, shift, strict=True)], dtype=np.uint32)
+                low = np.full(BANDS * BAND_ROWS, 0xFFFFFFFF, dtype=np.uint32)
+                for k in range(0, len(own), _HASHED):
+                    np.minimum(low, (own[k : k + _HASHED, None] * factor + shift).min(axis=0), out=low)
                 bands = [xxhash.xxh64_intdigest(low[b * BAND_ROWS : (b + 1) * BAND_ROWS].tobytes(), b) for b in range(BANDS)]
             same = xxhash.xxh64_intdigest(b" ".join(space_words(raw)), 1)
-            made.append((fingerprint_of(hashes), same, bands))
+            made.append((fingerprint_of(hashes), same, len(own), bands))
         signed = lambda x: x - ((x >> 63) << 64)
-        rows = [{"fp": signed(f), "same": signed(s), "bands": [signed(b) for b in bands]} for f, s, bands in made]
-        return pa.array(rows, pa.struct([("fp", pa.int64()), ("same", pa.int64()), ("bands", pa.list_(pa.int64()))]))
+        rows = [{"fp": signed(f), "same": signed(s), "n": n, "bands": [signed(b) for b in bands]} for f, s, n, bands in made]
+        return pa.array(rows, pa.struct([("fp", pa.int64()), ("same", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64()))]))
 
     return sign(text)
 
@@ -217,53 +220,48 @@ def _band_pairs(rows: DataFrame) -> DataFrame:
     return pairs.unionByName(chain).distinct()
 
 
-def similar_groups(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, text_col: str = "text") -> DataFrame:
-    """(same, root): for the hash of each word sequence that has near copies, the smallest hash of its group.
+def _groups(rows: DataFrame, k: int, least: float, tau: int) -> DataFrame:
+    """(node, root) of the word sequences in ``rows`` (uid, text, sig) that have near copies.
 
-    Texts are near copies if the sets of their ``k``-word shingles have a Jaccard similarity of ``least`` or
-    more. Candidates are texts whose fingerprints differ in at most ``tau`` bits, and, since a similarity of 0.8 leaves some
-    ten differing bits of 64, texts that share a band of minimum hashes. Every candidate pair is
-    then compared by its whole shingle sets.
+    Python runs once in each stage at most: workers of several operations at once would share an executor's memory.
     """
-    signed = docs.select(_signature(F.col(text_col), k).alias("s")).select("s.*")
-    texts = materialize(signed.groupBy("same").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "near-texts")
+    firsts = [F.first(c).alias(c) for c in ("fp", "n", "bands")]
+    texts = materialize(rows.select("uid", "sig.*").groupBy("same").agg(F.min("uid").alias("uid"), *firsts), "near-texts")
     # of the texts that share a fingerprint the first stands for all
     prints = materialize(texts.groupBy("fp").agg(F.min("same").alias("first")), "near-prints")
     linked = links(prints.select("fp"), tau)
     by_print = linked.join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
-    by_print = by_print.select(F.col("x").alias("a"), F.col("y").alias("b"))
-    alike = texts.join(prints, "fp").where(F.col("same") != F.col("first")).select(F.col("first").alias("a"), F.col("same").alias("b"))
-    pairs = by_print.unionByName(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = materialize(pairs.unionByName(_band_pairs(texts.select("same", "bands"))).distinct(), "near-pairs")
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct(), "near-wanted")
-    keyed = docs.select(F.col(text_col).alias("text"), _words_hash(F.col(text_col)).alias("same"))
-    sets = join_checked(keyed, wanted, ["same"], "left_semi", BROADCAST_IDS).select("same", _shingle_set(F.col("text"), k).alias("set"))
-    sets = materialize(sets.groupBy("same").agg(F.first("set").alias("set")), "near-sets")
+    alike = texts.join(prints, "fp").where(F.col("same") != F.col("first")).select(F.col("first").alias("x"), F.col("same").alias("y"))
+    pairs = by_print.select("x", "y").unionByName(alike).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = pairs.unionByName(_band_pairs(texts.select("same", "bands"))).distinct()
+    # sets whose sizes differ too much can't be similar; a few in a thousand are left for numbers that share a hash
+    size = lambda c, n: texts.select(F.col("same").alias(c), F.col("n").alias(n))
+    sized = pairs.join(size("a", "m"), "a").join(size("b", "n"), "b")
+    pairs = materialize(sized.where(F.least("m", "n") >= F.greatest("m", "n") * F.lit(least * 0.995)).select("a", "b"), "near-pairs")
+    # one row of each word sequence that is part of a pair
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct().join(texts.select("same", "uid"), "same")
+    found = join_checked(rows.select("uid", "text"), materialize(wanted, "near-wanted"), ["uid"], "inner", BROADCAST_IDS)
+    sets = materialize(found.select("same", _shingle_set(F.col("text"), k).alias("set")), "near-sets")
     both = pairs.join(sets.withColumnsRenamed({"same": "a", "set": "x"}), "a").join(sets.withColumnsRenamed({"same": "b", "set": "y"}), "b")
     return components(both.where(_similar(F.col("x"), F.col("y"), least)).select("a", "b"))
 
 
-def _words_hash(text: Column) -> Column:
-    @F.arrow_udf("long")
-    def words_hash(texts: pa.Array) -> pa.Array:
-        found = np.array([xxhash.xxh64_intdigest(b" ".join(space_words(raw)), 1) for raw in utf8(texts)], dtype=np.uint64)
-        return pa.array(found.view(np.int64))
-
-    return words_hash(text)
-
-
-def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` less all but one of each group of near copies; the smallest id stays, null ids last.
 
-    Null and empty texts are equal to each other. Rows that tie (a repeated row, or null ids) count as copies too.
+    Texts are near copies if the sets of their ``k``-word shingles have a Jaccard similarity of ``least`` or
+    more. Candidates are texts whose fingerprints differ in at most ``tau`` bits, and, since a similarity of 0.8 leaves some
+    ten differing bits of 64, texts that share a band of minimum hashes. Every candidate pair is
+    then compared by its whole shingle sets. Null and empty texts are equal to each other. Rows that
+    tie (a repeated row, or null ids) count as copies too.
     """
-    uid, same = fresh(docs, "near_uid", "near_same")
-    numbered = docs.withColumn(uid, F.monotonically_increasing_id()).withColumn(same, _words_hash(F.col(text_col)))
-    rows = materialize(numbered, "near-rows")
-    groups = similar_groups(rows, k=k, least=least, text_col=text_col)
-    keys = rows.select(F.col(id_col).alias("id"), F.col(uid).alias("uid"), F.col(same).alias("same"))
-    named = keys.join(materialize(groups, "near-groups"), F.col("same") == F.col("node"), "left")
-    named = named.select("uid", F.coalesce("root", "same").alias("root"), F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("uid").alias("uid")).alias("order"))
+    everything = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(everything.alias("row"), F.monotonically_increasing_id().alias("uid"), _signature(F.col(text_col), k).alias("sig"))
+    rows = materialize(rows, "near-rows")
+    groups = _groups(rows.select("uid", F.col(f"row.`{text_col}`").alias("text"), "sig"), k, least, tau)
+    id_ = F.col(f"row.`{id_col}`")
+    keys = rows.select(F.struct(id_.isNull().alias("none"), id_.alias("id"), F.col("uid").alias("uid")).alias("order"), F.col("sig.same").alias("same"))
+    named = keys.join(materialize(groups, "near-groups"), F.col("same") == F.col("node"), "left").select("order", F.coalesce("root", "same").alias("root"))
     best = named.groupBy("root").agg(F.min("order").alias("best"))
-    gone = named.join(materialize(best, "near-best"), "root").where(F.col("order.uid") != F.col("best.uid")).select(F.col("uid").alias(uid))
-    return join_checked(rows, materialize(gone, "near-gone"), [uid], "left_anti", BROADCAST_IDS).drop(uid, same)
+    gone = named.join(materialize(best, "near-best"), "root").where(F.col("order.uid") != F.col("best.uid")).select(F.col("order.uid").alias("uid"))
+    return join_checked(rows, materialize(gone, "near-gone"), ["uid"], "left_anti", BROADCAST_IDS).select("row.*")
