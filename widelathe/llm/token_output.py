@@ -37,10 +37,10 @@ MAGIC = b"TIDS0001"
 _HEADER = struct.Struct("<8sQQQII")  # magic, records, null keys, distinct keys, buckets, bytes of an id
 KEYS_IN_BUCKET = 4
 #: Chunks whose ids a worker remembers at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 _encoders: dict[str, Encoder] = {}
 
-_CHUNK = re.compile(r"[ \n\t\r\f\v]*[^ \n\t\r\f\v]+|[ \n\t\r\f\v]+")
+_CHUNK = re.compile(r"[ \n\t\r\f\v]*(?:[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[,.;:!?*#$%&|])|[^ \n\t\r\f\v]+)|[ \n\t\r\f\v]+")
 _ODD_SPACE = re.compile(r"[^\S \n\t\r\f\v]")
 
 
@@ -48,8 +48,8 @@ class Encoder:
     """Ids of texts, by the tokenizers library.
 
     The tokenizer never joins characters across a place where white space follows
-    something else, so a text's ids are those of its chunks cut at such
-    places; a chunk met before is looked up. Texts with rarer white space or a
+    something else, or where one of some marks follows a letter, so a text's ids are those of
+    its chunks cut at such places; a chunk met before is looked up. Texts with rarer white space or a
     special token, and tokenizers of another kind, are encoded as a whole.
     """
 
