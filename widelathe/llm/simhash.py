@@ -150,8 +150,9 @@ def simhash_components(docs: DataFrame, *, k: int = 3, tau: int = 2, id_col: str
 
 #: Minimum hashes in a band, and bands, of the second way to candidates: a pair of similarity 0.8 shares one of the bands with probability 0.998.
 BAND_ROWS, BANDS = 5, 16
-#: Texts on one band that are compared pair by pair at most; above, each is compared with as many before it in the order of the band.
-BAND_PAIRED = 32
+#: Texts on one band that are compared pair by pair at most, unless they are linked already; above, each is
+#: compared with so many before it in the order of the band.
+BAND_PAIRED, BAND_NEIGHBOURS = 256, 32
 #: Shingles that are hashed at once.
 _HASHED = 2048
 
@@ -204,20 +205,32 @@ def _similar(a: Column, b: Column, least: float) -> Column:
     return similar(a, b)
 
 
-def _band_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of texts that share a band, for ``rows`` (same, bands)."""
-    listed = rows.select("same", F.posexplode("bands").alias("band", "key"))
+def _bands(texts: DataFrame) -> DataFrame:
+    """(band, key, same, count) of the bands that two texts or more share."""
+    listed = texts.select("same", F.posexplode("bands").alias("band", "key"))
     size = listed.groupBy("band", "key").count().where(F.col("count") > 1)
-    met = materialize(listed.join(materialize(size, "band-keys"), ["band", "key"]), "band-met")
-    few = met.where(F.col("count") <= BAND_PAIRED)
-    right = few.select("band", "key", F.col("same").alias("b"))
-    pairs = few.join(right, ["band", "key"]).where(F.col("same") < F.col("b")).select(F.col("same").alias("a"), "b")
-    # in a large band each text meets those before it, in an order of the band's own
+    return materialize(listed.join(materialize(size, "band-keys"), ["band", "key"]), "band-met")
+
+
+def _before(n: int) -> Column:
+    """The ``n`` texts before this one on its band, in an order of the band's own."""
     at = Window.partitionBy("band", "key").orderBy(F.xxhash64("same", "band"), "same")
-    before = F.collect_list("same").over(at.rowsBetween(-BAND_PAIRED // 2, -1))
-    chain = met.where(F.col("count") > BAND_PAIRED).select("same", before.alias("others")).select("same", F.explode("others").alias("o"))
-    chain = chain.select(F.least("same", "o").alias("a"), F.greatest("same", "o").alias("b")).where(F.col("a") != F.col("b"))
-    return pairs.unionByName(chain).distinct()
+    return F.collect_list(F.struct("same", "root")).over(at.rowsBetween(-n, -1))
+
+
+def _neighbours(met: DataFrame, n: int) -> DataFrame:
+    """Pairs (a, b) of each text with the ``n`` before it on each of its bands, less those of one root."""
+    others = met.select("same", "root", _before(n).alias("o")).select("same", F.filter("o", lambda o: o["root"] != F.col("root")).alias("o"))
+    pairs = others.select("same", F.explode("o.same").alias("o"))
+    return pairs.select(F.least("same", "o").alias("a"), F.greatest("same", "o").alias("b")).where(F.col("a") != F.col("b"))
+
+
+def _apart(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts that share a band and not a root: all of them on bands of up to ``BAND_PAIRED`` texts."""
+    few = met.where(F.col("count") <= BAND_PAIRED)
+    right = few.select("band", "key", F.col("same").alias("b"), F.col("root").alias("r"))
+    pairs = few.join(right, ["band", "key"]).where((F.col("same") < F.col("b")) & (F.col("root") != F.col("r")))
+    return pairs.select(F.col("same").alias("a"), "b").unionByName(_neighbours(met.where(F.col("count") > BAND_PAIRED), BAND_NEIGHBOURS))
 
 
 def _groups(rows: DataFrame, k: int, least: float, tau: int) -> DataFrame:
@@ -233,17 +246,29 @@ def _groups(rows: DataFrame, k: int, least: float, tau: int) -> DataFrame:
     by_print = linked.join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
     alike = texts.join(prints, "fp").where(F.col("same") != F.col("first")).select(F.col("first").alias("x"), F.col("same").alias("y"))
     pairs = by_print.select("x", "y").unionByName(alike).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    pairs = pairs.unionByName(_band_pairs(texts.select("same", "bands"))).distinct()
+    met = _bands(texts)
+    # first a few neighbours on each band: members of a large group find each other by these
+    alone = met.withColumn("root", F.col("same"))
+    edges = _verified(rows, texts, pairs.unionByName(_neighbours(alone, 2)), k, least)
+    found = materialize(components(edges), "near-found")
+    # then what is still apart; pairs within a group are linked and need no comparison
+    named = met.join(found, F.col("same") == F.col("node"), "left").select("band", "key", "same", "count", F.coalesce("root", "same").alias("root"))
+    more = _verified(rows, texts, _apart(materialize(named, "near-named")), k, least)
+    return components(edges.unionByName(more))
+
+
+def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, k: int, least: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have the similarity ``least`` or more."""
     # sets whose sizes differ too much can't be similar; a few in a thousand are left for numbers that share a hash
     size = lambda c, n: texts.select(F.col("same").alias(c), F.col("n").alias(n))
-    sized = pairs.join(size("a", "m"), "a").join(size("b", "n"), "b")
+    sized = pairs.distinct().join(size("a", "m"), "a").join(size("b", "n"), "b")
     pairs = materialize(sized.where(F.least("m", "n") >= F.greatest("m", "n") * F.lit(least * 0.995)).select("a", "b"), "near-pairs")
     # one row of each word sequence that is part of a pair
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct().join(texts.select("same", "uid"), "same")
     found = join_checked(rows.select("uid", "text"), materialize(wanted, "near-wanted"), ["uid"], "inner", BROADCAST_IDS)
     sets = materialize(found.select("same", _shingle_set(F.col("text"), k).alias("set")), "near-sets")
     both = pairs.join(sets.withColumnsRenamed({"same": "a", "set": "x"}), "a").join(sets.withColumnsRenamed({"same": "b", "set": "y"}), "b")
-    return components(both.where(_similar(F.col("x"), F.col("y"), least)).select("a", "b"))
+    return materialize(both.where(_similar(F.col("x"), F.col("y"), least)).select("a", "b"), "near-edges")
 
 
 def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
