@@ -154,6 +154,23 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == wanted
 
 
+def test_near_copies_among_texts_that_share_a_long_passage(spark):
+    rng = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(200))
+    data = []
+    for g in range(350):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(30)]
+        data.append((2 * g, passage + " " + " ".join(own)))
+        keep = rng.choice((12, 14, 16))
+        data.append((2 * g + 1, passage + " " + " ".join(own[:keep] + [f"w{rng.randrange(10**6)}" for _ in range(30 - keep)])))
+    sets = {i: shingles(t) for i, t in data}
+    near = [(a, b) for a in sets for b in range(a + 1, len(data)) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    wanted = sorted(set(groups_of(sets, near).values()))
+    assert 0 < len(near) < 400
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == wanted
+
+
 # --- Toxicity
 
 

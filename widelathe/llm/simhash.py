@@ -16,6 +16,7 @@ smallest of them links the same groups, by a number of rows that is linear.
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate
 
 import numpy as np
@@ -148,11 +149,13 @@ def simhash_components(docs: DataFrame, *, k: int = 3, tau: int = 2, id_col: str
     return out.select("row.*", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Minimum hashes in a band, and bands, of the second way to candidates: a pair of similarity 0.8 shares one of the bands with probability 0.998.
+#: Minimum hashes in a band, and bands, of the way by which large groups are found first.
 BAND_ROWS, BANDS = 5, 16
-#: Texts on one band that are compared pair by pair at most, unless they are linked already; above, each is
-#: compared with so many before it in the order of the band.
-BAND_PAIRED, BAND_NEIGHBOURS = 256, 32
+#: Texts of which the shingles are counted, counts from which a shingle is common, and common shingles that are kept at most.
+#: They set the order of the shingles, which decides the work but not the pairs found.
+SAMPLED, COMMON_FROM, COMMON = 10_000, 3, 500_000
+#: Texts with one shingle that are compared with the others in one block.
+BLOCK = 1024
 #: Shingles that are hashed at once.
 _HASHED = 2048
 
@@ -225,12 +228,78 @@ def _neighbours(met: DataFrame, n: int) -> DataFrame:
     return pairs.select(F.least("same", "o").alias("a"), F.greatest("same", "o").alias("b")).where(F.col("a") != F.col("b"))
 
 
-def _apart(met: DataFrame) -> DataFrame:
-    """Pairs (a, b) of texts that share a band and not a root: all of them on bands of up to ``BAND_PAIRED`` texts."""
-    few = met.where(F.col("count") <= BAND_PAIRED)
-    right = few.select("band", "key", F.col("same").alias("b"), F.col("root").alias("r"))
-    pairs = few.join(right, ["band", "key"]).where((F.col("same") < F.col("b")) & (F.col("root") != F.col("r")))
-    return pairs.select(F.col("same").alias("a"), "b").unionByName(_neighbours(met.where(F.col("count") > BAND_PAIRED), BAND_NEIGHBOURS))
+def _shingles(text: Column, k: int) -> Column:
+    @F.arrow_udf("array<long>")
+    def distinct(texts: pa.Array) -> pa.Array:
+        return pa.array([np.unique(shingle_hashes(raw, k)).view(np.int64) for raw in utf8(texts)], pa.list_(pa.int64()))
+
+    return distinct(text)
+
+
+def _common(rows: DataFrame, texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles in ascending order, their counts) of those that are common in a sample of the texts."""
+    step = max(1, texts.count() // SAMPLED)
+    sample = texts.where(F.pmod(F.xxhash64("same"), F.lit(step)) == 0).select("uid")
+    listed = join_checked(rows.select("uid", "text"), sample, ["uid"], "inner", BROADCAST_IDS).select(F.explode(_shingles(F.col("text"), k)).alias("token"))
+    counts = listed.groupBy("token").count().where(F.col("count") >= COMMON_FROM)
+    found = counts.orderBy(F.desc("count"), "token").limit(COMMON).toArrow()
+    tokens, times = found["token"].to_numpy(), found["count"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], times[order]
+
+
+def prefix_of(hashes: np.ndarray, least: float, known: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, rarest first: two sets of the similarity ``least`` have one of these in common."""
+    own = np.unique(hashes).view(np.int64)
+    size = len(own) - math.ceil(least * len(own) - 1e-9) + 1
+    rank = np.zeros(len(own), dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        rank = np.where(known[at] == own, times[at], 0)
+    return own[np.lexsort((own, rank))[:size]]
+
+
+def _prefix(text: Column, k: int, least: float, common) -> Column:  # noqa: ANN001
+    """The number of distinct shingles, and the first of them."""
+
+    @F.arrow_udf("struct<n:int,tokens:array<long>>")
+    def prefix(texts: pa.Array) -> pa.Array:
+        known, times = common.value
+        made = []
+        for raw in utf8(texts):
+            hashes = shingle_hashes(raw, k)
+            made.append({"n": len(np.unique(hashes)), "tokens": prefix_of(hashes, least, known, times)})
+        return pa.array(made, pa.struct([("n", pa.int32()), ("tokens", pa.list_(pa.int64()))]))
+
+    return prefix(text)
+
+
+def _apart(rows: DataFrame, texts: DataFrame, found: DataFrame, k: int, least: float) -> DataFrame:
+    """Pairs (a, b) of texts of several roots, among them all whose similarity is ``least`` or more.
+
+    Such texts share one of their first shingles in an order that all texts have in common, and from the first
+    shared one on both have as many as they must share. Of texts with one root none is compared with another.
+    """
+    common = rows.sparkSession.sparkContext.broadcast(_common(rows, texts, k))
+    one = join_checked(rows.select("uid", "text"), texts.select("uid", "same"), ["uid"], "inner", BROADCAST_IDS)
+    prefixes = materialize(one.select("same", _prefix(F.col("text"), k, least, common).alias("p")), "near-prefixes")
+    common.unpersist()
+    named = prefixes.join(found, F.col("same") == F.col("node"), "left").select("same", F.coalesce("root", "same").alias("root"), "p")
+    listed = named.select("same", "root", F.col("p.n").alias("n"), F.posexplode("p.tokens").alias("at", "token"))
+    shared = listed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
+    met = listed.join(materialize(shared.select("token"), "near-shared"), "token").select("token", "same", "root", "n", (F.col("n") - F.col("at")).alias("rest"))
+    met = materialize(met, "near-met")
+    # of two texts of several roots one at least isn't of the largest root
+    sizes = met.groupBy("token", "root").count().groupBy("token")
+    sizes = materialize(sizes.agg(F.sum("count").alias("count"), F.max_by("root", F.struct("count", "root")).alias("main")), "near-sizes")
+    met = met.join(sizes, "token").withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
+    left = met.withColumn("block", F.pmod(F.xxhash64("same"), F.col("blocks")).cast("int"))
+    right = met.where(F.col("root") != F.col("main")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = right.select("token", "block", F.col("same").alias("b"), F.col("root").alias("r"), F.col("n").alias("m"), F.col("rest").alias("left"))
+    once = (F.col("root") == F.col("main")) | (F.col("same") < F.col("b"))
+    enough = F.least("rest", "left") >= (F.col("n") + F.col("m")) * F.lit(least / (1 + least)) - 1e-6
+    pairs = left.join(right, ["token", "block"]).where((F.col("root") != F.col("r")) & once & enough)
+    return pairs.select(F.least("same", "b").alias("a"), F.greatest("same", "b").alias("b"))
 
 
 def _groups(rows: DataFrame, k: int, least: float, tau: int) -> DataFrame:
@@ -251,9 +320,8 @@ def _groups(rows: DataFrame, k: int, least: float, tau: int) -> DataFrame:
     alone = met.withColumn("root", F.col("same"))
     edges = _verified(rows, texts, pairs.unionByName(_neighbours(alone, 2)), k, least)
     found = materialize(components(edges), "near-found")
-    # then what is still apart; pairs within a group are linked and need no comparison
-    named = met.join(found, F.col("same") == F.col("node"), "left").select("band", "key", "same", "count", F.coalesce("root", "same").alias("root"))
-    more = _verified(rows, texts, _apart(materialize(named, "near-named")), k, least)
+    # then all that may be similar and is still apart; pairs within a group are linked and need no comparison
+    more = _verified(rows, texts, _apart(rows, texts, found, k, least), k, least)
     return components(edges.unionByName(more))
 
 
@@ -275,9 +343,9 @@ def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, i
     """The rows of ``docs`` less all but one of each group of near copies; the smallest id stays, null ids last.
 
     Texts are near copies if the sets of their ``k``-word shingles have a Jaccard similarity of ``least`` or
-    more. Candidates are texts whose fingerprints differ in at most ``tau`` bits, and, since a similarity of 0.8 leaves some
-    ten differing bits of 64, texts that share a band of minimum hashes. Every candidate pair is
-    then compared by its whole shingle sets. Null and empty texts are equal to each other. Rows that
+    more. Large groups are found first, among texts whose fingerprints differ in at most ``tau`` bits or that share a band of
+    minimum hashes; then all texts of different groups that share one of their rarest shingles are candidates, by
+    which no pair is missed. Every candidate pair is compared by its whole shingle sets. Null and empty texts are equal to each other. Rows that
     tie (a repeated row, or null ids) count as copies too.
     """
     everything = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
