@@ -171,6 +171,33 @@ def test_near_copies_among_texts_that_share_a_long_passage(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == wanted
 
 
+def test_near_copies_that_share_no_band(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BANDS", 1)
+    rng = random.Random(4)
+    data = []
+    for g in range(60):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        data.append((2 * g, " ".join(base)))
+        data.append((2 * g + 1, " ".join(base[: rng.choice((88, 90, 91))] + [f"w{rng.randrange(10**6)}" for _ in range(9)])))
+    sets = {i: shingles(t) for i, t in data}
+    near = [(a, b) for a in sets for b in range(a + 1, len(data)) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == sorted(set(groups_of(sets, near).values()))
+
+
+def test_similar_sets_share_a_prefix():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 4, 5, 6, 30, 301):
+        for _ in range(40):
+            a = rng.integers(0, 2**64, n, dtype=np.uint64)
+            b = np.append(a[: max(1, n - int(rng.integers(0, n // 5 + 1)))], rng.integers(0, 2**64, int(rng.integers(0, n // 5 + 1)), dtype=np.uint64))
+            both = len(np.intersect1d(a, b))
+            known = np.sort(rng.choice(a, n // 2).view(np.int64))
+            x, y = (simhash.prefix_of(c, 0.8, known, np.arange(len(known)) + 3) for c in (a, b))
+            assert len(x) == n // 5 + 1
+            assert both < 0.8 * (len(a) + len(b) - both) or set(x) & set(y)
+
+
 # --- Toxicity
 
 
