@@ -55,6 +55,24 @@ def test_main_text():
     assert [t for t, own, _ in html_extract.blocks_of("<article><p>cut &am") if own] == ["cut &am"]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="post"><p>Main text of the post</p></div><section id="comments"><article><p>Reader says so much more than the post</p></article></section>',
+        '<article><p>Tease</p></article><div><p>Main text of the post</p><p>and a good deal more of it, so that the other is little</p></div>',
+        '<div class="content-sidebar-wrap"><article><p>Main text of the post</p></article><div class="sidebar"><p>Side</p></div></div>',
+        '<div class="has-sidebar"><p>Main text of the post</p></div>',
+        '<div class="post-with-comments"><main><p>Main text of the post</p></main></div><div class="comment-list"><p>Reader says so much more than the post</p></div>',
+        '<div id="no-sidebar"><div>Main text of the post</div></div>',
+    ],
+)
+def test_wrappers_and_comments_do_not_hide_the_article(spark, page):
+    own = [t for t, own, _ in html_extract.blocks_of(page) if own]
+    assert "Main text of the post" in own and not {"Side", "Reader says so much more than the post"} & set(own)
+    got = html_extract.extract(spark.createDataFrame([(1, None, page)], "page_id long, url string, html string")).head()
+    assert got["text"].split("\n\n") == own
+
+
 def test_templates_are_told_by_their_recurrence(spark):
     page = lambda k: f"<body><div>Every page says this</div><div><p>Own text {k}</p></div><p>Plain {k}</p></body>"
     data = [(k, f"http://h.example/{k}", page(k)) for k in range(30)] + [(90, "http://other.example/", page(90)), (91, None, None)]

@@ -38,36 +38,78 @@ CONTAINERS = frozenset("div section header footer nav aside form ul ol dl table
 DROPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices popup promo promoted related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: The article stands for the page if it has at least this share of the text that isn't dropped.
+ARTICLE_SHARE = 0.25
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 
-def _names(attributes: str) -> tuple[set[str], set[str]]:
-    """(parts of class and id, roles), lower-cased."""
+def _names(attributes: str) -> tuple[set[str], set[str], list[str]]:
+    """(parts of class and id, roles, whole words of class and id), lower-cased."""
     names: set[str] = set()
     roles: set[str] = set()
+    words: list[str] = []
     if attributes and "=" in attributes:
         for kind, value in _NAMED.findall(attributes):
-            parts = _PARTS.split(value.lower())
-            (roles if kind.lower() == "role" else names).update(p for p in parts if p)
-    return names, roles
+            value = value.lower()
+            parts = _PARTS.split(value)
+            if kind.lower() == "role":
+                roles.update(p for p in parts if p)
+            else:
+                names.update(p for p in parts if p)
+                words += value.strip("\"'").split()
+    return names, roles, words
+
+
+class _Named:
+    """A subtree that is dropped by its name, unless it is found to hold the page's article."""
+
+    __slots__ = ("whole", "leads", "main", "article", "size")
+
+    def __init__(self, words: list[str], dropped: frozenset[str]):
+        parts = [[p for p in _PARTS.split(w) if p] for w in words]
+        self.whole = any(len(p) == 1 and p[0] in dropped for p in parts)
+        self.leads = any(p and p[0] in dropped for p in parts)
+        self.main = self.article = False
+        self.size = 0
+
+    def drops(self, total: int) -> bool:
+        if self.main or self.whole:
+            return not self.main
+        return not self.article and (self.leads or 2 * self.size <= total)
 
 
 class _Open:
-    __slots__ = ("tag", "drop", "article", "first", "parts")
+    __slots__ = ("tag", "drop", "article", "first", "parts", "named")
 
-    def __init__(self, tag: str, drop: bool, article: bool, first: int, parts: list[str] | None):
-        self.tag, self.drop, self.article, self.first, self.parts = tag, drop, article, first, parts
+    def __init__(self, tag: str, drop: bool, article: int, first: int, parts: list[str] | None, named: tuple[_Named, ...]):
+        self.tag, self.drop, self.article, self.first, self.parts, self.named = tag, drop, article, first, parts, named
 
 
 def blocks_of(page: str | None) -> list[tuple[str, bool, list[int]]]:
     """(text, part of the article by its tags, hashes of the containers around it) for each block of text.
 
-    If the page has an article or main element, only what is inside one is part of it.
+    If the page has an article or main element that isn't dropped and holds ``ARTICLE_SHARE`` of the rest, only what is inside one is part of it.
+    """
+    blocks = parse(page)
+    only = article_alone(blocks)
+    return [(t, own and (inside or not only), chain) for t, own, inside, chain in blocks]
+
+
+def article_alone(blocks: list[tuple[str, bool, bool, list[int]]]) -> bool:
+    inside = sum(len(t) for t, own, inside, _ in blocks if own and inside)
+    return 0 < inside >= ARTICLE_SHARE * sum(len(t) for t, own, _, _ in blocks if own)
+
+
+def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
+    """(text, not dropped, inside an article or main element, hashes of the containers around it) for each block of text.
+
+    A subtree goes by its name, but not if a main element is in it; with a name that has the dropped word as a part only, not
+    if an article is in it, or, where the word isn't the first part, most of the text of the page's paragraphs.
     """
     out: list[list] = []
     stack: list[_Open] = []
     text: list[str] = []
-    some_article = False
+    articles = 0
 
     def flush() -> None:
         words = html.unescape("".join(text)).split() if text else ()
@@ -78,7 +120,8 @@ def blocks_of(page: str | None) -> list[tuple[str, bool, list[int]]]:
                 if node.parts is not None:
                     node.parts.append(words)
             top = stack[-1] if stack else None
-            out.append([words, not (top and top.drop), bool(top and top.article), []])
+            named = top.named if top else ()
+            out.append([words, not (top and top.drop), top.article if top else 0, [], named, any(node.tag == "p" for node in stack)])
 
     def close(k: int) -> None:
         while len(stack) > k:
@@ -127,34 +170,53 @@ def blocks_of(page: str | None) -> list[tuple[str, bool, list[int]]]:
             if tag in DROPPED_TAGS:
                 at = end.start() if end else len(page)
         top = stack[-1] if stack else None
-        names, roles = _names(m[3])
-        article = bool(top and top.article) or tag in ("article", "main") or "main" in roles or "article" in roles
-        some_article |= article
-        drop = bool(top and top.drop) or tag in DROPPED_TAGS or bool(roles & DROPPED_ROLES) or tag not in ("html", "body", "article", "main") and bool(names & DROPPED_NAMES)
-        drop |= not article and (tag == "header" or tag in CONTAINERS and "header" in names)
+        names, roles, words = _names(m[3])
+        article = top.article if top else 0
+        main = tag == "main" or "main" in roles
+        if not article and (main or tag == "article" or "article" in roles):
+            articles += 1
+            article = articles
+        drop = bool(top and top.drop) or tag in DROPPED_TAGS or bool(roles & DROPPED_ROLES) or not article and tag == "header"
+        named = top.named if top else ()
+        if not drop and (main or tag == "article" and not names & DROPPED_NAMES):
+            for over in named:
+                over.main |= main
+                over.article = True
+        dropped = DROPPED_NAMES | {"header"} if not article and tag in CONTAINERS else DROPPED_NAMES
+        if tag not in ("html", "body", "article", "main") and names & dropped:
+            named = (*named, _Named(words, dropped))
+            named[-1].main, named[-1].article = main, "article" in roles
         parts: list[str] | None = [" ".join(sorted(names))] if tag in CONTAINERS else None
-        stack.append(_Open(tag, drop, article, len(out), parts))
+        stack.append(_Open(tag, drop, article, len(out), parts, named))
     flush()
     close(0)
-    return [(t, own and (inside or not some_article), chain) for t, own, inside, chain in out]
+    # where no paragraph is marked, all text counts
+    marked = any(own and p for _, own, _, _, _, p in out)
+    total = 0
+    for t, own, _, _, named, p in out:
+        if own and (p or not marked):
+            total += len(t)
+            for over in named:
+                over.size += len(t)
+    return [(t, own and not any(over.drops(total) for over in named), article > 0, chain) for t, own, article, chain, named, _ in out]
 
 
-_BLOCK = pa.struct([("text", pa.string()), ("own", pa.bool_()), ("chain", pa.list_(pa.int64()))])
+_BLOCK = pa.struct([("text", pa.string()), ("own", pa.bool_()), ("inside", pa.bool_()), ("chain", pa.list_(pa.int64()))])
 
 
 def parsed_blocks(page: Column) -> Column:
     """The blocks of a page and the distinct hashes around them."""
 
-    @F.arrow_udf("struct<blocks:array<struct<text:string,own:boolean,chain:array<long>>>,hashes:array<long>>")
-    def parse(pages: pa.Array) -> pa.Array:
+    @F.arrow_udf("struct<blocks:array<struct<text:string,own:boolean,inside:boolean,chain:array<long>>>,hashes:array<long>>")
+    def parsed(pages: pa.Array) -> pa.Array:
         made = []
         for raw in pages.to_pylist():
-            blocks = blocks_of(raw)
+            blocks = parse(raw)
             hashes = sorted({h for *_, chain in blocks for h in chain})
-            made.append({"blocks": [{"text": t, "own": own, "chain": chain} for t, own, chain in blocks], "hashes": hashes})
+            made.append({"blocks": [{"text": t, "own": own, "inside": inside, "chain": chain} for t, own, inside, chain in blocks], "hashes": hashes})
         return pa.array(made, pa.struct([("blocks", pa.list_(_BLOCK)), ("hashes", pa.list_(pa.int64()))]))
 
-    return parse(page)
+    return parsed(page)
 
 
 #: Template subtrees that are broadcast at most; beyond that pages are joined by host and salt.
@@ -192,7 +254,10 @@ def extract(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.01, ur
     known = F.coalesce(F.col("templates"), F.array().cast("array<long>"))
     kept = F.filter("parsed.blocks", lambda b: ~F.arrays_overlap(b["chain"], known))
     joined = joined.withColumn("kept", kept)
-    text = F.concat_ws("\n\n", F.transform(F.filter("kept", lambda b: b["own"]), lambda b: b["text"]))
+    joined = joined.withColumn("own", F.filter("kept", lambda b: b["own"])).withColumn("article", F.filter("own", lambda b: b["inside"]))
+    size = lambda c: F.aggregate(c, F.lit(0), lambda n, b: n + F.char_length(b["text"]))
+    alone = (size("article") > 0) & (size("article") >= size("own") * F.lit(ARTICLE_SHARE))
+    text = F.concat_ws("\n\n", F.transform(F.when(alone, F.col("article")).otherwise(F.col("own")), lambda b: b["text"]))
     deleted = F.size("parsed.blocks") - F.size("kept")
     out = joined.select("row.*", text.alias("text"), deleted.alias("n_template"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
