@@ -82,6 +82,22 @@ def test_templates_are_told_by_their_recurrence(spark):
     assert (got[91]["text"], got[91]["n_chars"]) == ("", 0)
 
 
+def test_copies_and_lists_of_articles_are_no_template(spark):
+    item = "<ul><li>Size</li><li>Weight</li></ul>"
+    data = [(k, f"http://h.example/{k}", "<div><p>One article in print views</p></div>") for k in range(6)]
+    data += [(10 + k, f"http://h.example/a{k}", f"<article><p>Text {k}</p>{item}</article>") for k in range(6)]
+    data += [(20 + k, f"http://h.example/b{k}", f"<article><div>Long body of an article, reprinted</div><p>{k}</p></article>") for k in range(6)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got[0] == "One article in print views" and got[10] == "Text 0\n\nSize\n\nWeight" and got[20] == "Long body of an article, reprinted\n\n0"
+
+
+def test_the_share_of_a_large_host_does_not_grow_with_it(spark):
+    data = [(k, f"http://h.example/{k}", ("<div>Notice</div>" if k < 10 else "") + f"<p>Own text {k}</p>") for k in range(40)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages, min_pages=2, min_share=0.5).collect()}
+    assert got == {k: f"Own text {k}" for k in range(40)}
+
+
 def test_templates_joined_by_salt_are_the_same(spark, monkeypatch):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     wanted = sorted(html_extract.extract(pages, min_pages=2).collect())

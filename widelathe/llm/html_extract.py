@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,8 @@ DROPPED_NAMES = frozenset(
 )
 #: The article stands for the page if it has at least this share of the text that isn't dropped.
 ARTICLE_SHARE = 0.25
+#: Inside the article these are content however often they recur.
+CONTENT_TAGS = frozenset("ul ol dl table".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 
@@ -111,6 +114,8 @@ def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
     text: list[str] = []
     articles = 0
 
+    holds: list[tuple[int, int, int, int]] = []
+
     def flush() -> None:
         words = html.unescape("".join(text)).split() if text else ()
         text.clear()
@@ -131,6 +136,8 @@ def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
                 own -= (own >> 63) << 64
                 for block in out[node.first :]:
                     block[3].append(own)
+                if node.article:
+                    holds.append((own, node.article, node.first, len(out)))
 
     at, page = 0, page or ""
     while at < len(page):
@@ -186,8 +193,8 @@ def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
         if tag not in ("html", "body", "article", "main") and names & dropped:
             named = (*named, _Named(words, dropped))
             named[-1].main, named[-1].article = main, "article" in roles
-            named[-1].main, named[-1].article = main, "article" in roles
-        parts: list[str] | None = [" ".join(sorted(names))] if tag in CONTAINERS else None
+        content = bool(article and tag in CONTENT_TAGS)
+        parts: list[str] | None = [" ".join(sorted(names))] if tag in CONTAINERS and not content else None
         stack.append(_Open(tag, drop, article, len(out), parts, named))
     flush()
     close(0)
@@ -199,7 +206,16 @@ def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
             total += len(t)
             for over in named:
                 over.size += len(t)
-    return [(t, own and not any(over.drops(total) for over in named), article > 0, chain) for t, own, article, chain, named, _ in out]
+    made = [(t, own and not any(over.drops(total) for over in named), article > 0, chain) for t, own, article, chain, named, _ in out]
+    # what holds most of an article is no template
+    sizes: dict[int, int] = {}
+    for block, (t, own, _, _) in zip(out, made, strict=True):
+        sizes[block[2]] = sizes.get(block[2], 0) + own * len(t)
+    for own_hash, article, a, b in holds:
+        if 2 * sum(len(t) for t, own, _, _ in made[a:b] if own) > sizes[article] > 0:
+            for *_, chain in made[a:b]:
+                chain[:] = [h for h in chain if h != own_hash]
+    return made
 
 
 _BLOCK = pa.struct([("text", pa.string()), ("own", pa.bool_()), ("inside", pa.bool_()), ("chain", pa.list_(pa.int64()))])
@@ -208,19 +224,39 @@ _BLOCK = pa.struct([("text", pa.string()), ("own", pa.bool_()), ("inside", pa.bo
 def parsed_blocks(page: Column) -> Column:
     """The blocks of a page and the distinct hashes around them."""
 
-    @F.arrow_udf("struct<blocks:array<struct<text:string,own:boolean,inside:boolean,chain:array<long>>>,hashes:array<long>>")
+    @F.arrow_udf("struct<blocks:array<struct<text:string,own:boolean,inside:boolean,chain:array<long>>>,hashes:array<long>,page:long>")
     def parsed(pages: pa.Array) -> pa.Array:
         made = []
         for raw in pages.to_pylist():
             blocks = parse(raw)
+            only = article_alone(blocks)
+            page = xxhash.xxh64_intdigest("\n".join(t for t, own, inside, _ in blocks if own and (inside or not only)).encode("utf-8", "surrogatepass"))
+            page -= (page >> 63) << 64
             hashes = sorted({h for *_, chain in blocks for h in chain})
-            made.append({"blocks": [{"text": t, "own": own, "inside": inside, "chain": chain} for t, own, inside, chain in blocks], "hashes": hashes})
-        return pa.array(made, pa.struct([("blocks", pa.list_(_BLOCK)), ("hashes", pa.list_(pa.int64()))]))
+            made.append({"blocks": [{"text": t, "own": own, "inside": inside, "chain": chain} for t, own, inside, chain in blocks], "hashes": hashes, "page": page})
+        return pa.array(made, pa.struct([("blocks", pa.list_(_BLOCK)), ("hashes", pa.list_(pa.int64())), ("page", pa.int64())]))
 
     return parsed(page)
 
 
-#: Template subtrees that are broadcast at most; beyond that pages are joined by host and salt.
+def _known(often: DataFrame, host: Column, hashes: Column) -> Column:
+    """Those of a page's hashes that are template on its host."""
+    found = often.select(F.xxhash64("host", "subtree").alias("key")).toArrow()["key"].to_numpy()
+    keys = often.sparkSession.sparkContext.broadcast(np.sort(found))
+
+    @F.arrow_udf("array<boolean>")
+    def known(asked: pa.Array) -> pa.Array:
+        every = keys.value
+        flat = asked.flatten().to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(every, flat), max(len(every) - 1, 0))
+        hits = every[at] == flat if len(every) else np.zeros(len(flat), dtype=bool)
+        return pa.ListArray.from_arrays(np.append(0, np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int32), pa.array(hits))
+
+    hit = known(F.transform(hashes, lambda h: F.xxhash64(host, h)))
+    return F.transform(F.filter(F.arrays_zip(hashes.alias("h"), hit.alias("hit")), lambda z: z["hit"]), lambda z: z["h"])
+
+
+#: Template subtrees that are broadcast at most; beyond that the subtrees of the pages are joined by host, subtree and salt.
 BROADCAST_SUBTREES = 1_000_000
 SALTS = 64
 
@@ -229,29 +265,33 @@ def extract(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.01, ur
     """Adds ``text`` (main text), ``n_chars`` and ``n_template`` (blocks deleted as template) to every row.
 
     A container subtree is template if it occurs on at least ``min_pages`` pages of its host
-    and on at least the share ``min_share`` of them; this bounds the templates of a
-    host by the subtrees of a page divided by the share. Blocks of the article
+    and, as long as that is less than twice ``min_pages``, on the share ``min_share`` of them; from there on the number grows
+    with the logarithm of the host's pages. Pages of a host whose own text is the same count once.
+    Lists and tables of an article and what holds most of it are no template. Blocks of the article
     are kept as they stand, with white space made single; they are joined by an
     empty line. Null or empty html has the text ''. Null urls are
-    one host. Repeated rows count as pages of their own. An empty table gives an
+    one host. An empty table gives an
     empty one. Input columns called like an output column are replaced.
     ``columns``: the input columns to return, all by default.
     """
     columns = [c for c in (columns or pages.columns) if c.lower() not in ("text", "n_chars", "n_template")]
     picked = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
-    rows = materialize(pages.select(picked, host_of(F.col(url_col)).alias("host"), parsed_blocks(F.col(html_col)).alias("parsed")), "html-blocks")
-    total = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    seen = rows.select("host", F.explode("parsed.hashes").alias("subtree")).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    host = host_of(F.col(url_col)).alias("host")
+    rows = materialize(pages.select(picked, F.monotonically_increasing_id().alias("uid"), host, parsed_blocks(F.col(html_col)).alias("parsed")), "html-blocks")
+    total = rows.groupBy("host").agg(F.count_distinct("parsed.page").alias("pages"))
+    seen = rows.select("uid", "host", F.col("parsed.page").alias("page"), F.explode("parsed.hashes").alias("subtree"))
+    counts = seen.groupBy("host", "subtree").agg(F.count_distinct("page").alias("n"))
     # subtrees below the fixed number go before the join by host
-    often = seen.where(F.col("n") >= min_pages).join(total, "host").where(F.col("n") >= F.col("pages") * min_share)
+    share = F.col("pages") * min_share
+    least = F.least(share, min_pages * (1 + F.log2(F.greatest(F.lit(1.0), share / min_pages))))
+    often = counts.where(F.col("n") >= min_pages).join(total, "host").where(F.col("n") >= least)
     often = materialize(often.select("host", "subtree"), "html-templates")
-    of_host = often.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
     if small_enough(often, BROADCAST_SUBTREES):
-        joined = rows.join(F.broadcast(of_host), "host", "left")
+        joined = rows.withColumn("templates", _known(often, F.col("host"), F.col("parsed.hashes")))
     else:
-        dealt = of_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        own = rows.withColumn("salt", F.pmod(F.xxhash64("parsed.blocks"), F.lit(SALTS)).cast("int"))
-        joined = own.join(dealt, ["host", "salt"], "left")
+        dealt = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        found = seen.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int")).join(dealt, ["host", "subtree", "salt"])
+        joined = rows.join(found.groupBy("uid").agg(F.collect_list("subtree").alias("templates")), "uid", "left")
     known = F.coalesce(F.col("templates"), F.array().cast("array<long>"))
     kept = F.filter("parsed.blocks", lambda b: ~F.arrays_overlap(b["chain"], known))
     joined = joined.withColumn("kept", kept)
