@@ -17,6 +17,17 @@ def test_tolerant_csv(spark, tmp_path):
     assert got["1"] == "x\ny" and "4" not in got
 
 
+def test_flexible_csv_looks_at_whole_files(spark, tmp_path):
+    names = [f"A_LONG_COLUMN_NAME_THAT_FILLS_THE_LINE_{k}" for k in range(150)]
+    row = ";".join(str(k) for k in range(150))
+    (tmp_path / "wide.csv").write_text(";".join(names) + f"\n{row}\n", "utf-8")
+    (tmp_path / "late.csv").write_bytes(("CODICE;NOME\n" + "x;plain\n" * 1000 + "y;Forlì’\n").encode("cp1252"))
+    read = csv.read_flexible(spark, [str(tmp_path)])
+    assert set(read.columns) == {*names, "CODICE", "NOME"}
+    assert read.where("CODICE = 'y'").select("NOME").collect() == [("Forlì’",)]
+    assert read.where(f"{names[0]} = '0'").select(names[149]).collect() == [("149",)]
+
+
 def test_flexible_csv_finds_delimiter_encoding_and_mark(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("﻿codice;nome\n1;Forlì\n".encode())
     (tmp_path / "b.csv").write_bytes("Codice\tNome\n2\tCantù – “x”\n".encode("cp1252"))

@@ -19,7 +19,7 @@ from ..operators.dedup import first_nonempty, keep_first
 ENCODINGS = ("UTF-8", "ISO-8859-1")
 _WINDOWS = {chr(b): c for b in range(0x80, 0xA0) if (c := bytes([b]).decode("cp1252", "ignore"))}
 DELIMITERS = ("\t", ";", ",")
-#: Files whose dialect is looked at one by one; each costs the driver one line.
+#: The sample in which delimiters are counted ``by_count``; encoding and header are taken from the whole file.
 HEAD_BYTES = 4096
 # Header names by which each column of an input is known, in order of preference.
 CODE_NAMES = ["CODICE_SCUOLA", "codice_scuola", "CODICE_MECCANOGRAFICO", "codice_meccanografico", "CODICE", "codice"]
@@ -75,24 +75,27 @@ def detect_delimiter(head: str, by_count: bool = False) -> str:
     return max(DELIMITERS if not by_count else (",", ";", "\t"), key=sample.count) if any(map(sample.count, DELIMITERS)) else ","
 
 
+def _dialect(valid: Column, line: Column, head: Column, by_count: bool) -> Column:
+    """(delimiter, encoding, header) by whether the file is UTF-8, its first line and its first bytes."""
+
+    @F.udf("struct<sep:string,encoding:string,header:array<string>>")
+    def dialect(valid, line, head):  # noqa: ANN001, ANN202
+        first = bytes(line).decode("utf-8-sig" if valid else "cp1252", "replace")
+        # a character may be cut by the sample's end; delimiters are ASCII in either encoding
+        sep = detect_delimiter(bytes(head).decode("latin-1") if by_count else first, by_count)
+        header = [h.strip().strip('"').strip().lstrip("\ufeff").upper() for h in first.strip("\r").split(sep)]
+        return sep, ENCODINGS[0 if valid else 1], header
+
+    return dialect(valid, line, head)
+
+
 def dialects(spark: SparkSession, paths: list[str], by_count: bool = False) -> dict[tuple[str, str, tuple[str, ...]], list[str]]:
-    """(delimiter, encoding, header) -> files. Only the first bytes of each file reach the driver."""
-    heads = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    out: dict[tuple[str, str, tuple[str, ...]], list[str]] = {}
-    for r in heads.select("path", F.substring("content", 1, HEAD_BYTES).alias("head")).toLocalIterator():
-        raw = bytes(r["head"])
-        for k, encoding in enumerate(ENCODINGS):
-            try:
-                text = raw.decode("utf-8-sig" if k == 0 else "cp1252", "strict" if k == 0 else "replace")
-                break
-            except UnicodeDecodeError as e:
-                if e.start >= len(raw) - 3 and len(raw) == HEAD_BYTES:  # a character cut by the sample's end
-                    text = raw[: e.start].decode("utf-8-sig")
-                    break
-        sep = detect_delimiter(text, by_count)
-        header = tuple(h.strip().strip('"').strip().lstrip("﻿").upper() for h in text.split("\n", 1)[0].strip("\r").split(sep))
-        out.setdefault((sep, encoding, header), []).append(r["path"])
-    return out
+    """(delimiter, encoding, header) -> files. Tasks look at whole files; the driver gets each dialect once, with its paths."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    whole = F.col("content").cast("string")
+    own = files.select("path", _dialect(F.is_valid_utf8(whole), F.substring_index(whole, "\n", 1).cast("binary"), F.substring("content", 1, HEAD_BYTES), by_count).alias("d"))
+    found = own.groupBy("d").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return {(r["d"]["sep"], r["d"]["encoding"], tuple(r["d"]["header"])): r["paths"] for r in found.toLocalIterator()}
 
 
 def read_flexible(spark: SparkSession, paths: list[str], by_count: bool = False, pattern: str | None = None) -> DataFrame:
