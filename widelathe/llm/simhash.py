@@ -17,6 +17,7 @@ smallest of them links the same groups, by a number of rows that is linear.
 from __future__ import annotations
 
 import math
+from functools import lru_cache, reduce
 from itertools import accumulate
 
 import numpy as np
@@ -150,82 +151,55 @@ def simhash_components(docs: DataFrame, *, k: int = 3, tau: int = 2, id_col: str
 
 
 #: Minimum hashes in a band, and bands, of the way by which large groups are found first.
-BAND_ROWS, BANDS = 5, 16
+BAND_ROWS, BANDS = 3, 16
 #: Texts of which the shingles are counted, counts from which a shingle is common, and common shingles that are kept at most.
 #: They set the order of the shingles, which decides the work but not the pairs found.
-SAMPLED, COMMON_FROM, COMMON = 10_000, 3, 500_000
+SAMPLED, COMMON_FROM, COMMON = 4_000, 3, 500_000
 #: Texts with one shingle that are compared with the others in one block.
 BLOCK = 1024
+#: Bits of a text's parity bitmap, a power of two.
+BITMAP = 1024
+#: Keys that are broadcast at most.
+BROADCAST_KEYS = 1_000_000
 #: Shingles that are hashed at once.
 _HASHED = 2048
 
+SIGNATURE = "struct<s1:long,s2:long,fp:long,n:int,bands:array<long>,tokens:array<int>,bits:array<long>>"
+_SIGNATURE = pa.struct([("s1", pa.int64()), ("s2", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int32())), ("bits", pa.list_(pa.int64()))])
 
-def _signature(text: Column, words: int) -> Column:
-    """fp, a hash of the whole word sequence, the number of distinct shingles of ``words`` words, and their bands."""
 
-    @F.arrow_udf("struct<fp:long,same:long,n:int,bands:array<long>>")
-    def sign(texts: pa.Array) -> pa.Array:
-        rng = np.random.default_rng(20240229)
-        factor = (rng.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-        shift = rng.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint64).astype(np.uint32)
-        made = []
-        for raw in utf8(texts):
-            hashes = shingle_hashes(raw, words)
-            own = np.unique((hashes ^ (hashes >> np.uint64(29))).astype(np.uint32))
-            bands = []
-            if len(own):
-                low = np.full(BANDS * BAND_ROWS, 0xFFFFFFFF, dtype=np.uint32)
-                for k in range(0, len(own), _HASHED):
-                    np.minimum(low, (own[k : k + _HASHED, None] * factor + shift).min(axis=0), out=low)
-                bands = [xxhash.xxh64_intdigest(low[b * BAND_ROWS : (b + 1) * BAND_ROWS].tobytes(), b) for b in range(BANDS)]
-            same = xxhash.xxh64_intdigest(b" ".join(space_words(raw)), 1)
-            made.append((fingerprint_of(hashes), same, len(own), bands))
-        signed = lambda x: x - ((x >> 63) << 64)
-        rows = [{"fp": signed(f), "same": signed(s), "n": n, "bands": [signed(b) for b in bands]} for f, s, n, bands in made]
-        return pa.array(rows, pa.struct([("fp", pa.int64()), ("same", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64()))]))
-
-    return sign(text)
-
-
-def _shingle_set(text: Column, k: int) -> Column:
-    @F.arrow_udf("binary")
-    def distinct(texts: pa.Array) -> pa.Array:
-        return pa.array([np.unique(shingle_hashes(raw, k)).tobytes() for raw in utf8(texts)], pa.binary())
-
-    return distinct(text)
-
-
-def _similar(a: Column, b: Column, least: float) -> Column:
-    @F.arrow_udf("boolean")
-    def similar(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True):
-            x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both >= least * (len(x) + len(y) - both))
-        return pa.array(out, pa.bool_())
-
-    return similar(a, b)
+def band_keys(own: np.ndarray) -> np.ndarray:
+    """A key for each band of minimum hashes of a set of 64-bit hashes; none for an empty set."""
+    if not len(own):
+        return np.zeros(0, dtype=np.int64)
+    rng = np.random.default_rng(20240229)
+    size = BANDS * BAND_ROWS
+    factor = (rng.integers(0, 1 << 32, size, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+    shift = rng.integers(0, 1 << 32, size, dtype=np.uint64).astype(np.uint32)
+    short = (own ^ (own >> np.uint64(29))).astype(np.uint32)
+    low = np.full(size, 0xFFFFFFFF, dtype=np.uint32)
+    for k in range(0, len(short), _HASHED):
+        np.minimum(low, (short[k : k + _HASHED, None] * factor + shift).min(axis=0), out=low)
+    keys = [xxhash.xxh64_intdigest(low[b * BAND_ROWS : (b + 1) * BAND_ROWS].tobytes(), b) for b in range(BANDS)]
+    return np.array(keys, dtype=np.uint64).view(np.int64)
 
 
-def _bands(texts: DataFrame) -> DataFrame:
-    """(band, key, same, count) of the bands that two texts or more share."""
-    listed = texts.select("same", F.posexplode("bands").alias("band", "key"))
-    size = listed.groupBy("band", "key").count().where(F.col("count") > 1)
-    return materialize(listed.join(materialize(size, "band-keys"), ["band", "key"]), "band-met")
+def parity_bits(own: np.ndarray) -> np.ndarray:
+    """For each bit whether an odd number of the set's hashes fall on it: two bitmaps differ in no more bits than the sets in members."""
+    at = (own >> np.uint64(64 - BITMAP.bit_length() + 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=BITMAP) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
 
 
-def _before(n: int) -> Column:
-    """The ``n`` texts before this one on its band, in an order of the band's own."""
-    at = Window.partitionBy("band", "key").orderBy(F.xxhash64("same", "band"), "same")
-    return F.collect_list(F.struct("same", "root")).over(at.rowsBetween(-n, -1))
-
-
-def _neighbours(met: DataFrame, n: int) -> DataFrame:
-    """Pairs (a, b) of each text with the ``n`` before it on each of its bands, less those of one root."""
-    others = met.select("same", "root", _before(n).alias("o")).select("same", F.filter("o", lambda o: o["root"] != F.col("root")).alias("o"))
-    pairs = others.select("same", F.explode("o.same").alias("o"))
-    return pairs.select(F.least("same", "o").alias("a"), F.greatest("same", "o").alias("b")).where(F.col("a") != F.col("b"))
+def prefix_of(own: np.ndarray, least: float, known: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The first members of a set, rarest first: two sets of the similarity ``least`` have one of these in common."""
+    own = np.unique(own).view(np.int64)
+    size = len(own) - math.ceil(least * len(own) - 1e-9) + 1
+    rank = np.zeros(len(own), dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        rank = np.where(known[at] == own, times[at], 0)
+    return own[np.lexsort((own, rank))[:size]]
 
 
 def _shingles(text: Column, k: int) -> Column:
@@ -236,125 +210,180 @@ def _shingles(text: Column, k: int) -> Column:
     return distinct(text)
 
 
-def _common(rows: DataFrame, texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles in ascending order, their counts) of those that are common in a sample of the texts."""
-    step = max(1, texts.count() // SAMPLED)
-    sample = texts.where(F.pmod(F.xxhash64("same"), F.lit(step)) == 0).select("uid")
-    listed = join_checked(rows.select("uid", "text"), sample, ["uid"], "inner", BROADCAST_IDS).select(F.explode(_shingles(F.col("text"), k)).alias("token"))
-    counts = listed.groupBy("token").count().where(F.col("count") >= COMMON_FROM)
+def _common(docs: DataFrame, text_col: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles in ascending order, their counts) of those that are common in a sample of about ``SAMPLED`` texts."""
+    share = SAMPLED / max(1, docs.count())
+    sample = docs.select(text_col) if share >= 1 else docs.select(text_col).sample(share, seed=1)
+    counts = sample.select(F.explode(_shingles(F.col(text_col), k)).alias("token")).groupBy("token").count().where(F.col("count") >= COMMON_FROM)
     found = counts.orderBy(F.desc("count"), "token").limit(COMMON).toArrow()
     tokens, times = found["token"].to_numpy(), found["count"].to_numpy()
     order = np.argsort(tokens)
     return tokens[order], times[order]
 
 
-def prefix_of(hashes: np.ndarray, least: float, known: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, rarest first: two sets of the similarity ``least`` have one of these in common."""
-    own = np.unique(hashes).view(np.int64)
-    size = len(own) - math.ceil(least * len(own) - 1e-9) + 1
-    rank = np.zeros(len(own), dtype=np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-        rank = np.where(known[at] == own, times[at], 0)
-    return own[np.lexsort((own, rank))[:size]]
-
-
-def _prefix(text: Column, k: int, least: float, common) -> Column:  # noqa: ANN001
-    """The number of distinct shingles, and the first of them."""
+def _signature(text: Column, k: int, least: float, common) -> Column:  # noqa: ANN001
+    """128 bits that tell the word sequence, the fingerprint, and of the set of shingles: its size, band keys, first members and bitmap."""
 
-    @F.arrow_udf("struct<n:int,tokens:array<long>>")
-    def prefix(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf(SIGNATURE)
+    def sign(texts: pa.Array) -> pa.Array:
         known, times = common.value
         made = []
         for raw in utf8(texts):
             hashes = shingle_hashes(raw, k)
-            made.append({"n": len(np.unique(hashes)), "tokens": prefix_of(hashes, least, known, times)})
-        return pa.array(made, pa.struct([("n", pa.int32()), ("tokens", pa.list_(pa.int64()))]))
+            own = np.unique(hashes)
+            s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(space_words(raw))), dtype=np.int64)
+            fp = fingerprint_of(hashes)
+            tokens = prefix_of(own, least, known, times).astype(np.int32)
+            made.append({"s1": s1, "s2": s2, "fp": fp - ((fp >> 63) << 64), "n": len(own), "bands": band_keys(own), "tokens": tokens, "bits": parity_bits(own)})
+        return pa.array(made, _SIGNATURE)
 
-    return prefix(text)
+    return sign(text)
 
 
-def _apart(rows: DataFrame, texts: DataFrame, found: DataFrame, k: int, least: float) -> DataFrame:
-    """Pairs (a, b) of texts of several roots, among them all whose similarity is ``least`` or more.
+def _similar(a: Column, b: Column, k: int, least: float) -> Column:
+    @F.arrow_udf("boolean")
+    def similar(left: pa.Array, right: pa.Array) -> pa.Array:
+        own = lru_cache(64)(lambda raw: np.unique(shingle_hashes(raw, k)))  # heads of groups come again and again
+        out = []
+        for x, y in zip(utf8(left), utf8(right), strict=True):
+            x, y = own(x), own(y)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(both >= least * (len(x) + len(y) - both))
+        return pa.array(out, pa.bool_())
 
-    Such texts share one of their first shingles in an order that all texts have in common, and from the first
-    shared one on both have as many as they must share. Of texts with one root none is compared with another.
-    """
-    common = rows.sparkSession.sparkContext.broadcast(_common(rows, texts, k))
-    one = join_checked(rows.select("uid", "text"), texts.select("uid", "same"), ["uid"], "inner", BROADCAST_IDS)
-    prefixes = materialize(one.select("same", _prefix(F.col("text"), k, least, common).alias("p")), "near-prefixes")
-    common.unpersist()
-    named = prefixes.join(found, F.col("same") == F.col("node"), "left").select("same", F.coalesce("root", "same").alias("root"), "p")
-    listed = named.select("same", "root", F.col("p.n").alias("n"), F.posexplode("p.tokens").alias("at", "token"))
-    shared = listed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
-    met = listed.join(materialize(shared.select("token"), "near-shared"), "token").select("token", "same", "root", "n", (F.col("n") - F.col("at")).alias("rest"))
-    met = materialize(met, "near-met")
-    # of two texts of several roots one at least isn't of the largest root
-    sizes = met.groupBy("token", "root").count().groupBy("token")
-    sizes = materialize(sizes.agg(F.sum("count").alias("count"), F.max_by("root", F.struct("count", "root")).alias("main")), "near-sizes")
-    met = met.join(sizes, "token").withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
-    left = met.withColumn("block", F.pmod(F.xxhash64("same"), F.col("blocks")).cast("int"))
-    right = met.where(F.col("root") != F.col("main")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = right.select("token", "block", F.col("same").alias("b"), F.col("root").alias("r"), F.col("n").alias("m"), F.col("rest").alias("left"))
-    once = (F.col("root") == F.col("main")) | (F.col("same") < F.col("b"))
-    enough = F.least("rest", "left") >= (F.col("n") + F.col("m")) * F.lit(least / (1 + least)) - 1e-6
-    pairs = left.join(right, ["token", "block"]).where((F.col("root") != F.col("r")) & once & enough)
-    return pairs.select(F.least("same", "b").alias("a"), F.greatest("same", "b").alias("b"))
-
-
-def _groups(rows: DataFrame, k: int, least: float, tau: int) -> DataFrame:
-    """(node, root) of the word sequences in ``rows`` (uid, text, sig) that have near copies.
-
-    Python runs once in each stage at most: workers of several operations at once would share an executor's memory.
-    """
-    firsts = [F.first(c).alias(c) for c in ("fp", "n", "bands")]
-    texts = materialize(rows.select("uid", "sig.*").groupBy("same").agg(F.min("uid").alias("uid"), *firsts), "near-texts")
-    # of the texts that share a fingerprint the first stands for all
-    prints = materialize(texts.groupBy("fp").agg(F.min("same").alias("first")), "near-prints")
-    linked = links(prints.select("fp"), tau)
-    by_print = linked.join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
-    alike = texts.join(prints, "fp").where(F.col("same") != F.col("first")).select(F.col("first").alias("x"), F.col("same").alias("y"))
-    pairs = by_print.select("x", "y").unionByName(alike).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    met = _bands(texts)
-    # first a few neighbours on each band: members of a large group find each other by these
-    alone = met.withColumn("root", F.col("same"))
-    edges = _verified(rows, texts, pairs.unionByName(_neighbours(alone, 2)), k, least)
-    found = materialize(components(edges), "near-found")
-    # then all that may be similar and is still apart; pairs within a group are linked and need no comparison
-    more = _verified(rows, texts, _apart(rows, texts, found, k, least), k, least)
-    return components(edges.unionByName(more))
-
-
-def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, k: int, least: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have the similarity ``least`` or more."""
-    # sets whose sizes differ too much can't be similar; a few in a thousand are left for numbers that share a hash
-    size = lambda c, n: texts.select(F.col("same").alias(c), F.col("n").alias(n))
-    sized = pairs.distinct().join(size("a", "m"), "a").join(size("b", "n"), "b")
-    pairs = materialize(sized.where(F.least("m", "n") >= F.greatest("m", "n") * F.lit(least * 0.995)).select("a", "b"), "near-pairs")
-    # one row of each word sequence that is part of a pair
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct().join(texts.select("same", "uid"), "same")
-    found = join_checked(rows.select("uid", "text"), materialize(wanted, "near-wanted"), ["uid"], "inner", BROADCAST_IDS)
-    sets = materialize(found.select("same", _shingle_set(F.col("text"), k).alias("set")), "near-sets")
-    both = pairs.join(sets.withColumnsRenamed({"same": "a", "set": "x"}), "a").join(sets.withColumnsRenamed({"same": "b", "set": "y"}), "b")
-    return materialize(both.where(_similar(F.col("x"), F.col("y"), least)).select("a", "b"), "near-edges")
+    return similar(a, b)
+
+
+def _differing(x: str, y: str) -> Column:
+    """Bits in which two bitmaps differ."""
+    return reduce(Column.__add__, [F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))) for k in range(BITMAP // 64)])
+
+
+def _may(least: float, n: Column, m: Column, x: str, y: str) -> Column:
+    """Whether sets of n and m members with the bitmaps x and y can have the similarity ``least``; never false for those that have."""
+    sizes = F.least(n, m) >= F.greatest(n, m) * F.lit(least) - 1e-6
+    return sizes & (_differing(x, y) <= (n + m) * F.lit((1 - least) / (1 + least)) + 1e-6)
+
+
+class _Near:
+    """Texts by the smallest ``uid`` of their word sequence (``node``), and the ways to find similar ones among them."""
+
+    def __init__(self, rows: DataFrame, k: int, least: float, tau: int):
+        self.rows, self.k, self.least, self.tau = rows, k, least, tau
+        known = rows.select("uid", F.col("sig.s1").alias("s1"), F.col("sig.s2").alias("s2"))
+        first = known.groupBy("s1", "s2").agg(F.min("uid").alias("node"), F.max("uid").alias("last")).where(F.col("node") != F.col("last"))
+        repeated = materialize(first.select("s1", "s2", "node"), "near-repeated")
+        #: (uid, node) of the rows whose word sequence stands in an earlier row
+        self.copies = materialize(join_checked(known, repeated, ["s1", "s2"], "inner", BROADCAST_KEYS).where(F.col("uid") != F.col("node")).select("uid", "node"), "near-copies")
+        self.texts = join_checked(rows.select(F.col("uid"), "sig"), self.copies.select("uid"), ["uid"], "left_anti", BROADCAST_IDS).select(F.col("uid").alias("node"), "sig.*")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Those pairs (a, b) whose sets of shingles have the similarity ``least`` or more."""
+        pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+        wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "near-wanted")
+        texts = join_checked(self.rows.select("uid", "text"), wanted, ["uid"], "inner", BROADCAST_IDS)
+        both = pairs.join(texts.withColumnsRenamed({"uid": "b", "text": "y"}), "b").join(texts.withColumnsRenamed({"uid": "a", "text": "x"}), "a")
+        return materialize(both.where(_similar(F.col("x"), F.col("y"), self.k, self.least)).select("a", "b"), "near-edges")
+
+    def by_fingerprint(self) -> DataFrame:
+        """Each text with the first one of those that its fingerprint is linked to by pigeonring search."""
+        prints = materialize(self.texts.groupBy("fp").agg(F.min("node").alias("first")), "near-prints")
+        groups = components(links(prints.select("fp"), self.tau))
+        roots = groups.join(prints.select(F.col("fp").alias("root"), F.col("first").alias("a")), "root").select(F.col("node").alias("fp"), "a")
+        heads = prints.join(roots, "fp", "left").select("fp", F.coalesce("a", "first").alias("a"))
+        return self.texts.select("fp", F.col("node").alias("b")).join(heads, "fp").where(F.col("a") != F.col("b")).select("a", "b")
+
+    def by_band(self) -> tuple[DataFrame, DataFrame]:
+        """(each text with one head, each text with its other heads).
+
+        The head of a band is the text whose own bands are the most crowded: the middle of a group, which is similar
+        to most of it, heads all its bands. So each text needs a comparison or two, however large its group.
+        """
+        listed = self.texts.select("node", F.explode("bands").alias("key"))
+        size = materialize(listed.groupBy("key").count().where(F.col("count") > 1), "band-keys")
+        met = materialize(join_checked(listed, size, ["key"], "inner", BROADCAST_KEYS), "band-met")
+        score = met.groupBy("node").agg(F.sum("count").alias("score"))
+        heads = met.join(score, "node").groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("head"), F.max("score").alias("score"))
+        stars = met.join(heads, "key").where(F.col("node") != F.col("head")).groupBy("node", "head").agg(F.max("score").alias("score"))
+        stars = materialize(stars, "near-stars")
+        best = materialize(stars.groupBy("node").agg(F.max_by("head", F.struct("score", "head")).alias("best")), "near-best")
+        others = stars.join(best, "node").where(F.col("head") != F.col("best"))
+        return best.select(F.col("best").alias("a"), F.col("node").alias("b")), others.select(F.col("head").alias("a"), F.col("node").alias("b"))
+
+    def rooted(self, frame: DataFrame, found: DataFrame, node: str, root: str) -> DataFrame:
+        """Adds the root of each ``node``, which is itself where it has no link."""
+        roots = found.select(F.col("node").alias(node), F.col("root").alias(root))
+        return join_checked(frame, roots, [node], "left", BROADCAST_KEYS).withColumn(root, F.coalesce(root, node))
+
+    def apart(self, pairs: DataFrame, found: DataFrame) -> DataFrame:
+        """The pairs of different roots that may be similar by their sizes and bitmaps."""
+        pairs = self.rooted(self.rooted(pairs, found, "a", "r"), found, "b", "s").where(F.col("r") != F.col("s")).select("a", "b")
+        pairs = materialize(pairs, "near-apart")
+        wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-sized")
+        sized = join_checked(self.texts.select("node", "n", "bits"), wanted, ["node"], "inner", BROADCAST_IDS)
+        both = pairs.join(sized.withColumnsRenamed({"node": "a", "n": "n", "bits": "x"}), "a").join(sized.withColumnsRenamed({"node": "b", "n": "m", "bits": "y"}), "b")
+        return both.where(_may(self.least, F.col("n"), F.col("m"), "x", "y")).select("a", "b")
+
+    def by_prefix(self, found: DataFrame) -> DataFrame:
+        """Pairs of texts of different roots, among them all whose similarity is ``least`` or more.
+
+        Such texts share one of their first shingles in an order that all texts have in common, from the first shared
+        one on both have as many as they must share, and their bitmaps differ in few bits. Of texts with one root none meets another.
+        """
+        rooted = self.rooted(self.texts.select("node", "tokens"), found, "node", "root")
+        listed = rooted.select("root", F.explode("tokens").alias("token"))
+        shared = listed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
+        shared = materialize(shared.select("token"), "near-shared")
+        rooted = self.rooted(self.texts.select("node", "n", "tokens", "bits"), found, "node", "root")
+        places = rooted.select("node", "root", "n", "bits", F.posexplode("tokens").alias("at", "token"))
+        met = join_checked(places, shared, ["token"], "inner", BROADCAST_KEYS)
+        met = materialize(met.select("token", "node", "root", "n", (F.col("n") - F.col("at")).alias("rest"), "bits"), "near-met")
+        # of two texts of different roots one at least isn't of the largest root
+        sizes = met.groupBy("token", "root").count().groupBy("token")
+        sizes = materialize(sizes.agg(F.sum("count").alias("count"), F.max_by("root", F.struct("count", "root")).alias("main")), "near-sizes")
+        met = join_checked(met, sizes, ["token"], "inner", BROADCAST_KEYS).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
+        left = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        right = met.where(F.col("root") != F.col("main")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        right = right.select("token", "block", F.col("node").alias("b"), F.col("root").alias("r"), F.col("n").alias("m"), F.col("rest").alias("left"), F.col("bits").alias("y"))
+        once = (F.col("root") == F.col("main")) | (F.col("node") < F.col("b"))
+        enough = F.least("rest", "left") >= (F.col("n") + F.col("m")) * F.lit(self.least / (1 + self.least)) - 1e-6
+        may = (F.col("root") != F.col("r")) & once & enough & _may(self.least, F.col("n"), F.col("m"), "bits", "y")
+        return left.join(right, ["token", "block"]).where(may).select(F.col("node").alias("a"), "b")
+
+    def groups(self) -> DataFrame:
+        """(node, root) of the texts that have near copies.
+
+        Python runs once in each stage at most: workers of several operations at once would share an executor's memory.
+        """
+        first, others = self.by_band()
+        edges = self.verified(self.by_fingerprint().unionByName(first))
+        found = materialize(components(edges), "near-found")
+        edges = edges.unionByName(self.verified(self.apart(others, found)))
+        found = materialize(components(edges), "near-found")
+        return components(edges.unionByName(self.verified(self.by_prefix(found))))
 
 
 def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` less all but one of each group of near copies; the smallest id stays, null ids last.
 
     Texts are near copies if the sets of their ``k``-word shingles have a Jaccard similarity of ``least`` or
-    more. Large groups are found first, among texts whose fingerprints differ in at most ``tau`` bits or that share a band of
-    minimum hashes; then all texts of different groups that share one of their rarest shingles are candidates, by
-    which no pair is missed. Every candidate pair is compared by its whole shingle sets. Null and empty texts are equal to each other. Rows that
-    tie (a repeated row, or null ids) count as copies too.
+    more. Large groups are found first: each text is compared with the first text whose fingerprint it is linked to within ``tau`` bits,
+    and with the heads of its bands of minimum hashes. Then all texts of different groups that share one of their rarest shingles are
+    candidates, less those whose bitmaps show that they can't be similar; no similar pair is missed. Every candidate pair is compared
+    by its whole shingle sets. Null and empty texts are equal to each other; a text of fewer than ``k`` words is one shingle. Rows that
+    tie (a repeated row, or null ids) count as copies too. Very long texts are compared whole. An empty table gives an empty one.
     """
+    common = docs.sparkSession.sparkContext.broadcast(_common(docs, text_col, k))
     everything = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(everything.alias("row"), F.monotonically_increasing_id().alias("uid"), _signature(F.col(text_col), k).alias("sig"))
+    rows = docs.select(everything.alias("row"), F.monotonically_increasing_id().alias("uid"), _signature(F.col(text_col), k, least, common).alias("sig"))
     rows = materialize(rows, "near-rows")
-    groups = _groups(rows.select("uid", F.col(f"row.`{text_col}`").alias("text"), "sig"), k, least, tau)
+    common.unpersist()
+    near = _Near(rows.select("uid", F.col(f"row.`{text_col}`").alias("text"), "sig"), k, least, tau)
+    groups = materialize(near.groups(), "near-groups")
     id_ = F.col(f"row.`{id_col}`")
-    keys = rows.select(F.struct(id_.isNull().alias("none"), id_.alias("id"), F.col("uid").alias("uid")).alias("order"), F.col("sig.same").alias("same"))
-    named = keys.join(materialize(groups, "near-groups"), F.col("same") == F.col("node"), "left").select("order", F.coalesce("root", "same").alias("root"))
-    best = named.groupBy("root").agg(F.min("order").alias("best"))
-    gone = named.join(materialize(best, "near-best"), "root").where(F.col("order.uid") != F.col("best.uid")).select(F.col("order.uid").alias("uid"))
+    keys = rows.select(F.struct(id_.isNull().alias("none"), id_.alias("id"), F.col("uid").alias("uid")).alias("order"), "uid")
+    keys = join_checked(keys, near.copies, ["uid"], "left", BROADCAST_KEYS).select("order", F.coalesce("node", "uid").alias("node"))
+    named = near.rooted(keys, groups, "node", "root").select("order", "root")
+    best = named.groupBy("root").agg(F.min("order").alias("best"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
+    gone = join_checked(named, materialize(best, "near-best"), ["root"], "inner", BROADCAST_KEYS).where(F.col("order.uid") != F.col("best.uid")).select(F.col("order.uid").alias("uid"))
     return join_checked(rows, materialize(gone, "near-gone"), ["uid"], "left_anti", BROADCAST_IDS).select("row.*")
