@@ -219,6 +219,39 @@ def test_near_copies_that_share_no_band(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == sorted(set(groups_of(sets, near).values()))
 
 
+def test_bitmaps_differ_in_no_more_bits_than_the_sets():
+    rng = np.random.default_rng(6)
+    for n in (1, 30, 300, 3000):
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.append(a[: n - n // 7], rng.integers(0, 2**64, n // 3, dtype=np.uint64)))
+        apart = len(np.setxor1d(a, b))
+        x, y = simhash.parity_bits(a, 1024), simhash.parity_bits(b, 1024)
+        assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= apart
+        x, y = simhash.wide_bits(a), simhash.wide_bits(b)
+        size = min(len(x), len(y))
+        assert np.bitwise_count((simhash.folded(x, size) ^ simhash.folded(y, size)).view(np.uint64)).sum() <= apart
+        assert not size or (simhash.folded(x, 16) == simhash.parity_bits(a, 1024)).all()
+
+
+def test_long_near_copies_and_repeated_rows(spark):
+    rng = random.Random(12)
+    passage = [f"p{k}" for k in range(400)]
+    data = [(None, None), (5, ""), (6, None), (7, "one two"), (8, "One two"), (9, "one two")]
+    for g in range(12):
+        base = passage + [f"w{rng.randrange(10**6)}" for _ in range(1200)]
+        copy = base[:1500] + [f"w{rng.randrange(10**6)}" for _ in range((60, 120, 200)[g % 3])]
+        data += [(100 + 2 * g, " ".join(base)), (101 + 2 * g, " ".join(copy)), (100 + 2 * g, " ".join(base))]
+    sets = {(i, k): shingles(t) for k, (i, t) in enumerate(data)}
+    same = lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    order = sorted(sets, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    place = {x: n for n, x in enumerate(order)}
+    groups = groups_of(range(len(order)), [(place[a], place[b]) for a in sets for b in sets if place[a] < place[b] and same(a, b)])
+    wanted = sorted(order[r][0] for r in set(groups.values()))
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == wanted
+    assert simhash.keep_one(df.limit(0)).count() == 0
+
+
 def test_similar_sets_share_a_prefix():
     rng = np.random.default_rng(2)
     for n in (1, 2, 4, 5, 6, 30, 301):

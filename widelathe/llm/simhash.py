@@ -152,20 +152,20 @@ def simhash_components(docs: DataFrame, *, k: int = 3, tau: int = 2, id_col: str
 
 #: Minimum hashes in a band, and bands, of the way by which large groups are found first.
 BAND_ROWS, BANDS = 3, 16
-#: Texts of which the shingles are counted, counts from which a shingle is common, and common shingles that are kept at most.
+#: Texts, or the share of them if that is more, of which the shingles are counted; counts from which a shingle is common, and common shingles that are kept at most.
 #: They set the order of the shingles, which decides the work but not the pairs found.
-SAMPLED, COMMON_FROM, COMMON = 4_000, 3, 500_000
+SAMPLED, SAMPLED_SHARE, COMMON_FROM, COMMON = 4_000, 1 / 20, 3, 500_000
 #: Texts with one shingle that are compared with the others in one block.
 BLOCK = 1024
-#: Bits of a text's parity bitmap, a power of two.
-BITMAP = 1024
+#: Bits of a text's parity bitmap, and at most those of the wide one that a text with more than ``BITMAP // 4`` shingles has too; powers of two.
+BITMAP, WIDE = 1024, 1 << 17
 #: Keys that are broadcast at most.
 BROADCAST_KEYS = 1_000_000
 #: Shingles that are hashed at once.
 _HASHED = 2048
 
-SIGNATURE = "struct<s1:long,s2:long,fp:long,n:int,bands:array<long>,tokens:array<int>,bits:array<long>>"
-_SIGNATURE = pa.struct([("s1", pa.int64()), ("s2", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int32())), ("bits", pa.list_(pa.int64()))])
+SIGNATURE = "struct<s1:long,s2:long,fp:long,n:int,bands:array<long>,tokens:array<int>,bits:array<long>,wide:array<long>>"
+_SIGNATURE = pa.struct([("s1", pa.int64()), ("s2", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int32())), ("bits", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
 
 
 def band_keys(own: np.ndarray) -> np.ndarray:
@@ -184,11 +184,23 @@ def band_keys(own: np.ndarray) -> np.ndarray:
     return np.array(keys, dtype=np.uint64).view(np.int64)
 
 
-def parity_bits(own: np.ndarray) -> np.ndarray:
-    """For each bit whether an odd number of the set's hashes fall on it: two bitmaps differ in no more bits than the sets in members."""
-    at = (own >> np.uint64(64 - BITMAP.bit_length() + 1)).astype(np.int64)
-    odd = (np.bincount(at, minlength=BITMAP) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
+def parity_bits(own: np.ndarray, size: int) -> np.ndarray:
+    """For each of ``size`` bits whether an odd number of the set's hashes fall on it: two bitmaps differ in no more bits than the sets in members."""
+    odd = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def wide_bits(own: np.ndarray) -> np.ndarray:
+    """A bitmap that grows with the set, empty for a small one."""
+    return parity_bits(own, min(WIDE, 1 << (2 * len(own) - 1).bit_length())) if len(own) > BITMAP // 4 else np.zeros(0, dtype=np.int64)
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """The bitmap of the same set with a smaller size."""
+    while len(bits) > size:
+        half = len(bits) // 2
+        bits = bits[:half] ^ bits[half:]
+    return bits
 
 
 def prefix_of(own: np.ndarray, least: float, known: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -211,8 +223,8 @@ def _shingles(text: Column, k: int) -> Column:
 
 
 def _common(docs: DataFrame, text_col: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles in ascending order, their counts) of those that are common in a sample of about ``SAMPLED`` texts."""
-    share = SAMPLED / max(1, docs.count())
+    """(shingles in ascending order, their counts) of those that are common in a sample of the texts."""
+    share = max(SAMPLED / max(1, docs.count()), SAMPLED_SHARE)
     sample = docs.select(text_col) if share >= 1 else docs.select(text_col).sample(share, seed=1)
     counts = sample.select(F.explode(_shingles(F.col(text_col), k)).alias("token")).groupBy("token").count().where(F.col("count") >= COMMON_FROM)
     found = counts.orderBy(F.desc("count"), "token").limit(COMMON).toArrow()
@@ -234,7 +246,7 @@ def _signature(text: Column, k: int, least: float, common) -> Column:  # noqa: A
             s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(space_words(raw))), dtype=np.int64)
             fp = fingerprint_of(hashes)
             tokens = prefix_of(own, least, known, times).astype(np.int32)
-            made.append({"s1": s1, "s2": s2, "fp": fp - ((fp >> 63) << 64), "n": len(own), "bands": band_keys(own), "tokens": tokens, "bits": parity_bits(own)})
+            made.append({"s1": s1, "s2": s2, "fp": fp - ((fp >> 63) << 64), "n": len(own), "bands": band_keys(own), "tokens": tokens, "bits": parity_bits(own, BITMAP), "wide": wide_bits(own)})
         return pa.array(made, _SIGNATURE)
 
     return sign(text)
@@ -265,6 +277,21 @@ def _may(least: float, n: Column, m: Column, x: str, y: str) -> Column:
     return sizes & (_differing(x, y) <= (n + m) * F.lit((1 - least) / (1 + least)) + 1e-6)
 
 
+def _close(n: Column, m: Column, x: Column, y: Column, least: float) -> Column:
+    """As ``_may``, by the wide bitmaps of large sets; true where one has none."""
+
+    @F.arrow_udf("boolean")
+    def close(ns: pa.Array, ms: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
+        out = []
+        for i, j, x, y in zip(ns.to_pylist(), ms.to_pylist(), xs, ys, strict=True):
+            x, y = (v.values.to_numpy() if v.is_valid else () for v in (x, y))
+            size = min(len(x), len(y))
+            out.append(not size or int(np.bitwise_count((folded(x, size) ^ folded(y, size)).view(np.uint64)).sum()) <= (i + j) * (1 - least) / (1 + least) + 1e-6)
+        return pa.array(out, pa.bool_())
+
+    return close(n, m, x, y)
+
+
 class _Near:
     """Texts by the smallest ``uid`` of their word sequence (``node``), and the ways to find similar ones among them."""
 
@@ -322,7 +349,17 @@ class _Near:
         wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-sized")
         sized = join_checked(self.texts.select("node", "n", "bits"), wanted, ["node"], "inner", BROADCAST_IDS)
         both = pairs.join(sized.withColumnsRenamed({"node": "a", "n": "n", "bits": "x"}), "a").join(sized.withColumnsRenamed({"node": "b", "n": "m", "bits": "y"}), "b")
-        return both.where(_may(self.least, F.col("n"), F.col("m"), "x", "y")).select("a", "b")
+        return both.where(_may(self.least, F.col("n"), F.col("m"), "x", "y")).select("a", "b", "n", "m")
+
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Less those of ``pairs`` (a, b, n, m) whose wide bitmaps show that they can't be similar."""
+        pairs = materialize(pairs.distinct(), "near-sized")
+        large = pairs.where(F.least("n", "m") > BITMAP // 4)
+        wanted = materialize(large.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-wanted")
+        wide = join_checked(self.texts.select("node", "wide"), wanted, ["node"], "inner", BROADCAST_IDS)
+        both = large.join(wide.withColumnsRenamed({"node": "b", "wide": "y"}), "b").join(wide.withColumnsRenamed({"node": "a", "wide": "x"}), "a")
+        kept = both.where(_close(F.col("n"), F.col("m"), F.col("x"), F.col("y"), self.least))
+        return kept.select("a", "b").unionByName(pairs.where(F.least("n", "m") <= BITMAP // 4).select("a", "b"))
 
     def by_prefix(self, found: DataFrame) -> DataFrame:
         """Pairs of texts of different roots, among them all whose similarity is ``least`` or more.
@@ -348,7 +385,7 @@ class _Near:
         once = (F.col("root") == F.col("main")) | (F.col("node") < F.col("b"))
         enough = F.least("rest", "left") >= (F.col("n") + F.col("m")) * F.lit(self.least / (1 + self.least)) - 1e-6
         may = (F.col("root") != F.col("r")) & once & enough & _may(self.least, F.col("n"), F.col("m"), "bits", "y")
-        return left.join(right, ["token", "block"]).where(may).select(F.col("node").alias("a"), "b")
+        return left.join(right, ["token", "block"]).where(may).select(F.col("node").alias("a"), "b", "n", "m")
 
     def groups(self) -> DataFrame:
         """(node, root) of the texts that have near copies.
@@ -358,9 +395,9 @@ class _Near:
         first, others = self.by_band()
         edges = self.verified(self.by_fingerprint().unionByName(first))
         found = materialize(components(edges), "near-found")
-        edges = edges.unionByName(self.verified(self.apart(others, found)))
+        edges = edges.unionByName(self.verified(self.close(self.apart(others, found))))
         found = materialize(components(edges), "near-found")
-        return components(edges.unionByName(self.verified(self.by_prefix(found))))
+        return components(edges.unionByName(self.verified(self.close(self.by_prefix(found)))))
 
 
 def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
