@@ -5,16 +5,59 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from widelathe.operators import combine
+from widelathe.operators import combine, reports
 from widelathe.plans import release
 from widelathe.sources import csv, sinks
 from widelathe.streaming import ingest
 
 
 def test_tolerant_csv(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n2,"stray\n3,z\n4,p,q,r\n', encoding="utf-8")
-    got = {r["a"]: r["b"] for r in csv.read_tolerant(spark, str(tmp_path), ["a", "b"]).collect()}
-    assert got["1"] == "x\ny" and "4" not in got
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n\n2\n3,z\n4,p,q,r\n5,"say ""hi"", twice"\n6,\n', encoding="utf-8")
+    rows = csv.read_tolerant(spark, str(tmp_path), ["a", "b"])
+    assert {r["a"]: r["b"] for r in rows.collect()} == {"1": "x\ny", "2": None, "3": "z", "5": 'say "hi", twice', "6": None}
+    assert rows.count() == 5
+
+
+def test_a_stray_quote_harms_no_other_row(spark, tmp_path):
+    lines = [f'{k},"open name,{k}' if k == 5 else f"{k},name {k},{k}" for k in range(1000)]
+    (tmp_path / "a.csv").write_text("k,n,v\n" + "\n".join(lines), "utf-8")
+    (tmp_path / "b.csv").write_text("k,n,v\n" + "\n".join(f"{k},name {k},{k}" for k in range(1000, 3000)) + '\n3000,"last,1', "utf-8")
+    rows = csv.read_tolerant(spark, str(tmp_path), ["k", "n", "v"])
+    got = {int(r["k"]): (r["n"], r["v"]) for r in rows.collect()}
+    assert rows.count() == len(got) == 3001 and got[5] == ("open name", "5") and got[3000] == ("last", "1")
+    assert all(v == (f"name {k}", str(k)) for k, v in got.items() if k not in (5, 3000))
+
+
+def test_flexible_csv_reads_without_quotes_what_does_not_balance(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k;n\n1;"open\n2;b\n', "utf-8")
+    (tmp_path / "b.csv").write_text('k;n\n3;"two\nlines"\n', "utf-8")
+    read = csv.read_flexible(spark, [str(tmp_path)], order="src_ord")
+    assert {r["K"]: r["N"] for r in read.collect()} == {"1": '"open', "2": "b", "3": "two\nlines"}
+    assert [r["K"] for r in read.where("K < 3").orderBy("src_ord").collect()] == ["1", "2"]
+
+
+def test_the_order_of_files_is_data(spark, tmp_path):
+    for name, first in (("b", 100), ("a", 0), ("c", 200)):
+        (tmp_path / f"{name}.csv").write_text("entity_id;endpoint_key;value\n" + "\n".join(f"RM{k:08d};e;{k}" for k in range(first, first + 50)), "utf-8")
+    rows = csv.normalize_long(spark.read.options(header=True, sep=";").csv(str(tmp_path)))
+    assert [r["value_num"] for r in rows.repartition(7).orderBy("src_ord").collect()] == [*range(50), *range(100, 150), *range(200, 250)]
+    with pytest.raises(ValueError, match="order"):
+        csv.normalize_long(spark.createDataFrame([("a", "b", "1")], "entity_id string, endpoint_key string, value string"))
+    plan = rows.groupBy("entity_id").agg(F.min_by("value_num", "src_ord"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_reports_lack_no_column(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("CODICE_SCUOLA,VALORE\nRM1,2\n", "utf-8")
+    with pytest.raises(ValueError, match="DESCRITTORE, COLONNA"):
+        csv.read_clean_reports(spark, str(tmp_path), ["CODICE_SCUOLA", "VALORE"])
+
+
+def test_bad_reports_leave_nothing_written(spark, tmp_path):
+    bad = spark.createDataFrame([("RM1", "2.2.a.1", "no parts", "Punteggio medio", "1", 1)], "entity_id string, descriptor string, heading string, column_label string, value string, src_ord int")
+    with pytest.raises(reports.BadRows):
+        sinks.write_clean(bad, f"{tmp_path}/out")
+    assert not (tmp_path / "out").exists()
 
 
 def test_flexible_csv_looks_at_whole_files(spark, tmp_path):

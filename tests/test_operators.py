@@ -106,3 +106,13 @@ def test_row_index_has_no_gaps(spark):
     df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id").repartition(7)
     got = dedup.row_index(df, [F.col("k"), F.col("id")]).orderBy("row_index").collect()
     assert [r["row_index"] for r in got] == list(range(1000)) and [(r["k"], r["id"]) for r in got] == sorted((r["k"], r["id"]) for r in got)
+
+
+def test_row_index_of_wide_rows(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.1/orders.parquet").repartition(8)
+    got = dedup.row_index(orders, [F.col("o_orderdate")]).select("row_index", "o_orderdate", "o_comment" if "o_comment" in orders.columns else "o_orderstatus")
+    n = orders.count()
+    top = got.agg(F.count_distinct("row_index"), F.min("row_index"), F.max("row_index")).first()
+    assert tuple(top) == (n, 0, n - 1)
+    sorted_ = got.orderBy("row_index").select("o_orderdate").toArrow()["o_orderdate"].to_pylist()
+    assert sorted_ == sorted(sorted_)

@@ -135,6 +135,7 @@ SHORT_PATTERNS = (
     (r"(?i)classi[_ ]+quarte", "iv"),
     (r"(?i)classi[_ ]+quinte", "v"),
 )
+OWN_MODALITY = ("1.1.a.2_std_dis", "1.1.a.3_std_dsa")
 SHORT_WORDS = (("matematica", "mat"), ("italiano", "ita"), ("inglese", "ing"), ("reading", "r"), ("listening", "l"), ("percentuale di studenti", "%"))
 
 
@@ -156,6 +157,11 @@ def readable_report_label(descriptor: Column, column: Column, short: bool = Fals
     return readable_label(tail, short)
 
 
+def report_modality(descriptor: Column, modality: Column) -> Column:
+    """The modality of a report row; empty for the descriptors that state theirs in their name."""
+    return F.when(descriptor.isin(*OWN_MODALITY), F.lit("")).otherwise(modality)
+
+
 def heading_or_default(heading: Column, table_index: Column) -> Column:
     """``valore`` where a row stands outside any table."""
     return F.when(table_index == -1, F.lit("valore")).otherwise(heading)

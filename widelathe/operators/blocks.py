@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import year_index
 from ..functions.text import slug, slug_or
 from .dedup import first_by
+from .reports import pivot_first
 
 # Midpoints of grade bins, and which bins are low and top.
 EXAM_BINS = {"60": 60.0, "61_70": 65.5, "71_80": 75.5, "81_90": 85.5, "91_99": 95.0, "100": 100.0, "100_e_lode": 101.0}
@@ -181,9 +182,5 @@ def share_pivot(obs: DataFrame, endpoint: str, key: str = "entity_id", name: str
     """
     rows = obs.where((F.col("endpoint_key") == endpoint) & F.col("value_num").isNotNull())
     rows = rows.withColumn("_cat", slug_or(F.col("category"), "cat_empty", limit))
-    most = int(obs.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    found = sorted(r[0] for r in rows.select("_cat").distinct().limit(most + 1).collect())
-    if len(found) > most:
-        raise ValueError(f"more than {most} categories")
-    firsts = [first_by(F.col("value_num"), F.col("src_ord"), F.col("_cat") == c).alias(name.format(c)) for c in found]
-    return rows.groupBy(key).agg(*firsts) if firsts else rows.select(key).distinct()
+    pivoted = pivot_first(rows, [key], "_cat", "value_num", "src_ord")
+    return pivoted.withColumnsRenamed({c: name.format(c) for c in pivoted.columns if c != key})

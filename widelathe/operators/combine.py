@@ -56,15 +56,20 @@ def valid_cache(landed: DataFrame) -> DataFrame:
     return landed.where((F.col("raw_len") > 0) & (~F.col("is_json") | F.try_parse_json("body").isNotNull()))
 
 
-def signature(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """One row with ``signature``: equal for tables with the same rows in any order.
+def signatures(rows: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """(by, signature) for each group of rows: equal for groups with the same rows in any order.
 
     Rows are hashed one by one; of the hashes only sums are kept, so nothing is sorted or gathered.
     """
     digest = F.sha2(F.to_json(F.struct(*columns)).cast("binary"), 256)
     part = lambda k: F.conv(F.substring(digest, 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)")
     sums = [F.coalesce(F.sum(part(k)), F.lit(0)).cast("string") for k in range(4)]
-    return rows.agg(F.sha2(F.concat_ws("-", F.count(F.lit(1)).cast("string"), *sums).cast("binary"), 256).alias("signature"))
+    return rows.groupBy(*by).agg(F.sha2(F.concat_ws("-", F.count(F.lit(1)).cast("string"), *sums).cast("binary"), 256).alias("signature"))
+
+
+def signature(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """One row with the ``signature`` of a whole table."""
+    return signatures(rows, columns, [])
 
 
 def progress(fetch_log: DataFrame, finished: str, total: int, seconds: int) -> DataFrame:

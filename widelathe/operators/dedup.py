@@ -8,14 +8,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import materialize
+
 #: Texts that count as empty, in lower case.
 EMPTY_WORDS = ("", "nan", "none", "na")
 
 
 def source_order(df: DataFrame, name: str = "src_ord") -> DataFrame:
-    """Adds the place of each row in the files it was read from: file, block, row."""
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    return df.withColumn(name, at)
+    """Adds the place of each row in the files it was read from, as one number: file, block, row.
+
+    Files count in the order of their paths. A number of fixed width lets aggregates over it hash instead of sort.
+    """
+    file = F.col("_metadata.file_path")
+    paths = df.select(file.alias("_path")).distinct()
+    rank = paths.withColumn("_rank", F.row_number().over(Window.orderBy("_path")))  # a row for each file
+    big = lambda c: c.cast("decimal(38,0)")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    within = F.expr("cast(cast(_metadata.file_block_start AS decimal(15,0)) * 100000000000BD AS decimal(38,0))") + big(row)
+    placed = df.withColumns({"_path": file, "_within": within}).join(F.broadcast(rank), "_path", "left")
+    return placed.withColumn(name, F.expr("cast(cast(_rank AS decimal(12,0)) * 100000000000000000000000000BD + _within AS decimal(38,0))")).drop("_path", "_rank", "_within")
 
 
 def is_empty(c: Column) -> Column:
@@ -29,7 +40,10 @@ def first_by(value: Column, order: Column, where: Column | None = None) -> Colum
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in order; an aggregate without a sort. Null is a key like any other."""
+    """The first row of each key in order, by one aggregate; of rows that tie in order any one. Null is a key like any other.
+
+    Tasks keep one row for each key before the shuffle. Rows with text are sorted by key for that, rows of numbers alone are not.
+    """
     rest = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*order)).alias("_row"))
     return best.select(*[F.col(f"`{c}`") if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
@@ -58,13 +72,13 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def row_index(df: DataFrame, order: list[Column], name: str = "row_index") -> DataFrame:
-    """Numbers all rows from 0 in order.
+    """Numbers all rows from 0 in order; rows that tie are numbered in any order, without gaps.
 
-    Rows are dealt into ranges and numbered inside each; only the ranges' counts meet in one place.
+    Rows are dealt into ranges, which are written once, so that the numbers and the ranges' counts
+    come from the same rows; only the counts meet in one place.
     """
-    # a stated number of ranges: both uses below then see the same ones
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = materialize(ranged.withColumn("_part", F.shiftright("_at", 33)), "row-index")
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

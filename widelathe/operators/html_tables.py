@@ -6,6 +6,7 @@ columns count is then said in DataFrame terms.
 
 from __future__ import annotations
 
+from functools import reduce
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -224,10 +225,10 @@ def dispatch(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "descriptor"),
     return a.unionByName(b).unionByName(c).unionByName(broken).unionByName(other)
 
 
-def key_figures(docs: DataFrame, figure_class: str, last_class: str, html: str = "html", status: Column | None = None) -> DataFrame:
+def key_figures(docs: DataFrame, figure_class: str, last_class: str, html: str = "html", status: Column | None = None, named: list[Column] | None = None) -> DataFrame:
     """Adds ``figure`` (whole number), ``figure_last`` (Italian number) and ``error`` from the elements of two classes.
 
-    Errors: ``http_status_N`` for a status other than 200, else ``selectors_not_found_or_no_digits`` if neither figure is there.
+    Errors: ``missing_nome_or_codice`` if one of ``named`` is blank, else ``http_status_N`` for a status other than 200, else ``selectors_not_found_or_no_digits`` if neither figure is there.
     """
     def inner(name: str) -> Column:
         found = F.regexp_extract(html, rf"""(?s)class\s*=\s*["'][^"']*(?<![\w-]){name}(?![\w-])[^"']*["'][^>]*>([^<]*)""", 1)
@@ -235,5 +236,7 @@ def key_figures(docs: DataFrame, figure_class: str, last_class: str, html: str =
 
     figure, last = parse_int(inner(figure_class)), parse_number(inner(last_class), "it_first")
     failed = F.when(status != 200, F.concat(F.lit("http_status_"), status.cast("string"))) if status is not None else F.lit(None)
-    error = F.coalesce(failed, F.when(figure.isNull() & last.isNull(), F.lit("selectors_not_found_or_no_digits")))
+    blank = [F.trim(F.coalesce(c, F.lit(""))) == "" for c in named or []]
+    unnamed = F.when(reduce(Column.__or__, blank), F.lit("missing_nome_or_codice")) if blank else F.lit(None)
+    error = F.coalesce(unnamed, failed, F.when(figure.isNull() & last.isNull(), F.lit("selectors_not_found_or_no_digits")))
     return docs.withColumns({"figure": figure, "figure_last": last, "error": error})

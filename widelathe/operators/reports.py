@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import column_name, strip_prefix, variable_slug
 from ..functions.numbers import parse_number
 from ..functions.text import squeeze, truncate
+from ..shared import materialize
 from .dedup import first_by
 
 # Descriptors that are split or dropped, and the measures that stay.
@@ -85,15 +86,22 @@ def named_values(clean: DataFrame, prefix_a: str = "80_rav_22a1_invalsipunteggio
 
 
 def pivot_first(rows: DataFrame, keys: list[str], name: str, value: str, order: str, names: list[str] | None = None) -> DataFrame:
-    """One row for each key with the first value of every name as a column. ``names`` saves the pass that finds them."""
+    """One row for each key with the first value of every name as a column. ``names`` saves the pass that finds them.
+
+    First one aggregate by key and name, which is written; the names are found in it and it is turned, so that
+    neither the expressions behind a name nor the rows are worked out once for each column.
+    """
+    firsts = rows.groupBy(*keys, F.col(name).alias("_name")).agg(first_by(F.col(value), F.col(order)).alias("_first"))
+    firsts = materialize(firsts, "pivot-first")
     if names is None:
         most = int(rows.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        names = sorted(r[0] for r in rows.where(F.col(name).isNotNull()).select(name).distinct().limit(most + 1).collect())
+        names = sorted(r[0] for r in firsts.where("_name IS NOT NULL").select("_name").distinct().limit(most + 1).collect())
         if len(names) > most:
             raise ValueError(f"more than {most} names")
     if not names:
-        return rows.select(*keys).distinct()
-    return rows.groupBy(*keys).agg(*[first_by(F.col(value), F.col(order), F.col(name) == n).alias(n) for n in names])
+        return firsts.select(*keys).distinct()
+    one = lambda n: F.max(F.when(F.col("_name") == n, F.col("_first"))).alias(n)  # noqa: E731  a key has one row for a name
+    return firsts.groupBy(*keys).agg(*[one(n) for n in names])
 
 
 def report_wide(clean: DataFrame) -> DataFrame:

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from ..functions.text import canonical_code
 from ..operators import charts, html_tables, reports, stats
-from ..operators.columns import pick_column
+from ..operators.blocks import Total
+from ..operators.columns import pick_column, prefix_columns
 from ..operators.combine import union_all
 from ..operators.enrich import municipality_lookup
 from ..sources import csv, sinks
 from ..streaming import ingest as streaming
 from . import release
 from .registry import OBS_SQL, observations, query, table
-from .wide import build_wide
+from .wide import Sides, build_wide
 
 
 def _report_rows(spark, sf_dir):
@@ -123,13 +124,13 @@ def registry_from_json(spark, sf_dir):
 
 @query(r"""
 SELECT page_id, try_cast(nullif(regexp_extract(replace(replace(f, '.', ''), ',', ''), '([0-9]+)', 1), '') AS BIGINT) AS figure, CAST(NULL AS DOUBLE) AS figure_last,
-    CASE WHEN page_id % 10 = 0 THEN 'http_status_404' WHEN regexp_matches(replace(replace(f, '.', ''), ',', ''), '[0-9]') THEN NULL ELSE 'selectors_not_found_or_no_digits' END AS error
+    CASE WHEN page_id % 7 = 0 THEN 'missing_nome_or_codice' WHEN page_id % 10 = 0 THEN 'http_status_404' WHEN regexp_matches(replace(replace(f, '.', ''), ',', ''), '[0-9]') THEN NULL ELSE 'selectors_not_found_or_no_digits' END AS error
 FROM (SELECT page_id, regexp_extract(html, '(?s)class="ad"[^>]*>([^<]*)', 1) || ' ' || CASE WHEN page_id % 3 = 0 THEN CAST(page_id AS VARCHAR) ELSE '' END AS f FROM pages)
 """)
 def html_kpi(spark, sf_dir):
     number = F.when(F.col("page_id") % 3 == 0, F.col("page_id").cast("string")).otherwise(F.lit(""))
     docs = table(spark, sf_dir, "pages").withColumn("html", F.regexp_replace("html", r'(class="ad"[^>]*>[^<]*)', "$1 \u0001")).withColumn("html", F.replace("html", F.lit("\u0001"), number))
-    return html_tables.key_figures(docs, "ad", "ad-last", status=F.when(F.col("page_id") % 10 == 0, 404).otherwise(200)).select("page_id", "figure", "figure_last", "error")
+    return html_tables.key_figures(docs, "ad", "ad-last", status=F.when(F.col("page_id") % 10 == 0, 404).otherwise(200), named=[F.when(F.col("page_id") % 7 == 0, F.lit(" ")).otherwise(F.col("url"))]).select("page_id", "figure", "figure_last", "error")
 
 
 def _table_pages(spark, sf_dir):
@@ -145,7 +146,7 @@ def _table_pages(spark, sf_dir):
 SELECT s_suppkey AS doc_id, 0 AS table_idx, 'Classi seconde' AS heading, 'Classi ' || s_name AS institute, s_acctbal AS score, s_nationkey AS diff FROM supplier WHERE s_suppkey % 4 = 0
 """)
 def html_tables_scores(spark, sf_dir):
-    rows = html_tables.table_rows(_table_pages(spark, sf_dir).where("doc_id % 4 = 0"))
+    rows = html_tables.table_rows(_table_pages(spark, sf_dir).where("descriptor = '2.2.a.1'"))
     return html_tables.class_rows(rows).withColumn("score", F.col("score").cast("double")).withColumn("diff", F.col("diff").cast("int"))
 
 
@@ -153,7 +154,7 @@ def html_tables_scores(spark, sf_dir):
 SELECT s_suppkey AS doc_id, 'Riga Classi quinte' AS heading, unnest(['Riga', 'Classi quinte | a', 'Classi quinte | b & c', 'extra_4']) AS column_label, unnest(['Situazione ' || s_suppkey, NULL, CAST(s_nationkey AS VARCHAR), 'più']) AS value FROM supplier WHERE s_suppkey % 4 = 1
 """)
 def html_tables_grid(spark, sf_dir):
-    rows = html_tables.situation_rows(html_tables.table_rows(_table_pages(spark, sf_dir).where("doc_id % 4 = 1")))
+    rows = html_tables.situation_rows(html_tables.table_rows(_table_pages(spark, sf_dir).where("descriptor = '2.2.b.2'")))
     return rows.select("doc_id", "heading", "column_label", F.when(~F.col("column_label").endswith("| a"), F.col("value")).alias("value"))
 
 
@@ -162,7 +163,7 @@ SELECT s_suppkey AS doc_id, CASE WHEN s_suppkey % 2 = 0 THEN '1' ELSE CASE WHEN
     CASE WHEN s_suppkey % 2 = 1 AND s_suppkey % 5 > 0 THEN '1' ELSE '0' END AS medio, '0' AS medio_alto, '0' AS alto FROM supplier WHERE s_suppkey % 4 = 2
 """)
 def html_tables_ticks(spark, sf_dir):
-    rows = html_tables.tick_rows(html_tables.table_rows(_table_pages(spark, sf_dir).where("doc_id % 4 = 2")))
+    rows = html_tables.tick_rows(html_tables.table_rows(_table_pages(spark, sf_dir).where("descriptor = '2.2.b.1'")))
     return rows.select("doc_id", *html_tables.TICK_COLUMNS)
 
 
@@ -200,13 +201,15 @@ def quoted_merge(spark, sf_dir):
     return sinks.read_blocks(spark, path, _PART, [F.col("p_size"), F.col("p_partkey")])
 
 
-@query("SELECT CASE WHEN sha = 64 THEN true END AS hashed, n AS rows FROM (SELECT 64 AS sha, count(*) AS n FROM part)")
+@query("SELECT c_nationkey, count(*) * (octet_length(encode(max(n_name))) + 1) AS bytes, sha256(repeat(max(n_name) || chr(10), CAST(count(*) AS INTEGER))) AS sha256 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
 def snapshot_files(spark, sf_dir):
+    """A text file for each nation with a line for each customer, and the digests of the files as they lie there."""
     path = sinks.work_dir(spark, "snapshot")
-    sinks.write_parquet(table(spark, sf_dir, "part"), path)
-    files = sinks.snapshot(spark, path).where("name LIKE 'part-%'")
-    hashed = files.agg(F.bool_and((F.length("sha256") == 64) & (F.col("length") > 0)).alias("hashed"))
-    return hashed.join(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")))  # two tables of one row
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    lines = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).select(F.col("n_name").alias("value"), "c_nationkey")
+    lines.repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
+    key = F.regexp_extract("path", "c_nationkey=(\\d+)", 1).cast("int")
+    return sinks.snapshot(spark, path).select(key.alias("c_nationkey"), F.col("length").alias("bytes"), "sha256")
 
 
 @query("SELECT n_nationkey AS CODICE_EP, 'è ' || n_name AS NOME, 'https://h.example/' || n_nationkey AS URL FROM nation")
@@ -230,12 +233,14 @@ def discover_scan(spark, sf_dir):
     return found.join(known, F.element_at(F.split("p", "/"), -1) == F.col("f"), "left_semi").groupBy("area").agg(F.count(F.lit(1)).alias("n"), F.sum("s_suppkey").alias("keys"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 1 THEN 'a' || chr(10) || p_name ELSE p_name END AS p_name, p_size FROM part WHERE p_partkey % 5 <> 2")
+@query("SELECT p_partkey, CASE WHEN p_partkey % 10 = 1 THEN 'a' || chr(10) || p_name WHEN p_partkey % 1000 = 500 THEN 'open ' || p_name ELSE p_name END AS p_name, p_size FROM part WHERE p_partkey % 10 <> 7")
 def tolerant_csv(spark, sf_dir):
-    """Every fifth line has a line break in its quotes, every fifth too many fields, every fifth a stray quote that repair removes."""
-    line = F.expr("""CASE p_partkey % 5 WHEN 1 THEN concat(p_partkey, ',"a\n', p_name, '",', p_size) WHEN 2 THEN concat(p_partkey, ',', p_name, ',', p_size, ',9,9') ELSE concat(p_partkey, ',', p_name, ',', p_size) END""")
+    """Of ten lines one has a line break in its quotes and one too many fields; of a thousand one has a quote that is never closed."""
+    line = F.expr("""CASE WHEN p_partkey % 10 = 1 THEN concat(p_partkey, ',"a\n', p_name, '",', p_size) WHEN p_partkey % 10 = 7 THEN concat(p_partkey, ',', p_name, ',', p_size, ',9,9')
+        WHEN p_partkey % 1000 = 500 THEN concat(p_partkey, ',"open ', p_name, ',', p_size) ELSE concat(p_partkey, ',', p_name, ',', p_size) END""")
     path = sinks.work_dir(spark, "tolerant")
-    rows = table(spark, sf_dir, "part")
+    # the lines after an open quote are those that the repair may join: none of them has quotes of its own here
+    rows = table(spark, sf_dir, "part").withColumn("_quoted", F.col("p_partkey") % 10 == 1).repartition(4, "_quoted").sortWithinPartitions("_quoted", "p_partkey")
     # each file starts with a header, so that the header is written with the first row of each partition
     header = F.when(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0, F.lit("p_partkey,p_name,p_size\n")).otherwise(F.lit(""))
     rows.select(F.concat(header, line).alias("value")).write.text(path)
@@ -252,24 +257,83 @@ def three_column_csv(spark, sf_dir):
     return csv.load_key_figures(rows.select("CODICE_SCUOLA", "a", "b", "ord"), F.col("ord")).select("entity_id", "a", "b")
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS CODICE, c_name AS NOME, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS SEGMENTO FROM customer")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS CODICE, CASE c_custkey % 4 WHEN 1 THEN 'Forlì ' WHEN 3 THEN '\"' ELSE '' END || c_name AS NOME, CASE WHEN c_custkey % 4 IN (0, 3) THEN c_mktsegment END AS SEGMENTO FROM customer")
 def flexible_csv(spark, sf_dir):
-    """One table in three files of other delimiters, encodings and headers."""
+    """One table in four files of other delimiters, encodings and headers, one of them with quotes that don't balance."""
     path = sinks.work_dir(spark, "flexible")
-    rows = table(spark, sf_dir, "customer").selectExpr("c_custkey AS codice", "c_name AS Nome", "c_mktsegment AS segmento")
+    rows = table(spark, sf_dir, "customer").selectExpr("c_custkey AS codice", "if(c_custkey % 4 = 1, concat('Forlì ', c_name), c_name) AS Nome", "c_mktsegment AS segmento")
     for k, (sep, encoding) in enumerate(((";", "UTF-8"), (",", "ISO-8859-1"), ("\t", "UTF-8"))):
-        part = rows.where(F.col("codice") % 3 == k)
+        part = rows.where(F.col("codice") % 4 == k)
         (part if k == 0 else part.drop("segmento")).write.options(header=True, sep=sep, encoding=encoding).csv(f"{path}/{k}")
-    return csv.read_flexible(spark, [path])
+    broken = rows.where("codice % 4 = 3").select(F.concat(F.lit(""), "codice", F.lit(';"'), "Nome", F.lit(";"), "segmento").alias("value")).repartition("value")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    # an odd number of quotes in each file: one more in its header
+    even = F.when(first, F.lit("codice;Nome;segmento\n")).otherwise(F.lit(""))
+    broken.coalesce(1).select(F.concat(even, "value").alias("value")).write.text(f"{path}/3")
+    read = csv.read_flexible(spark, [path])
+    return read.select("CODICE", "NOME", "SEGMENTO")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS \"A;KEY\", o_orderstatus AS \"STATUS\" FROM orders")
+def counted_delimiter(spark, sf_dir):
+    """The header has as many semicolons as commas; the lines tell that the comma divides."""
+    path = sinks.work_dir(spark, "counted")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    head = F.when(first, F.lit("a;key,status\n")).otherwise(F.lit(""))
+    table(spark, sf_dir, "orders").select(F.concat(head, "o_orderkey", F.lit(","), "o_orderstatus").alias("value")).write.text(path)
+    return csv.read_flexible(spark, [path], by_count=True)
+
+
+_CLEAN_COLUMNS = ["CODICE_SCUOLA", "DESCRITTORE", "COLONNA", "VALORE", "ORD"]
+
+
+@query(f"""WITH {_REPORT_SQL} SELECT 'clean' AS place, entity_id, CASE WHEN k < 2 THEN '2.2.a.1' ELSE '2.2.b.2' END AS descriptor, value, p_partkey AS src_ord FROM rep WHERE k IN (0, 1, 5, 6) AND NOT bad_a
+UNION ALL SELECT 'quarantine', entity_id, CASE WHEN k = 0 THEN '2.2.a.1' ELSE '2.2.b.2' END, value, p_partkey FROM rep WHERE bad_a OR bad_b""")
+def clean_output(spark, sf_dir):
+    """Cleaned reports and their quarantine as they were written."""
+    path = sinks.work_dir(spark, "clean")
+    sinks.write_clean(_report_rows(spark, sf_dir), f"{path}/good", "quarantine", f"{path}/bad")
+    read = lambda name, place: spark.read.options(header=True, escape='"').csv(f"{path}/{name}").select(F.lit(place).alias("place"), "entity_id", "descriptor", "value", F.col("src_ord").cast("long"))
+    return read("good", "clean").unionByName(read("bad", "quarantine"))
+
+
+@query(f"""WITH {_REPORT_SQL} SELECT entity_id, CASE WHEN k < 2 THEN '2.2.a.1' ELSE '2.2.b.2' END AS "DESCRITTORE", CASE k WHEN 0 THEN 'Punteggio medio' ELSE 'Diff. ESCS (*)' END AS "COLONNA", value AS "VALORE", CAST(p_partkey AS VARCHAR) AS "ORD"
+FROM rep WHERE k IN (0, 1) AND NOT bad_a""")
+def clean_report_scan(spark, sf_dir):
+    """Cleaned reports read again as text under canonical codes; those with a blank code go."""
+    path = sinks.work_dir(spark, "scan")
+    good, _ = reports.clean_reports(_report_rows(spark, sf_dir).where("descriptor = '2.2.a.1'"), on_bad="quarantine")
+    good = good.selectExpr("concat(' ', lower(entity_id)) AS CODICE_SCUOLA", "descriptor AS DESCRITTORE", "column_label AS COLONNA", "value AS VALORE", "cast(src_ord AS string) AS ORD")
+    sinks.write_csv(good.unionByName(good.withColumn("CODICE_SCUOLA", F.lit(" "))), path)
+    return csv.read_clean_reports(spark, path, _CLEAN_COLUMNS)
+
+
+@query("SELECT 'src' AS source, 'x:E' || n_nationkey AS endpoint_key, 'E' || n_nationkey AS title, 'https://h.example/' || n_name AS url_template FROM nation")
+def catalogue_export(spark, sf_dir):
+    path = sinks.work_dir(spark, "catalogue")
+    sinks.write_catalogue(table(spark, sf_dir, "nation").selectExpr("concat('E', n_nationkey) AS endpoint_key", "concat('https://h.example/', n_name) AS url_template"), path, "src", "x")
+    return spark.read.option("header", True).csv(path)
+
+
+@query("""SELECT 'r1' AS release_id, 8::BIGINT AS workers, 'SUD' AS area, count(*) AS requests, count(*) FILTER (event_id % 6 < 2) AS ok, count(*) FILTER (event_id % 6 = 3) AS rate_limited, count(DISTINCT user_id) AS entities, 'raw' AS raw_dir FROM events""")
+def run_manifest(spark, sf_dir):
+    """The nested manifest of a run, read back out of its JSON."""
+    from .queries_wide import fetch_log
+
+    config = {"run": {"workers": 8, "retries": 3}, "filters": {"area": "SUD"}}
+    made = sinks.run_manifest(spark, fetch_log(spark, sf_dir), source="src", release_id="r1", config=config, outputs={"raw_dir": "raw"})
+    at = lambda p, t="string": F.get_json_object("json", p).cast(t)
+    totals = [at(f"$.totals.{c}", "long").alias(c) for c in ("requests", "ok", "rate_limited", "entities")]
+    return made.select(at("$.release_id").alias("release_id"), at("$.config.run.workers", "long").alias("workers"), at("$.config.filters.area").alias("area"), *totals, at("$.outputs.raw_dir").alias("raw_dir"))
 
 
 @query("""
-SELECT 'AB' || lpad(CAST(k AS VARCHAR), 8, '0') AS entity_id, lpad(CAST(k AS VARCHAR), 5, '0') AS cap, CASE WHEN k % 2 = 0 THEN 'Liceo classico' ELSE 'ZZ' END AS "tipoDiIstruzione", c AS nome, CASE WHEN k < 50 THEN s END AS altro
+SELECT 'AB' || lpad(CAST(k AS VARCHAR), 8, '0') AS entity_id, lpad(CAST(k AS VARCHAR), 5, '0') AS cap, CASE WHEN k % 2 = 0 THEN 'Liceo classico' ELSE 'ZZ' END AS "tipoDiIstruzione", c AS nome, s AS altro
 FROM (SELECT c_custkey AS k, c_name AS c, s_name AS s FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey)
 """)
 def registry_union(spark, sf_dir):
     a = table(spark, sf_dir, "customer").selectExpr("concat('ab', lpad(c_custkey, 8, '0')) AS codice", "cast(c_custkey AS string) AS CAP", "if(c_custkey % 2 = 0, 'pc ', 'zz') AS tipo_di_istruzione", "c_name AS nome", "c_custkey AS o")
-    b = table(spark, sf_dir, "supplier").where("s_suppkey < 50").selectExpr("concat('AB', lpad(s_suppkey, 8, '0'), ' ') AS CODICE_SCUOLA", "'later' AS nome", "s_name AS altro", "s_suppkey AS o")
+    b = table(spark, sf_dir, "supplier").selectExpr("concat('AB', lpad(s_suppkey, 8, '0'), ' ') AS CODICE_SCUOLA", "'later' AS nome", "s_name AS altro", "s_suppkey AS o")
     return csv.load_registry([a, b], "o")
 
 
@@ -318,7 +382,7 @@ def release_layout(spark, sf_dir):
 
     area = F.when(F.col("entity_id").cast("int") % 3 == 0, "CENTRO").when(F.col("entity_id").cast("int") % 3 == 1, "SUD")
     obs = observations(spark, sf_dir).withColumn("area", area)
-    return release.release(obs, lambda rows: build_wide(rows, YEAR_BLOCKS[:1]), sinks.work_dir(spark, "release"), "v1")
+    return release.release(obs, lambda rows, by: build_wide(rows, YEAR_BLOCKS[:1], by=by), sinks.work_dir(spark, "release"), "v1")
 
 
 @query("SELECT 'b' AS run, user_id, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY user_id UNION ALL SELECT 'a', user_id, count(*) FROM events WHERE event_type = 'view' GROUP BY user_id")
@@ -348,3 +412,30 @@ def union_by_code(spark, sf_dir):
     a = table(spark, sf_dir, "customer").selectExpr("concat('rm', lpad(c_nationkey, 8, '0'), ' x') AS raw", "c_name AS a")
     b = table(spark, sf_dir, "supplier").selectExpr("concat(' RM', lpad(s_nationkey, 8, '0')) AS raw", "s_name AS b")
     return union_all([a, b]).groupBy(canonical_code(F.col("raw")).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_RENAMED = "80_rav_22a1_invalsipunteggiomedio_superiori_classiseconde_{}_punteggio_medio_"
+_FIRST = "arg_min(v, p_partkey) FILTER (v IS NOT NULL AND k = {k} AND cls = '{c}' AND sub = '{s}')"
+_VARIED = "80_rav_22b2_variabilitapunteggi_licei_superiori_classiseconde_{}_traleclassi"
+
+
+@query(f"""WITH {_REPORT_SQL}, {OBS_SQL}, g AS (SELECT CAST(p_partkey % 50 AS VARCHAR) AS entity_id, * EXCLUDE (entity_id) FROM rep WHERE k IN (0, 1, 5, 6) AND NOT bad_a),
+r AS (SELECT entity_id, """ + ", ".join(f'{_FIRST.format(k=k, c=c, s=s)} AS "{n}"' for k, c, s, n in [
+    *[(0, "seconde", s, _RENAMED.format(s)) for s in ("italiano", "matematica")],
+    *[(1, "seconde", s, _RENAMED.format(s).replace("punteggio_medio", "diff_escs")) for s in ("italiano", "matematica")],
+    *[(k, "quinte", s, f"80_rav_22a1_invalsipunteggiomedio_superiori_classi_quinte_{s}_{m}_") for s in ("italiano", "matematica") for k, m in ((0, "punteggio_medio"), (1, "diff_escs"))],
+]) + f""", arg_min(v, p_partkey) FILTER (v IS NOT NULL AND k = 5) AS "{_VARIED.format('italiano')}", arg_min(v, p_partkey) FILTER (v IS NOT NULL AND k = 6) AS "{_VARIED.format('inglesereading')}" FROM g GROUP BY entity_id),
+w AS (SELECT entity_id, min(entity_name) AS entity_name, sum(v) FILTER (endpoint_key = 'purchase' AND scope) AS "13_purchase_sum",
+    {", ".join(f"arg_min(v, ord) FILTER (endpoint_key = 'click' AND y = {y}) AS entrate_y{y}_pct" for y in range(1, 6))} FROM obs GROUP BY entity_id)
+SELECT w.*, r.* EXCLUDE (entity_id), list_avg(["{_RENAMED.format('italiano')}", "{_RENAMED.format('matematica')}"]) AS "*media_punteggiomedio_superiori_classiseconde", CAST(NULL AS DOUBLE) AS "*media_punteggiomedio_superiori_classiquinteultimoanno"
+FROM w LEFT JOIN r USING (entity_id)""")
+def wide_reports(spark, sf_dir):
+    """The wide table with a report side, whose column names are shortened and means added, and an open pivot."""
+    good, _ = reports.clean_reports(_report_rows(spark, sf_dir), on_bad="quarantine")
+    side = reports.report_wide(good.withColumn("entity_id", F.regexp_replace("entity_id", "^RM0*(?=.)", "")))
+    return build_wide(observations(spark, sf_dir), [Total("purchase", "13_", name="purchase_sum")], Sides(reports=side, open_pivots=("click",)), slopes="none")
+
+
+@query("SELECT s_suppkey AS entity_id, s_name AS \"05_s_name\", s_acctbal AS \"05_s_acctbal\" FROM supplier")
+def prefixed_columns(spark, sf_dir):
+    return prefix_columns(table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS entity_id", "s_name", "s_acctbal AS `05_s_acctbal`"), "05_")

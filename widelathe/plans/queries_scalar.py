@@ -217,13 +217,27 @@ def snapshot_hash(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(content, 256).alias("digest"), F.octet_length(content).cast("long").alias("bytes"))
 
 
-@query("SELECT true AS same_in_any_order, false AS same_after_change")
+_SIGNATURE_SQL = """
+WITH d AS (SELECT p_size, sha256('{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '"}') AS h FROM part),
+n AS (SELECT p_size, list_transform([0, 1, 2, 3], lambda k: CAST('0x' || substr(h, 1 + 15 * k, 15) AS BIGINT)) AS v FROM d),
+s AS (SELECT p_size, count(*) AS n, [sum(v[1]), sum(v[2]), sum(v[3]), sum(v[4])] AS t FROM n GROUP BY p_size)
+SELECT p_size, sha256(n || '-' || array_to_string(t, '-')) AS signature FROM s
+"""
+
+
+@query(_SIGNATURE_SQL)
 def input_signature(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    columns = part.columns
-    one = combine.signature(part, columns).select(F.col("signature").alias("a"))
-    moved = combine.signature(part.repartition(7, "p_size"), columns).select(F.col("signature").alias("b"))
-    changed = combine.signature(part.withColumn("p_size", F.col("p_size") + (F.col("p_partkey") == 1).cast("int")), columns).select(F.col("signature").alias("c"))
-    # three tables of one row each
-    rows = one.join(moved).join(changed)
-    return rows.select((F.col("a") == F.col("b")).alias("same_in_any_order"), (F.col("a") == F.col("c")).alias("same_after_change"))
+    """The signature of each size's parts, whose rows are dealt anew first."""
+    part = table(spark, sf_dir, "part").repartition(7, "p_name")
+    return combine.signatures(part, ["p_partkey", "p_name"], ["p_size"])
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 2 THEN '' ELSE o_orderstatus END AS modality FROM orders")
+def report_modality(spark, sf_dir):
+    descriptor = F.expr("CASE o_orderkey % 5 WHEN 0 THEN '1.1.a.2_std_dis' WHEN 1 THEN '1.1.a.3_std_dsa' ELSE '1.1.a.2' END")
+    return table(spark, sf_dir, "orders").select("o_orderkey", labels.report_modality(descriptor, F.col("o_orderstatus")).alias("modality"))
+
+
+@query("SELECT doc_id, strip_accents(text) AS folded FROM documents")
+def fold_accents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.strip_accents_exact(F.col("text")).alias("folded"))

@@ -259,14 +259,14 @@ def backlog(spark, sf_dir):
 _LOG_SQL = """log AS (SELECT *, CAST([200, 200, 404, 429, 503, NULL][1 + event_id % 6] AS INTEGER) AS status, event_id % 6 < 2 AS ok, event_id % 6 = 1 AS from_cache FROM events)"""
 
 
-def _fetch_log(spark, sf_dir):
+def fetch_log(spark, sf_dir):
     log = table(spark, sf_dir, "events").selectExpr("*", "try_element_at(array(200, 200, 404, 429, 503), cast(1 + event_id % 6 AS int)) AS status", "event_id % 6 < 2 AS ok", "event_id % 6 = 1 AS from_cache", "cast(user_id AS string) AS entity_id")
     return log
 
 
 @query(f"WITH {_LOG_SQL} SELECT user_id, event_type FROM log GROUP BY ALL HAVING arg_max(event_id % 6, event_id) IN (3, 4, 5)")
 def frontier(spark, sf_dir):
-    return combine.retry_list(_fetch_log(spark, sf_dir), ["user_id", "event_type"], F.col("event_id"))
+    return combine.retry_list(fetch_log(spark, sf_dir), ["user_id", "event_type"], F.col("event_id"))
 
 
 @query("SELECT event_id FROM events WHERE event_id % 4 IN (1, 2)")
@@ -278,12 +278,12 @@ def valid_cache(spark, sf_dir):
 @query(f"""WITH {_LOG_SQL} SELECT count(*) AS requests, count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok AND status IS NOT NULL) AS http_error, count(*) FILTER (NOT ok AND status IS NULL) AS exception,
     count(*) FILTER (status = 429) AS rate_limited, count(*) FILTER (from_cache) AS from_cache, count(DISTINCT user_id) AS entities FROM log""")
 def run_stats(spark, sf_dir):
-    return stats.run_stats(_fetch_log(spark, sf_dir))
+    return stats.run_stats(fetch_log(spark, sf_dir))
 
 
 @query("SELECT CASE event_id % 6 WHEN 0 THEN 'main' WHEN 1 THEN 'main' WHEN 2 THEN 'fallback' ELSE 'fail' END AS outcome, count(*) AS n FROM events GROUP BY 1")
 def outcome_stats(spark, sf_dir):
-    return stats.outcome_stats(_fetch_log(spark, sf_dir), F.when(F.col("ok"), "main").when(F.col("status") == 404, "fallback").otherwise("fail"))
+    return stats.outcome_stats(fetch_log(spark, sf_dir), F.when(F.col("ok"), "main").when(F.col("status") == 404, "fallback").otherwise("fail"))
 
 
 @query("SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 1")
@@ -299,9 +299,9 @@ def progress_rate(spark, sf_dir):
     return combine.progress(table(spark, sf_dir, "events"), "ts", 20000, 86400)
 
 
-@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_index FROM orders")
+@query("SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_index FROM orders")
 def row_index(spark, sf_dir):
-    return dedup.row_index(table(spark, sf_dir, "orders"), [F.col("o_orderdate"), F.col("o_orderkey")]).select("o_orderkey", "row_index")
+    return dedup.row_index(table(spark, sf_dir, "orders"), [F.col("o_orderdate"), F.col("o_orderkey")])
 
 
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 25")

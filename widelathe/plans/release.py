@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import manifest, write_csv, write_parquet
+from ..sources.sinks import manifest, sanitize_columns, write_csv, write_parquet
 
 
 def write_package(wide: DataFrame, path: str, *, unmatched: DataFrame | None = None, **facts) -> DataFrame:
@@ -28,22 +28,27 @@ def write_package(wide: DataFrame, path: str, *, unmatched: DataFrame | None = N
     return out
 
 
-def release(obs: DataFrame, build: Callable[[DataFrame], DataFrame], root: str, version: str, area: str | None = "area") -> DataFrame:
-    """Writes ``root/version/ALL`` and ``root/version/areas/X`` for each area, and returns (package, rows, entities).
+def release(obs: DataFrame, build: Callable[[DataFrame, tuple[str, ...]], DataFrame], root: str, version: str, area: str | None = "area") -> DataFrame:
+    """Writes ``root/version/ALL`` and ``root/version/areas`` and returns (package, rows, entities).
 
-    Each package is built from its own rows, since what is in scope depends on them. Areas are a short list.
+    ``build(rows, by)`` makes the wide table with a row for each entity and value of ``by``, within which scopes are decided.
+    All areas are built in one job, however many there are; their tables have a folder ``area=X`` for each.
+    Rows without an area are in ALL only.
     """
     spark: SparkSession = obs.sparkSession
-    packages = [("ALL", obs)]
+    counted = [F.count(F.lit(1)).alias("rows"), F.count_distinct("entity_id").alias("entities")]
+    path = f"{root}/{version}"
+    write_package(build(obs, ()), f"{path}/ALL", package="ALL", version=version)
+    out = spark.read.parquet(f"{path}/ALL/wide.parquet").agg(F.lit("ALL").alias("package"), *counted)
     if area:
-        names = [r[0] for r in obs.where(F.col(area).isNotNull()).select(area).distinct().orderBy(area).limit(1000).collect()]
-        packages += [(f"areas/{n}", obs.where(F.col(area) == n)) for n in names]
-    counts = []
-    for name, rows in packages:
-        path = f"{root}/{version}/{name}"
-        write_package(build(rows), path, package=name, version=version)
-        counts.append(spark.read.parquet(f"{path}/wide.parquet").agg(F.lit(name).alias("package"), F.count(F.lit(1)).alias("rows"), F.count_distinct("entity_id").alias("entities")))
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+        wide = build(obs.where(F.col(area).isNotNull()), (area,)).withColumn("_area", F.col(area)).hint("rebalance", "_area")
+        wide = wide.withColumnRenamed("_area", "package_area")
+        wide.write.mode("overwrite").option("compression", "zstd").partitionBy("package_area").parquet(f"{path}/areas/wide.parquet")
+        written = spark.read.parquet(f"{path}/areas/wide.parquet")
+        sanitize_columns(written).write.mode("overwrite").options(header=True, escape='"', emptyValue="").partitionBy("package_area").csv(f"{path}/areas/wide.csv")
+        counts = written.groupBy(F.concat(F.lit("areas/"), area).alias("package"), F.col("package_area")).agg(*counted)
+        facts = counts.withColumns({"columns": F.lit(len(written.columns) - 1), "version": F.lit(version)})
+        one = F.to_json(F.struct("package", "version", "rows", "columns", "entities")).alias("json")
+        facts.select(one, "package_area").write.mode("overwrite").partitionBy("package_area").text(f"{path}/areas/manifest")
+        out = out.unionByName(counts.drop("package_area"))
     return out

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,14 +13,23 @@ from ..functions.numbers import split_value
 from ..functions.text import canonical_code, postal_code, strip_text
 from ..operators.columns import pick_column, require_columns
 from ..operators.combine import union_all
-from ..operators.dedup import first_nonempty, keep_first
+from ..operators.dedup import first_nonempty, keep_first, source_order
+from ..shared import small_enough
 
 #: What is no UTF-8 is read as Latin-1, and the codes that Windows gives other characters are replaced after.
 ENCODINGS = ("UTF-8", "ISO-8859-1")
 _WINDOWS = {chr(b): c for b in range(0x80, 0xA0) if (c := bytes([b]).decode("cp1252", "ignore"))}
 DELIMITERS = ("\t", ";", ",")
-#: The sample in which delimiters are counted ``by_count``; encoding and header are taken from the whole file.
-HEAD_BYTES = 4096
+#: Lines and bytes of the sample in which delimiters are counted ``by_count``; encoding, quoting and header are taken from the whole file.
+SAMPLE_LINES, SAMPLE_BYTES = 1000, 4096
+#: Lines that an open quote may join at most.
+MAX_GLUED = 10
+#: Lists of files are broadcast up to this many.
+BROADCAST_FILES = 100_000
+#: Characters that no text has: a line break inside a record, and a text that is never met.
+_BREAK, _NEVER = "\ufdd0", "\ufdd1"
+# Columns that every cleaned report has.
+REPORT_COLUMNS = ["CODICE_SCUOLA", "DESCRITTORE", "VALORE", "COLONNA"]
 # Header names by which each column of an input is known, in order of preference.
 CODE_NAMES = ["CODICE_SCUOLA", "codice_scuola", "CODICE_MECCANOGRAFICO", "codice_meccanografico", "CODICE", "codice"]
 OBSERVATION_NAMES = {
@@ -48,25 +57,85 @@ def area_of(path: Column, areas: tuple[str, ...] = AREAS) -> Column:
     return F.get(F.filter(named, lambda a: a.isNotNull()), F.lit(0))
 
 
-def text_schema(columns: list[str], corrupt: str | None = None) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *([corrupt] if corrupt else [])]])
+def text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(value, path, block, row, quotes) of the lines of files; ``block`` and ``row`` order the lines of a file. Large files are split."""
+    lines = spark.read.option("recursiveFileLookup", True).text(paths)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), quotes.alias("quotes"))
+
+
+def _joined(lines: list[str]) -> list[tuple[str, bool]]:
+    """A record of several lines; if its quotes still don't balance, each of its lines without quotes."""
+    whole = "\n".join(lines)
+    return [(whole, True)] if whole.count('"') % 2 == 0 else [(line.replace('"', ""), False) for line in lines]
 
 
-def read_tolerant(spark: SparkSession, paths: str | list[str], columns: list[str], sep: str = ",", encoding: str = "UTF-8", repair: bool = True) -> DataFrame:
-    """All columns as text; fields may hold line breaks. Records that don't fit the header are dropped,
-    or, with ``repair``, parsed again without their quotes and kept if they fit then.
+def records(spark: SparkSession, paths: str | list[str], glued: int = MAX_GLUED) -> DataFrame:
+    """(value) of every record after the first one of each file.
+
+    A line with an open quote goes on in the next lines, at most ``glued`` lines in all; if the quotes don't balance by
+    then, they are taken off these lines and each is a record. Only files with such lines are read
+    in order, one task for a file line by line; all others stay split.
+    """
+    lines = text_lines(spark, paths)
+    odd = lines.where("quotes % 2 = 1").select("path").distinct()
+    odd = F.broadcast(odd) if small_enough(odd, BROADCAST_FILES) else odd
+    first = lines.where("block = 0").groupBy("path").agg(F.min("row").alias("first"))
+    first = F.broadcast(first) if small_enough(first, BROADCAST_FILES) else first
+    plain = lines.join(odd, "path", "left_anti").join(first, "path", "left").where(~F.col("row").eqNullSafe(F.col("first"))).select("value")
+    ordered = lines.join(odd, "path", "left_semi").repartition("path").sortWithinPartitions("path", "block", "row").select("value", "path")
+
+    def glue(batches):
+        at, head, held = None, False, []
+
+        def done(found: list[tuple[str, bool]]) -> list[str]:
+            nonlocal head
+            skip, head = int(head), False
+            return [r for r, _ in found[skip:]]
+
+        for batch in batches:
+            out: list[str] = []
+            for value, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if path != at:
+                    out += done(_joined(held)) if held else []
+                    at, head, held = path, True, []
+                held.append(value)
+                if sum(v.count('"') for v in held) % 2 == 0 or len(held) >= glued:
+                    out += done(_joined(held))
+                    held = []
+            yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
+        if held:
+            yield pa.RecordBatch.from_pydict({"value": pa.array(done(_joined(held)), pa.string())})
+
+    return plain.unionByName(ordered.mapInArrow(glue, "value string"))
+
+
+def read_tolerant(spark: SparkSession, paths: str | list[str], columns: list[str], sep: str = ",") -> DataFrame:
+    """All columns as text; fields may hold line breaks. Each file starts with a header.
+
+    Quotes that stay open are repaired as in ``records``. Records with more fields than ``columns`` are dropped;
+    fields that lack at a record's end, and empty ones, are null. Blank lines are no records. An empty file has no rows.
     """
-    kept = text_schema(columns, "_corrupt")
-    options = {"header": True, "sep": sep, "encoding": encoding, "multiLine": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "escape": '"'}
-    rows = spark.read.schema(kept).options(**options).csv(paths)
-    good = rows.where("_corrupt IS NULL").drop("_corrupt")
-    if not repair:
-        return good
-    # the reader must be asked for some column besides the corrupt record
-    broken = F.concat("_corrupt", F.substring(F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")), 1, 0))
-    fields = F.from_csv(F.regexp_replace(broken, '["\r\n]', ""), ", ".join(f"`{c}` string" for c in kept.names), {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    mended = rows.where("_corrupt IS NOT NULL").select(fields.alias("f")).select("f.*").where("_corrupt IS NULL").drop("_corrupt")
-    return good.unionByName(mended)
+    rows = records(spark, paths).where(F.trim("value") != "")
+    schema = ", ".join(f"`{c}` string" for c in [*columns, "_more"])
+    options = {"sep": sep, "mode": "PERMISSIVE", "escape": '"', "nullValue": _NEVER, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    # a line break inside a record travels under another character
+    fields = F.from_csv(F.replace("value", F.lit("\n"), F.lit(_BREAK)), schema, options)
+    whole = rows.select(fields.alias("f")).select("f.*").where("_more IS NULL")
+    return whole.select(*[F.nullif(F.replace(f"`{c}`", F.lit(_BREAK), F.lit("\n")), F.lit("")).alias(c) for c in columns])
+
+
+def read_clean_reports(spark: SparkSession, paths: str | list[str], columns: list[str]) -> DataFrame:
+    """Cleaned report rows, all columns as text, under their canonical code (``entity_id``); rows without a code go.
+
+    ``columns`` are those of the files' header. A ``ValueError`` names columns that every report needs and that lack.
+    """
+    rows = require_columns(read_tolerant(spark, paths, columns), REPORT_COLUMNS)
+    return rows.select(canonical_code(F.coalesce(REPORT_COLUMNS[0], F.lit(""))).alias("entity_id"), *[F.coalesce(f"`{c}`", F.lit("")).alias(c) for c in columns if c != REPORT_COLUMNS[0]]).where("entity_id != ''")
 
 
 def detect_delimiter(head: str, by_count: bool = False) -> str:
@@ -75,40 +144,53 @@ def detect_delimiter(head: str, by_count: bool = False) -> str:
     return max(DELIMITERS if not by_count else (",", ";", "\t"), key=sample.count) if any(map(sample.count, DELIMITERS)) else ","
 
 
-def _dialect(valid: Column, line: Column, head: Column, by_count: bool) -> Column:
-    """(delimiter, encoding, header) by whether the file is UTF-8, its first line and its first bytes."""
+def _dialect(valid: Column, line: Column, sample: Column, by_count: bool) -> Column:
+    """(delimiter, header) by whether the file is UTF-8, its first line and a sample of lines."""
 
-    @F.udf("struct<sep:string,encoding:string,header:array<string>>")
-    def dialect(valid, line, head):  # noqa: ANN001, ANN202
+    @F.udf("struct<sep:string,header:array<string>>")
+    def dialect(valid, line, sample):  # noqa: ANN001, ANN202
         first = bytes(line).decode("utf-8-sig" if valid else "cp1252", "replace")
-        # a character may be cut by the sample's end; delimiters are ASCII in either encoding
-        sep = detect_delimiter(bytes(head).decode("latin-1") if by_count else first, by_count)
-        header = [h.strip().strip('"').strip().lstrip("\ufeff").upper() for h in first.strip("\r").split(sep)]
-        return sep, ENCODINGS[0 if valid else 1], header
+        # delimiters are ASCII in either encoding
+        sep = detect_delimiter(b"\n".join(map(bytes, sample))[:SAMPLE_BYTES].decode("latin-1") if by_count else first, by_count)
+        return sep, [h.strip().strip('"').strip().lstrip("\ufeff").upper() for h in first.strip("\r").split(sep)]
+
+    return dialect(valid, line, sample)
+
 
-    return dialect(valid, line, head)
+def dialects(spark: SparkSession, paths: list[str], by_count: bool = False) -> dict[tuple[str, str, str, tuple[str, ...]], list[str]]:
+    """(delimiter, encoding, quoting, header) -> files.
 
+    Encoding and quoting are judged by all lines of a file, in tasks that share large files. Quoting is ``plain`` where no line
+    leaves a quote open, ``lines`` where some do, and ``off`` where the quotes of the whole file don't balance. The driver gets
+    each dialect once, with its paths.
+    """
+    lines = text_lines(spark, paths)
+    whole = lines.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.bool_or(F.col("quotes") % 2 == 1).alias("open"), (F.sum("quotes") % 2 == 1).alias("odd"))
+    tops = lines.where("block = 0").groupBy("path").agg(F.min("row").alias("first"))
+    top = lines.join(tops, "path").where(F.col("row") < F.col("first") + F.lit(SAMPLE_LINES if by_count else 1))
+    heads = top.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("row", F.col("value").cast("binary").alias("v")))), lambda x: x["v"]).alias("sample"))
+    quoting = F.when(~F.col("open"), F.lit("plain")).when(F.col("odd"), F.lit("off")).otherwise(F.lit("lines"))
+    own = whole.join(heads, "path").select("path", "valid", quoting.alias("quoting"), _dialect(F.col("valid"), F.col("sample")[0], F.col("sample"), by_count).alias("d"))
+    found = own.groupBy("d", "valid", "quoting").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return {(r["d"]["sep"], ENCODINGS[0 if r["valid"] else 1], r["quoting"], tuple(r["d"]["header"])): r["paths"] for r in found.toLocalIterator()}
 
-def dialects(spark: SparkSession, paths: list[str], by_count: bool = False) -> dict[tuple[str, str, tuple[str, ...]], list[str]]:
-    """(delimiter, encoding, header) -> files. Tasks look at whole files; the driver gets each dialect once, with its paths."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    whole = F.col("content").cast("string")
-    own = files.select("path", _dialect(F.is_valid_utf8(whole), F.substring_index(whole, "\n", 1).cast("binary"), F.substring("content", 1, HEAD_BYTES), by_count).alias("d"))
-    found = own.groupBy("d").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return {(r["d"]["sep"], r["d"]["encoding"], tuple(r["d"]["header"])): r["paths"] for r in found.toLocalIterator()}
 
+def read_flexible(spark: SparkSession, paths: list[str], by_count: bool = False, order: str | None = None) -> DataFrame:
+    """CSV files of any of the known delimiters and encodings, united by their upper-case header names.
 
-def read_flexible(spark: SparkSession, paths: list[str], by_count: bool = False, pattern: str | None = None) -> DataFrame:
-    """CSV files of any of the known delimiters and encodings, united by their upper-case header names."""
+    Files whose quotes don't balance are read without quoting. ``order`` names a column for the place of each row in the files.
+    """
     frames = []
-    for (sep, encoding, header), files in sorted(dialects(spark, paths, by_count).items()):
+    for (sep, encoding, quoting, header), files in sorted(dialects(spark, paths, by_count).items()):
         names, seen = [], set()
         for k, h in enumerate(header):
             names.append(h if h and h not in seen else f"_{k}")
             seen.add(h)
-        rows = spark.read.schema(text_schema(names)).options(header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', enforceSchema=True).csv(files)
+        quotes = {"quote": "", "escape": "\\"} if quoting == "off" else {"escape": '"'}
+        rows = spark.read.schema(text_schema(names)).options(header=True, sep=sep, encoding=encoding, multiLine=quoting == "lines", enforceSchema=True, **quotes).csv(files)
+        rows = source_order(rows, order) if order else rows
         if encoding != ENCODINGS[0]:
-            rows = rows.select(*[F.translate(f"`{c}`", "".join(_WINDOWS), "".join(_WINDOWS.values())).alias(c) for c in names])
+            rows = rows.withColumns({c: F.translate(f"`{c}`", "".join(_WINDOWS), "".join(_WINDOWS.values())) for c in names})
         frames.append(rows)
     if not frames:
         raise ValueError(f"no files below {paths}")
@@ -118,13 +200,19 @@ def read_flexible(spark: SparkSession, paths: list[str], by_count: bool = False,
 def normalize_long(df: DataFrame, order: Column | None = None) -> DataFrame:
     """The long table: entity_id, entity_name, endpoint_key, category, level, value_num, value_text and src_ord.
 
-    Columns are found under any of their known names; rows without a code go.
+    Columns are found under any of their known names; rows without a code go. The order is ``order``, else a column ``src_ord``
+    that ``df`` has, else the place in the files that ``df`` is read from; without any of them a ``ValueError`` asks for one.
     """
+    if order is None and "src_ord" not in df.columns:
+        try:
+            df = source_order(df)
+        except AnalysisException as e:
+            raise ValueError("no files are read here: name the order of the rows") from e
     found = {k: pick_column(df, names, required=k in ("entity_id", "endpoint_key", "value")) for k, names in OBSERVATION_NAMES.items()}
     text = lambda k: strip_text(F.coalesce(F.col(f"`{found[k]}`").cast("string"), F.lit(""))) if found[k] else F.lit("")
     number, rest = split_value(text("value"))
     columns = [canonical_code(text("entity_id")).alias("entity_id"), *[text(k).alias(k) for k in ("entity_name", "endpoint_key", "category", "level")]]
-    at = order if order is not None else F.monotonically_increasing_id()
+    at = order if order is not None else F.col("src_ord")
     return df.select(*columns, number.alias("value_num"), rest.alias("value_text"), at.alias("src_ord")).where("entity_id != ''")
 
 
@@ -188,7 +276,3 @@ def read_documents(spark: SparkSession, root: str, suffix: str = ".json") -> Dat
     path = F.split("_metadata.file_path", "/")
     name = F.regexp_replace(F.element_at(path, -1), rf"\{suffix}$", "")
     return rows.select(F.url_decode(F.element_at(path, -2)).alias("entity_id"), name.alias("endpoint_key"), F.col("value").alias("body"), F.try_parse_json("value").isNotNull().alias("ok"))
-
-
-def union_files(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

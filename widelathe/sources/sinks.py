@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-import uuid
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import sanitize
 from ..operators.columns import drop_named
+from ..operators.reports import clean_reports
+from ..operators.stats import run_stats
+from ..shared import new_path
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for what a job writes: below the folder that the cluster shares, if it names one."""
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-work-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder for what a job writes, below the one that driver and executors share."""
+    return new_path(spark, name)
 
 
 def write_long(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet with zstd, a folder for each endpoint, so that reads of one endpoint prune the others."""
-    df.repartition("endpoint_key", F.pmod(F.xxhash64("entity_id"), F.lit(16))).write.mode(mode).option("compression", "zstd").partitionBy("endpoint_key").parquet(path)
+    # partitions of even size, as many for an endpoint as its rows need
+    df.hint("rebalance", "endpoint_key").write.mode(mode).option("compression", "zstd").partitionBy("endpoint_key").parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -42,7 +43,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single: bool =
 
 def write_blocks(df: DataFrame, path: str, block: str) -> None:
     """All fields quoted, separated by ``;``, a folder for each block that is replaced as a whole."""
-    writer = df.withColumn("_block", F.col(block)).repartition("_block").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.withColumn("_block", F.col(block)).hint("rebalance", "_block").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.options(header=True, sep=";", quoteAll=True, escape='"').partitionBy("_block").csv(path)
 
 
@@ -59,10 +60,36 @@ def manifest(df: DataFrame, **facts) -> DataFrame:
     return one.withColumn("json", F.to_json(F.struct(*one.columns)))
 
 
+def run_manifest(spark: SparkSession, log: DataFrame, *, source: str, release_id: str, config: dict, outputs: dict) -> DataFrame:
+    """One row, ``json``: what a run was told, the totals of its fetch log and what it wrote, nested."""
+    told = spark.createDataFrame([(json.dumps(config, sort_keys=True), json.dumps(outputs, sort_keys=True))], "config string, outputs string")
+    parsed = lambda d, c: F.from_json(c, spark.range(1).select(F.schema_of_json(F.lit(json.dumps(d)))).first()[0]).alias(c)
+    totals = run_stats(log).select(F.struct("*").alias("totals"))
+    facts = [F.lit(release_id).alias("release_id"), F.lit(source).alias("source"), parsed(config, "config"), "totals", parsed(outputs, "outputs")]
+    return totals.join(told).select(F.to_json(F.struct(*facts)).alias("json"))  # two tables of one row
+
+
+def write_catalogue(endpoints: DataFrame, path: str, source: str, prefix: str) -> None:
+    """The endpoints (endpoint_key, url_template) as a CSV catalogue: source, endpoint_key, title, url_template."""
+    rows = endpoints.select(F.lit(source).alias("source"), F.concat(F.lit(f"{prefix}:"), "endpoint_key").alias("endpoint_key"), F.col("endpoint_key").alias("title"), "url_template")
+    write_csv(rows, path)
+
+
+def write_clean(rows: DataFrame, path: str, on_bad: str = "fail", quarantine: str | None = None) -> None:
+    """Cleans report rows and writes them as CSV, all or nothing: with ``on_bad="fail"`` a bad row raises before anything is written.
+
+    With ``on_bad="quarantine"`` bad rows go to the folder ``quarantine`` instead. Spark's commit shows whole outputs only.
+    """
+    good, bad = clean_reports(rows, on_bad)
+    write_csv(good, path)
+    if quarantine:
+        write_csv(bad, quarantine)
+
+
 def snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """(name, length, sha256) of every file below a folder, Spark's own marks left out."""
+    """(path, name, length, sha256) of every file below a folder, Spark's own marks left out; a file may have 2 GB at most."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
 
 
 def append_log(log: DataFrame, path: str, run: str) -> None:
