@@ -427,9 +427,9 @@ def brute_scan(text, items, size=10):
     return len(words), len(hit), found - {None}
 
 
-@pytest.mark.parametrize("block", [1 << 23, 40])
+@pytest.mark.parametrize("block", [100_000, 2])
 def test_scan_in_one_and_in_many_blocks(spark, monkeypatch, block):
-    monkeypatch.setattr(decontaminate, "AUTOMATON_BYTES", block)
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
     items = [(1, "the cat sat on the mat and then it ran away fast"), (2, "Hello, WORLD"), (10, "x"), (3, ""), (4, None), (None, "only words"), (2, "Hello, WORLD")]
     texts = ["… the CAT sat; on the mat and then it ran away fast! hello world", "hello worlds x xx", "è x, only words; hello", "", None, "cat sat on the mat and then it ran away fast the cat"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
@@ -441,9 +441,45 @@ def test_scan_in_one_and_in_many_blocks(spark, monkeypatch, block):
     assert decontaminate.scan(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_blocks_are_loaded_once_while_they_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 10)
+    bench = spark.createDataFrame([(k, " ".join(f"w{k * 100 + j}" for j in range(14))) for k in range(7)], "item_id int, text string")
+    folders = decontaminate.write_blocks(decontaminate.windows_of(bench, 10, "item_id", "text"))
+    loaded, load = [], decontaminate.load_block
+    monkeypatch.setattr(decontaminate, "load_block", lambda f: loaded.append(f) or load(f))
+    decontaminate._kept.clear()
+    for _ in range(10):  # batches
+        for f in folders:
+            decontaminate._block(f)
+    assert sorted(loaded) == sorted(folders) and len(folders) == 4
+    assert sum(len(decontaminate._block(f)[1]) for f in folders) == 7 * 5
+
+
 # --- Exact dedup
 
 
+def test_later_documents_meet_the_runs_through_filters(spark):
+    stored = spark.createDataFrame([(k, f"text  number {k % 700}") for k in range(1000)] + [(None, None)], "doc_id long, text string")
+    rows = exact_dedup._rows(stored, ["doc_id"], "doc_id", "text", exact_dedup.digest(F.col("text"))).select("row.*")
+    index = exact_dedup.DigestIndex(spark)
+    index.flush(rows.where("id < 500"))
+    index.flush(rows.where("id >= 500 OR id IS NULL"), memtables=2)
+    assert len(index.runs) == 3
+    later = spark.createDataFrame([(5000 + k, f"textnumber{k}") for k in range(600, 2600)] + [(1, " "), (2, None)], "doc_id long, text string")
+    asked = later.select(exact_dedup.digest(F.col("text")).alias("digest"))
+    for run in index.runs:
+        held = {r[0] for r in spark.read.parquet(run).select("digest").collect()}
+        passed = [r[0] for r in index.may_hold(asked, run).collect()]
+        true = [r[0] for r in asked.collect() if r[0] in held]
+        assert set(true) <= set(passed) and len(passed) - len(true) < 400  # of 2,000, one in 16 or so
+    wanted = sorted([5000 + k for k in range(700, 2600)])
+    assert sorted(r["doc_id"] for r in exact_dedup.new_texts(index, later, stored).collect()) == wanted
+    found = {r["digest"]: (r["best"]["id"], r["n"]) for r in index.lookup(asked).collect()}
+    index.compact()
+    assert len(index.runs) == 1 and found == {r["digest"]: (r["best"]["id"], r["n"]) for r in index.lookup(asked).collect()}
+    assert exact_dedup.new_texts(index, later.limit(0), stored).count() == 0
+
+
 def test_texts_decide_where_digests_collide(spark, documents):
     wanted = sorted(exact_dedup.exact_dedup(documents).collect())
     one_letter = lambda text: F.substring(exact_dedup.digest(text), 1, 1)
@@ -451,7 +487,7 @@ def test_texts_decide_where_digests_collide(spark, documents):
 
 
 def test_collisions_are_seen(spark):
-    rows = spark.createDataFrame([(1, "k", 2, "aa"), (2, "k", 2, "aa"), (3, "k", 2, "ab"), (4, "m", 1, "a"), (5, "m", 1, "a")], "id int, digest string, length int, body string")
+    rows = spark.createDataFrame([(1, "k", 2, "aa", 1), (2, "k", 2, "aa", 2), (3, "k", 2, "ab", 3), (4, "m", 1, "a", 4), (5, "m", 1, "a", 5)], "id int, digest string, length int, body string, uid long")
     best = F.struct((-F.max("length")).alias("less"), F.lit(False).alias("none"), F.min("id").alias("id"), F.lit(0).alias("uid"))
     groups = rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("n"))
     assert [r[0] for r in exact_dedup._compare(rows, groups).collect()] == ["k"]
@@ -540,3 +576,33 @@ def test_odd_pages(spark):
     rules = spark.createDataFrame([("h", "/", "block")], "host string, path string, verdict string")
     for df in (pages, pages.limit(0)):
         assert html_extract.extract(df).count() == url_filter.filter_urls(df, rules).count() == df.count()
+
+
+def test_keyed_reads_touch_few_bytes(spark, tmp_path):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame([(3 * k, f"text {k} " * (k % 50)) for k in range(400)] + [(None, "no key"), (9, "again")], "doc_id long, text string")
+    folder = f"file://{tmp_path}/tids"
+    token_output.write_shards(docs, path, folder, shards=5)
+    whole = token_output.encoder(path)
+    for key in (0, 3, 9, 300, 1197):
+        k = key // 3
+        ids = np.frombuffer(whole.encode([f"text {k} " * (k % 50)])[0], dtype=whole.dtype)
+        assert token_output.lookup(spark, folder, key).tolist() == [*ids.tolist(), 0]
+    assert token_output.lookup(spark, folder, 4) is None and token_output.lookup(spark, folder, 10**9) is None
+    row = token_output.read_manifest(spark, folder).where("first_key <= 600 AND last_key >= 600").first()
+    shard = token_output.ShardFile(folder, row["file"])
+    head = shard.read
+    ids = shard.get(600)
+    assert shard.read - head == 4 + 4 + 4 + 8 + 16 + ids.nbytes and shard.source.size() > 20 * head
+
+
+def test_chunks_make_the_ids_of_whole_texts():
+    import public_tokenizers
+
+    own = token_output.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(9)
+    pieces = ["word", "Wort,", "è!", " ", "  ", "\n\n", "\t", "\u00a0", "\u2003", "'s", "123", "a.b", "…", "<|endoftext|>", "日本", "x;y", "#tag", "(é)"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    assert own.encode(texts) == [own.whole(t) for t in texts]

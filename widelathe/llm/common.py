@@ -2,46 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import materialize, new_path, small_enough
+
+__all__ = ["materialize", "new_path", "small_enough"]
+
 #: The six ASCII white-space characters of ``[\x20\x09-\x0D]``.
 ASCII_SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 #: Words of the white-space kind, as a Java pattern.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
-_fallback: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one where that is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback:
-        _fallback[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-    return _fallback[app]
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` as Parquet to the shared folder and reads it again.
-
-    This cuts the lineage at a table that outlives any executor.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that ``df`` does not have, one for each of ``names``."""
     taken = {c.lower() for c in df.columns}
@@ -78,11 +50,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def small_enough(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows, found without counting further."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def join_checked(big: DataFrame, side: DataFrame, on: list[str], how: str, rows: int) -> DataFrame:
     """Joins ``side`` by broadcast if it has at most ``rows`` rows, else by a shuffle that adaptive execution can split."""
     return big.join(F.broadcast(side) if small_enough(side, rows) else side, on, how)

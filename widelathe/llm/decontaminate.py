@@ -1,95 +1,105 @@
 """Benchmark decontamination by Aho-Corasick.
 
 The windows of all test items (runs of ten words; a shorter item is one window)
-form one automaton over normalised text. Each document is normalised the same
-way and scanned once; every match is mapped back to the words, and through the
-words' offsets to the original text.
+form an automaton over normalised words. Each document is normalised the same
+way and scanned once; every match is a run of words, and through the
+words' offsets a range of the original text.
+
+Spark makes the windows, joins those that several items have, deals them into blocks of
+bounded size and writes these to the shared folder. A worker loads a block when it needs
+it and keeps the automata of a few, so neither the driver nor a task ever holds a large benchmark.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, without
-from .words import LETTERS, utf8
+from .common import fresh, materialize, new_path, without
+from .words import LETTERS, letter_words, utf8
 
-#: Bytes of normalised test items that one automaton holds; a larger benchmark is scanned in several passes.
-AUTOMATON_BYTES = 8 << 20
-_built: dict[int, tuple[dict, ahocorasick.Automaton]] = {}
+#: Windows of one automaton; a larger benchmark has several, by which each batch of texts is scanned in turn.
+BLOCK_WINDOWS = 100_000
+#: Automata that a worker keeps at most.
+KEPT_AUTOMATA = 4
+_kept: OrderedDict[str, tuple[dict[bytes, int], ahocorasick.Automaton]] = OrderedDict()
 
-RESULT = "struct<n_words:long,hits:array<struct<first:int,last:int>>,spans:array<struct<start:int,end:int>>,items:array<string>>"
+RESULT = "struct<n_words:long,n_hit:long,spans:array<struct<start:int,end:int>>,items:array<string>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_RESULT = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", _SPANS), ("items", pa.list_(pa.string()))])
 
 
-def item_windows(text: str | None, size: int) -> list[str]:
-    """The windows of a test item, each with a space at either end."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(LETTERS).split()
+def item_windows(text: bytes | None, size: int) -> list[bytes]:
+    """The windows of a test item, their words joined by spaces."""
+    words = letter_words(text)
     count = len(words) - size + 1 if len(words) >= size else bool(words)
-    return [f" {b' '.join(words[k : k + size]).decode('utf-8', 'surrogatepass')} " for k in range(count)]
-
-
-def _automaton(windows: dict[str, list[str]]) -> ahocorasick.Automaton:
-    """Built once in each Python worker."""
-    name = id(windows)  # a broadcast value is one object in a worker
-    if name not in _built or _built[name][0] is not windows:
-        _built.clear()
-        automaton = ahocorasick.Automaton()
-        for window, items in windows.items():
-            automaton.add_word(window, (window.count(" ") - 1, tuple(items)))
-        automaton.make_automaton()
-        _built[name] = windows, automaton
-    return _built[name][1]
-
-
-def _blocks(items: list[tuple[str | None, str | None]], size: int) -> list[dict[str, list[str]]]:
-    """window -> ids of the items that have it, in blocks of at most ``AUTOMATON_BYTES``."""
-    out: list[dict[str, list[str]]] = [{}]
-    held = 0
-    for item, text in items:
-        for window in item_windows(text, size):
-            if held > AUTOMATON_BYTES:
-                out.append({})
-                held = 0
-            ids = out[-1].setdefault(window, [])
-            if item is not None and item not in ids:
-                ids.append(item)
-            held += len(window)
-    return out
-
-
-def _char_offsets(raw: bytes) -> np.ndarray:
-    """For each byte of UTF-8 the number of characters before it."""
-    lead = (np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80
-    return np.concatenate(([0], np.cumsum(lead)))
-
-
-def _scan_one(raw: bytes, automaton: ahocorasick.Automaton):
-    """(number of words, matches as first and last word, their items)."""
-    words = raw.translate(LETTERS).split()
-    if not words or not len(automaton):
-        return len(words), [], set()
-    text = b" " + b" ".join(words) + b" "
-    text = text.decode("utf-8", "surrogatepass")
-    found, items = [], set()
-    for end, (count, ids) in automaton.iter(text):
-        found.append((end, count))
-        items.update(ids)
-    if not found:
-        return len(words), [], items
-    # the match ends with the space after its last word: as many spaces stand before as the words up to it
-    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 32)
-    last = np.searchsorted(spaces, [e for e, _ in found]) - 1
+    return [b" ".join(words[k : k + size]) for k in range(count)]
+
+
+def windows_of(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(window, items): every window once, with the ids of the items that have it."""
+
+    def windows(batches):
+        for batch in batches:
+            made = [(item, w) for item, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True) for w in dict.fromkeys(item_windows(raw, size))]
+            yield pa.RecordBatch.from_pydict({"item": pa.array([i for i, _ in made], pa.string()), "window": pa.array([w for _, w in made], pa.binary())})
+
+    rows = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).mapInArrow(windows, "item string, window binary")
+    return rows.groupBy("window").agg(F.collect_set("item").alias("items"))
+
+
+def write_blocks(windows: DataFrame) -> list[str]:
+    """Writes the windows in blocks and returns their folders; none without windows."""
+    every = materialize(windows, "benchmark-windows")
+    blocks = -(-every.count() // BLOCK_WINDOWS)
+    path = new_path(windows.sparkSession, "benchmark-blocks")
+    if blocks:
+        every.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)).cast("int")).repartition(blocks, "block").write.partitionBy("block").parquet(path)
+    return [f"{path}/block={k}" for k in range(blocks)]
+
+
+def load_block(folder: str) -> tuple[dict[bytes, int], ahocorasick.Automaton]:
+    """(numbers of words, automaton over such numbers) of a block, in a task."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(folder)
+    numbers: dict[bytes, int] = {}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for info in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+        if info.base_name.endswith(".parquet"):
+            table = pq.read_table(info.path, columns=["window", "items"], filesystem=store, partitioning=None)
+            for window, items in zip(table["window"].to_pylist(), table["items"].to_pylist(), strict=True):
+                words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in window.split(b" "))
+                automaton.add_word(words, (len(words), tuple(items)))
+    automaton.make_automaton()
+    return numbers, automaton
+
+
+def _block(folder: str) -> tuple[dict[bytes, int], ahocorasick.Automaton]:
+    """Loaded once in each Python worker, as long as it is among the last ``KEPT_AUTOMATA`` ones."""
+    if folder not in _kept:
+        while len(_kept) >= KEPT_AUTOMATA:
+            _kept.popitem(last=False)
+        _kept[folder] = load_block(folder)
+    _kept.move_to_end(folder)
+    return _kept[folder]
+
+
+def runs_of(found: list[tuple[int, int]]) -> list[list[int]]:
+    """Ranges (first, last) of words, joined where they touch or overlap, in order."""
     runs: list[list[int]] = []
-    for first, stop in sorted((int(x) - n + 1, int(x)) for x, (_, n) in zip(last, found, strict=True)):
+    for first, last in sorted(found):
         if runs and first <= runs[-1][1] + 1:
-            runs[-1][1] = max(runs[-1][1], stop)
+            runs[-1][1] = max(runs[-1][1], last)
         else:
-            runs.append([first, stop])
-    return len(words), runs, items
+            runs.append([first, last])
+    return runs
 
 
 def _word_spans(raw: bytes, runs: list[list[int]]) -> list[dict[str, int]]:
@@ -97,28 +107,37 @@ def _word_spans(raw: bytes, runs: list[list[int]]) -> list[dict[str, int]]:
     flags = np.frombuffer(raw.translate(LETTERS), dtype=np.uint8) != 0x20
     edge = np.diff(np.concatenate(([0], flags.view(np.int8), [0])))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    chars = _char_offsets(raw)
+    # for each byte of UTF-8 the number of characters before it
+    chars = np.concatenate(([0], np.cumsum((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)))
     return [{"start": int(chars[starts[a]]), "end": int(chars[ends[b]])} for a, b in runs]
 
 
-def _scanned(text: Column, windows: Broadcast, with_spans: bool) -> Column:
+def _scanned(text: Column, folders: list[str]) -> Column:
     @F.arrow_udf(RESULT)
     def scanned(texts: pa.Array) -> pa.Array:
-        automaton = _automaton(windows.value)
+        raws = utf8(texts)
+        found: list[list[tuple[int, int]]] = [[] for _ in raws]
+        items: list[set[str]] = [set() for _ in raws]
+        sizes = [0] * len(raws)
+        # a batch meets one automaton after the other: each is loaded once for a batch at most
+        for folder in folders or [None]:
+            get, automaton = (None, None) if folder is None else (lambda b: (b[0].get, b[1]))(_block(folder))
+            for k, raw in enumerate(raws):
+                words = letter_words(raw)
+                sizes[k] = len(words)
+                if automaton is not None and words and len(automaton):
+                    for end, (count, ids) in automaton.iter(tuple([get(w, 0) for w in words])):
+                        found[k].append((end - count + 1, end))
+                        items[k].update(ids)
         made = []
-        for raw in utf8(texts):
-            n, runs, items = _scan_one(raw or b"", automaton)
-            spans = _word_spans(raw, runs) if runs and with_spans else []
-            made.append({"n_words": n, "hits": [{"first": a, "last": b} for a, b in runs], "spans": spans, "items": sorted(items)})
-        return pa.array(made, pa.struct([("n_words", pa.int64()), ("hits", _pairs("first", "last")), ("spans", _pairs("start", "end")), ("items", pa.list_(pa.string()))]))
+        for raw, n, hits, ids in zip(raws, sizes, found, items, strict=True):
+            runs = runs_of(hits)
+            made.append({"n_words": n, "n_hit": sum(b - a + 1 for a, b in runs), "spans": _word_spans(raw, runs) if runs else [], "items": sorted(ids)})
+        return pa.array(made, _RESULT)
 
     return scanned(text)
 
 
-def _pairs(a: str, b: str) -> pa.DataType:
-    return pa.list_(pa.struct([(a, pa.int32()), (b, pa.int32())]))
-
-
 def scan(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Adds ``n_words``, ``n_hit``, ``n_items``, ``items``, ``spans`` and ``contaminated`` to every row.
 
@@ -126,40 +145,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, id_col: str =
     joined where they touch; ``items`` the ids of test items with a window in
     the text, sorted as strings. Null or empty texts have no words; test items
     without words have no window, and items without an id mark words but are not
-    listed. Repeated items count once. An empty benchmark leaves every row clean.
-    Input columns called like an output column are replaced. The benchmark is
-    gathered on the driver in blocks of ``AUTOMATON_BYTES``, one scan for each.
+    listed. Repeated items and repeated rows count like single ones; very long texts are
+    scanned whole. An empty benchmark leaves every row clean, an empty table stays empty.
+    Input columns called like an output column are replaced. A benchmark of more than ``BLOCK_WINDOWS`` windows is
+    scanned for in blocks; each text is read once.
     """
     docs = without(docs, "n_words", "n_hit", "n_items", "items", "spans", "contaminated")
-    rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).distinct()
-    blocks = _blocks([tuple(r) for r in rows.toLocalIterator()], size)
-    names = fresh(docs, *[f"scan_{k}" for k in range(len(blocks))])
-    out = docs
-    for name, windows in zip(names, blocks, strict=True):
-        out = out.withColumn(name, _scanned(F.col(text_col), docs.sparkSession.sparkContext.broadcast(windows), len(blocks) == 1))
-    if len(blocks) == 1:
-        only = names[0]
-        hit = F.aggregate(f"{only}.hits", F.lit(0).cast("long"), lambda n, x: n + (x["last"] - x["first"] + 1).cast("long"))
-        items, spans, n_words = F.col(f"{only}.items"), F.col(f"{only}.spans"), F.col(f"{only}.n_words")
-    else:
-        united, merged = fresh(out, "scan_hits", "scan_union")
-
-        @F.arrow_udf("struct<n_hit:long,spans:array<struct<start:int,end:int>>>")
-        def unite(texts: pa.Array, hits: pa.Array) -> pa.Array:
-            made = []
-            for raw, found in zip(utf8(texts), hits.to_pylist(), strict=True):
-                runs: list[list[int]] = []
-                for x in sorted(found or [], key=lambda x: (x["first"], x["last"])):
-                    if runs and x["first"] <= runs[-1][1] + 1:
-                        runs[-1][1] = max(runs[-1][1], x["last"])
-                    else:
-                        runs.append([x["first"], x["last"]])
-                made.append({"n_hit": sum(b - a + 1 for a, b in runs), "spans": _word_spans(raw, runs) if runs else []})
-            return pa.array(made, pa.struct([("n_hit", pa.int64()), ("spans", _pairs("start", "end"))]))
-
-        out = out.withColumn(merged, unite(F.col(text_col), F.concat(*[F.col(f"{n}.hits") for n in names])))
-        hit, spans, n_words = F.col(f"{merged}.n_hit"), F.col(f"{merged}.spans"), F.col(f"{names[0]}.n_words")
-        items = F.array_sort(F.array_distinct(F.concat(*[F.col(f"{n}.items") for n in names])))
-        names = [*names, merged]
-    out = out.withColumns({"n_words": n_words, "n_hit": hit, "n_items": F.size(items).cast("long"), "items": items, "spans": spans})
-    return out.withColumn("contaminated", F.col("n_hit") > 0).drop(*names)
+    folders = write_blocks(windows_of(benchmark, size, id_col, text_col))
+    (name,) = fresh(docs, "scan_result")
+    out = docs.withColumn(name, _scanned(F.col(text_col), folders))
+    columns = {c: F.col(f"{name}.{c}") for c in ("n_words", "n_hit", "items", "spans")}
+    out = out.withColumns({**columns, "n_items": F.size(columns["items"]).cast("long"), "contaminated": columns["n_hit"] > 0})
+    return out.drop(name)

@@ -2,24 +2,31 @@
 
 Documents enter as memtables: Spark aggregates each by digest, keeps the best
 row of every digest and flushes the result as a run, a Parquet folder sorted by
-digest whose files carry a Bloom filter on the digest column. Compaction merges
-the runs into one, keeping the best identifier and adding the counts. Lookups
-join documents to the compacted run; of what they hit, the texts themselves are
+digest, with a filter: a bitmap of the places that its digests hash to. Compaction merges
+the runs into one, keeping the best identifier and adding the counts. Later
+documents are looked up: those whose place is empty in a run's filter are new to it, and only the
+others meet the run. Of what is hit, the texts themselves are
 compared with the text of the row that stays, since equal digests alone prove
 nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_checked, materialize, new_path, stripped
+from .common import fresh, join_checked, materialize, new_path, stripped
 
 #: Rows of one digest that are compared with one copy of the text that stays.
 SALT_ROWS = 500
 #: Digests of repeated texts that are broadcast at most, 40 bytes each.
 BROADCAST_DIGESTS = 400_000
+#: Rows of a memtable.
+MEMTABLE_ROWS = 50_000_000
+#: Bits of a filter for each digest, and pieces of a filter (4 KB each) that are broadcast at most.
+FILTER_BITS, BROADCAST_PIECES = 16, 16_384
 
 
 def digest(text: Column) -> Column:
@@ -36,40 +43,92 @@ class DigestIndex:
     """Runs of (digest, best, n) below one folder."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.runs = spark, path or new_path(spark, "lsm"), []
-
-    def flush(self, memtable: DataFrame) -> None:
-        """Writes ``memtable`` (id, digest, length) as a sorted run with filters."""
-        run = f"{self.path}/run-{len(self.runs):05d}"
-        self._write(memtable.groupBy("digest").agg(F.min(_best()).alias("best"), F.count(F.lit(1)).alias("n")), run)
-        self.runs.append(run)
+        self.spark, self.path, self.runs, self.made = spark, path or new_path(spark, "lsm"), [], 0
+        #: (folder, places) of each run's filter
+        self.filters: dict[str, tuple[str, int]] = {}
+
+    def flush(self, rows: DataFrame, memtables: int = 1) -> None:
+        """Writes ``rows`` (id, digest, length, uid) as sorted runs, one for each memtable; one job reads the rows once."""
+        memtable = F.pmod(F.xxhash64("uid"), F.lit(memtables)).cast("int")
+        best = rows.groupBy(memtable.alias("run"), "digest").agg(F.min(_best()).alias("best"), F.count(F.lit(1)).alias("n"))
+        folder = self._folder("flush")
+        best.sortWithinPartitions("run", "digest").write.partitionBy("run").parquet(folder)
+        present = {r[0] for r in self.spark.read.parquet(folder).select("run").distinct().collect()} if memtables > 1 else {0}
+        self.runs += [f"{folder}/run={k}" for k in range(memtables) if k in present]
+
+    def _folder(self, name: str) -> str:
+        self.made += 1
+        return f"{self.path}/{name}-{self.made:05d}"
 
     def compact(self) -> None:
         """Merges all runs into one: the best row of each digest stays, counts add up."""
         if len(self.runs) < 2:
             return
-        run = f"{self.path}/merged-{len(self.runs):05d}"
-        self._write(self.read().groupBy("digest").agg(F.min("best").alias("best"), F.sum("n").alias("n")), run)
+        run = self._folder("merged")
+        merged = self.read().groupBy("digest").agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+        # grouped by digest already: sorting inside the partitions needs no other shuffle
+        merged.sortWithinPartitions("digest").write.parquet(run)
         self.runs = [run]
 
     def read(self) -> DataFrame:
+        """(digest, best, n) of all runs; after a compaction each digest stands once."""
         return self.spark.read.parquet(*self.runs)
 
-    def _write(self, df: DataFrame, run: str) -> None:
-        # grouped by digest already: sorting inside the partitions needs no other shuffle
-        (
-            df.sortWithinPartitions("digest")
-            .write.option("parquet.bloom.filter.enabled#digest", "true")
-            # filters as large as a file's digests need, not of the default megabyte
-            .option("parquet.bloom.filter.adaptive.enabled", "true")
-            .parquet(run)
-        )
+    def filter_of(self, run: str) -> tuple[DataFrame, int]:
+        """((piece, bits), places) of a run: the bitmap of the places of its digests, made when it is first asked for."""
+        if run not in self.filters:
+            digests = self.spark.read.parquet(run).select("digest")
+            places = max(1 << 15, FILTER_BITS * digests.count())
+            at = place(places)
+            pieces = digests.groupBy(F.bitmap_bucket_number(at).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+            folder = self._folder("filter")
+            pieces.write.parquet(folder)
+            self.filters[run] = folder, places
+        folder, places = self.filters[run]
+        return self.spark.read.parquet(folder), places
+
+    def may_hold(self, batch: DataFrame, run: str) -> DataFrame:
+        """The rows of ``batch`` whose digest may be in the run: all that are, and about one in ``FILTER_BITS`` of the others."""
+        pieces, places = self.filter_of(run)
+        at = place(places)
+        asked = batch.withColumns({"piece": F.bitmap_bucket_number(at), "bit": F.bitmap_bit_position(at)})
+        byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+        found = join_checked(asked, pieces, ["piece"], "inner", BROADCAST_PIECES)
+        return found.where(F.call_function("shiftright", byte, (F.col("bit") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1).drop("piece", "bit", "bits")
+
+    def lookup(self, batch: DataFrame) -> DataFrame:
+        """(digest, best, n) of the distinct digests of ``batch`` that a run holds."""
+        asked = batch.select("digest").distinct()
+        hits = [self.spark.read.parquet(run).join(self.may_hold(asked, run), "digest", "left_semi") for run in self.runs]
+        found = reduce(DataFrame.unionByName, hits) if hits else None
+        if found is None:
+            return self.spark.createDataFrame([], "digest string, best struct<less:long,none:boolean,id:long,uid:long>, n long")
+        return found.groupBy("digest").agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+
+
+def place(places: int) -> Column:
+    """The place of a digest in a filter."""
+    return F.pmod(F.xxhash64("digest"), F.lit(places))
+
+
+def new_texts(index: DigestIndex, docs: DataFrame, stored: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text isn't in the index; ``stored`` are the documents that the index was made of.
+
+    Only documents that a run's filter lets pass meet the run, and what hits is compared with the stored text itself. Null texts count as
+    empty; equal texts inside ``docs`` all stay. An empty table gives an empty one.
+    """
+    (name,) = fresh(docs, "lsm_digest")
+    asked = docs.withColumn(name, digest(F.col(text_col)))
+    hits = materialize(index.lookup(asked.select(F.col(name).alias("digest"))), "lsm-found").select(F.col("digest").alias(name), F.col("best.id").alias("lsm_id"))
+    texts = stored.join(hits, F.col(id_col).eqNullSafe(F.col("lsm_id"))).where(digest(F.col(text_col)) == F.col(name))
+    texts = texts.groupBy(name).agg(F.min(stripped(F.col(text_col))).alias("lsm_body"))
+    return asked.join(texts, name, "left").where(F.col("lsm_body").isNull() | (F.col("lsm_body") != stripped(F.col(text_col)))).drop(name, "lsm_body")
 
 
 def _compare(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Digests under which some row's text differs from the text of the row that stays.
 
-    ``rows`` has id, digest, length and body for rows of ``groups`` (digest, best, n), which
+    ``rows`` has id, uid, digest, length and body for rows of ``groups`` (digest, best, n), which
     hold at least two rows each. Large groups are salted; each salt gets a copy of the one text.
     """
     salts = F.greatest(F.lit(1), F.ceil(F.col("n") / SALT_ROWS)).cast("int")
@@ -81,8 +140,8 @@ def _compare(rows: DataFrame, groups: DataFrame) -> DataFrame:
         .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop("n")
     )
-    # rows of the same text and length go anywhere among the salts
-    salted = hits.withColumn("salt", F.pmod(F.xxhash64("id", "length"), salts).cast("int"))
+    # every row has a salt of its own, whatever its id
+    salted = hits.withColumn("salt", F.pmod(F.xxhash64("uid"), salts).cast("int"))
     return salted.join(heads, ["digest", "salt"]).where(F.col("body") != F.col("head")).select("digest").distinct()
 
 
@@ -97,7 +156,7 @@ def _rows(docs: DataFrame, columns: list[str], id_col: str, text_col: str, key:
 def exact_dedup(
     docs: DataFrame,
     *,
-    memtables: int = 4,
+    memtables: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     digest_of=digest,
@@ -111,7 +170,8 @@ def exact_dedup(
     that tie in all of this (a repeated row, or null ids) exactly one is
     ``kept``. An empty table gives an empty one. ``columns``: the input columns
     to return, by default the id alone; those called like an output column are
-    replaced. ``memtables``: how many memtables the rows are split into.
+    replaced. ``memtables``: how many memtables the rows are split into, by default one for ``MEMTABLE_ROWS`` and two at least.
+    Very long texts are compared whole.
     ``digest_of`` is another digest for tests; if texts differ under one digest,
     the texts themselves become the keys.
     """
@@ -121,14 +181,16 @@ def exact_dedup(
     rows = _rows(docs, columns, id_col, text_col, digest_of(text))
     keys = rows.select("row.*")
     index = DigestIndex(docs.sparkSession)
-    for k in range(memtables):
-        index.flush(keys.where(F.pmod(F.xxhash64("uid"), F.lit(memtables)) == k))
+    n = rows.count()
+    if not n:
+        return _marked(rows, keys.groupBy("digest").agg(F.min(_best()).alias("best"), F.count(F.lit(1)).alias("n")), F.col("digest"))
+    index.flush(keys, memtables or max(2, -(-n // MEMTABLE_ROWS)))
     index.compact()
     merged = index.read()
     repeated = merged.where(F.col("n") > 1)
     # only texts whose digest occurs again are looked at further
     length = F.coalesce(F.char_length(text), F.lit(0)).cast("long")
-    body = docs.select(id_.alias("id"), digest_of(text).alias("digest"), length.alias("length"), stripped(text).alias("body"))
+    body = docs.select(id_.alias("id"), digest_of(text).alias("digest"), length.alias("length"), stripped(text).alias("body"), F.monotonically_increasing_id().alias("uid"))
     hits = materialize(join_checked(body, repeated.select("digest"), ["digest"], "left_semi", BROADCAST_DIGESTS), "lsm-hits")
     if digest_of is digest and _compare(hits, repeated).isEmpty():
         return _marked(rows, merged, F.col("digest"))

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD_PATTERN, materialize, small_enough
 
-#: Bits of the hash that each level looks at, from the highest down.
-LEVELS = (12, 12, 12, 12, 12)
+#: Bits of the hash that each level looks at, from the highest down. After two levels few rows are left, so the last one looks at all other bits.
+LEVELS = (12, 12, 36)
 HASH_BITS = sum(LEVELS)
 #: Tables of a row for each source are broadcast up to this many rows.
 BROADCAST_SOURCES = 100_000
@@ -96,7 +96,8 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """For each source of ``budgets`` (source, budget) the threshold below which documents fit into the budget.
 
     ``rows`` has source, hash and size. Each level sums the sizes by bucket
-    inside the bucket in which the level before ended, and descends.
+    inside the bucket in which the level before ended, and descends. All rows are read
+    twice, for the first level's sums and to write out its boundary buckets; later levels read these alone.
     """
     at = materialize(
         budgets.select("source", F.col("budget").alias("left"), F.lit(0).cast("long").alias("prefix")), "mix-level"
@@ -104,10 +105,9 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     done_bits = 0
     for bits in LEVELS:
         shift = HASH_BITS - done_bits - bits
-        near = _with_source(rows, at)
         # the hash's higher bits pick the boundary bucket, the next ones count inside it
-        near = near.where(F.shiftright("hash", shift + bits) == F.col("prefix")).withColumn("bucket", F.shiftright("hash", shift))
-        sums = near.groupBy("source", "bucket").agg(F.sum("size").alias("tokens"), F.first("left").alias("left"))
+        sums = rows.groupBy("source", F.shiftright("hash", shift).alias("bucket")).agg(F.sum("size").alias("tokens"))
+        sums = _with_source(sums, at.select("source", "left"))
         upto = Window.partitionBy("source").orderBy("bucket")
         cut = (
             sums.withColumn("upto", F.sum("tokens").over(upto))
@@ -128,9 +128,10 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
             "mix-level",
         )
         done_bits += bits
+        near = _with_source(rows, at).where(F.shiftright("hash", shift) == F.col("prefix"))
+        rows = materialize(near.select("source", "hash", "size"), "mix-boundary")
     # at the last level the boundary is one hash; it is taken if that comes nearer to the budget
-    last = _with_source(rows, at).where(F.col("hash") == F.col("prefix"))
-    tie = last.groupBy("source").agg(F.sum("size").alias("tokens"), F.first("left").alias("left"))
+    tie = _with_source(rows.groupBy("source").agg(F.sum("size").alias("tokens")), at.select("source", "left"))
     tie = tie.select(F.col("source").alias("s"), (F.col("tokens") <= 2 * F.col("left")).alias("takes"))
     return at.join(tie, F.col("source").eqNullSafe(F.col("s")), "left").select(
         "source", (F.col("prefix") + F.coalesce(F.col("takes"), F.lit(False)).cast("long")).alias("threshold")
@@ -162,11 +163,14 @@ def mix(
     kept = [c for c in (columns or docs.columns) if c.lower() not in made]
     own = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
     base = docs.select(own, F.col(source_col).alias("source"), doc_hash(F.col(id_col), F.col(text_col), seed).alias("hash"), word_count(F.col(text_col)).alias("size"))
-    rows = materialize(base.select("source", "hash", "size"), "mix-rows")
+    # where the texts aren't part of the result the rows are written whole, so that words are counted once
+    whole = text_col not in kept
+    rows = materialize(base if whole else base.select("source", "hash", "size"), "mix-rows")
+    base, rows = rows if whole else base, rows.select("source", "hash", "size")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = materialize(targets(sizes, weights, share, most), "mix-targets")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    goal = goal.withColumn("whole", whole)
+    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    goal = goal.withColumn("whole", times)
     budgets = goal.select("source", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long").alias("budget"))
     plan = materialize(_with_source(goal, thresholds(rows, budgets)), "mix-plan")
     out = _with_source(base, plan, "left")

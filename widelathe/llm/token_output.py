@@ -30,12 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, new_path
+from .common import fresh, new_path
 from .words import utf8
 
 MAGIC = b"TIDS0001"
 _HEADER = struct.Struct("<8sQQQII")  # magic, records, null keys, distinct keys, buckets, bytes of an id
 KEYS_IN_BUCKET = 4
+#: The manifest's folder among the shards.
+MANIFEST = "manifest"
 #: Chunks whose ids a worker remembers at most.
 REMEMBERED = 600_000
 _encoders: dict[str, Encoder] = {}
@@ -260,8 +262,63 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, *, end_id: int =
             {"shard": pa.array([shard], pa.int32()), "file": [name], "first_key": pa.array(keys[:1], pa.int64()), "last_key": pa.array(keys[-1:], pa.int64()), "records": pa.array([len(keys)], pa.int64()), "ids": pa.array([sum(map(len, ids)) // width], pa.int64())}
         )
 
-    written = dealt.mapInArrow(encode, "shard int, file string, first_key long, last_key long, records long, ids long")
-    return materialize(written, "token-manifest")
+    dealt.mapInArrow(encode, "shard int, file string, first_key long, last_key long, records long, ids long").write.parquet(f"{folder}/{MANIFEST}")
+    return read_manifest(spark, folder)
+
+
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("shard int, file string, first_key long, last_key long, records long, ids long").parquet(f"{folder}/{MANIFEST}")
+
+
+class ShardFile:
+    """A shard file that is read at the places that a key needs; ``read`` counts the bytes."""
+
+    def __init__(self, folder: str, file: str):
+        from pyarrow import fs
+
+        store, path = fs.FileSystem.from_uri(folder)
+        self.source, self.read = store.open_input_file(f"{path}/{file}"), 0
+        magic, self.n, self.nulls, self.distinct, self.buckets, self.width = _HEADER.unpack(self._bytes(0, _HEADER.size))
+        if magic != MAGIC:
+            raise ValueError("not a token shard")
+        sizes = [8 * self.n, 8 * (self.n + 1), 4 * self.buckets, 4 * self.distinct, 4 * self.distinct]
+        self.keys, self.starts, self.seeds, self.slots, self.prints, self.ids = (_HEADER.size + sum(sizes[:k]) for k in range(6))
+
+    def _bytes(self, at: int, count: int) -> bytes:
+        self.read += count
+        return self.source.read_at(count, at)
+
+    def _number(self, kind: str, at: int, k: int) -> int:
+        dtype = np.dtype(kind)
+        return int(np.frombuffer(self._bytes(at + k * dtype.itemsize, dtype.itemsize), dtype)[0])
+
+    def get(self, key: int) -> np.ndarray | None:
+        """Ids of the first document stored under ``key``: a seed, a fingerprint, a slot, a key and two starts are read besides the ids."""
+        if not self.distinct:
+            return None
+        own = np.array([key], dtype="<i8")
+        bucket = int(_hash(own, 0)[0] % np.uint64(self.buckets))
+        slot = int(_hash(own, np.uint64(self._number("<u4", self.seeds, bucket)))[0] % np.uint64(self.distinct))
+        if self._number("<u4", self.prints, slot) != int(_print_of(own)[0]):
+            return None
+        k = self._number("<u4", self.slots, slot)
+        if self._number("<i8", self.keys, k) != key:
+            return None
+        a, b = np.frombuffer(self._bytes(self.starts + 8 * k, 16), "<u8").tolist()
+        return np.frombuffer(self._bytes(self.ids + a * self.width, (b - a) * self.width), f"<u{self.width}")
+
+
+def lookup(spark: SparkSession, folder: str, key: int) -> np.ndarray | None:
+    """Ids of the first document stored under ``key`` below ``folder``, None if there is none.
+
+    The manifest tells the file by its range of keys; of the file only the places that the key needs are read.
+    """
+    holds = read_manifest(spark, folder).where((F.coalesce("first_key", F.lit(key)) <= key) & (F.col("last_key") >= key))
+    for row in holds.orderBy("shard").select("file").limit(2).collect():  # equal keys may go on in the next file
+        found = ShardFile(folder, row["file"]).get(key)
+        if found is not None:
+            return found
+    return None
 
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Toxic passages by maximum-scoring segments.
 
 A token's score is its log-odds between toxic and other labelled texts, under a
-Dirichlet prior that is proportional to the token's count in the whole corpus. The
-maximal segments of a text's score sequence are found by one scan; each is a
+Dirichlet prior that is proportional to the token's count in the whole corpus, drawn towards the
+prior's own log-odds, zero, as far as its evidence is weak. Every token has its score, positive or negative; a token
+without evidence has the prior's. The maximal segments of a text's score sequence are found by one scan; each is a
 passage. How large a segment chance makes in a clean text of n tokens follows an
 extreme-value law, P(S >= x) = 1 - exp(-K n exp(-lambda x)); what the
 segments exceed that by is summed up for the text and mapped to a probability.
@@ -72,16 +73,21 @@ def count_words(rows: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n0")])
 
 
-def log_odds(counts: DataFrame, total: dict[str, float], prior: float) -> DataFrame:
-    """Adds ``odds`` (log-odds of class 1 against 0) and ``z`` (in standard errors) to (word, n, n1, n0).
+def log_odds(counts: DataFrame, total: dict[str, float], prior: float, weak: float, least: float) -> DataFrame:
+    """Adds ``odds`` (log-odds of class 1 against 0), ``z`` (in standard errors) and ``score`` to (word, n, n1, n0).
 
-    ``total`` has the sums of n, n1 and n0 over all words. ``prior`` is the weight,
-    in tokens, of the corpus-wide frequencies.
+    ``total`` has the sums of n, n1 and n0 over all words. ``prior`` is the weight of the corpus-wide
+    frequencies in each class, as a share of the class's tokens; of a word in neither class the log-odds are zero.
+    ``score`` is the log-odds times z⁴/(z⁴ + weak⁴), in tenths and between ``least`` and 8.
     """
-    a = F.lit(prior) * F.col("n") / F.lit(max(1.0, total["n"]))
-    side = lambda c: F.log((F.col(c) + a) / (F.lit(total[c] + prior) - F.col(c) - a))
-    odds = side("n1") - side("n0")
-    return counts.withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / (F.col("n1") + a) + 1 / (F.col("n0") + a)))
+    share = F.col("n") / F.lit(max(1.0, total["n"]))
+    size = {c: (total[c] + 1) * prior for c in ("n1", "n0")}
+    own = {c: F.col(c) + share * F.lit(size[c]) for c in size}
+    side = {c: F.log(own[c] / (F.lit(total[c] + size[c]) - own[c])) for c in size}
+    out = counts.withColumn("odds", side["n1"] - side["n0"]).withColumn("z", F.col("odds") / F.sqrt(1 / own["n1"] + 1 / own["n0"]))
+    evidence = F.pow(F.abs("z"), F.lit(4.0))
+    drawn = F.col("odds") * evidence / (evidence + F.lit(weak**4))
+    return out.withColumn("score", F.round(F.greatest(F.lit(least), F.least(F.lit(8.0), F.coalesce(drawn, F.lit(0.0)))), 1))
 
 
 def segments(scores: list[float], at: list[int] | None = None, gap: float = 0.0) -> list[tuple[int, int, float]]:
@@ -112,24 +118,37 @@ def segments(scores: list[float], at: list[int] | None = None, gap: float = 0.0)
 
 
 class Model:
-    """Scores of words and of stems (first bytes of a word), extreme-value parameters and the calibration curve."""
+    """Scores of words and of stems (first bytes of a word), the drift, extreme-value parameters and the calibration curve.
 
-    def __init__(self, scores: dict[bytes, float], other: float, lam: float, k: float, curve: tuple[float, float, float]):
-        self.scores, self.other, self.lam, self.k, self.curve = scores, other, lam, k, curve
-        # no word is listed under its own or a stem's score unless it starts with one of these
-        self.gate = frozenset(w[: STEMS[0]] for w in scores)
+    ``scores`` has (score, standard errors from zero). Of a word and its stems the one with the most evidence gives the score;
+    a word without any has the prior's, zero. The drift is added to each, so that chance alone makes no long segments.
+    """
+
+    def __init__(self, scores: dict[bytes, tuple[float, float]], drift: float, lam: float, k: float, curve: tuple[float, float, float]):
+        self.scores, self.drift, self.lam, self.k, self.curve = scores, drift, lam, k, curve
+        self.memo: dict[bytes, float] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"memo": {}}
+
+    def score(self, word: bytes) -> float:
+        found = [self.scores.get(word), *[self.scores.get(word[:n] + b"*") for n in STEMS if len(word) >= n]]
+        return max((f for f in found if f), key=lambda f: f[1], default=(0.0, 0.0))[0] + self.drift
 
-    def _score(self, word: bytes) -> float:
-        found = self.scores.get(word)
-        if found is None:
-            found = max((self.scores.get(word[:n] + b"*", self.other) for n in STEMS if len(word) >= n), default=self.other)
-        return found
+    def word_scores(self, raw: bytes | None) -> list[float]:
+        words, memo = letter_words(raw), self.memo
+        out = [memo.get(w) for w in words]
+        for k, s in enumerate(out):
+            if s is None:
+                out[k] = self.score(words[k])
+                if len(memo) < _HELD:
+                    memo[words[k]] = out[k]
+        return out
 
     def found(self, raw: bytes | None) -> tuple[int, list[tuple[int, int, float]]]:
         """(number of words, segments as first word, word after the last, score)."""
-        words, gate, n = letter_words(raw), self.gate, STEMS[0]
-        at = [k for k, w in enumerate(words) if w[:n] in gate]
-        return len(words), segments([self._score(words[k]) for k in at], at, self.other) if at else []
+        scores = self.word_scores(raw)
+        return len(scores), segments(scores) if scores and max(scores) > 0 else []
 
     def passages(self, raw: bytes | None) -> tuple[int, list[tuple[int, int, float]]]:
         """(number of words, significant passages as first word, word after the last, excess)."""
@@ -148,59 +167,57 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _lambda(values: list[float], weights: list[float], other: float) -> float:
-    """The positive root of sum(p exp(l s)) = 1; ``weights`` are the words' shares in clean text."""
-    rest = 1 - sum(weights)
-    total = lambda x: rest * math.exp(x * other) + sum(w * math.exp(min(700.0, x * v)) for v, w in zip(values, weights, strict=True)) - 1
+def lambda_of(histogram: dict[float, int]) -> float:
+    """The positive root of sum(p exp(l s)) = 1, p being the shares of the scores s in clean text."""
+    n = max(1, sum(histogram.values()))
+    total = lambda x: sum(c / n * math.exp(min(700.0, x * s)) for s, c in histogram.items()) - 1
     low, high = 1e-6, 1e-3
     while total(high) < 0 and high < 50:
         high *= 2
     for _ in range(80):
         mid = (low + high) / 2
         low, high = (mid, high) if total(mid) < 0 else (low, mid)
-    return high
+    return max(0.05, high)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", max_labelled: int = 200_000, max_words: int = 50_000, other: float = -0.3, prior: float = 0.1, min_z: float = 2.5, min_odds: float = 2.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", max_labelled: int = 200_000, drift: float = -0.3, prior: float = 0.1, weak: float = 2.5, least: float = -1.0, height: float = 4.0) -> Model:
     """Learns from the labelled rows that aren't held out; the prior counts every text.
 
-    ``max_labelled`` bounds the labelled rows, ``max_words`` the words and stems of the model, which
-    are those with the largest ``z`` among those of at least ``min_z`` and ``min_odds``. ``prior`` is
-    the prior's weight as a share of the labelled tokens. ``other``
-    is the score of every word outside the model. Without labels of both kinds
-    all scores are the smoothed share of label 1.
+    ``max_labelled`` bounds the labelled rows, and with them the words that the model has a score for. ``prior`` is
+    the prior's weight as a share of the labelled tokens, ``weak`` the number of standard errors at which a word's log-odds
+    count half, ``least`` the lowest score of a word, ``drift`` what is added to each score, ``height`` the score of the segments by which K is found. Without labels of both kinds
+    all scores are the smoothed share of label 1. Repeated rows count as often as they stand there; ties don't matter.
     """
     words = materialize(count_words(labelled(docs, labels, target, max_labelled, "left")), "word-counts")
     stems = [words.where(F.length("word") >= n).groupBy(F.concat(F.substring("word", 1, n), F.lit(b"*")).alias("word")) for n in STEMS]
     stems = [g.agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n0")]) for g in stems]
     total = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("n", "n1", "n0")]).first()
-    counts = log_odds(functools.reduce(DataFrame.unionByName, [words, *stems]), total.asDict(), prior * (total["n1"] + total["n0"]) + 1)
-    picked = counts.where((F.col("z") >= min_z) & (F.col("odds") >= min_odds) & (F.col("n1") >= 2)).orderBy(F.desc("z"), "word").limit(max_words)
-    rows = picked.select("word", "odds", "n0").collect()
-    scores = {bytes(r["word"]): min(8.0, r["odds"]) for r in rows}
+    counts = log_odds(functools.reduce(DataFrame.unionByName, [words, *stems]).where("n1 + n0 > 0"), total.asDict(), prior, weak, least)
+    found = counts.where("score != 0").select("word", "score", F.abs("z").alias("z")).toArrow()
+    scores = dict(zip(found["word"].to_pylist(), zip(found["score"].to_pylist(), found["z"].to_pylist(), strict=True), strict=True))
     train = labelled(docs, labels, target, max_labelled, "inner")
-    if not scores:
+    if not total["n1"] or not total["n0"]:
         n, y = train.agg(F.count("y"), F.coalesce(F.sum("y"), F.lit(0))).first()
-        return Model({}, other, 1.0, 1.0, (math.log((y + 0.5) / (n - y + 0.5)), 0.0, 0.0))
-    # a stem's uses hold those of its words: shares are taken of the shortest stems and of shorter words
-    own = [r for r in rows if len(r["word"]) <= STEMS[0] + bytes(r["word"]).endswith(b"*")]
-    lam = max(0.05, _lambda([min(8.0, r["odds"]) for r in own], [(r["n0"] + 0.5) / max(1.0, total["n0"]) for r in own], other))
-    # K by the number of segments above a height in clean text: it should be K n exp(-lambda height)
-    height = min(scores.values())
-    raw = Model(scores, other, lam, 1.0, (0.0, 0.0, 0.0))
+        return Model({}, drift, 1.0, 1.0, (math.log((y + 0.5) / (n - y + 0.5)), 0.0, 0.0))
+    # of clean text: how often each score stands there, and how many segments are high; there should be K n exp(-lambda height)
+    raw = Model(scores, drift, 1.0, 1.0, (0.0, 0.0, 0.0))
 
     def statistics(batches):
+        own, above = Counter(), 0
         for batch in batches:
-            sizes, above = [], []
             for text in utf8(batch.column(0)):
-                n, found = raw.found(text)
-                sizes.append(n)
-                above.append(sum(s >= height for _, _, s in found))
-            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), pa.array(sizes, pa.int64()), pa.array(above, pa.int64())], ["y", "tokens", "above"])
-
-    tokens, above = train.where("y = 0").mapInArrow(statistics, "y int, tokens long, above long").agg(F.sum("tokens"), F.sum("above")).first()
-    k = max(1e-6, ((above or 0) + 0.5) / max(1, tokens or 1) * math.exp(lam * height))
-    model = Model(scores, other, lam, k, (0.0, 0.0, 0.0))
+                at = [round(s, 1) for s in raw.word_scores(text)]
+                own.update(at)
+                above += sum(s >= height for _, _, s in segments(at))
+        rows = [*own.items(), (None, above)]
+        yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.float64()), pa.array([c for _, c in rows], pa.int64())], ["score", "n"])
+
+    clean = train.where("y = 0").mapInArrow(statistics, "score double, n long").groupBy("score").agg(F.sum("n")).collect()
+    histogram = {s: c for s, c in clean if s is not None}
+    above = sum(c for s, c in clean if s is None)
+    lam = lambda_of(histogram)
+    k = max(1e-6, (above + 0.5) / max(1, sum(histogram.values())) * math.exp(lam * height))
+    model = Model(scores, drift, lam, k, (0.0, 0.0, 0.0))
     # the curve is fitted to a histogram of the excess
     bins = train.withColumn("bin", F.round(F.log1p(model_excess(F.col("text"), model)) * 20).cast("int"))
     table = bins.groupBy("bin").agg(F.count_if(F.col("y") > 0).alias("n1"), F.count_if(F.col("y") <= 0).alias("n0")).collect()
@@ -221,7 +238,7 @@ def _curve(x: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> tuple[float, float,
         if np.abs(step).max() < 1e-8:
             break
     # more excess never lowers the score
-    return float(w[0]), max(0.0, float(w[1])), float(w[2])
+    return float(w[0]), max(0.0, float(w[1])), max(0.0, float(w[2]))
 
 
 def model_excess(text: Column, model: Model) -> Column:
@@ -236,7 +253,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: f
     """Adds ``score`` (0 to 1), ``predicted`` (1 from ``threshold``) and, with ``spans``, ``passages`` to every row.
 
     A passage is a range of characters of the text with its excess over chance. Null and empty
-    texts have no passage and the lowest score. Input columns called like an output column are replaced.
+    texts have no passage and the lowest score; very long texts are scanned whole; repeated rows have the same score, an empty table stays empty. Input columns called like an output column are replaced.
     """
     docs = without(docs, "score", "predicted", *["passages"] * spans)
 
