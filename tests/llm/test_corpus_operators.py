@@ -91,6 +91,54 @@ def test_copies_and_lists_of_articles_are_no_template(spark):
     assert got[0] == "One article in print views" and got[10] == "Text 0\n\nSize\n\nWeight" and got[20] == "Long body of an article, reprinted\n\n0"
 
 
+def test_quotes_open_values_only(spark):
+    own = lambda page: [t for t, own, _ in html_extract.blocks_of(page) if own]
+    assert own("<p class=it's>First para.</p><p>Second isn't lost.</p><p>Third.</p>") == ["First para.", "Second isn't lost.", "Third."]
+    assert own("<p title='a > b' class=\"x>y\">One</p><p data-x= role=menu>Two</p><p title=\"x class=ad\">Three</p><p class=\"open>Four</p>") == ["One", "Two", "Three", "Four"]
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    page = lambda n: "".join(f"<div class=sidebar-x><p>t{k}</p>" for k in range(n)) + "</div>" * n
+    began = time.time()
+    blocks, containers = html_extract.parse(page(8000))
+    assert len(blocks) == len(containers) == 8000 and time.time() - began < 5
+    assert [p for _, p in containers] == list(range(-1, 7999))
+
+
+def test_templates_against_brute_force(spark):
+    rng = random.Random(21)
+    parts = [f"<div><p>part {k}</p>{'<div>inner %d</div>' % (k % 3) if k % 2 else ''}</div>" for k in range(8)]
+    data = []
+    for k in range(60):
+        picked = rng.sample(parts, 3)
+        data.append((k, f"http://h{k % 2}.example/{k}", "".join(picked) + f"<p>Own {k // 2 if k < 10 else k} and more words of it</p>"))
+    data += data[:5]  # repeated rows
+    pages = {}
+    for _, url, page in data:
+        blocks, containers = html_extract.parse(page)
+        host = url.split("/")[2]
+        pages[url] = host, blocks, containers, "\n".join(t for t, own, _, _ in blocks if own)
+    counts = Counter()
+    for host, h, _ in {(host, h, text) for host, _, c, text in pages.values() for h, _ in c if h is not None}:
+        counts[host, h] += 1
+    wanted, changed = {}, 0
+    for url, (host, blocks, containers, _) in pages.items():
+        kept = []
+        for t, own, _, at in blocks:
+            hit = False
+            while at >= 0:
+                hit |= counts[host, containers[at][0]] >= 12
+                at = containers[at][1]
+            if own and not hit:
+                kept.append(t)
+        wanted[url] = "\n\n".join(kept)
+        changed += len(kept) < len(blocks)
+    got = html_extract.extract(spark.createDataFrame(data, "page_id long, url string, html string"), min_pages=12).collect()
+    assert len(got) == 65 and {r["url"]: r["text"] for r in got} == wanted and 0 < changed
+
+
 def test_the_share_of_a_large_host_does_not_grow_with_it(spark):
     data = [(k, f"http://h.example/{k}", ("<div>Notice</div>" if k < 10 else "") + f"<p>Own text {k}</p>") for k in range(40)]
     pages = spark.createDataFrame(data, "page_id long, url string, html string")

@@ -1,7 +1,7 @@
 """Main text of web pages, less the templates of their sites.
 
-Every page is cut into blocks of text, each with the hashes of the container
-subtrees that it stands in. Spark counts for each host on how many pages a subtree
+Every page is cut into blocks of text, each with the innermost container
+that it stands in; containers have the hash of their subtree and their parent. Spark counts for each host on how many pages a subtree
 occurs; subtrees that recur on many pages of the host are its template and
 are deleted. What a site writes anew on each page but isn't the article (menus,
 adverts, forms and so on) is told by its tag, class, id or role.
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from .common import materialize, small_enough
 from .url_filter import host_of
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|[^<]+|<""", re.S)
-_NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+# a quote opens a value only where the value begins
+_VALUE = r"""\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+)"""
+_TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+)(?:>|\Z)|[^<]+|<""", re.S)
+_NAMED = re.compile(rf"""([^\s/>][^\s/>=]*+)({_VALUE})""")
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 # fixed values: tags, and parts of class, id and role, by their part in a page
@@ -53,27 +55,27 @@ def _names(attributes: str) -> tuple[set[str], set[str], list[str]]:
     words: list[str] = []
     if attributes and "=" in attributes:
         for kind, value in _NAMED.findall(attributes):
-            value = value.lower()
-            parts = _PARTS.split(value)
-            if kind.lower() == "role":
+            kind, value = kind.lower(), value.lower().split("=", 1)[1].strip()
+            parts = _PARTS.split(value) if kind in ("class", "id", "role") else []
+            if kind == "role":
                 roles.update(p for p in parts if p)
-            else:
+            elif parts:
                 names.update(p for p in parts if p)
                 words += value.strip("\"'").split()
     return names, roles, words
 
 
 class _Named:
-    """A subtree that is dropped by its name, unless it is found to hold the page's article."""
+    """A subtree that is dropped by its name, unless it is found to hold the page's article; ``over`` is the place of the next one around it."""
 
-    __slots__ = ("whole", "leads", "main", "article", "size")
+    __slots__ = ("whole", "leads", "main", "article", "size", "over")
 
-    def __init__(self, words: list[str], dropped: frozenset[str]):
+    def __init__(self, words: list[str], dropped: frozenset[str], over: int):
         parts = [[p for p in _PARTS.split(w) if p] for w in words]
         self.whole = any(len(p) == 1 and p[0] in dropped for p in parts)
         self.leads = any(p and p[0] in dropped for p in parts)
         self.main = self.article = False
-        self.size = 0
+        self.size, self.over = 0, over
 
     def drops(self, total: int) -> bool:
         if self.main or self.whole:
@@ -82,10 +84,10 @@ class _Named:
 
 
 class _Open:
-    __slots__ = ("tag", "drop", "article", "first", "parts", "named")
+    __slots__ = ("tag", "drop", "article", "first", "named", "at", "parts")
 
-    def __init__(self, tag: str, drop: bool, article: int, first: int, parts: list[str] | None, named: tuple[_Named, ...]):
-        self.tag, self.drop, self.article, self.first, self.parts, self.named = tag, drop, article, first, parts, named
+    def __init__(self, tag: str, drop: bool, article: int, first: int, named: int, at: int, parts: list[str] | None):
+        self.tag, self.drop, self.article, self.first, self.named, self.at, self.parts = tag, drop, article, first, named, at, parts
 
 
 def blocks_of(page: str | None) -> list[tuple[str, bool, list[int]]]:
@@ -93,51 +95,67 @@ def blocks_of(page: str | None) -> list[tuple[str, bool, list[int]]]:
 
     If the page has an article or main element that isn't dropped and holds ``ARTICLE_SHARE`` of the rest, only what is inside one is part of it.
     """
-    blocks = parse(page)
+    blocks, containers = parse(page)
     only = article_alone(blocks)
-    return [(t, own and (inside or not only), chain) for t, own, inside, chain in blocks]
+    out = []
+    for t, own, inside, at in blocks:
+        chain = []
+        while at >= 0:
+            chain += [containers[at][0]] if containers[at][0] is not None else []
+            at = containers[at][1]
+        out.append((t, own and (inside or not only), chain))
+    return out
 
 
-def article_alone(blocks: list[tuple[str, bool, bool, list[int]]]) -> bool:
+def article_alone(blocks: list[tuple[str, bool, bool, int]]) -> bool:
     inside = sum(len(t) for t, own, inside, _ in blocks if own and inside)
     return 0 < inside >= ARTICLE_SHARE * sum(len(t) for t, own, _, _ in blocks if own)
 
 
-def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
-    """(text, not dropped, inside an article or main element, hashes of the containers around it) for each block of text.
+def parse(page: str | None) -> tuple[list[tuple[str, bool, bool, int]], list[tuple[int | None, int]]]:
+    """(text, not dropped, inside an article or main element, innermost container) for each block of text, and (hash, parent) for each container.
 
     A subtree goes by its name, but not if a main element is in it; with a name that has the dropped word as a part only, not
-    if an article is in it, or, where the word isn't the first part, most of the text of the page's paragraphs.
+    if an article is in it, or, where the word isn't the first part, most of the text of the page's paragraphs. Containers
+    come after their parents; the hash is of the names, the text and the containers inside, and null where the
+    container is no template: without text, or with most of an article in it. The time is in proportion to the page, however deep it is nested.
     """
-    out: list[list] = []
+    out: list[tuple[str, bool, int, int, int, bool]] = []  # text, kept, article, container, named subtree, in a paragraph
     stack: list[_Open] = []
     text: list[str] = []
-    articles = 0
-
+    articles = paragraphs = 0
+    opened: dict[str, int] = {}
+    named: list[_Named] = []
+    containers: list[list] = []
     holds: list[tuple[int, int, int, int]] = []
 
     def flush() -> None:
         words = html.unescape("".join(text)).split() if text else ()
         text.clear()
         if words:
-            words = " ".join(words)
-            for node in stack:
-                if node.parts is not None:
-                    node.parts.append(words)
             top = stack[-1] if stack else None
-            named = top.named if top else ()
-            out.append([words, not (top and top.drop), top.article if top else 0, [], named, any(node.tag == "p" for node in stack)])
+            at = top.at if top else -1
+            if at >= 0:
+                containers[at][2].append(" ".join(words))
+            out.append((" ".join(words), not (top and top.drop), top.article if top else 0, at, top.named if top else -1, paragraphs > 0))
 
     def close(k: int) -> None:
+        nonlocal paragraphs
         while len(stack) > k:
             node = stack.pop()
-            if node.parts:
-                own = xxhash.xxh64_intdigest("\x00".join([node.tag, *node.parts]).encode("utf-8", "surrogatepass"))
-                own -= (own >> 63) << 64
-                for block in out[node.first :]:
-                    block[3].append(own)
+            opened[node.tag] -= 1
+            paragraphs -= node.tag == "p"
+            if node.parts is None:
+                continue
+            own = containers[node.at]
+            if own[2]:
+                digest = xxhash.xxh64_intdigest("\x00".join([node.tag, *node.parts, *own[2]]).encode("utf-8", "surrogatepass"))
+                own[0] = digest - ((digest >> 63) << 64)
+                if own[1] >= 0:
+                    containers[own[1]][2].append(f"\x01{digest}")
                 if node.article:
-                    holds.append((own, node.article, node.first, len(out)))
+                    holds.append((node.at, node.article, node.first, len(out)))
+            own[2] = None
 
     at, page = 0, page or ""
     while at < len(page):
@@ -155,7 +173,7 @@ def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
         elif tag == "br":
             text.append(" ")
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if opened.get(tag) else ():
                 if stack[k].tag == tag:
                     close(k)
                     break
@@ -164,7 +182,7 @@ def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
             continue
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK_TAGS:
             continue
-        if block:
+        if block and (paragraphs or tag in PARAGRAPH_TAGS):
             # a block ends an open paragraph; an item ends the item before it
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k].tag == "p" or stack[k].tag == tag and tag in PARAGRAPH_TAGS:
@@ -184,76 +202,111 @@ def parse(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
             articles += 1
             article = articles
         drop = bool(top and top.drop) or tag in DROPPED_TAGS or bool(roles & DROPPED_ROLES) or not article and tag == "header"
-        named = top.named if top else ()
-        if not drop and (main or tag == "article" and not names & DROPPED_NAMES):
-            for over in named:
-                over.main |= main
-                over.article = True
+        over = top.named if top else -1
+        if over >= 0 and not drop and (main or tag == "article" and not names & DROPPED_NAMES):
+            named[over].main |= main
+            named[over].article = True
         dropped = DROPPED_NAMES | {"header"} if not article and tag in CONTAINERS else DROPPED_NAMES
         if tag not in ("html", "body", "article", "main") and names & dropped:
-            named = (*named, _Named(words, dropped))
+            named.append(_Named(words, dropped, over))
             named[-1].main, named[-1].article = main, "article" in roles
-        content = bool(article and tag in CONTENT_TAGS)
-        parts: list[str] | None = [" ".join(sorted(names))] if tag in CONTAINERS and not content else None
-        stack.append(_Open(tag, drop, article, len(out), parts, named))
+            over = len(named) - 1
+        holder, parts = top.at if top else -1, None
+        if tag in CONTAINERS and not (article and tag in CONTENT_TAGS):
+            containers.append([None, holder, []])
+            holder, parts = len(containers) - 1, [" ".join(sorted(names))]
+        opened[tag] = opened.get(tag, 0) + 1
+        paragraphs += tag == "p"
+        stack.append(_Open(tag, drop, article, len(out), over, holder, parts))
     flush()
     close(0)
     # where no paragraph is marked, all text counts
-    marked = any(own and p for _, own, _, _, _, p in out)
+    marked = any(kept and p for _, kept, _, _, _, p in out)
     total = 0
-    for t, own, _, _, named, p in out:
-        if own and (p or not marked):
+    for t, kept, _, _, over, p in out:
+        if kept and (p or not marked):
             total += len(t)
-            for over in named:
-                over.size += len(t)
-    made = [(t, own and not any(over.drops(total) for over in named), article > 0, chain) for t, own, article, chain, named, _ in out]
+            if over >= 0:
+                named[over].size += len(t)
+    for one in reversed(named):  # what is inside comes after what is around it
+        if one.over >= 0:
+            around = named[one.over]
+            around.size += one.size
+            around.main |= one.main
+            around.article |= one.article
+    gone: list[bool] = []
+    for one in named:
+        gone.append(one.drops(total) or one.over >= 0 and gone[one.over])
+    blocks = [(t, kept and not (over >= 0 and gone[over]), article > 0, holder) for t, kept, article, holder, over, _ in out]
     # what holds most of an article is no template
     sizes: dict[int, int] = {}
-    for block, (t, own, _, _) in zip(out, made, strict=True):
-        sizes[block[2]] = sizes.get(block[2], 0) + own * len(t)
-    for own_hash, article, a, b in holds:
-        if 2 * sum(len(t) for t, own, _, _ in made[a:b] if own) > sizes[article] > 0:
-            for *_, chain in made[a:b]:
-                chain[:] = [h for h in chain if h != own_hash]
-    return made
+    upto = [0]
+    for (_, _, article, *_), (t, own, _, _) in zip(out, blocks, strict=True):
+        sizes[article] = sizes.get(article, 0) + own * len(t)
+        upto.append(upto[-1] + own * len(t))
+    for holder, article, a, b in holds:
+        if 2 * (upto[b] - upto[a]) > sizes.get(article, 0) > 0:
+            containers[holder][0] = None
+    return blocks, [(h, parent) for h, parent, _ in containers]
 
 
-_BLOCK = pa.struct([("text", pa.string()), ("own", pa.bool_()), ("inside", pa.bool_()), ("chain", pa.list_(pa.int64()))])
+_BLOCK = pa.struct([("text", pa.string()), ("own", pa.bool_()), ("inside", pa.bool_()), ("at", pa.int32())])
+_PARSED = pa.struct([("blocks", pa.list_(_BLOCK)), ("hashes", pa.list_(pa.int64())), ("parents", pa.list_(pa.int32())), ("page", pa.int64())])
 
 
 def parsed_blocks(page: Column) -> Column:
-    """The blocks of a page and the distinct hashes around them."""
+    """The blocks of a page, the hashes and parents of its containers, and a hash of its own text."""
 
-    @F.arrow_udf("struct<blocks:array<struct<text:string,own:boolean,inside:boolean,chain:array<long>>>,hashes:array<long>,page:long>")
+    @F.arrow_udf("struct<blocks:array<struct<text:string,own:boolean,inside:boolean,at:int>>,hashes:array<long>,parents:array<int>,page:long>")
     def parsed(pages: pa.Array) -> pa.Array:
         made = []
         for raw in pages.to_pylist():
-            blocks = parse(raw)
+            blocks, containers = parse(raw)
             only = article_alone(blocks)
             page = xxhash.xxh64_intdigest("\n".join(t for t, own, inside, _ in blocks if own and (inside or not only)).encode("utf-8", "surrogatepass"))
-            page -= (page >> 63) << 64
-            hashes = sorted({h for *_, chain in blocks for h in chain})
-            made.append({"blocks": [{"text": t, "own": own, "inside": inside, "chain": chain} for t, own, inside, chain in blocks], "hashes": hashes, "page": page})
-        return pa.array(made, pa.struct([("blocks", pa.list_(_BLOCK)), ("hashes", pa.list_(pa.int64())), ("page", pa.int64())]))
+            rows = [{"text": t, "own": own, "inside": inside, "at": at} for t, own, inside, at in blocks]
+            made.append({"blocks": rows, "hashes": [h for h, _ in containers], "parents": [p for _, p in containers], "page": page - ((page >> 63) << 64)})
+        return pa.array(made, _PARSED)
 
     return parsed(page)
 
 
-def _known(often: DataFrame, host: Column, hashes: Column) -> Column:
-    """Those of a page's hashes that are template on its host."""
+def _inside(hit: list[bool], parents: list[int]) -> list[bool]:
+    """Whether each container is a hit or stands inside one; parents come first."""
+    out: list[bool] = []
+    for own, parent in zip(hit, parents, strict=True):
+        out.append(bool(own) or parent >= 0 and out[parent])
+    return out
+
+
+def _gone(often: DataFrame, host: Column, hashes: Column, parents: Column) -> Column:
+    """Whether each of a page's containers is template on its host, or inside one that is."""
     found = often.select(F.xxhash64("host", "subtree").alias("key")).toArrow()["key"].to_numpy()
     keys = often.sparkSession.sparkContext.broadcast(np.sort(found))
 
     @F.arrow_udf("array<boolean>")
-    def known(asked: pa.Array) -> pa.Array:
-        every = keys.value
-        flat = asked.flatten().to_numpy(zero_copy_only=False)
-        at = np.minimum(np.searchsorted(every, flat), max(len(every) - 1, 0))
-        hits = every[at] == flat if len(every) else np.zeros(len(flat), dtype=bool)
-        return pa.ListArray.from_arrays(np.append(0, np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int32), pa.array(hits))
+    def gone(asked: pa.Array, above: pa.Array) -> pa.Array:
+        every, out = keys.value, []
+        for own, parents in zip(asked, above.to_pylist(), strict=True):
+            own = own.values.to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(every, own), max(len(every) - 1, 0))
+            hit = every[at] == own if len(every) else np.zeros(len(own), dtype=bool)
+            out.append(_inside(hit.tolist(), parents) if hit.any() else [False] * len(own))
+        return pa.array(out, pa.list_(pa.bool_()))
+
+    # a container without a hash asks for a key that no template has: its own hash of null
+    return gone(F.transform(hashes, lambda h: F.when(h.isNotNull(), F.xxhash64(host, h)).otherwise(F.xxhash64(F.lit("no template"), F.lit(0)))), parents)
+
+
+def _gone_of(hashes: Column, parents: Column, templates: Column) -> Column:
+    """As ``_gone``, by the list of the page's own templates."""
+
+    @F.arrow_udf("array<boolean>")
+    def gone(asked: pa.Array, above: pa.Array, known: pa.Array) -> pa.Array:
+        rows = zip(asked.to_pylist(), above.to_pylist(), known.to_pylist(), strict=True)
+        return pa.array([_inside([h in set(t) for h in own] if t else [False] * len(own), parents) for own, parents, t in rows], pa.list_(pa.bool_()))
 
-    hit = known(F.transform(hashes, lambda h: F.xxhash64(host, h)))
-    return F.transform(F.filter(F.arrays_zip(hashes.alias("h"), hit.alias("hit")), lambda z: z["hit"]), lambda z: z["h"])
+    return gone(hashes, parents, templates)
 
 
 #: Template subtrees that are broadcast at most; beyond that the subtrees of the pages are joined by host, subtree and salt.
@@ -269,8 +322,8 @@ def extract(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.01, ur
     with the logarithm of the host's pages. Pages of a host whose own text is the same count once.
     Lists and tables of an article and what holds most of it are no template. Blocks of the article
     are kept as they stand, with white space made single; they are joined by an
-    empty line. Null or empty html has the text ''. Null urls are
-    one host. An empty table gives an
+    empty line. Null or empty html has the text ''; very long pages are read whole. Null urls are
+    one host. Repeated rows count once and get the same text. An empty table gives an
     empty one. Input columns called like an output column are replaced.
     ``columns``: the input columns to return, all by default.
     """
@@ -279,7 +332,8 @@ def extract(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.01, ur
     host = host_of(F.col(url_col)).alias("host")
     rows = materialize(pages.select(picked, F.monotonically_increasing_id().alias("uid"), host, parsed_blocks(F.col(html_col)).alias("parsed")), "html-blocks")
     total = rows.groupBy("host").agg(F.count_distinct("parsed.page").alias("pages"))
-    seen = rows.select("uid", "host", F.col("parsed.page").alias("page"), F.explode("parsed.hashes").alias("subtree"))
+    subtrees = F.array_distinct(F.filter("parsed.hashes", lambda h: h.isNotNull()))
+    seen = rows.select("uid", "host", F.col("parsed.page").alias("page"), F.explode(subtrees).alias("subtree"))
     counts = seen.groupBy("host", "subtree").agg(F.count_distinct("page").alias("n"))
     # subtrees below the fixed number go before the join by host
     share = F.col("pages") * min_share
@@ -287,13 +341,14 @@ def extract(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.01, ur
     often = counts.where(F.col("n") >= min_pages).join(total, "host").where(F.col("n") >= least)
     often = materialize(often.select("host", "subtree"), "html-templates")
     if small_enough(often, BROADCAST_SUBTREES):
-        joined = rows.withColumn("templates", _known(often, F.col("host"), F.col("parsed.hashes")))
+        joined = rows.withColumn("gone", _gone(often, F.col("host"), F.col("parsed.hashes"), F.col("parsed.parents")))
     else:
         dealt = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         found = seen.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int")).join(dealt, ["host", "subtree", "salt"])
         joined = rows.join(found.groupBy("uid").agg(F.collect_list("subtree").alias("templates")), "uid", "left")
-    known = F.coalesce(F.col("templates"), F.array().cast("array<long>"))
-    kept = F.filter("parsed.blocks", lambda b: ~F.arrays_overlap(b["chain"], known))
+        templates = F.coalesce(F.col("templates"), F.array().cast("array<long>"))
+        joined = joined.withColumn("gone", _gone_of(F.col("parsed.hashes"), F.col("parsed.parents"), templates))
+    kept = F.filter("parsed.blocks", lambda b: (b["at"] < 0) | ~F.get("gone", b["at"]))
     joined = joined.withColumn("kept", kept)
     joined = joined.withColumn("own", F.filter("kept", lambda b: b["own"])).withColumn("article", F.filter("own", lambda b: b["inside"]))
     size = lambda c: F.aggregate(c, F.lit(0), lambda n, b: n + F.char_length(b["text"]))

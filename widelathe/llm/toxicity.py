@@ -180,7 +180,7 @@ def lambda_of(histogram: dict[float, int]) -> float:
     return max(0.05, high)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", max_labelled: int = 200_000, drift: float = -0.3, prior: float = 0.1, weak: float = 2.5, least: float = -1.0, height: float = 4.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", max_labelled: int = 200_000, drift: float = -0.6, prior: float = 0.1, weak: float = 2.5, least: float = -1.0, height: float = 4.0) -> Model:
     """Learns from the labelled rows that aren't held out; the prior counts every text.
 
     ``max_labelled`` bounds the labelled rows, and with them the words that the model has a score for. ``prior`` is
