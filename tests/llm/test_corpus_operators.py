@@ -357,7 +357,7 @@ def test_toxicity_of_held_out_rows(small):
 
 
 def test_toxic_passages_lie_in_the_text(spark, small):
-    model = toxicity.Model({b"vile": 6.0, b"foul*": 6.0}, -0.3, 1.0, 0.01, (-3.0, 2.0, 2.0))
+    model = toxicity.Model({b"vile": (6.0, 9.0), b"foul*": (6.0, 9.0)}, -0.3, 1.0, 0.01, (-3.0, 2.0, 2.0))
     df = spark.createDataFrame([("Così, là: the vile, foulness here. " + "and so on " * 50 + "a Vile one", 1), ("clean text", 2), (None, 3)], "text string, score int")
     first, second, third = toxicity.score(df, model, spans=True).collect()
     assert [first["text"][p["start"] : p["end"]] for p in first["passages"]] == ["vile, foulness", "Vile"]
