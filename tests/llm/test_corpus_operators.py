@@ -500,7 +500,7 @@ def test_blocks_are_loaded_once_while_they_are_kept(spark, monkeypatch):
         for f in folders:
             decontaminate._block(f)
     assert sorted(loaded) == sorted(folders) and len(folders) == 4
-    assert sum(len(decontaminate._block(f)[1]) for f in folders) == 7 * 5
+    assert sum(len(decontaminate._block(f)) for f in folders) == 7 * 5
 
 
 # --- Exact dedup

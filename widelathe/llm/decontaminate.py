@@ -1,9 +1,9 @@
 """Benchmark decontamination by Aho-Corasick.
 
 The windows of all test items (runs of ten words; a shorter item is one window)
-form an automaton over normalised words. Each document is normalised the same
-way and scanned once; every match is a run of words, and through the
-words' offsets a range of the original text.
+form an automaton over normalised text. Each document is normalised the same
+way and scanned once; every match is mapped back to a run of words, and through the
+words' offsets to a range of the original text.
 
 Spark makes the windows, joins those that several items have, deals them into blocks of
 bounded size and writes these to the shared folder. A worker loads a block when it needs
@@ -24,10 +24,10 @@ from .common import fresh, materialize, new_path, without
 from .words import LETTERS, letter_words, utf8
 
 #: Windows of one automaton; a larger benchmark has several, by which each batch of texts is scanned in turn.
-BLOCK_WINDOWS = 100_000
+BLOCK_WINDOWS = 25_000
 #: Automata that a worker keeps at most.
 KEPT_AUTOMATA = 4
-_kept: OrderedDict[str, tuple[dict[bytes, int], ahocorasick.Automaton]] = OrderedDict()
+_kept: OrderedDict[str, ahocorasick.Automaton] = OrderedDict()
 
 RESULT = "struct<n_words:long,n_hit:long,spans:array<struct<start:int,end:int>>,items:array<string>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -63,25 +63,23 @@ def write_blocks(windows: DataFrame) -> list[str]:
     return [f"{path}/block={k}" for k in range(blocks)]
 
 
-def load_block(folder: str) -> tuple[dict[bytes, int], ahocorasick.Automaton]:
-    """(numbers of words, automaton over such numbers) of a block, in a task."""
+def load_block(folder: str) -> ahocorasick.Automaton:
+    """The automaton of a block's windows, each with a space at either end, in a task."""
     import pyarrow.parquet as pq
     from pyarrow import fs
 
     store, path = fs.FileSystem.from_uri(folder)
-    numbers: dict[bytes, int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    automaton = ahocorasick.Automaton()
     for info in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
         if info.base_name.endswith(".parquet"):
             table = pq.read_table(info.path, columns=["window", "items"], filesystem=store, partitioning=None)
             for window, items in zip(table["window"].to_pylist(), table["items"].to_pylist(), strict=True):
-                words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in window.split(b" "))
-                automaton.add_word(words, (len(words), tuple(items)))
+                automaton.add_word(f" {window.decode('utf-8', 'surrogatepass')} ", (window.count(b" ") + 1, tuple(items)))
     automaton.make_automaton()
-    return numbers, automaton
+    return automaton
 
 
-def _block(folder: str) -> tuple[dict[bytes, int], ahocorasick.Automaton]:
+def _block(folder: str) -> ahocorasick.Automaton:
     """Loaded once in each Python worker, as long as it is among the last ``KEPT_AUTOMATA`` ones."""
     if folder not in _kept:
         while len(_kept) >= KEPT_AUTOMATA:
@@ -116,18 +114,24 @@ def _scanned(text: Column, folders: list[str]) -> Column:
     @F.arrow_udf(RESULT)
     def scanned(texts: pa.Array) -> pa.Array:
         raws = utf8(texts)
+        plain, sizes = [], []
+        for raw in raws:
+            words = letter_words(raw)
+            sizes.append(len(words))
+            plain.append(f" {b' '.join(words).decode('utf-8', 'surrogatepass')} " if words else "")
         found: list[list[tuple[int, int]]] = [[] for _ in raws]
         items: list[set[str]] = [set() for _ in raws]
-        sizes = [0] * len(raws)
         # a batch meets one automaton after the other: each is loaded once for a batch at most
-        for folder in folders or [None]:
-            get, automaton = (None, None) if folder is None else (lambda b: (b[0].get, b[1]))(_block(folder))
-            for k, raw in enumerate(raws):
-                words = letter_words(raw)
-                sizes[k] = len(words)
-                if automaton is not None and words and len(automaton):
-                    for end, (count, ids) in automaton.iter(tuple([get(w, 0) for w in words])):
-                        found[k].append((end - count + 1, end))
+        for folder in folders:
+            automaton = _block(folder)
+            for k, text in enumerate(plain if len(automaton) else ()):
+                hits = list(automaton.iter(text)) if text else ()
+                if hits:
+                    # a match ends with the space after its last word: as many spaces stand before as the words up to it
+                    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 32)
+                    last = np.searchsorted(spaces, [end for end, _ in hits]) - 1
+                    for stop, (_, (count, ids)) in zip(last.tolist(), hits, strict=True):
+                        found[k].append((stop - count + 1, stop))
                         items[k].update(ids)
         made = []
         for raw, n, hits, ids in zip(raws, sizes, found, items, strict=True):

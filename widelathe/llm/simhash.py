@@ -154,7 +154,7 @@ def simhash_components(docs: DataFrame, *, k: int = 3, tau: int = 2, id_col: str
 BAND_ROWS, BANDS = 3, 16
 #: Texts, or the share of them if that is more, of which the shingles are counted; counts from which a shingle is common, and common shingles that are kept at most.
 #: They set the order of the shingles, which decides the work but not the pairs found.
-SAMPLED, SAMPLED_SHARE, COMMON_FROM, COMMON = 4_000, 1 / 20, 3, 500_000
+SAMPLED, SAMPLED_SHARE, COMMON_FROM, COMMON = 4_000, 1 / 20, 3, 300_000
 #: Texts with one shingle that are compared with the others in one block.
 BLOCK = 1024
 #: Bits of a text's parity bitmap, and at most those of the wide one that a text with more than ``BITMAP // 4`` shingles has too; powers of two.
