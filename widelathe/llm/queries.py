@@ -89,8 +89,8 @@ urls AS (SELECT page_id,
     translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{_UPPER}', '{_UPPER.lower()}') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 numbered AS (SELECT *, row_number() OVER () AS n FROM urls),
-fits AS (SELECT n, arg_max(rhost || rpath, length(rhost) * 1000 + length(rpath) * 1001) AS rule,
-    arg_max(rverdict, length(rhost) * 1000 + length(rpath) * 1001) AS verdict
+fits AS (SELECT n, arg_max(rhost || rpath, length(rhost) * 1001 + length(rpath) * 1000) AS rule,
+    arg_max(rverdict, length(rhost) * 1001 + length(rpath) * 1000) AS verdict
     FROM numbered JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY n)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM numbered LEFT JOIN fits USING (n)
 """
