@@ -307,12 +307,24 @@ def test_similar_sets_share_a_prefix():
             a = rng.integers(0, 2**64, n, dtype=np.uint64)
             b = np.append(a[: max(1, n - int(rng.integers(0, n // 5 + 1)))], rng.integers(0, 2**64, int(rng.integers(0, n // 5 + 1)), dtype=np.uint64))
             both = len(np.intersect1d(a, b))
-            known = np.sort(rng.choice(a, n // 2).view(np.int64))
-            x, y = (simhash.prefix_of(c, 0.8, known, np.arange(len(known)) + 3) for c in (a, b))
+            times = np.zeros(1 << simhash.COUNTER_BITS, dtype=np.int64)
+            np.add.at(times, simhash.counters(rng.choice(a, n // 2)), rng.integers(1, 9, n // 2))
+            x, y = (simhash.prefix_of(c, 0.8, times) for c in (a, b))
             assert len(x) == n // 5 + 1
             assert both < 0.8 * (len(a) + len(b) - both) or set(x) & set(y)
 
 
+def test_histogram_counts_the_shingles_of_all_texts(spark, documents):
+    data = [(r["text"],) for r in documents.collect()] + [(None,), ("",), ("a b",)]
+    wanted = np.zeros(1 << simhash.COUNTER_BITS, dtype=np.int64)
+    for (text,) in data:
+        for x in shingles(text):
+            wanted[xxhash.xxh64_intdigest(" ".join(x), 42) >> (64 - simhash.COUNTER_BITS)] += 1
+    df = spark.createDataFrame(data, "text string").repartition(3)
+    assert (simhash._histogram(df, "text", 5) == wanted).all()
+    assert not simhash._histogram(df.limit(0), "text", 5).any()
+
+
 # --- Toxicity
 
 

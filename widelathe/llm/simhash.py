@@ -152,9 +152,8 @@ def simhash_components(docs: DataFrame, *, k: int = 3, tau: int = 2, id_col: str
 
 #: Minimum hashes in a band, and bands, of the way by which large groups are found first.
 BAND_ROWS, BANDS = 3, 16
-#: Texts, or the share of them if that is more, of which the shingles are counted; counts from which a shingle is common, and common shingles that are kept at most.
-#: They set the order of the shingles, which decides the work but not the pairs found.
-SAMPLED, SAMPLED_SHARE, COMMON_FROM, COMMON = 4_000, 1 / 20, 3, 300_000
+#: Bits of a shingle's hash that tell its counter. The counters cover all texts; they set the order of the shingles, which decides the work but not the pairs found.
+COUNTER_BITS = 19
 #: Texts with one shingle that are compared with the others in one block.
 BLOCK = 1024
 #: Bits of a text's parity bitmap, and at most those of the wide one that a text with more than ``BITMAP // 4`` shingles has too; powers of two.
@@ -203,49 +202,50 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def prefix_of(own: np.ndarray, least: float, known: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """The first members of a set, rarest first: two sets of the similarity ``least`` have one of these in common."""
-    own = np.unique(own).view(np.int64)
-    size = len(own) - math.ceil(least * len(own) - 1e-9) + 1
-    rank = np.zeros(len(own), dtype=np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-        rank = np.where(known[at] == own, times[at], 0)
-    return own[np.lexsort((own, rank))[:size]]
+def counters(own: np.ndarray) -> np.ndarray:
+    """The counter of each shingle: the top bits of its hash, as tokens are its low ones."""
+    return (own >> np.uint64(BITS - COUNTER_BITS)).astype(np.int64)
+
 
+def prefix_of(own: np.ndarray, least: float, times: np.ndarray) -> np.ndarray:
+    """The first members of a set, rarest first by ``times`` of their counters: two sets of the similarity ``least`` have one of these in common."""
+    own = np.unique(own)
+    size = len(own) - math.ceil(least * len(own) - 1e-9) + 1
+    return own[np.lexsort((own, times[counters(own)]))[:size]].view(np.int64)
 
-def _shingles(text: Column, k: int) -> Column:
-    @F.arrow_udf("array<long>")
-    def distinct(texts: pa.Array) -> pa.Array:
-        return pa.array([np.unique(shingle_hashes(raw, k)).view(np.int64) for raw in utf8(texts)], pa.list_(pa.int64()))
 
-    return distinct(text)
+def _histogram(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
+    """For each counter the number of (text, shingle of it) over all texts; as large for any number of texts."""
 
+    def count(batches):
+        times = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+        for batch in batches:
+            for raw in utf8(batch.column(0)):
+                np.add.at(times, counters(np.unique(shingle_hashes(raw, k))), 1)
+        met = np.flatnonzero(times)
+        for at in range(0, len(met), _COUNTED):
+            own = met[at : at + _COUNTED]
+            yield pa.RecordBatch.from_pydict({"counter": pa.array(own, pa.int32()), "n": pa.array(times[own])})
 
-def _common(docs: DataFrame, text_col: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles in ascending order, their counts) of those that are common in a sample of the texts."""
-    share = max(SAMPLED / max(1, docs.count()), SAMPLED_SHARE)
-    sample = docs.select(text_col) if share >= 1 else docs.select(text_col).sample(share, seed=1)
-    counts = sample.select(F.explode(_shingles(F.col(text_col), k)).alias("token")).groupBy("token").count().where(F.col("count") >= COMMON_FROM)
-    found = counts.orderBy(F.desc("count"), "token").limit(COMMON).toArrow()
-    tokens, times = found["token"].to_numpy(), found["count"].to_numpy()
-    order = np.argsort(tokens)
-    return tokens[order], times[order]
+    found = docs.select(text_col).mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    times = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    times[found["counter"].to_numpy()] = found["n"].to_numpy()
+    return times
 
 
-def _signature(text: Column, k: int, least: float, common) -> Column:  # noqa: ANN001
+def _signature(text: Column, k: int, least: float, histogram) -> Column:  # noqa: ANN001
     """128 bits that tell the word sequence, the fingerprint, and of the set of shingles: its size, band keys, first members and bitmap."""
 
     @F.arrow_udf(SIGNATURE)
     def sign(texts: pa.Array) -> pa.Array:
-        known, times = common.value
+        times = histogram.value
         made = []
         for raw in utf8(texts):
             hashes = shingle_hashes(raw, k)
             own = np.unique(hashes)
             s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(space_words(raw))), dtype=np.int64)
             fp = fingerprint_of(hashes)
-            tokens = prefix_of(own, least, known, times).astype(np.int32)
+            tokens = prefix_of(own, least, times).astype(np.int32)
             made.append({"s1": s1, "s2": s2, "fp": fp - ((fp >> 63) << 64), "n": len(own), "bands": band_keys(own), "tokens": tokens, "bits": parity_bits(own, BITMAP), "wide": wide_bits(own)})
         return pa.array(made, _SIGNATURE)
 
@@ -405,16 +405,16 @@ def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, i
 
     Texts are near copies if the sets of their ``k``-word shingles have a Jaccard similarity of ``least`` or
     more. Large groups are found first: each text is compared with the first text whose fingerprint it is linked to within ``tau`` bits,
-    and with the heads of its bands of minimum hashes. Then all texts of different groups that share one of their rarest shingles are
+    and with the heads of its bands of minimum hashes. How rare a shingle is comes from a histogram of all texts' shingles, of a fixed size. Then all texts of different groups that share one of their rarest shingles are
     candidates, less those whose bitmaps show that they can't be similar; no similar pair is missed. Every candidate pair is compared
     by its whole shingle sets. Null and empty texts are equal to each other; a text of fewer than ``k`` words is one shingle. Rows that
     tie (a repeated row, or null ids) count as copies too. Very long texts are compared whole. An empty table gives an empty one.
     """
-    common = docs.sparkSession.sparkContext.broadcast(_common(docs, text_col, k))
+    histogram = docs.sparkSession.sparkContext.broadcast(_histogram(docs, text_col, k))
     everything = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(everything.alias("row"), F.monotonically_increasing_id().alias("uid"), _signature(F.col(text_col), k, least, common).alias("sig"))
+    rows = docs.select(everything.alias("row"), F.monotonically_increasing_id().alias("uid"), _signature(F.col(text_col), k, least, histogram).alias("sig"))
     rows = materialize(rows, "near-rows")
-    common.unpersist()
+    histogram.unpersist()
     near = _Near(rows.select("uid", F.col(f"row.`{text_col}`").alias("text"), "sig"), k, least, tau)
     groups = materialize(near.groups(), "near-groups")
     id_ = F.col(f"row.`{id_col}`")
