@@ -122,14 +122,23 @@ class Model:
 
     ``scores`` has (score, standard errors from zero). Of a word and its stems the one with the most evidence gives the score;
     a word without any has the prior's, zero. The drift is added to each, so that chance alone makes no long segments.
+    The driver holds and hands on an Arrow table (word, score, z), of which a worker makes its dictionary.
     """
 
-    def __init__(self, scores: dict[bytes, tuple[float, float]], drift: float, lam: float, k: float, curve: tuple[float, float, float]):
-        self.scores, self.drift, self.lam, self.k, self.curve = scores, drift, lam, k, curve
+    def __init__(self, scores: dict[bytes, tuple[float, float]] | pa.Table, drift: float, lam: float, k: float, curve: tuple[float, float, float]):
+        if isinstance(scores, dict):
+            columns = [list(scores), [s for s, _ in scores.values()], [z for _, z in scores.values()]]
+            scores = pa.table([pa.array(v, t) for v, t in zip(columns, (pa.binary(), pa.float64(), pa.float64()), strict=True)], ["word", "score", "z"])
+        self.table, self.drift, self.lam, self.k, self.curve = scores, drift, lam, k, curve
         self.memo: dict[bytes, float] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}}
+        return {name: v for name, v in self.__dict__.items() if name != "scores"} | {"memo": {}}
+
+    @functools.cached_property
+    def scores(self) -> dict[bytes, tuple[float, float]]:
+        words, *values = (c.to_pylist() for c in self.table.columns)
+        return dict(zip(words, zip(*values, strict=True), strict=True))
 
     def score(self, word: bytes) -> float:
         found = [self.scores.get(word), *[self.scores.get(word[:n] + b"*") for n in STEMS if len(word) >= n]]
@@ -193,8 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", max_labell
     stems = [g.agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n0")]) for g in stems]
     total = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("n", "n1", "n0")]).first()
     counts = log_odds(functools.reduce(DataFrame.unionByName, [words, *stems]).where("n1 + n0 > 0"), total.asDict(), prior, weak, least)
-    found = counts.where("score != 0").select("word", "score", F.abs("z").alias("z")).toArrow()
-    scores = dict(zip(found["word"].to_pylist(), zip(found["score"].to_pylist(), found["z"].to_pylist(), strict=True), strict=True))
+    scores = counts.where("score != 0").select("word", "score", F.abs("z").alias("z")).toArrow()
     train = labelled(docs, labels, target, max_labelled, "inner")
     if not total["n1"] or not total["n0"]:
         n, y = train.agg(F.count("y"), F.coalesce(F.sum("y"), F.lit(0))).first()
