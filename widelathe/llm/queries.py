@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_extract, mixing, quality, sharding, simhash, token_output, toxicity, url_filter
+from . import decontaminate, exact_dedup, hard_negatives, html_extract, licences, mixing, quality, sharding, simhash, spelling, token_output, toxicity, url_filter
 from .common import held_out, utf8_size
 
 SHARDS = 40
@@ -76,8 +76,27 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_table(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=0)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licences.scan(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    labels = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", *labels, "score", "obligation")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(_read(spark, sf_dir, "documents"), least_letters=5, least_n=3, slip_one_in=97)
+    return spelling.group_variants(words, ratio=2.0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vector, id_ = F.col("embedding"), F.col("vec_id")
+    rows = _read(spark, sf_dir, "embeddings").where(F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
+    label = F.when(id_ % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    whole = F.transform(vector, lambda v: F.floor(v.cast("double") * 256)).alias("embedding")
+    return hard_negatives.mine(rows.select("vec_id", label, whole), id_ % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_html_extraction, op2_simhash_near_dedup, op3_toxicity, op4_sharding, op5_url_filter, op6_mixing, op7_quality, op8_decontamination, op9_exact_dedup, op10_token_output)
+    own = (op1_html_extraction, op2_simhash_near_dedup, op3_toxicity, op4_sharding, op5_url_filter, op6_mixing, op7_quality, op8_decontamination, op9_exact_dedup, op10_token_output, op11_license_scan, op12_spelling_variants, op13_hard_negatives)
     return {f.__name__: f for f in own}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
@@ -28,3 +29,10 @@ def space_words(text: bytes | None) -> list[bytes]:
 def letter_words(text: bytes | None) -> list[bytes]:
     """Runs of ASCII letters and digits and of anything beyond ASCII, A-Z lower-cased."""
     return text.translate(LETTERS).split() if text else []
+
+
+def word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets at which the ``letter_words`` of a text start and end."""
+    flags = np.frombuffer(raw.translate(LETTERS), dtype=np.uint8) != 0x20
+    edge = np.diff(np.concatenate(([0], flags.view(np.int8), [0])))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
