@@ -56,7 +56,7 @@ def test_scope_fallback_is_decided_for_each_endpoint(spark):
 
 def test_outcomes_complement(spark):
     data = [("a", "", "e", "ammessi", "", 98.5, 1), ("a", "", "e", "Non ammessi", "", 1.0, 2)]
-    row = blocks.aggregate_blocks(spark.createDataFrame(data, LONG), [Outcomes("e", label="o")]).first()
+    row = blocks.aggregate_blocks(spark.createDataFrame(data, LONG), [Outcomes("e", label="o", suffix="")]).first()
     assert (row["o_ammessi"], row["o_non_ammessi"], row["o_sospesi"], row["o_tasso_non_ammessi_pct"]) == (98.5, 1.0, None, 1.5)
 
 

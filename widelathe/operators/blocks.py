@@ -1,8 +1,10 @@
 """Blocks of wide columns, each derived from one endpoint of the long table.
 
-A block lists aggregates with a filter on its endpoint; ``aggregate_blocks`` puts
-the aggregates of all blocks into one pass over the long table, grouped by
-entity, instead of one aggregation and join for each.
+The long table is read once. ``summarize`` reduces it to one row for each entity,
+endpoint and what a block tells apart there (category, year, scope), with the first value, count and sum; tasks
+combine before the shuffle. All else is taken from this small table, which is written: in which endpoints and areas
+any row is in scope, which categories and years there are, and the wide columns themselves, all blocks in one aggregation.
+A block whose columns come from the data gathers a map in it, from category to first value, instead of an aggregate for each.
 """
 
 from __future__ import annotations
@@ -14,9 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import year_index
-from ..functions.text import slug, slug_or
+from ..functions.text import slug_or
+from ..shared import materialize, small_enough
 from .dedup import first_by
-from .reports import pivot_first
 
 # Midpoints of grade bins, and which bins are low and top.
 EXAM_BINS = {"60": 60.0, "61_70": 65.5, "71_80": 75.5, "81_90": 85.5, "91_99": 95.0, "100": 100.0, "100_e_lode": 101.0}
@@ -56,11 +58,15 @@ def row_mean(columns: list[Column]) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.nullif(F.size(values), F.lit(0))
 
 
+#: Areas and endpoints whose scopes are broadcast at most.
+BROADCAST_SCOPES = 100_000
+
+
 @dataclass(frozen=True)
 class Block:
-    """Aggregates over the rows of one endpoint; ``value`` and ``order`` are columns of the long table.
+    """Columns out of the rows of one endpoint; ``value`` and ``order`` are columns of the long table.
 
-    ``_year`` and ``_slug`` of the category are worked out once for all blocks.
+    ``needs`` says what of a row the block tells apart: ``cat``, ``year``, ``scope``. The aggregates run over a summary.
     """
 
     endpoint: str
@@ -69,28 +75,70 @@ class Block:
     order: str = "src_ord"
     scoped: bool = False
 
+    @property
+    def needs(self) -> frozenset[str]:
+        return frozenset(["scope"] if self.scoped else [])
+
+    #: The column of the summary whose values become columns, if they aren't listed.
+    open_by = None
+
     def rows(self) -> Column:
-        here = (F.col("endpoint_key") == self.endpoint) & F.col(self.value).isNotNull()
+        here = (F.col("_ep") == self.endpoint) & (self.count > 0)
         return here & F.col("_kept") if self.scoped else here
 
-    def aggregates(self) -> dict[str, Column]:
+    @property
+    def first(self) -> Column:
+        return F.col(f"_first_{self.value}")
+
+    @property
+    def at(self) -> Column:
+        return F.col(f"_ord_{self.value}")
+
+    @property
+    def count(self) -> Column:
+        return F.col(f"_n_{self.value}")
+
+    @property
+    def total(self) -> Column:
+        return F.col(f"_sum_{self.value}")
+
+    def first_where(self, here: Column) -> Column:
+        return first_by(self.first, self.at, here)
+
+    def aggregates(self, found: list) -> dict[str, Column]:
+        """Aggregates by column name; ``found`` has the values of ``open_by``, in order."""
         raise NotImplementedError
 
+    def finish(self, wide: DataFrame, found: list) -> DataFrame:
+        """What is left to do once the aggregates are there."""
+        return wide
+
 
 @dataclass(frozen=True)
 class Years(Block):
-    """First value of each year, mean of all, mean of years 1 and 2, slope over years 1 to 5."""
+    """First value of each year, mean of all, mean of years 1 and 2, slope over years 1 to 5.
+
+    ``years`` lists the years with a column of their own; without a list those that the data have get one, calendar years too.
+    """
 
     label: str = ""
-    years: tuple[int, ...] = (1, 2, 3, 4, 5)
-
-    def aggregates(self) -> dict[str, Column]:
-        v, y, here = F.col(self.value), F.col("_year"), self.rows()
-        out = {f"{self.label}_y{k}": first_by(v, F.col(self.order), here & (y == k)) for k in self.years}
-        out[f"{self.label}_mean_y"] = F.avg(F.when(here & y.isNotNull(), v))
-        out[f"{self.label}_mean_y1y2"] = F.avg(F.when(here & y.isin(1, 2), v))
-        fits = here & y.between(1, 5)
-        out[f"{self.label}_slope_y"] = F.regr_slope(F.when(fits, v), F.when(fits, y.cast("double")))
+    years: tuple[int, ...] | None = None
+
+    @property
+    def needs(self) -> frozenset[str]:
+        return super().needs | {"year"}
+
+    @property
+    def open_by(self) -> str | None:
+        return "_year" if self.years is None else None
+
+    def aggregates(self, found: list) -> dict[str, Column]:
+        y, here = F.col("_year"), self.rows()
+        out = {f"{self.label}_y{k}": self.first_where(here & (y == k)) for k in (found if self.years is None else self.years)}
+        whole = (F.col("_ep") == self.endpoint) & F.col("_whole")
+        whole = whole & F.col("_kept") if self.scoped else whole
+        # an entity has one such row
+        out |= {f"{self.label}_{name}": F.max(F.when(whole, F.col(f"_{name}_{self.value}"))) for name in ("mean_y", "mean_y1y2", "slope_y")}
         return {self.prefix + k: c for k, c in out.items()}
 
 
@@ -100,8 +148,12 @@ class Total(Block):
 
     name: str = ""
 
-    def aggregates(self) -> dict[str, Column]:
-        return {self.prefix + self.name: F.sum(F.when(self.rows() & F.col("_scope"), F.col(self.value)))}
+    @property
+    def needs(self) -> frozenset[str]:
+        return frozenset(["scope"])
+
+    def aggregates(self, found: list) -> dict[str, Column]:
+        return {self.prefix + self.name: F.sum(F.when(self.rows() & F.col("_scope"), self.total))}
 
 
 @dataclass(frozen=True)
@@ -111,23 +163,27 @@ class Single(Block):
     name: str = ""
     scoped: bool = True
 
-    def aggregates(self) -> dict[str, Column]:
-        return {self.prefix + self.name: first_by(F.col(self.value), F.col(self.order), self.rows())}
+    def aggregates(self, found: list) -> dict[str, Column]:
+        return {self.prefix + self.name: self.first_where(self.rows())}
 
 
 @dataclass(frozen=True)
 class Outcomes(Block):
-    """First value of each outcome of a fixed list, and 100 less the first of the list."""
+    """First value of each outcome of a fixed list, named with ``suffix``, and 100 less the first of the list."""
 
     label: str = ""
     outcomes: tuple[str, ...] = ("ammessi", "non_ammessi", "sospesi")
     complement: str = "tasso_non_ammessi_pct"
+    suffix: str = "_pct"
     scoped: bool = True
 
-    def aggregates(self) -> dict[str, Column]:
-        v, o = F.col(self.value), F.col(self.order)
-        first = {k: first_by(v, o, self.rows() & (F.col("_slug") == k)) for k in self.outcomes}
-        out = {f"{self.prefix}{self.label}_{k}": c for k, c in first.items()}
+    @property
+    def needs(self) -> frozenset[str]:
+        return super().needs | {"cat"}
+
+    def aggregates(self, found: list) -> dict[str, Column]:
+        first = {k: self.first_where(self.rows() & (F.col("_cat") == k)) for k in self.outcomes}
+        out = {f"{self.prefix}{self.label}_{k}{self.suffix}": c for k, c in first.items()}
         out[f"{self.prefix}{self.label}_{self.complement}"] = F.lit(100.0) - first[self.outcomes[0]]
         return out
 
@@ -142,45 +198,138 @@ class Bins(Block):
     top: tuple[str, ...] = EXAM_TOP
     scoped: bool = True
 
-    def aggregates(self) -> dict[str, Column]:
-        bin_ = F.substring("_slug", 1, 40)
+    @property
+    def needs(self) -> frozenset[str]:
+        return super().needs | {"cat"}
+
+    def aggregates(self, found: list) -> dict[str, Column]:
+        bin_ = F.substring("_cat", 1, 40)
         mid = reduce(lambda c, kv: c.when(bin_ == kv[0], F.lit(kv[1])), list(self.mids.items())[1:], F.when(bin_ == next(iter(self.mids)), F.lit(next(iter(self.mids.values())))))
-        here, w = self.rows() & bin_.isin(*self.mids), F.col(self.value).cast("double")
+        here, w = self.rows() & bin_.isin(*self.mids), self.total.cast("double")
         total = F.nullif(F.sum(F.when(here, w)), F.lit(0.0))
         share = lambda bins: F.coalesce(F.sum(F.when(here & bin_.isin(*bins), w)), F.lit(0.0)) / total * 100
         out = {"share_top_pct": share(self.top), "share_low_pct": share(self.low), "share_mean": F.sum(F.when(here, w * mid)) / total}
         return {f"{self.prefix}{self.label}_{k}": c for k, c in out.items()}
 
 
-def aggregate_blocks(obs: DataFrame, blocks: list[Block], key: str = "entity_id", by: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each entity with the columns of all blocks, from one aggregation.
+@dataclass(frozen=True)
+class Shares(Block):
+    """The first value of every category that the data have, as a column of its own, in scope or with the fallback.
 
-    ``by`` are further keys, such as an area, within which the scope's fallback is decided.
+    ``name`` makes the column's name out of the category's slug, of 50 characters at most. The categories become columns,
+    so Spark's limit on pivot values holds for them.
     """
-    needed = any(b.scoped or isinstance(b, Total) for b in blocks)
-    if needed:
-        obs = obs.withColumn("_scope", whole_scope())
-        if any(b.scoped for b in blocks):
-            groups = ["endpoint_key", *by]
-            scoped = [b.endpoint for b in blocks if b.scoped]
-            some = obs.where(F.col("endpoint_key").isin(*scoped) & F.col("value_num").isNotNull()).groupBy(*groups).agg(F.bool_or("_scope").alias("_some"))
-            # a row for each block's endpoint (and area): as many as the blocks that are listed
-            obs = obs.join(F.broadcast(some), groups, "left").withColumn("_kept", F.col("_scope") | ~F.coalesce("_some", F.lit(False)))
-    label = F.col("category")
-    obs = obs.withColumns({"_year": year_index(label), "_slug": slug(label)})
+
+    name: str = "entrate_{}_pct"
+    scoped: bool = True
+
+    @property
+    def needs(self) -> frozenset[str]:
+        return super().needs | {"cat"}
+
+    open_by = "_cat"
+
+    @property
+    def _map(self) -> str:
+        return f"_map_{self.prefix}{self.endpoint}_{self.name}"
+
+    def aggregates(self, found: list) -> dict[str, Column]:
+        return {self._map: F.collect_list(F.when(self.rows(), F.struct(F.col("_cat").alias("cat"), self.at.alias("at"), self.first.alias("first"))))}
+
+    def finish(self, wide: DataFrame, found: list) -> DataFrame:
+        rows = F.col(f"`{self._map}`")
+        wide = wide.withColumn(self._map, F.array_sort(rows))
+        # of the rows of a category, which stand together, the first one counts
+        before = F.concat(F.array(F.lit(None)), F.slice(rows, 1, F.greatest(F.size(rows) - 1, F.lit(0))))
+        once = F.zip_with(rows, before, lambda x, p: F.when(~x["cat"].eqNullSafe(p["cat"]), F.struct(x["cat"], x["first"])))
+        wide = wide.withColumn(self._map, F.map_from_entries(F.array_compact(once)))
+        return wide.withColumns({self.prefix + self.name.format(c): rows[c] for c in found}).drop(self._map)
+
+
+def summarize(obs: DataFrame, blocks: list[Block], key: str = "entity_id", by: tuple[str, ...] = ()) -> DataFrame:
+    """The long table reduced to what the blocks tell apart, as a written table.
+
+    One row for each key, ``by``, name (if there are names), endpoint of a block and that endpoint's category, year and scope, as far as its blocks
+    need them: the first value, its order, the count and the sum of each value column. For endpoints of years one more row, ``_whole``, has the means and
+    the slope of all their rows. Rows of other endpoints, and without a value, keep their entity and its name.
+    """
+    by_need = {need: sorted({b.endpoint for b in blocks if need in b.needs}) for need in ("cat", "year", "scope")}
+    years = {scoped: {b.endpoint for b in blocks if isinstance(b, Years) and b.scoped is scoped} for scoped in (False, True)}
+    if years[False] & years[True]:
+        raise ValueError(f"blocks of years with and without scope on {sorted(years[False] & years[True])}")
+    of = lambda eps, c, none: F.when(F.col("endpoint_key").isin(sorted(eps)), c) if eps else F.lit(None).cast(none)
+    label, level = F.col("category"), F.col("level") if "level" in obs.columns else F.lit("")
+    parts = [F.lit(False), F.lit(True)]
+    rows = obs.withColumns(
+        {
+            "_ep": of({b.endpoint for b in blocks}, F.col("endpoint_key"), "string"),
+            "_cat": of(by_need["cat"], slug_or(label, "cat_empty", 50), "string"),
+            "_year": of(by_need["year"], year_index(label), "int"),
+            "_scope": of(by_need["scope"], whole_scope(label, level), "boolean"),
+            "_whole": F.explode(F.coalesce(of(by_need["year"], F.array(*parts), "array<boolean>"), F.array(parts[0]))),
+        }
+    )
+    named = ["entity_name"] if "entity_name" in obs.columns else []
+    apart = [F.when(~F.col("_whole"), F.col(c)).alias(c) for c in (*named, "_cat", "_year")]
+    scope = F.when(~F.col("_whole") | F.coalesce(F.col("endpoint_key").isin(sorted(years[True])), F.lit(False)), F.col("_scope")).alias("_scope")
+    columns = []
+    for v, o in sorted({(b.value, b.order) for b in blocks}):
+        value, y = F.col(v), F.col("_year")
+        here, whole = F.col("_ep").isNotNull() & value.isNotNull() & ~F.col("_whole"), F.col("_whole") & y.isNotNull()
+        columns += [first_by(value, F.col(o), here).alias(f"_first_{v}"), F.min(F.when(here, F.col(o))).alias(f"_ord_{v}"), F.count(F.when(here, F.lit(1))).alias(f"_n_{v}"), F.sum(F.when(here, value)).alias(f"_sum_{v}")]
+        fits = whole & y.between(1, 5)
+        columns += [F.avg(F.when(whole, value)).alias(f"_mean_y_{v}"), F.avg(F.when(whole & y.isin(1, 2), value)).alias(f"_mean_y1y2_{v}")]
+        columns.append(F.regr_slope(F.when(fits, value), F.when(fits, y.cast("double"))).alias(f"_slope_y_{v}"))
+    if named:
+        columns.append(F.min("src_ord").alias("_seen"))
+    return materialize(rows.groupBy(key, *by, "_whole", "_ep", *apart, scope).agg(*columns), "wide-summary")
+
+
+def _with_scopes(summary: DataFrame, blocks: list[Block], by: tuple[str, ...]) -> DataFrame:
+    """Adds ``_kept``: in scope, or no row of the endpoint (and area) is."""
+    scoped = sorted({(b.endpoint, b.value) for b in blocks if b.scoped})
+    if not scoped:
+        return summary
+    groups, counted = ["_ep", *by], reduce(Column.__or__, [(F.col("_ep") == e) & (F.col(f"_n_{v}") > 0) for e, v in scoped])
+    some = summary.where(counted).groupBy(*groups).agg(F.bool_or("_scope").alias("_some"))
+    some = F.broadcast(some) if small_enough(some, BROADCAST_SCOPES) else some
+    return summary.join(some, groups, "left").withColumn("_kept", F.coalesce("_scope", F.lit(False)) | ~F.coalesce("_some", F.lit(False)))
+
+
+def _open_values(rows: DataFrame, blocks: list[Block]) -> dict[Block, list]:
+    """For each block without a list of its own the categories or years that it has."""
+    most = int(rows.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    opened = [(k, b) for k, b in enumerate(blocks) if b.open_by]
+    if not opened:
+        return {}
+    owns = F.array_compact(F.array(*[F.when(b.rows() & F.col(b.open_by).isNotNull(), F.struct(F.lit(k).alias("k"), F.col(b.open_by).cast("string").alias("v"))) for k, b in opened]))
+    found = rows.select(F.inline(owns)).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} categories and years would become columns")
+    return {k: sorted((int(r["v"]) if b.open_by == "_year" else r["v"]) for r in found if r["k"] == k) for k, b in opened}
+
+
+def aggregate_summary(summary: DataFrame, blocks: list[Block], key: str = "entity_id", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each entity with the columns of all blocks; scopes are decided within ``by``, which may be less than the summary has."""
+    rows = _with_scopes(summary, blocks, by)
+    found = _open_values(rows, blocks)
     columns = {}
-    for b in blocks:
-        columns |= b.aggregates()
-    # entities without any row of the blocks' endpoints keep theirs, so no endpoint is filtered out
-    return obs.groupBy(key, *by).agg(*[c.alias(name) for name, c in columns.items()])
+    for k, b in enumerate(blocks):
+        columns |= b.aggregates(found.get(k, []))
+    wide = rows.groupBy(key, *by).agg(*[c.alias(name) for name, c in columns.items()])
+    for k, b in enumerate(blocks):
+        wide = b.finish(wide, found.get(k, []))
+    return wide
 
 
-def share_pivot(obs: DataFrame, endpoint: str, key: str = "entity_id", name: str = "entrate_{}_pct", limit: int = 40) -> DataFrame:
-    """The first value of every category of an endpoint as a column of its own; the categories are found first.
+def aggregate_blocks(obs: DataFrame, blocks: list[Block], key: str = "entity_id", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each entity with the columns of all blocks, from one pass over the long table.
 
-    Categories are the columns of the result, so they are few; Spark's limit on pivot values holds.
+    Entities without any row of the blocks' endpoints keep theirs. ``by`` are further keys, such as an area, within which the scope's fallback is decided.
     """
-    rows = obs.where((F.col("endpoint_key") == endpoint) & F.col("value_num").isNotNull())
-    rows = rows.withColumn("_cat", slug_or(F.col("category"), "cat_empty", limit))
-    pivoted = pivot_first(rows, [key], "_cat", "value_num", "src_ord")
-    return pivoted.withColumnsRenamed({c: name.format(c) for c in pivoted.columns if c != key})
+    return aggregate_summary(summarize(obs, blocks, key, by), blocks, key, by)
+
+
+def share_pivot(obs: DataFrame, endpoint: str, key: str = "entity_id", by: tuple[str, ...] = (), name: str = "entrate_{}_pct", scoped: bool = True) -> DataFrame:
+    """The first value of every category of an endpoint as a column of its own, for each entity (and area)."""
+    return aggregate_blocks(obs.where(F.col("endpoint_key") == endpoint), [Shares(endpoint, name=name, scoped=scoped)], key, by)

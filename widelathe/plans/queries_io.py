@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import canonical_code
 from ..operators import charts, html_tables, reports, stats
-from ..operators.blocks import Total
+from ..operators.blocks import Shares, Total
 from ..operators.columns import pick_column, prefix_columns
 from ..operators.combine import union_all
 from ..operators.enrich import municipality_lookup
@@ -426,14 +426,14 @@ r AS (SELECT entity_id, """ + ", ".join(f'{_FIRST.format(k=k, c=c, s=s)} AS "{n}
     *[(k, "quinte", s, f"80_rav_22a1_invalsipunteggiomedio_superiori_classi_quinte_{s}_{m}_") for s in ("italiano", "matematica") for k, m in ((0, "punteggio_medio"), (1, "diff_escs"))],
 ]) + f""", arg_min(v, p_partkey) FILTER (v IS NOT NULL AND k = 5) AS "{_VARIED.format('italiano')}", arg_min(v, p_partkey) FILTER (v IS NOT NULL AND k = 6) AS "{_VARIED.format('inglesereading')}" FROM g GROUP BY entity_id),
 w AS (SELECT entity_id, min(entity_name) AS entity_name, sum(v) FILTER (endpoint_key = 'purchase' AND scope) AS "13_purchase_sum",
-    {", ".join(f"arg_min(v, ord) FILTER (endpoint_key = 'click' AND y = {y}) AS entrate_y{y}_pct" for y in range(1, 6))} FROM obs GROUP BY entity_id)
+    {", ".join(f"arg_min(v, ord) FILTER (endpoint_key = 'click' AND scope AND y = {y}) AS \"20_entrate_y{y}_pct\"" for y in range(1, 6))} FROM obs GROUP BY entity_id)
 SELECT w.*, r.* EXCLUDE (entity_id), list_avg(["{_RENAMED.format('italiano')}", "{_RENAMED.format('matematica')}"]) AS "*media_punteggiomedio_superiori_classiseconde", CAST(NULL AS DOUBLE) AS "*media_punteggiomedio_superiori_classiquinteultimoanno"
 FROM w LEFT JOIN r USING (entity_id)""")
 def wide_reports(spark, sf_dir):
     """The wide table with a report side, whose column names are shortened and means added, and an open pivot."""
     good, _ = reports.clean_reports(_report_rows(spark, sf_dir), on_bad="quarantine")
     side = reports.report_wide(good.withColumn("entity_id", F.regexp_replace("entity_id", "^RM0*(?=.)", "")))
-    return build_wide(observations(spark, sf_dir), [Total("purchase", "13_", name="purchase_sum")], Sides(reports=side, open_pivots=("click",)), slopes="none")
+    return build_wide(observations(spark, sf_dir), [Total("purchase", "13_", name="purchase_sum"), Shares("click", "20_")], Sides(reports=side), slopes="none")
 
 
 @query("SELECT s_suppkey AS entity_id, s_name AS \"05_s_name\", s_acctbal AS \"05_s_acctbal\" FROM supplier")

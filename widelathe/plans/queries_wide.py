@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import blocks, columns, combine, dedup, enrich, stats
-from ..operators.blocks import Bins, Outcomes, Single, Total, Years
+from ..operators.blocks import EXAM_BINS, EXAM_LOW, EXAM_TOP, MIDDLE_BINS, MIDDLE_LOW, MIDDLE_TOP, Bins, Outcomes, Shares, Single, Total, Years
 from ..sources.csv import normalize_long
 from .registry import OBS_SQL, observations, query, table
-from .wide import Sides, build_wide
+from .wide import RELEASE_BLOCKS, Sides, build_wide
 
 YEAR_BLOCKS = [Years("view", "10_", label="view"), Years("click", "11_", label="click"), Years("error", "12_", label="error")]
 
@@ -156,13 +156,96 @@ def share_pivot_open(spark, sf_dir):
     return blocks.share_pivot(obs, "lines")
 
 
+_LONG_NAME = "Contributi delle famiglie e di altri privati "
+_LONG_SLUGS = [f"contributi_delle_famiglie_e_di_altri_privati_{k}_ann" for k in range(1, 6)]
+_AREA_SQL = f"""o AS (SELECT CAST(user_id AS VARCHAR) AS entity_id, 'user ' || user_id AS entity_name, CASE WHEN event_id % 2 = 0 THEN 'SUD' ELSE 'CENTRO' END AS area, event_type AS ep, value AS v, event_id AS ord,
+    event_id % 6 = 0 AND event_type <> 'error' AS scope, CASE WHEN event_id % 13 = 0 THEN 'cat_empty' ELSE substr('contributi_delle_famiglie_e_di_altri_privati_' || (1 + (day(ts) - 1) // 7) || '_anno', 1, 50) END AS cat FROM events),
+k AS (SELECT *, v IS NOT NULL AND (scope OR NOT bool_or(scope AND v IS NOT NULL) OVER (PARTITION BY area, ep)) AS kept FROM o)"""
+
+
+@query(f"""WITH {_AREA_SQL} SELECT entity_id, area, min(entity_name) AS entity_name, """ + ", ".join(f"arg_min(v, ord) FILTER (kept AND ep = '{ep}' AND cat = '{c}') AS \"{p}_{c}_pct\"" for ep, p in (("view", "20_entrate"), ("error", "23_spese")) for c in (*_LONG_SLUGS, "cat_empty")) + """,
+    avg(v) FILTER (ep = 'click') AS "*10_click_mean_y", avg(v) FILTER (FALSE) AS "*10_click_mean_y1y2", avg(v) FILTER (FALSE) AS "*10_click_slope_y" FROM (SELECT * REPLACE (CASE WHEN ep = 'click' AND cat = 'cat_empty' THEN NULL ELSE v END AS v) FROM k) GROUP BY entity_id, area""")
+def open_pivot_areas(spark, sf_dir):
+    """Open pivots as blocks, by area: entities in two areas, one with rows in scope and one without, names that are cut at 50 characters."""
+    obs = observations(spark, sf_dir).withColumns(
+        {
+            "area": F.when(F.col("src_ord") % 2 == 0, "SUD").otherwise("CENTRO"),
+            "level": F.when((F.col("src_ord") % 6 == 0) & (F.col("endpoint_key") != "error"), " Scuola").otherwise("altro"),
+            "category": F.when(F.col("src_ord") % 13 == 0, " ").when(F.col("endpoint_key") == "click", F.lit("a.s. 1999/2000")).otherwise(F.concat(F.lit(_LONG_NAME), F.substring("category", 2, 1), F.lit(" anno"))),
+        }
+    )
+    opened = [Years("click", "10_", label="click", years=()), Shares("view", "20_"), Shares("error", "23_", name="spese_{}_pct")]
+    return build_wide(obs, opened, by=("area",), slopes="none")
+
+
+#: DuckDB gives the slope of a single point as NaN, here it is null.
+_SLOPE_SQL = "nullif(regr_slope(v, y) FILTER ({0}), 'nan'::DOUBLE)"
+
+_OPEN_YEARS_SQL = """o AS (SELECT CAST(user_id AS VARCHAR) AS entity_id, 'user ' || user_id AS entity_name, value AS v, event_id AS ord, 1 + (day(ts) - 1) // 7 AS w, event_type AS ep FROM events),
+y AS (SELECT *, CASE WHEN ord % 11 = 0 THEN NULL WHEN ord % 7 = 0 THEN 2020 + ord % 2 WHEN w = 5 THEN 6 ELSE w END AS y FROM o WHERE ep = 'view')"""
+
+
+@query(f"""WITH {_OPEN_YEARS_SQL} SELECT n.entity_id, min(entity_name) AS entity_name, {", ".join(f'arg_min(v, ord) FILTER (y = {k}) AS "10_view_y{k}"' for k in (1, 2, 3, 4, 6, 2020, 2021))},
+    avg(v) FILTER (y IS NOT NULL) AS "*10_view_mean_y", avg(v) FILTER (y IN (1, 2)) AS "*10_view_mean_y1y2", {_SLOPE_SQL.format("y BETWEEN 1 AND 5")} AS "*10_view_slope_y"
+FROM (SELECT DISTINCT entity_id, entity_name FROM o) n LEFT JOIN y USING (entity_id, entity_name) GROUP BY n.entity_id""")
+def wide_years_open(spark, sf_dir):
+    """Years as the data have them: a sixth year and calendar years get columns, labels that name no year count nowhere."""
+    label = (
+        F.when(F.col("src_ord") % 11 == 0, "totale")
+        .when(F.col("src_ord") % 7 == 0, F.concat(F.lit("a.s. "), 2020 + F.col("src_ord") % 2, F.lit("/"), 21 + F.col("src_ord") % 2))
+        .when(F.col("category") == "y5", "Anno 6")
+        .otherwise(F.concat(F.lit("classe "), F.substring("category", 2, 1)))
+    )
+    return build_wide(observations(spark, sf_dir).withColumns({"category": label}), YEAR_BLOCKS[:1], slopes="none")
+
+
+_OUTCOMES, _EXAM, _MIDDLE, _SOURCES = ["Ammessi", "Non ammessi", "Sospesi", "Altro"], ["60", "61-70", "71-80", "81-90", "91-99", "100", "100 e lode"], ["6", "7", "8", "9", "10", "10 e lode"], ["Stato", "Famiglie", "Unione Europea"]
+_RELEASE_ENDPOINTS = [b.endpoint for b in RELEASE_BLOCKS]
+
+
+def _release_sql() -> str:
+    pick = lambda names: f"{[n for n in names]}[1 + ord // 12 % {len(names)}]"
+    cats = {5: _SOURCES, 6: _OUTCOMES, 7: _OUTCOMES, 10: _EXAM, 11: _MIDDLE}
+    cat = " ".join(f"WHEN {k} THEN {pick(c)}" for k, c in cats.items())
+    ep = lambda k: f"e = {k}"
+    first = lambda k, cond="": f"arg_min(v, ord) FILTER (kept AND {ep(k)}{cond})"
+    out = []
+    for k, name in ((0, "10_abbandoni"), (1, "11_ripetenti"), (2, "12_trasferimenti")):
+        out += [f'arg_min(v, ord) FILTER ({ep(k)} AND y = {y}) AS "{name}_y{y}"' for y in range(1, 6)]
+        out += [f'avg(v) FILTER ({ep(k)}) AS "*{name}_mean_y"', f'avg(v) FILTER ({ep(k)} AND y IN (1, 2)) AS "*{name}_mean_y1y2"', f'{_SLOPE_SQL.format(ep(k))} AS "*{name}_slope_y"']
+    out += [f'sum(v) FILTER ({ep(k)} AND scope) AS "{n}"' for k, n in ((3, "13_assenze_docenti_sum"), (4, "14_assenze_ata_sum"))]
+    out += [f"""{first(5, f" AND cat = '{c}'")} AS "20_entrate_{c.lower().replace(' ', '_')}_pct\"""" for c in _SOURCES]
+    for k, name in ((6, "21_esiti_giugno"), (7, "22_esiti_settembre")):
+        out += [f"""{first(k, f" AND cat = '{c}'")} AS "{name}_{c.lower().replace(' ', '_')}_pct\"""" for c in _OUTCOMES[:3]]
+        out.append(f"""100 - {first(k, " AND cat = 'Ammessi'")} AS "*{name}_tasso_non_ammessi_pct\"""")
+    out += [f'{first(k)} AS "{n}"' for k, n in ((8, "30_docenti_pensionati_pct"), (9, "30_docenti_trasferiti_pct"))]
+    for k, name, labels, mids, low, top in ((10, "40_esame_voto", _EXAM, EXAM_BINS, EXAM_LOW, EXAM_TOP), (11, "50_medie_voto", _MIDDLE, MIDDLE_BINS, MIDDLE_LOW, MIDDLE_TOP)):
+        mid = " ".join(f"WHEN '{c}' THEN {m}" for c, m in zip(labels, mids.values(), strict=True))
+        share = lambda bins: f"coalesce(sum(v) FILTER (kept AND {ep(k)} AND cat IN ({', '.join(repr(c) for c, slug in zip(labels, mids, strict=True) if slug in bins)})), 0) / nullif(sum(v) FILTER (kept AND {ep(k)}), 0) * 100"  # noqa: B023, E731
+        out += [f'{share(top)} AS "*{name}_share_top_pct"', f'{share(low)} AS "*{name}_share_low_pct"', f'sum(v * CASE cat {mid} END) FILTER (kept AND {ep(k)}) / nullif(sum(v) FILTER (kept AND {ep(k)}), 0) AS "*{name}_share_mean"']
+    return f"""WITH o AS (SELECT CAST(user_id AS VARCHAR) AS entity_id, 'user ' || user_id AS entity_name, value AS v, event_id AS ord, event_id % 12 AS e, 1 + (day(ts) - 1) // 7 AS y, event_id % 5 = 0 AND event_id % 12 <> 9 AS scope FROM events),
+k AS (SELECT *, CASE e {cat} END AS cat, v IS NOT NULL AND (scope OR NOT bool_or(scope AND v IS NOT NULL) OVER (PARTITION BY e)) AS kept FROM o)
+SELECT entity_id, min(entity_name) AS entity_name, {", ".join(out)} FROM k GROUP BY entity_id"""
+
+
+@query(_release_sql())
+def release_blocks(spark, sf_dir):
+    """All blocks of a release at once, over events dealt to their endpoints."""
+    pick = lambda names: F.element_at(F.array(*map(F.lit, names)), (1 + F.floor(F.col("src_ord") / 12) % len(names)).cast("int"))
+    e = F.col("src_ord") % 12
+    cat = F.when(e == 5, pick(_SOURCES)).when(e.isin(6, 7), pick(_OUTCOMES)).when(e == 10, pick(_EXAM)).when(e == 11, pick(_MIDDLE)).otherwise(F.col("category"))
+    level = F.when((F.col("src_ord") % 5 == 0) & (e != 9), "scuola").otherwise("")
+    obs = observations(spark, sf_dir).withColumns({"endpoint_key": F.element_at(F.array(*map(F.lit, _RELEASE_ENDPOINTS)), (e + 1).cast("int")), "category": cat, "level": level})
+    return build_wide(obs, RELEASE_BLOCKS, slopes="none")
+
+
 @query("""
 SELECT CAST(o_custkey AS VARCHAR) AS entity_id, arg_min(o_totalprice, o_orderkey) FILTER (o_orderstatus = 'F') AS esiti_f, arg_min(o_totalprice, o_orderkey) FILTER (o_orderstatus = 'O') AS esiti_o,
     arg_min(o_totalprice, o_orderkey) FILTER (o_orderstatus = 'P') AS esiti_p, 100 - arg_min(o_totalprice, o_orderkey) FILTER (o_orderstatus = 'F') AS esiti_tasso_non_ammessi_pct FROM orders GROUP BY o_custkey
 """)
 def outcome_pivot(spark, sf_dir):
     obs = table(spark, sf_dir, "orders").selectExpr(*_ORDER_OBS).withColumn("level", F.lit("")).join(table(spark, sf_dir, "orders").selectExpr("o_orderkey AS src_ord", "o_orderstatus"), "src_ord").withColumn("category", F.col("o_orderstatus"))
-    return blocks.aggregate_blocks(obs, [Outcomes("orders", label="esiti", outcomes=("f", "o", "p"))])
+    return blocks.aggregate_blocks(obs, [Outcomes("orders", label="esiti", outcomes=("f", "o", "p"), suffix="")])
 
 
 @query("""

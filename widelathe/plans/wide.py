@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import place_key, town_key
-from ..operators.blocks import Block, Years, aggregate_blocks, row_mean, share_pivot, slope_by_position
+from ..operators.blocks import EXAM_BINS, MIDDLE_BINS, MIDDLE_LOW, MIDDLE_TOP, Bins, Block, Outcomes, Shares, Single, Total, Years, aggregate_summary, row_mean, slope_by_position, summarize
 from ..operators.columns import order_columns, place_after, rename_collisions, rename_reports, star_computed
 from ..operators.dedup import first_by, is_empty
 from ..operators.enrich import DEFAULT_CLASS, lookup_side, lookup_two_stage
@@ -20,6 +20,22 @@ REPORT_MEANS = {
     "media_punteggiomedio_superiori_classiquinteultimoanno": [f"{REPORT_BASE}classiquinteultimoanno_{s}_punteggio_medio_" for s in ("italiano", "matematica", "inglesereading", "ingleselistening")],
 }
 
+# The blocks of a release, in the order of their prefixes, with their endpoints and names.
+RELEASE_BLOCKS = [
+    Years("abbandoni_24_25", "10_", label="abbandoni"),
+    Years("studenti_ripetenti", "11_", label="ripetenti"),
+    Years("trasferimenti_24_25", "12_", label="trasferimenti"),
+    Total("assenze_docenti", "13_", name="assenze_docenti_sum"),
+    Total("assenze_ata", "14_", name="assenze_ata_sum"),
+    Shares("entrate_fonti_finanziamento", "20_", name="entrate_{}_pct"),
+    Outcomes("esiti_giugno_24_25", "21_", label="esiti_giugno"),
+    Outcomes("esiti_giugno_settembre_24_25", "22_", label="esiti_settembre"),
+    Single("docenti_pensionati", "30_", name="docenti_pensionati_pct"),
+    Single("docenti_trasferiti", "30_", name="docenti_trasferiti_pct"),
+    Bins("distribuzione_votazioni_esame_24_25", "40_", label="esame_voto", mids=EXAM_BINS),
+    Bins("rav_24c5", "50_", label="medie_voto", mids=MIDDLE_BINS, low=MIDDLE_LOW, top=MIDDLE_TOP),
+]
+
 
 @dataclass
 class Sides:
@@ -30,7 +46,6 @@ class Sides:
     reports: DataFrame | None = None
     classes: DataFrame | None = None  # place_key, class
     places: DataFrame | None = None  # place_key, prov_key, region, macroarea, src_ord
-    open_pivots: tuple[str, ...] = ()
     keep_first: list[str] = field(default_factory=lambda: ["entity_id"])
 
 
@@ -51,20 +66,17 @@ def add_report_means(wide: DataFrame, means: dict[str, list[str]] = REPORT_MEANS
     return wide.withColumns({name: row_mean([F.col(f"`{c}`") for c in columns if c in wide.columns]) for name, columns in means.items()})
 
 
-def build_wide(obs: DataFrame, blocks: list[Block], sides: Sides | None = None, *, star: bool = True, slopes: str = "year", by: tuple[str, ...] = ()) -> DataFrame:
+def build_wide(obs: DataFrame | None, blocks: list[Block], sides: Sides | None = None, *, star: bool = True, slopes: str = "year", by: tuple[str, ...] = (), summary: DataFrame | None = None) -> DataFrame:
     """Joins one aggregation of all blocks with the side tables, marks computed columns and orders all.
 
     ``slopes`` is ``year`` (index), ``position`` or ``none`` (as the block says). Every side table has
-    one row for a key, so no join adds rows.
+    one row for a key, so no join adds rows. A ``summary`` of the blocks, by ``by`` or more, saves the pass over ``obs``.
     """
     sides = sides or Sides()
-    wide = aggregate_blocks(obs, blocks, by=by)
-    # text in an aggregate means sorting, so that the long table is first hashed down to its distinct names
-    named = obs.groupBy("entity_id", *by, "entity_name").agg(F.min("src_ord").alias("src_ord"))
-    names = named.groupBy("entity_id", *by).agg(first_by(F.col("entity_name"), F.col("src_ord"), ~is_empty(F.col("entity_name"))).alias("entity_name"))
+    summary = summarize(obs, blocks, by=by) if summary is None else summary
+    wide = aggregate_summary(summary, blocks, by=by)
+    names = summary.groupBy("entity_id", *by).agg(first_by(F.col("entity_name"), F.col("_seen"), ~is_empty(F.col("entity_name"))).alias("entity_name"))
     wide = wide.join(names, ["entity_id", *by])
-    for endpoint in sides.open_pivots:
-        wide = wide.join(share_pivot(obs, endpoint), "entity_id", "left")
     if slopes != "none":
         wide = forced_slopes(wide, blocks, slopes == "position")
     for side, suffix in ((sides.registry, "_ana"), (sides.figures, "_sicstu")):
