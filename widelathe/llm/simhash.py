@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import scratch
 from .common import join_checked, materialize
 from .components import components
 from .words import space_words, utf8
@@ -35,8 +36,8 @@ BITS = 64
 PAIRED = 256
 #: Shingles whose bits are counted at once.
 _COUNTED = 1 << 16
-#: Ids that are broadcast at most.
-BROADCAST_IDS = 2_000_000
+#: Rows of at most four longs that are broadcast; Spark's hash table of them has some 20 MB.
+BROADCAST_ROWS = 250_000
 
 
 def shingle_hashes(raw: bytes | None, k: int, seed: int = 42) -> np.ndarray:
@@ -158,8 +159,6 @@ COUNTER_BITS = 19
 BLOCK = 1024
 #: Bits of a text's parity bitmap, and at most those of the wide one that a text with more than ``BITMAP // 4`` shingles has too; powers of two.
 BITMAP, WIDE = 1024, 1 << 17
-#: Keys that are broadcast at most.
-BROADCAST_KEYS = 1_000_000
 #: Shingles that are hashed at once.
 _HASHED = 2048
 
@@ -301,16 +300,16 @@ class _Near:
         first = known.groupBy("s1", "s2").agg(F.min("uid").alias("node"), F.max("uid").alias("last")).where(F.col("node") != F.col("last"))
         repeated = materialize(first.select("s1", "s2", "node"), "near-repeated")
         #: (uid, node) of the rows whose word sequence stands in an earlier row
-        self.copies = materialize(join_checked(known, repeated, ["s1", "s2"], "inner", BROADCAST_KEYS).where(F.col("uid") != F.col("node")).select("uid", "node"), "near-copies")
-        self.texts = join_checked(rows.select(F.col("uid"), "sig"), self.copies.select("uid"), ["uid"], "left_anti", BROADCAST_IDS).select(F.col("uid").alias("node"), "sig.*")
+        self.copies = materialize(join_checked(known, repeated, ["s1", "s2"], "inner", BROADCAST_ROWS).where(F.col("uid") != F.col("node")).select("uid", "node"), "near-copies")
+        self.texts = join_checked(rows.select(F.col("uid"), "sig"), self.copies.select("uid"), ["uid"], "left_anti", BROADCAST_ROWS).select(F.col("uid").alias("node"), "sig.*")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (a, b) whose sets of shingles have the similarity ``least`` or more."""
         pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
         wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "near-wanted")
-        texts = join_checked(self.rows.select("uid", "text"), wanted, ["uid"], "inner", BROADCAST_IDS)
+        texts = join_checked(self.rows.select("uid", "text"), wanted, ["uid"], "inner", BROADCAST_ROWS)
         both = pairs.join(texts.withColumnsRenamed({"uid": "b", "text": "y"}), "b").join(texts.withColumnsRenamed({"uid": "a", "text": "x"}), "a")
-        return materialize(both.where(_similar(F.col("x"), F.col("y"), self.k, self.least)).select("a", "b"), "near-edges")
+        return both.where(_similar(F.col("x"), F.col("y"), self.k, self.least)).select("a", "b")
 
     def by_fingerprint(self) -> DataFrame:
         """Each text with the first one of those that its fingerprint is linked to by pigeonring search."""
@@ -328,7 +327,7 @@ class _Near:
         """
         listed = self.texts.select("node", F.explode("bands").alias("key"))
         size = materialize(listed.groupBy("key").count().where(F.col("count") > 1), "band-keys")
-        met = materialize(join_checked(listed, size, ["key"], "inner", BROADCAST_KEYS), "band-met")
+        met = materialize(join_checked(listed, size, ["key"], "inner", BROADCAST_ROWS), "band-met")
         score = met.groupBy("node").agg(F.sum("count").alias("score"))
         heads = met.join(score, "node").groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("head"), F.max("score").alias("score"))
         stars = met.join(heads, "key").where(F.col("node") != F.col("head")).groupBy("node", "head").agg(F.max("score").alias("score"))
@@ -340,14 +339,14 @@ class _Near:
     def rooted(self, frame: DataFrame, found: DataFrame, node: str, root: str) -> DataFrame:
         """Adds the root of each ``node``, which is itself where it has no link."""
         roots = found.select(F.col("node").alias(node), F.col("root").alias(root))
-        return join_checked(frame, roots, [node], "left", BROADCAST_KEYS).withColumn(root, F.coalesce(root, node))
+        return join_checked(frame, roots, [node], "left", BROADCAST_ROWS).withColumn(root, F.coalesce(root, node))
 
     def apart(self, pairs: DataFrame, found: DataFrame) -> DataFrame:
         """The pairs of different roots that may be similar by their sizes and bitmaps."""
         pairs = self.rooted(self.rooted(pairs, found, "a", "r"), found, "b", "s").where(F.col("r") != F.col("s")).select("a", "b")
         pairs = materialize(pairs, "near-apart")
         wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-sized")
-        sized = join_checked(self.texts.select("node", "n", "bits"), wanted, ["node"], "inner", BROADCAST_IDS)
+        sized = join_checked(self.texts.select("node", "n", "bits"), wanted, ["node"], "inner", BROADCAST_ROWS)
         both = pairs.join(sized.withColumnsRenamed({"node": "a", "n": "n", "bits": "x"}), "a").join(sized.withColumnsRenamed({"node": "b", "n": "m", "bits": "y"}), "b")
         return both.where(_may(self.least, F.col("n"), F.col("m"), "x", "y")).select("a", "b", "n", "m")
 
@@ -356,29 +355,41 @@ class _Near:
         pairs = materialize(pairs.distinct(), "near-sized")
         large = pairs.where(F.least("n", "m") > BITMAP // 4)
         wanted = materialize(large.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-wanted")
-        wide = join_checked(self.texts.select("node", "wide"), wanted, ["node"], "inner", BROADCAST_IDS)
+        wide = join_checked(self.texts.select("node", "wide"), wanted, ["node"], "inner", BROADCAST_ROWS)
         both = large.join(wide.withColumnsRenamed({"node": "b", "wide": "y"}), "b").join(wide.withColumnsRenamed({"node": "a", "wide": "x"}), "a")
         kept = both.where(_close(F.col("n"), F.col("m"), F.col("x"), F.col("y"), self.least))
         return kept.select("a", "b").unionByName(pairs.where(F.least("n", "m") <= BITMAP // 4).select("a", "b"))
 
+    def postings(self, found: DataFrame) -> DataFrame:
+        """(token, node, root, n, rest, bits, count, main): the texts that share one of their first shingles with a text of another root.
+
+        ``rest`` is the number of the text's shingles from there on, ``main`` the root that most of the shingle's texts have. Shingles with the
+        same texts stand once, under the smallest of them, with the largest ``rest``: such texts meet once, not under every shingle of a passage they share. Lists are the same
+        if their lengths and 128 bits of their texts' hashes are.
+        """
+        listed = self.rooted(self.texts.select("node", "n", F.posexplode("tokens").alias("at", "token")), found, "node", "root")
+        shared = listed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
+        shared = materialize(shared.select("token"), "near-shared")
+        met = join_checked(listed, shared, ["token"], "inner", BROADCAST_ROWS)
+        met = materialize(met.select("token", "node", "root", "n", (F.col("n") - F.col("at")).alias("rest")), "near-met")
+        marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
+        sizes = met.groupBy("token", "root").agg(F.count(F.lit(1)).alias("count"), *marks)
+        # of two texts of different roots one at least isn't of the largest root
+        main = F.max_by("root", F.struct("count", "root")).alias("main")
+        sizes = materialize(sizes.groupBy("token").agg(main, F.sum("count").alias("count"), *[F.bit_xor(f"h{k}").alias(f"h{k}") for k in (1, 2)]), "near-sizes")
+        same = ["count", "h1", "h2"]
+        once = materialize(sizes.join(sizes.groupBy(*same).agg(F.min("token").alias("one")), same).select("token", "one", "count", "main"), "near-once")
+        met = join_checked(met, once, ["token"], "inner", BROADCAST_ROWS)
+        met = met.groupBy(F.col("one").alias("token"), "node", "root", "n", "count", "main").agg(F.max("rest").alias("rest"))
+        return materialize(met.join(self.texts.select("node", "bits"), "node"), "near-postings")
+
     def by_prefix(self, found: DataFrame) -> DataFrame:
         """Pairs of texts of different roots, among them all whose similarity is ``least`` or more.
 
         Such texts share one of their first shingles in an order that all texts have in common, from the first shared
         one on both have as many as they must share, and their bitmaps differ in few bits. Of texts with one root none meets another.
         """
-        rooted = self.rooted(self.texts.select("node", "tokens"), found, "node", "root")
-        listed = rooted.select("root", F.explode("tokens").alias("token"))
-        shared = listed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
-        shared = materialize(shared.select("token"), "near-shared")
-        rooted = self.rooted(self.texts.select("node", "n", "tokens", "bits"), found, "node", "root")
-        places = rooted.select("node", "root", "n", "bits", F.posexplode("tokens").alias("at", "token"))
-        met = join_checked(places, shared, ["token"], "inner", BROADCAST_KEYS)
-        met = materialize(met.select("token", "node", "root", "n", (F.col("n") - F.col("at")).alias("rest"), "bits"), "near-met")
-        # of two texts of different roots one at least isn't of the largest root
-        sizes = met.groupBy("token", "root").count().groupBy("token")
-        sizes = materialize(sizes.agg(F.sum("count").alias("count"), F.max_by("root", F.struct("count", "root")).alias("main")), "near-sizes")
-        met = join_checked(met, sizes, ["token"], "inner", BROADCAST_KEYS).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
+        met = self.postings(found).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
         left = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         right = met.where(F.col("root") != F.col("main")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         right = right.select("token", "block", F.col("node").alias("b"), F.col("root").alias("r"), F.col("n").alias("m"), F.col("rest").alias("left"), F.col("bits").alias("y"))
@@ -388,16 +399,23 @@ class _Near:
         return left.join(right, ["token", "block"]).where(may).select(F.col("node").alias("a"), "b", "n", "m")
 
     def groups(self) -> DataFrame:
-        """(node, root) of the texts that have near copies.
+        """(node, root) of the texts that have near copies, a written table; what leads to it goes.
 
         Python runs once in each stage at most: workers of several operations at once would share an executor's memory.
         """
-        first, others = self.by_band()
-        edges = self.verified(self.by_fingerprint().unionByName(first))
-        found = materialize(components(edges), "near-found")
-        edges = edges.unionByName(self.verified(self.close(self.apart(others, found))))
-        found = materialize(components(edges), "near-found")
-        return components(edges.unionByName(self.verified(self.close(self.by_prefix(found)))))
+        spark = self.rows.sparkSession
+        with scratch(spark):
+            with scratch(spark):
+                first, others = self.by_band()
+                others = materialize(others, "near-others", keep=True)
+                edges = materialize(self.verified(self.by_fingerprint().unionByName(first)), "near-edges", keep=True)
+            with scratch(spark):
+                found = materialize(components(edges), "near-found")
+                edges = materialize(edges.unionByName(self.verified(self.close(self.apart(others, found)))), "near-edges", keep=True)
+            with scratch(spark):
+                found = materialize(components(edges), "near-found")
+                edges = materialize(edges.unionByName(self.verified(self.close(self.by_prefix(found)))), "near-edges", keep=True)
+            return materialize(components(edges), "near-groups", keep=True)
 
 
 def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -416,11 +434,11 @@ def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, i
     rows = materialize(rows, "near-rows")
     histogram.unpersist()
     near = _Near(rows.select("uid", F.col(f"row.`{text_col}`").alias("text"), "sig"), k, least, tau)
-    groups = materialize(near.groups(), "near-groups")
+    groups = near.groups()
     id_ = F.col(f"row.`{id_col}`")
     keys = rows.select(F.struct(id_.isNull().alias("none"), id_.alias("id"), F.col("uid").alias("uid")).alias("order"), "uid")
-    keys = join_checked(keys, near.copies, ["uid"], "left", BROADCAST_KEYS).select("order", F.coalesce("node", "uid").alias("node"))
+    keys = join_checked(keys, near.copies, ["uid"], "left", BROADCAST_ROWS).select("order", F.coalesce("node", "uid").alias("node"))
     named = near.rooted(keys, groups, "node", "root").select("order", "root")
     best = named.groupBy("root").agg(F.min("order").alias("best"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
-    gone = join_checked(named, materialize(best, "near-best"), ["root"], "inner", BROADCAST_KEYS).where(F.col("order.uid") != F.col("best.uid")).select(F.col("order.uid").alias("uid"))
-    return join_checked(rows, materialize(gone, "near-gone"), ["uid"], "left_anti", BROADCAST_IDS).select("row.*")
+    gone = join_checked(named, materialize(best, "near-best"), ["root"], "inner", BROADCAST_ROWS).where(F.col("order.uid") != F.col("best.uid")).select(F.col("order.uid").alias("uid"))
+    return join_checked(rows, materialize(gone, "near-gone"), ["uid"], "left_anti", BROADCAST_ROWS).select("row.*")
