@@ -110,6 +110,30 @@ def test_package_replaces_itself_and_tells_its_rows(spark, tmp_path):
     assert sinks.snapshot(spark, f"{path}/wide.parquet").where("length(sha256) = 64").count() > 0
 
 
+LONG = "entity_id string, entity_name string, endpoint_key string, category string, level string, value_num double, src_ord int, src_file string"
+
+
+@pytest.mark.parametrize("observed", [64, 0])
+def test_release_by_the_files_areas(spark, tmp_path, monkeypatch, observed):
+    monkeypatch.setattr(release, "OBSERVED_AREAS", observed)
+    ep = "entrate_fonti_finanziamento"
+    rows = [("A", "a", ep, "cat one", "scuola", 1.0, 1, "/x/SUD/a.csv"), ("A", "a", ep, "other", "", 2.0, 2, "/x/SUD/a.csv"), ("A", "a", ep, "cat one", "", 9.0, 3, "/x/ISOLE/b.csv"), ("B", "b", ep, "c" * 47 + "12", "", 4.0, 4, "/x/ISOLE/b.csv"), ("B", "b", ep, "c" * 47 + "13", "", 5.0, 5, "/x/ISOLE/b.csv"), ("C", None, "abbandoni_24_25", "y6", "", 7.0, 6, "/x/none.csv")]
+    obs = spark.createDataFrame(rows, LONG)
+    for _ in range(2):
+        got = release.release(obs, str(tmp_path), "v1", inputs=("/x",))
+        assert sorted(map(tuple, got.collect())) == [("ALL", 3), ("areas/ISOLE", 2), ("areas/SUD", 1)]
+    everything = {r["entity_id"]: r.asDict() for r in release.read_package(spark, str(tmp_path), "v1").collect()}
+    assert (everything["A"]["20_entrate_cat_one_pct"], "20_entrate_other_pct" in everything["A"], everything["C"]["10_abbandoni_y6"]) == (1.0, False, 7.0)
+    assert not any("c" * 40 in c for c in everything["B"])  # ALL has rows in scope, these aren't
+    isles = {r["entity_id"]: r.asDict() for r in release.read_package(spark, str(tmp_path), "v1", "ISOLE").collect()}
+    assert (isles["A"]["20_entrate_cat_one_pct"], isles["B"]["20_entrate_" + "c" * 47 + "12_pct"], isles["B"]["20_entrate_" + "c" * 47 + "13_pct"]) == (9.0, 4.0, 5.0)
+    south = release.read_package(spark, str(tmp_path), "v1", "SUD")
+    assert "10_abbandoni_y6" not in south.columns and south.first()["20_entrate_cat_one_pct"] == 1.0
+    facts = {r["package"]: (r["long_rows"], r["files"], r["unmatched"]) for r in release.read_manifests(spark, str(tmp_path), "v1", "package string, long_rows long, files long, unmatched long").collect()}
+    assert facts == {"ALL": (6, 3, 0), "areas/ISOLE": (3, 1, 0), "areas/SUD": (2, 1, 0)}
+    assert release.release(obs, str(tmp_path), "v2", area=None).count() == 1
+
+
 def test_signature_ignores_order_only(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "k int, v string")
     sign = lambda d: combine.signature(d, ["k", "v"]).first()[0]

@@ -382,7 +382,48 @@ def release_layout(spark, sf_dir):
 
     area = F.when(F.col("entity_id").cast("int") % 3 == 0, "CENTRO").when(F.col("entity_id").cast("int") % 3 == 1, "SUD")
     obs = observations(spark, sf_dir).withColumn("area", area)
-    return release.release(obs, lambda rows, by: build_wide(rows, YEAR_BLOCKS[:1], by=by), sinks.work_dir(spark, "release"), "v1")
+    packages = release.release(obs, sinks.work_dir(spark, "release"), "v1", YEAR_BLOCKS[:1])
+    return packages.withColumn("entities", F.col("rows"))  # an entity has one row in a package
+
+
+def _written_release(spark, sf_dir):
+    """A release of two areas with a registry and a lookup that lacks some places; where it is."""
+    from .queries_wide import YEAR_BLOCKS, _places, _registry
+
+    area = F.when(F.col("src_ord") % 3 == 0, "CENTRO").when(F.col("src_ord") % 3 == 1, "SUD")
+    obs = observations(spark, sf_dir).withColumns({"area": area, "src_file": F.concat(F.lit("/in/"), F.col("src_ord") % 6, F.lit(".csv"))})
+    root, sides = sinks.work_dir(spark, "release"), Sides(registry=_registry(spark, sf_dir), places=_places(spark, sf_dir))
+    release.release(obs, root, "v1", YEAR_BLOCKS[:1], sides, inputs=("/in",))
+    return root
+
+
+_RELEASE_OBS = """a AS (SELECT CAST(user_id AS VARCHAR) AS entity_id, value AS v, event_type AS ep, event_id AS ord, 1 + (day(ts) - 1) // 7 AS y, CASE event_id % 3 WHEN 0 THEN 'CENTRO' WHEN 1 THEN 'SUD' END AS area, event_id % 6 AS file FROM events),
+p AS (SELECT 'ALL' AS package, * FROM a UNION ALL SELECT 'areas/' || area, * FROM a WHERE area IS NOT NULL),
+r AS (SELECT CAST(c_custkey AS VARCHAR) AS entity_id, 'NATION_' || c_nationkey AS comune, 'P' || c_nationkey % 3 AS provincia, c_nationkey % 7 = 0 AS lost FROM customer)"""
+
+
+@query(f"""WITH {_RELEASE_OBS} SELECT package, 'v1' AS version, ['/in'] AS inputs, count(DISTINCT entity_id) AS rows, count(*) AS long_rows, count(DISTINCT file) AS files, TRUE AS has_parts, count(DISTINCT CASE WHEN ep = 'view' AND v IS NOT NULL THEN y END) AS year_columns,
+    count(DISTINCT CASE WHEN lost THEN entity_id END) AS unmatched, TRUE AS merge_registry, FALSE AS merge_figures, TRUE AS merge_places, ['ALL', 'areas/CENTRO', 'areas/SUD'] AS packages
+FROM p LEFT JOIN r USING (entity_id) GROUP BY package""")
+def release_manifests(spark, sf_dir):
+    """The manifests of all packages of a release, and its root manifest, read back."""
+    root = _written_release(spark, sf_dir)
+    schema = "package string, version string, inputs array<string>, rows long, column_names array<string>, long_rows long, files long, long_parts long, unmatched long, merge_registry boolean, merge_figures boolean, merge_places boolean"
+    made = release.read_manifests(spark, root, "v1", schema)
+    top = spark.read.text(f"{root}/v1/manifest").select(F.from_json("value", "release_id string, packages array<string>").alias("t")).select(F.col("t.release_id").alias("version"), "t.packages")
+    years = F.size(F.filter("column_names", lambda c: c.rlike("^10_view_y[0-9]+$"))).cast("long")
+    made = made.withColumns({"has_parts": F.col("long_parts") > 0, "year_columns": years}).join(F.broadcast(top), "version")  # one row
+    return made.drop("column_names", "long_parts")
+
+
+@query(f"""WITH {_RELEASE_OBS} SELECT DISTINCT package, entity_id, comune, provincia FROM p JOIN r USING (entity_id) WHERE lost""")
+def release_unmatched(spark, sf_dir):
+    """The unmatched rows that the packages of a release were written with."""
+    path = f"{_written_release(spark, sf_dir)}/v1"
+    read = lambda place: spark.read.option("header", True).csv(f"{path}/{place}/unmatched.csv")
+    columns = ["package", "entity_id", "comune", "provincia"]
+    areas = read("areas").withColumn("package", F.concat(F.lit("areas/"), release.AREA))
+    return read("ALL").withColumn("package", F.lit("ALL")).select(columns).unionByName(areas.select(columns))
 
 
 @query("SELECT 'b' AS run, user_id, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY user_id UNION ALL SELECT 'a', user_id, count(*) FROM events WHERE event_type = 'view' GROUP BY user_id")
