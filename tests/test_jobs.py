@@ -1,6 +1,7 @@
 """Sources, sinks, releases and streams on files."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,56 @@ def test_a_stray_quote_harms_no_other_row(spark, tmp_path):
     assert all(v == (f"name {k}", str(k)) for k, v in got.items() if k not in (5, 3000))
 
 
+def by_line(text, glued):
+    """The records of a file, one line after the other."""
+    out, held = [], []
+    for line in text.split("\n"):
+        held.append(line)
+        whole = "\n".join(held)
+        if whole.count('"') % 2 == 0:
+            out.append(whole)
+        elif len(held) >= glued:
+            out += [v.replace('"', "") for v in held]
+        else:
+            continue
+        held = []
+    return (out + [v.replace('"', "") for v in held])[1:]
+
+
+@pytest.mark.parametrize(("broadcast", "size", "glued"), [(100_000, 64, 10), (100_000, 23, 3), (0, 64, 10), (100_000, 400, 1)])
+def test_records_of_split_files(spark, tmp_path, monkeypatch, broadcast, size, glued):
+    monkeypatch.setattr(csv, "BROADCAST_FILES", broadcast)
+    rng = random.Random(size)
+    texts = ["h,1", 'h"ead', '"a\n\nb",c\n"d']
+    for share in (0.02, 0.1, 0.4, 0.8):
+        for n in (1, 7, 60):
+            texts.append("\n".join("".join(rng.choice("ab,") for _ in range(rng.randrange(9))) + ('"' if rng.random() < share else '""' if rng.random() < 0.1 else "") for _ in range(n)))
+    texts = [t + "\n" * (k % 2) for k, t in enumerate(texts)]
+    for k, t in enumerate(texts):
+        (tmp_path / f"{k}.csv").write_text(t, "utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    spark.conf.set("spark.sql.files.minPartitionNum", 1)
+    try:
+        got = sorted(r[0] for r in csv.records(spark, str(tmp_path), glued).collect())
+        wanted = sorted(r for t in texts for r in by_line(t.removesuffix("\n"), glued))
+    finally:
+        for c in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{c}")
+    assert got == wanted
+
+
+def test_a_file_with_a_stray_quote_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join(f'{k},"open,{k}' if k == 700 else f"{k},name {k},{k}" for k in range(1600)), "utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", -(-(tmp_path / "a.csv").stat().st_size // 8))
+    try:
+        rows = csv.records(spark, str(tmp_path / "a.csv"))
+        parts = rows.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(parts) == 8 and sum(r["count"] for r in parts) == 1599
+
+
 def test_flexible_csv_reads_without_quotes_what_does_not_balance(spark, tmp_path):
     (tmp_path / "a.csv").write_text('k;n\n1;"open\n2;b\n', "utf-8")
     (tmp_path / "b.csv").write_text('k;n\n3;"two\nlines"\n', "utf-8")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from ..functions.text import canonical_code, postal_code, strip_text
 from ..operators.columns import pick_column, require_columns
 from ..operators.combine import union_all
 from ..operators.dedup import first_nonempty, keep_first, source_order
-from ..shared import small_enough
+from ..shared import materialize, small_enough
 
 #: What is no UTF-8 is read as Latin-1, and the codes that Windows gives other characters are replaced after.
 ENCODINGS = ("UTF-8", "ISO-8859-1")
@@ -24,7 +25,7 @@ DELIMITERS = ("\t", ";", ",")
 SAMPLE_LINES, SAMPLE_BYTES = 1000, 4096
 #: Lines that an open quote may join at most.
 MAX_GLUED = 10
-#: Lists of files are broadcast up to this many.
+#: Lists of files or of their blocks are broadcast up to this many.
 BROADCAST_FILES = 100_000
 #: Characters that no text has: a line break inside a record, and a text that is never met.
 _BREAK, _NEVER = "\ufdd0", "\ufdd1"
@@ -68,50 +69,178 @@ def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), quotes.alias("quotes"))
 
 
-def _joined(lines: list[str]) -> list[tuple[str, bool]]:
+def _joined(lines: list[str]) -> list[str]:
     """A record of several lines; if its quotes still don't balance, each of its lines without quotes."""
     whole = "\n".join(lines)
-    return [(whole, True)] if whole.count('"') % 2 == 0 else [(line.replace('"', ""), False) for line in lines]
+    return [whole] if whole.count('"') % 2 == 0 else [line.replace('"', "") for line in lines]
 
 
-def records(spark: SparkSession, paths: str | list[str], glued: int = MAX_GLUED) -> DataFrame:
-    """(value) of every record after the first one of each file.
+class _Held:
+    """How many lines an open quote holds, and whether a record has ended yet, after some lines of a file."""
+
+    def __init__(self, held: int, ended: bool, glued: int):
+        self.held, self.ended, self.glued = held, ended, glued
+
+    def even(self, lines: int) -> None:
+        """Lines without an open quote."""
+        if self.held and self.held + lines < self.glued:
+            self.held += lines
+        elif lines:
+            self.held, self.ended = 0, True
+
+    def odd(self) -> None:
+        """A line that opens or closes a quote."""
+        if self.held or self.glued <= 1:
+            self.held, self.ended = 0, True
+        else:
+            self.held = 1
+
+    def over(self, odd: np.ndarray) -> "_Held":
+        at = -1
+        for k in np.flatnonzero(odd).tolist():
+            self.even(k - at - 1)
+            self.odd()
+            at = k
+        self.even(len(odd) - at - 1)
+        return self
+
+
+_BLOCK_FACTS = "path string, block long, held array<int>, ended array<boolean>, tail array<string>"
+
+
+def _block_facts(glued: int):  # noqa: ANN202
+    """What each block of a file does to an open quote: for each number of lines that may be held before it how many are after it, and its last lines."""
+
+    def facts(batches):  # noqa: ANN001, ANN202
+        key, odd, tail = None, [], []
+
+        def done() -> pa.RecordBatch:
+            ends = [_Held(h, False, glued).over(np.concatenate(odd)) for h in range(glued)]
+            made = {"path": [key[0]], "block": [key[1]], "held": [[e.held for e in ends]], "ended": [[e.ended for e in ends]], "tail": [tail]}
+            return pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(made.items(), (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.string())), strict=True)})
+
+        for batch in batches:
+            for part, own in _by_block(batch):
+                if part != key:
+                    if key:
+                        yield done()
+                    key, odd, tail = part, [], []
+                odd.append(own.column("odd").to_numpy(zero_copy_only=False))
+                tail = (tail + own.column("value").slice(max(0, own.num_rows - glued)).to_pylist())[-glued:]
+        if key:
+            yield done()
+
+    return facts
+
+
+def _by_block(batch: pa.RecordBatch):  # noqa: ANN202
+    """((path, block), rows) of the blocks in a batch, in which they stand together."""
+    blocks = batch.column("block").to_numpy()
+    paths = batch.column("path").dictionary_encode().indices.to_numpy()
+    edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(paths) != 0)) + 1
+    for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+        if b > a:
+            yield (batch.column("path")[int(a)].as_py(), int(blocks[a])), batch.slice(a, b - a)
 
-    A line with an open quote goes on in the next lines, at most ``glued`` lines in all; if the quotes don't balance by
-    then, they are taken off these lines and each is a record. Only files with such lines are read
-    in order, one task for a file line by line; all others stay split.
-    """
-    lines = text_lines(spark, paths)
-    odd = lines.where("quotes % 2 = 1").select("path").distinct()
-    odd = F.broadcast(odd) if small_enough(odd, BROADCAST_FILES) else odd
-    first = lines.where("block = 0").groupBy("path").agg(F.min("row").alias("first"))
-    first = F.broadcast(first) if small_enough(first, BROADCAST_FILES) else first
-    plain = lines.join(odd, "path", "left_anti").join(first, "path", "left").where(~F.col("row").eqNullSafe(F.col("first"))).select("value")
-    ordered = lines.join(odd, "path", "left_semi").repartition("path").sortWithinPartitions("path", "block", "row").select("value", "path")
 
-    def glue(batches):
-        at, head, held = None, False, []
+_STARTS = "path string, block long, carry array<string>, headless boolean, last boolean"
 
-        def done(found: list[tuple[str, bool]]) -> list[str]:
-            nonlocal head
-            skip, head = int(head), False
-            return [r for r, _ in found[skip:]]
+
+def _starts(glued: int):  # noqa: ANN202
+    """With the blocks of each file in order: the lines that an open quote holds before a block, and whether the block is the file's last. Blocks that start and end without any are left out."""
+
+    def fold(batches):  # noqa: ANN001, ANN202
+        held, ended, lines, before = 0, False, [], None
+
+        def row(last: bool) -> list[tuple]:
+            path, block, carry, headless, open_ = before
+            return [(path, block, carry, headless, last)] if carry or (last and open_) else []
+
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if before and before[0] != r["path"]:
+                    out += row(True)
+                    held, ended, lines, before = 0, False, [], None
+                elif before:
+                    out += row(False)
+                carry = lines[len(lines) - held :] if held else []
+                held, ended, headless = r["held"][held], ended or r["ended"][held], not ended
+                before = (r["path"], r["block"], carry, headless, held > 0)
+                lines = (lines + r["tail"])[-glued:]
+            yield _rows_of(out)
+        if before:
+            yield _rows_of(row(True))
+
+    return fold
+
+
+def _rows_of(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.bool_())
+    names = ("path", "block", "carry", "headless", "last")
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
+
+
+def _glue(glued: int):  # noqa: ANN202
+    """The records that end in each block, less the first of each file."""
+
+    def glue(batches):  # noqa: ANN001, ANN202
+        key, held, skip, last = None, [], False, False
+
+        def done(records: list[str]) -> list[str]:
+            nonlocal skip
+            first, skip = int(skip and bool(records)), skip and not records
+            return records[first:]
 
         for batch in batches:
-            out: list[str] = []
-            for value, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if path != at:
-                    out += done(_joined(held)) if held else []
-                    at, head, held = path, True, []
-                held.append(value)
-                if sum(v.count('"') for v in held) % 2 == 0 or len(held) >= glued:
-                    out += done(_joined(held))
-                    held = []
-            yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
-        if held:
+            for part, own in _by_block(batch):
+                if part != key:
+                    if key and last and held:
+                        yield pa.RecordBatch.from_pydict({"value": pa.array(done(_joined(held)), pa.string())})
+                    key = part
+                    carry, headless, last = (own.column(c)[0].as_py() for c in ("carry", "headless", "last"))
+                    held, skip = list(carry or []), part[1] == 0 or bool(headless)
+                odd = own.column("odd").to_numpy(zero_copy_only=False)
+                if not held and not odd.any():
+                    yield pa.RecordBatch.from_arrays([own.column("value").slice(int(skip))], ["value"])
+                    skip = False
+                    continue
+                out: list[str] = []
+                open_ = bool(held)
+                for value, is_odd in zip(own.column("value").to_pylist(), odd.tolist(), strict=True):
+                    held.append(value)
+                    open_ ^= is_odd
+                    if not open_ or len(held) >= glued:
+                        out += done(_joined(held))
+                        held, open_ = [], False
+                yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
+        if key and last and held:
             yield pa.RecordBatch.from_pydict({"value": pa.array(done(_joined(held)), pa.string())})
 
-    return plain.unionByName(ordered.mapInArrow(glue, "value string"))
+    return glue
+
+
+def records(spark: SparkSession, paths: str | list[str], glued: int = MAX_GLUED) -> DataFrame:
+    """(value) of every record after the first one of each file.
+
+    A line with an open quote goes on in the next lines, at most ``glued`` lines in all; if the quotes don't balance by
+    then, they are taken off these lines and each is a record. Files stay split: each block tells what it does to an open quote, whatever number
+    of lines is held before it, and its last lines; a fold over a file's blocks, small rows in order, then tells each block what it starts with. A record belongs to the block that it ends in.
+    """
+    lines = text_lines(spark, paths)
+    if lines.where("quotes % 2 = 1").isEmpty():
+        first = lines.where("block = 0").groupBy("path").agg(F.min("row").alias("first"))
+        first = F.broadcast(first) if small_enough(first, BROADCAST_FILES) else first
+        return lines.join(first, "path", "left").where(~F.col("row").eqNullSafe(F.col("first"))).select("value")
+    odd = lines.select("value", "path", "block", "row", (F.col("quotes") % 2 == 1).alias("odd"))
+    facts = odd.mapInArrow(_block_facts(glued), _BLOCK_FACTS).repartition("path").sortWithinPartitions("path", "block")
+    starts = materialize(facts.mapInArrow(_starts(glued), _STARTS), "csv-starts")
+    if small_enough(starts, BROADCAST_FILES):
+        # a broadcast keeps the lines of a block together and in order
+        placed = odd.join(F.broadcast(starts), ["path", "block"], "left")
+    else:
+        placed = odd.join(starts, ["path", "block"], "left").repartition("path", "block").sortWithinPartitions("path", "block", "row")
+    return placed.select("value", "path", "block", "odd", "carry", "headless", "last").mapInArrow(_glue(glued), "value string")
 
 
 def read_tolerant(spark: SparkSession, paths: str | list[str], columns: list[str], sep: str = ",") -> DataFrame:
