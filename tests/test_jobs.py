@@ -1,12 +1,14 @@
 """Sources, sinks, releases and streams on files."""
 
+import hashlib
 import json
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from widelathe.operators import combine, reports
+from widelathe.operators import combine, enrich, reports
 from widelathe.plans import release
 from widelathe.sources import csv, sinks
 from widelathe.streaming import ingest
@@ -210,3 +212,65 @@ def test_windowed_activity(spark, tmp_path):
     q = ingest.windowed_activity(stream, "t", ["k"]).writeStream.format("memory").queryName("activity").outputMode("complete").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted((r["k"], r["n"], r["value"]) for r in spark.sql("SELECT * FROM activity").collect()) == [("a", 2, 3.0), ("b", 1, 3.0)]
+
+
+def test_no_code_too_large_to_compile(spark, tmp_path):
+    from widelathe.plans.queries_io import _report_rows
+
+    good, _ = reports.clean_reports(_report_rows(spark, "/root/testdata/sf0.001"), on_bad="quarantine")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        assert reports.report_wide(good).count() > 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+
+
+def test_cleaning_reads_once_and_counts(spark, tmp_path):
+    columns = "entity_id string, descriptor string, heading string, column_label string, value string, src_ord int"
+    rows = [("RM1", "2.2.a.1", "a - b | c", "Punteggio medio", "1", 1), ("RM1", "1.1.b.1", "x", "x", "1", 2), ("RM2", "2.2.a.1", "no parts", "Punteggio medio", "1", 3)]
+    df = spark.createDataFrame(rows, columns)
+    counts = sinks.write_clean(df, f"{tmp_path}/out", "quarantine", f"{tmp_path}/bad")
+    assert counts == {"clean": 1, "bad": 1, "dropped_descriptor": 1, "dropped_label": 0, "dropped_measure": 0}
+    before = sorted(p.name for p in tmp_path.iterdir())
+    assert before == ["bad", "out"]
+    with pytest.raises(reports.BadRows) as e:
+        sinks.write_clean(df, f"{tmp_path}/out", "fail")
+    assert len(e.value.examples) == 1 and sorted(p.name for p in tmp_path.iterdir()) == before  # what stood there stays
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out").count() == 1
+
+
+def test_digests_by_ranges(spark, tmp_path):
+    for k, size in enumerate((1, 1000, 5000)):
+        (tmp_path / f"{k}.bin").write_bytes(bytes(range(256)) * size)
+    got = sinks.snapshot(spark, str(tmp_path), range_bytes=777)
+    assert "content" not in got.columns
+    assert {r["name"]: r["sha256"] for r in got.collect()} == {f"{k}.bin": hashlib.sha256(bytes(range(256)) * n).hexdigest() for k, n in enumerate((1, 1000, 5000))}
+
+
+def test_repeats_are_known_to_the_stream(spark, tmp_path):
+    source, out, checkpoint = (f"{tmp_path}/{n}" for n in ("in", "out", "checkpoint"))
+    schema = "k int, v int, ts timestamp, src_ord int"
+    day = lambda n: datetime(2024, 1, 1) + timedelta(days=n)
+    for rows in ([(1, 1, day(0), 1), (1, 1, day(0), 1), (2, 1, day(1), 2)], [(1, 9, day(0), 1), (3, 1, day(60), 3)], [(4, 1, day(61), 4)], [(1, 7, day(62), 1)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        ingest.ingest_once(spark, source, spark.read.parquet(source).schema, out, checkpoint, lambda s: s, keys=["k"], time="ts", late="30 days")
+    taken = spark.read.parquet(out)
+    # the fourth landing comes after the state has let the key go; the read takes the first
+    assert sorted((r["k"], r["v"]) for r in taken.collect()) == [(1, 1), (1, 7), (2, 1), (3, 1), (4, 1)]
+    assert sorted((r["k"], r["v"]) for r in ingest.first_delivery(taken, ["k"]).collect()) == [(1, 1), (2, 1), (3, 1), (4, 1)]
+
+
+def test_backlog_leaves_the_landed_table_where_it_is(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("cast(id AS string) AS entity_id", "concat('e', id % 2) AS endpoint_key")
+    sinks.write_bucketed(rows.where("entity_id % 3 = 0"), "landed_in_test", f"{tmp_path}/landed", ["entity_id", "endpoint_key"], 4)
+    left = combine.backlog_of_table(rows, "landed_in_test", ["entity_id", "endpoint_key"])
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert left.count() == 666 and plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    spark.sql("DROP TABLE landed_in_test")
+
+
+def test_collated_keys(spark):
+    look = spark.createDataFrame([("Forlì", "b"), ("FORLI", "a"), (None, "n")], "place string, class string")
+    rows = spark.createDataFrame([("forlí",), ("Forli",), ("Cesena",), (None,)], "place string")
+    got = {r["place"]: r["class"] for r in enrich.lookup_with_default(rows, look, "place", "class", "none", collation="UNICODE_CI_AI").collect()}
+    assert got == {"forlí": "a", "Forli": "a", "Cesena": "none", None: "none"}

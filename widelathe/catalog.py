@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import queries_io, queries_scalar, queries_wide  # noqa: F401  each lists its queries
+from .plans import queries_io, queries_landing, queries_scalar, queries_wide  # noqa: F401  each lists its queries
 from .plans.registry import QUERIES, SQL
 
 

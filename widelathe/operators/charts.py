@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHART = "struct<title:string,info:string,note:string,categories:array<string>,series:array<struct<name:string,data:variant,y:variant>>>"
 
@@ -17,15 +20,20 @@ def _text(v: Column) -> Column:
     return F.when(~F.is_variant_null(v), F.try_variant_get(v, "$", "string"))
 
 
+def as_variant(docs: DataFrame, body: str) -> Column:
+    """The document in ``body``, which is a variant or JSON text; null if it is no JSON."""
+    return F.col(body) if dict(docs.dtypes)[body] == "variant" else F.try_parse_json(body)
+
+
 def chart_rows(docs: DataFrame, body: str = "body", keep: tuple[str, ...] = ("entity_id", "endpoint_key")) -> DataFrame:
     """(keep, title, series_index, series_name, category_index, category, value, info, note, kind) of every chart.
 
     ``by_categories``: there is a list of categories and some series has a list; values past
     the categories have a null category. ``by_name_scalar``: no categories and only scalars; the
     series' name is the category, and ``y`` counts where ``data`` is absent. ``index_only``: no
-    categories, and lists. Any other shape, and text that is no JSON, gives no rows.
+    categories, and lists. Any other shape, and text that is no JSON, gives no rows. ``body`` is JSON text or a variant.
     """
-    parsed = docs.select(*keep, F.try_variant_get(F.try_parse_json(body), "$", CHART).alias("c")).where("c.series IS NOT NULL")
+    parsed = docs.select(*keep, F.try_variant_get(as_variant(docs, body), "$", CHART).alias("c")).where("c.series IS NOT NULL")
     lists = F.exists("c.series", lambda s: _is_list(s["data"]))
     named = F.coalesce(F.size("c.categories") > 0, F.lit(False))
     kind = F.when(named & lists, F.lit("by_categories")).when(~named & ~lists, F.lit("by_name_scalar")).when(~named & lists, F.lit("index_only"))
@@ -54,17 +62,31 @@ def observations(docs: DataFrame, skip: tuple[str, ...] = ("anagrafica_base",),
     return chart_rows(docs.where(~F.col("endpoint_key").isin(*skip)), **options)
 
 
-def registry_rows(docs: DataFrame, body: str = "body", keep: tuple[str, ...] = ("entity_id",), fields: list[str] | None = None, mode: str = "union", order: list[Column] | None = None) -> DataFrame:
+def record_schema(rows: DataFrame, record: str) -> dict[str, str]:
+    """The fields of all records of a variant column and their types, in order of name: one aggregate, of which the driver gets the schema."""
+    found = rows.agg(F.schema_of_variant_agg(record)).first()[0]
+    if not found.startswith("OBJECT<"):
+        return {}
+    made = T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", found))
+    return {f.name: f.dataType.simpleString() for f in sorted(made.fields, key=lambda f: f.name)}
+
+
+def registry_rows(docs: DataFrame, body: str = "body", keep: tuple[str, ...] = ("entity_id",), fields: list[str] | None = None, mode: str = "union", order: list[Column] | None = None, typed: bool = False) -> DataFrame:
     """A wide row for each registry document: the fields of its first record, its outcome and its number of elements.
 
-    ``mode="union"`` takes the keys of all documents, ``"first"`` those of the first in ``order``. ``fields`` states them.
+    ``mode="union"`` takes the keys of all documents, ``"first"`` those of the first in ``order``. ``fields`` states them. Fields are text; ``typed`` gives those that
+    are found by ``union`` the type that all documents agree on. ``body`` is JSON text or a variant.
     """
-    v = F.try_parse_json(body)
-    rows = docs.select(*keep, *[c.alias(f"_o{k}") for k, c in enumerate(order or [])], F.try_variant_get(v, "$.scuole[0]", "map<string,string>").alias("m"), F.try_variant_get(v, "$.esito", "string").alias("esito"), F.try_variant_get(v, "$.numeroTotaleElementi", "bigint").alias("n_elements"))
-    rows = rows.where("m IS NOT NULL")
+    v = as_variant(docs, body)
+    rows = docs.select(*keep, *[c.alias(f"_o{k}") for k, c in enumerate(order or [])], F.try_variant_get(v, "$.scuole[0]", "variant").alias("record"), F.try_variant_get(v, "$.esito", "string").alias("esito"), F.try_variant_get(v, "$.numeroTotaleElementi", "bigint").alias("n_elements"))
+    rows = rows.withColumn("m", F.try_variant_get("record", "$", "map<string,string>")).where("m IS NOT NULL")
+    types: dict[str, str] = {}
     if fields is None and mode == "first":
         first = rows.orderBy(*[f"_o{k}" for k in range(len(order or []))]).select(F.map_keys("m")).first()
         fields = list(first[0]) if first else []
     elif fields is None:
-        fields = sorted(r[0] for r in rows.select(F.explode(F.map_keys("m"))).distinct().collect())  # a row for each key of the schema
-    return rows.select(*keep, *[F.try_element_at("m", F.lit(f)).alias(f) for f in fields], "esito", "n_elements")
+        types = record_schema(rows, "record")
+        fields = list(types)
+    plain = lambda f: not typed or types.get(f, "string") in ("string", "void", "variant") or types[f].startswith(("array", "struct", "map"))
+    value = lambda f: F.try_element_at("m", F.lit(f)) if plain(f) else F.try_element_at("m", F.lit(f)).try_cast(types[f])
+    return rows.select(*keep, *[value(f).alias(f) for f in fields], "esito", "n_elements")

@@ -44,6 +44,12 @@ def backlog(work: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
     return work.join(landed.select(*keys), keys, "left_anti")
 
 
+def backlog_of_table(work: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """What of the work list isn't in a table that is kept in buckets of the keys; only the work list moves."""
+    landed = work.sparkSession.table(table).select(*keys)
+    return work.join(landed.hint("merge"), keys, "left_anti")
+
+
 def retry_list(fetch_log: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """Keys whose last fetch failed in a way that may pass: 429, any 5xx, or no status."""
     last = fetch_log.groupBy(*keys).agg(F.max_by(F.struct("status", "ok"), order).alias("last"))
@@ -52,8 +58,12 @@ def retry_list(fetch_log: DataFrame, keys: list[str], order: Column) -> DataFram
 
 
 def valid_cache(landed: DataFrame) -> DataFrame:
-    """Landed documents that need no fetch: not empty, and JSON that can be parsed where JSON is meant."""
-    return landed.where((F.col("raw_len") > 0) & (~F.col("is_json") | F.try_parse_json("body").isNotNull()))
+    """Landed documents that need no fetch: not empty, and JSON that can be parsed where JSON is meant.
+
+    Documents that were landed as a variant, ``doc``, were parsed then; else ``body`` is.
+    """
+    parsed = F.col("doc") if "doc" in landed.columns else F.try_parse_json("body")
+    return landed.where((F.col("raw_len") > 0) & (~F.col("is_json") | parsed.isNotNull()))
 
 
 def signatures(rows: DataFrame, columns: list[str], by: list[str]) -> DataFrame:

@@ -19,8 +19,17 @@ def lookup_side(lookup: DataFrame) -> DataFrame:
     return F.broadcast(lookup) if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else lookup
 
 
-def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, value: str, default: str) -> DataFrame:
-    """Left join of ``value`` by ``key``; ``default`` where nothing matches."""
+def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, value: str, default: str, collation: str | None = None) -> DataFrame:
+    """Left join of ``value`` by ``key``; ``default`` where nothing matches.
+
+    With a ``collation``, such as ``UNICODE_CI_AI``, keys are compared by it, so that neither side is folded; of keys of the
+    lookup that are the same by it the smallest counts.
+    """
+    if collation:
+        same = F.collate(F.col(key), collation)
+        side = lookup.where(F.col(key).isNotNull()).groupBy(same.alias("_same")).agg(F.min_by(value, F.collate(F.col(key), "UTF8_BINARY")).alias(value))
+        joined = df.withColumn("_same", same).join(lookup_side(side), "_same", "left").drop("_same")
+        return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
     joined = df.join(lookup_side(lookup.select(key, value)), key, "left")
     return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 

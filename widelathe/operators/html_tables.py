@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import parse_int, parse_number
 from ..functions.text import has_part, has_word
+from ..shared import materialize
 from .stats import first_flag
 
 CELL = "struct<text:string,header:boolean,colspan:int,rowspan:int,tick:boolean>"
@@ -211,7 +212,8 @@ def dispatch(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "descriptor"),
 
     2.2.a.1 and 2.4.a.4: score tables. 2.2.b.2: situation tables. 2.2.b.1: tick tables. Other descriptors and broken pages give a row with an error.
     """
-    rows = table_rows(docs, html, keep=keep)
+    # every reader takes its rows from what was parsed once
+    rows = materialize(table_rows(docs, html, keep=keep), "html-rows")
     of = lambda *names: rows.where(F.col("descriptor").isin(*names) & F.col("error").isNull())
     cells = lambda names: F.inline(F.array(*[F.struct(F.lit(n).alias("column_label"), F.col(n).alias("value")) for n in names]))
     none = F.lit(None).cast("string").alias("error")

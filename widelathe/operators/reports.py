@@ -16,6 +16,8 @@ DESCRIPTOR_A, DESCRIPTOR_B, DROPPED_DESCRIPTOR = "2.2.a.1", "2.2.b.2", "1.1.b.1"
 KEPT_MEASURES = ("Punteggio medio", "Diff. ESCS (*)")
 SPLIT_NAMES = [f"split_a{k}" for k in (1, 2, 3)] + [f"split_b{k}" for k in (1, 2, 3, 4, 5)]
 DROPPED_COLUMNS = ("heading", "school_level", "descriptor_name")
+#: Why rows are dropped, as ``drop_reason`` names it.
+DROP_REASONS = ("descriptor", "label", "measure")
 MAX_EXAMPLES = 25
 
 
@@ -58,16 +60,28 @@ class BadRows(ValueError):
         self.examples = examples
 
 
+def clean_columns(split: DataFrame) -> DataFrame:
+    """The columns that clean rows of ``split_reports`` keep."""
+    return split.drop("drop_reason", "error", *DROPPED_COLUMNS)
+
+
+def bad_columns(split: DataFrame) -> DataFrame:
+    """The columns that rows in quarantine keep."""
+    return split.drop("drop_reason", *SPLIT_NAMES)
+
+
+def bad_examples(bad: DataFrame) -> list:
+    """Up to 25 of the bad rows, with their labels cut short."""
+    return bad.withColumns({c: truncate(F.col(c), 300) for c in ("heading", "column_label") if c in bad.columns}).limit(MAX_EXAMPLES).collect()
+
+
 def clean_reports(rows: DataFrame, on_bad: str = "fail", measures: tuple[str, ...] = KEPT_MEASURES) -> tuple[DataFrame, DataFrame]:
     """(clean rows, quarantined rows). With ``on_bad="fail"`` any bad row raises ``BadRows`` with up to 25 examples."""
     split = split_reports(rows, measures)
-    bad = split.where(F.col("error").isNotNull()).drop("drop_reason", *SPLIT_NAMES)
-    if on_bad == "fail":
-        shown = bad.withColumns({c: truncate(F.col(c), 300) for c in ("heading", "column_label") if c in bad.columns})
-        if examples := shown.limit(MAX_EXAMPLES).collect():
-            raise BadRows(examples)
-    good = split.where(F.col("drop_reason").isNull() & F.col("error").isNull()).drop("drop_reason", "error", *DROPPED_COLUMNS)
-    return good, bad
+    bad = bad_columns(split.where(F.col("error").isNotNull()))
+    if on_bad == "fail" and (examples := bad_examples(bad)):
+        raise BadRows(examples)
+    return clean_columns(split.where(F.col("drop_reason").isNull() & F.col("error").isNull())), bad
 
 
 def measure_kind(label: Column) -> Column:
@@ -105,8 +119,11 @@ def pivot_first(rows: DataFrame, keys: list[str], name: str, value: str, order:
 
 
 def report_wide(clean: DataFrame) -> DataFrame:
-    """One row for each entity with a column for each computed name."""
-    return pivot_first(named_values(clean), ["entity_id"], "name", "v", "src_ord")
+    """One row for each entity with a column for each computed name.
+
+    The clean rows are written first: names and splits in one loop would be too much code to compile.
+    """
+    return pivot_first(named_values(materialize(clean, "report-clean")), ["entity_id"], "name", "v", "src_ord")
 
 
 def report_pivot(rows: DataFrame, keys: list[str]) -> DataFrame:

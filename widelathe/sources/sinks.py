@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import sanitize
 from ..operators.columns import drop_named
-from ..operators.reports import clean_reports
+from ..operators.reports import DROP_REASONS, KEPT_MEASURES, BadRows, bad_columns, bad_examples, clean_columns, split_reports
 from ..operators.stats import run_stats
-from ..shared import new_path
+from ..shared import new_path, scratch
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -75,21 +80,79 @@ def write_catalogue(endpoints: DataFrame, path: str, source: str, prefix: str) -
     write_csv(rows, path)
 
 
-def write_clean(rows: DataFrame, path: str, on_bad: str = "fail", quarantine: str | None = None) -> None:
-    """Cleans report rows and writes them as CSV, all or nothing: with ``on_bad="fail"`` a bad row raises before anything is written.
+def replace_folder(spark: SparkSession, made: str, target: str) -> None:
+    """Puts a folder that is whole in the place of ``target``."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (made, target)]
+    store = paths[1].getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(paths[1], True)
+    store.mkdirs(paths[1].getParent())
+    if not store.rename(*paths):
+        raise OSError(f"{made} could not be renamed to {target}")
 
-    With ``on_bad="quarantine"`` bad rows go to the folder ``quarantine`` instead. Spark's commit shows whole outputs only.
+
+def write_clean(rows: DataFrame, path: str, on_bad: str = "fail", quarantine: str | None = None, measures: tuple[str, ...] = KEPT_MEASURES) -> dict[str, int]:
+    """Cleans report rows, writes them as CSV, all or nothing, and returns how many rows went where.
+
+    ``rows`` are read once: clean, bad and dropped rows are told apart, counted while they are written side by side, and taken on from there. With ``on_bad="fail"``
+    bad rows raise ``BadRows`` and nothing is left; with ``"quarantine"`` they go to the folder ``quarantine``, if one is named. The outputs take their places once both are whole.
+    Counted are ``clean``, ``bad`` and the reasons of dropped rows, ``dropped_<reason>``.
+    """
+    spark, seen = rows.sparkSession, Observation()
+    place = F.when(F.col("drop_reason").isNotNull(), F.concat(F.lit("dropped_"), "drop_reason")).when(F.col("error").isNotNull(), F.lit("bad")).otherwise(F.lit("clean"))
+    tagged = split_reports(rows, measures).withColumn("_place", place)
+    counts = [F.count(F.when(F.col("_place") == p, F.lit(1))).alias(p) for p in ("clean", "bad", *(f"dropped_{r}" for r in DROP_REASONS))]
+    target = path.rstrip("/")
+    outputs = {target: "clean"} | ({quarantine.rstrip("/"): "bad"} if quarantine else {})
+    with scratch(spark):
+        staged = new_path(spark, "clean-staged")
+        tagged.observe(seen, *counts).where(F.col("_place").isin("clean", "bad")).write.partitionBy("_place").parquet(staged)
+        written = spark.read.schema(tagged.schema).parquet(staged)
+        parts = {"clean": clean_columns(written.where("_place = 'clean'").drop("_place")), "bad": bad_columns(written.where("_place = 'bad'").drop("_place"))}
+        if on_bad == "fail" and seen.get["bad"]:
+            raise BadRows(bad_examples(parts["bad"]))
+        made = {out: f"{out}-{uuid.uuid4().hex}" for out in outputs}
+        for out, part in outputs.items():
+            write_csv(parts[part], made[out])
+        for out in outputs:
+            replace_folder(spark, made[out], out)
+    return dict(seen.get)
+
+
+def snapshot(spark: SparkSession, path: str, range_bytes: int = 8 << 20) -> DataFrame:
+    """(path, name, length, sha256) of every file below a folder, Spark's own marks and empty files left out.
+
+    A task reads a file by ranges and hashes on, so that a file may be as large as it likes and no row holds its content.
+    """
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for file in batch.column("path").to_pylist():
+                store, name = fs.FileSystem.from_uri(file)
+                digest = hashlib.sha256()
+                with store.open_input_stream(name, buffer_size=0) as stream:
+                    while part := stream.read(range_bytes):
+                        digest.update(part)
+                made.append(digest.hexdigest())
+            yield batch.append_column("sha256", pa.array(made, pa.string()))
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    return files.mapInArrow(digests, "path string, length long, sha256 string").select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "sha256")
+
+
+def write_documents(docs: DataFrame, path: str, mode: str = "append") -> None:
+    """Documents as Parquet with the body as a variant, ``doc``, parsed once; what is no JSON stays as text in ``bad_body``.
+
+    ``docs`` are as ``read_documents`` gives them.
     """
-    good, bad = clean_reports(rows, on_bad)
-    write_csv(good, path)
-    if quarantine:
-        write_csv(bad, quarantine)
+    parsed = docs.withColumn("doc", F.try_parse_json("body"))
+    out = parsed.withColumns({"raw_len": F.length("body"), "bad_body": F.when(F.col("doc").isNull(), F.col("body"))}).drop("body", "ok")
+    out.write.mode(mode).option("compression", "zstd").parquet(path)
 
 
-def snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """(path, name, length, sha256) of every file below a folder, Spark's own marks left out; a file may have 2 GB at most."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> None:
+    """A table in buckets of its keys, sorted within: joins on the keys read it where it lies."""
+    df.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
 def append_log(log: DataFrame, path: str, run: str) -> None:
