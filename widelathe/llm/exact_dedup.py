@@ -117,12 +117,14 @@ def new_texts(index: DigestIndex, docs: DataFrame, stored: DataFrame, *, id_col:
     Only documents that a run's filter lets pass meet the run, and what hits is compared with the stored text itself. Null texts count as
     empty; equal texts inside ``docs`` all stay. An empty table gives an empty one.
     """
-    (name,) = fresh(docs, "lsm_digest")
+    name, body = fresh(docs, "lsm_digest", "lsm_body")
     asked = docs.withColumn(name, digest(F.col(text_col)))
-    hits = materialize(index.lookup(asked.select(F.col(name).alias("digest"))), "lsm-found").select(F.col("digest").alias(name), F.col("best.id").alias("lsm_id"))
-    texts = stored.join(hits, F.col(id_col).eqNullSafe(F.col("lsm_id"))).where(digest(F.col(text_col)) == F.col(name))
-    texts = texts.groupBy(name).agg(F.min(stripped(F.col(text_col))).alias("lsm_body"))
-    return asked.join(texts, name, "left").where(F.col("lsm_body").isNull() | (F.col("lsm_body") != stripped(F.col(text_col)))).drop(name, "lsm_body")
+    hits = materialize(index.lookup(asked.select(F.col(name).alias("digest"))), "lsm-found").select(F.col("digest").alias(name), F.col("best.id").alias("hit"))
+    # of the stored documents only id and text are read, so that their other names don't matter
+    known = stored.select(F.col(id_col).alias("known"), F.col(text_col).alias("words"))
+    texts = known.join(hits, F.col("known").eqNullSafe(F.col("hit"))).where(digest(F.col("words")) == F.col(name))
+    texts = texts.groupBy(name).agg(F.min(stripped(F.col("words"))).alias(body))
+    return asked.join(texts, name, "left").where(F.col(body).isNull() | (F.col(body) != stripped(F.col(text_col)))).drop(name, body)
 
 
 def _compare(rows: DataFrame, groups: DataFrame) -> DataFrame:
