@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -515,9 +516,39 @@ def test_blocks_are_loaded_once_while_they_are_kept(spark, monkeypatch):
     assert sum(len(decontaminate._block(f)) for f in folders) == 7 * 5
 
 
+def test_ten_blocks_are_loaded_once_a_task(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 4)
+    bench = spark.createDataFrame([(k, " ".join(f"w{k * 100 + j}" for j in range(14))) for k in range(8)], "item_id int, text string")
+    folders = decontaminate.write_blocks(decontaminate.windows_of(bench, 10, "item_id", "text"))
+    loaded, load = [], decontaminate.load_block
+    monkeypatch.setattr(decontaminate, "load_block", lambda f: loaded.append(f) or load(f))
+    decontaminate._kept.clear()
+    texts = [[f"x w{k * 100 + 1} " + " ".join(f"w{k * 100 + j}" for j in range(2, 14)) for k in range(8)] + [None] for _ in range(10)]
+    made = [r for part in decontaminate.scan_batches((pa.array(t) for t in texts), folders) for r in part.to_pylist()]
+    assert len(folders) == 10 and sorted(loaded) == sorted(folders)
+    assert [(r["n_hit"], r["items"]) for r in made] == ([(13, [str(k)]) for k in range(8)] + [(0, [])]) * 10
+    # texts that don't fit together: the blocks that are still kept are met first
+    loaded.clear()
+    decontaminate._kept.clear()
+    monkeypatch.setattr(decontaminate, "HELD_BYTES", 5 * sum(len(t or "") for t in texts[0]))
+    again = [r for part in decontaminate.scan_batches((pa.array(t) for t in texts), folders) for r in part.to_pylist()]
+    assert again == made and len(loaded) == 10 + 10 - decontaminate.KEPT_AUTOMATA
+
+
 # --- Exact dedup
 
 
+def test_new_texts_with_clashing_names(spark):
+    names = "doc_id long, text string, lsm_digest int, lsm_body int, lsm_id int, known int, words int, hit int"
+    stored = spark.createDataFrame([(1, "a b", *[0] * 6), (2, None, *[0] * 6)], names)
+    rows = exact_dedup._rows(stored, ["doc_id"], "doc_id", "text", exact_dedup.digest(F.col("text"))).select("row.*")
+    index = exact_dedup.DigestIndex(spark)
+    index.flush(rows)
+    later = spark.createDataFrame([(5, "ab", *[7] * 6), (6, "abc", *[7] * 6), (7, "", *[7] * 6)], names)
+    got = exact_dedup.new_texts(index, later, stored)
+    assert got.columns == later.columns and [tuple(r) for r in got.collect()] == [(6, "abc", *[7] * 6)]
+
+
 def test_later_documents_meet_the_runs_through_filters(spark):
     stored = spark.createDataFrame([(k, f"text  number {k % 700}") for k in range(1000)] + [(None, None)], "doc_id long, text string")
     rows = exact_dedup._rows(stored, ["doc_id"], "doc_id", "text", exact_dedup.digest(F.col("text"))).select("row.*")

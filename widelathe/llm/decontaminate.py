@@ -7,12 +7,15 @@ words' offsets to a range of the original text.
 
 Spark makes the windows, joins those that several items have, deals them into blocks of
 bounded size and writes these to the shared folder. A worker loads a block when it needs
-it and keeps the automata of a few, so neither the driver nor a task ever holds a large benchmark.
+it and keeps the automata of a few, so neither the driver nor a task ever holds a large benchmark. Where there
+are more blocks than a worker keeps, it holds texts of some size together and takes them through one block after the other, so
+that a block is loaded once for that many texts, whatever the size of a batch.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -27,6 +30,8 @@ from .words import LETTERS, letter_words, utf8
 BLOCK_WINDOWS = 25_000
 #: Automata that a worker keeps at most.
 KEPT_AUTOMATA = 4
+#: Bytes of texts that a worker takes through the blocks together.
+HELD_BYTES = 32 << 20
 _kept: OrderedDict[str, ahocorasick.Automaton] = OrderedDict()
 
 RESULT = "struct<n_words:long,n_hit:long,spans:array<struct<start:int,end:int>>,items:array<string>>"
@@ -110,34 +115,60 @@ def _word_spans(raw: bytes, runs: list[list[int]]) -> list[dict[str, int]]:
     return [{"start": int(chars[starts[a]]), "end": int(chars[ends[b]])} for a, b in runs]
 
 
+def _scan_texts(raws: list[bytes | None], folders: list[str]) -> pa.Array:
+    """The result of each text, all of them taken through one block after the other."""
+    plain, sizes = [], []
+    for raw in raws:
+        words = letter_words(raw)
+        sizes.append(len(words))
+        plain.append(f" {b' '.join(words).decode('utf-8', 'surrogatepass')} " if words else "")
+    found: list[list[tuple[int, int]]] = [[] for _ in raws]
+    items: list[set[str]] = [set() for _ in raws]
+    for folder in folders if any(plain) else ():
+        automaton = _block(folder)
+        for k, text in enumerate(plain if len(automaton) else ()):
+            hits = list(automaton.iter(text)) if text else ()
+            if hits:
+                # a match ends with the space after its last word: as many spaces stand before as the words up to it
+                spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 32)
+                last = np.searchsorted(spaces, [end for end, _ in hits]) - 1
+                for stop, (_, (count, ids)) in zip(last.tolist(), hits, strict=True):
+                    found[k].append((stop - count + 1, stop))
+                    items[k].update(ids)
+    made = []
+    for raw, n, hits, ids in zip(raws, sizes, found, items, strict=True):
+        runs = runs_of(hits)
+        made.append({"n_words": n, "n_hit": sum(b - a + 1 for a, b in runs), "spans": _word_spans(raw, runs) if runs else [], "items": sorted(ids)})
+    return pa.array(made, _RESULT)
+
+
+def scan_batches(batches: Iterator[pa.Array], folders: list[str]) -> Iterator[pa.Array]:
+    """The results of batches of texts. With more blocks than are kept batches are held up to ``HELD_BYTES``, and every second time the blocks are met backwards, from those that are still kept."""
+    held: list[list[bytes | None]] = []
+    size = 0
+
+    def done() -> Iterator[pa.Array]:
+        nonlocal held, size, folders
+        made = _scan_texts([raw for part in held for raw in part], folders)
+        at = 0
+        for part in held:
+            yield made.slice(at, len(part))
+            at += len(part)
+        held, size, folders = [], 0, folders[::-1]
+
+    for batch in batches:
+        held.append(utf8(batch))
+        size += sum(len(raw) for raw in held[-1] if raw)
+        if len(folders) <= KEPT_AUTOMATA or size >= HELD_BYTES:
+            yield from done()
+    if held:
+        yield from done()
+
+
 def _scanned(text: Column, folders: list[str]) -> Column:
     @F.arrow_udf(RESULT)
-    def scanned(texts: pa.Array) -> pa.Array:
-        raws = utf8(texts)
-        plain, sizes = [], []
-        for raw in raws:
-            words = letter_words(raw)
-            sizes.append(len(words))
-            plain.append(f" {b' '.join(words).decode('utf-8', 'surrogatepass')} " if words else "")
-        found: list[list[tuple[int, int]]] = [[] for _ in raws]
-        items: list[set[str]] = [set() for _ in raws]
-        # a batch meets one automaton after the other: each is loaded once for a batch at most
-        for folder in folders:
-            automaton = _block(folder)
-            for k, text in enumerate(plain if len(automaton) else ()):
-                hits = list(automaton.iter(text)) if text else ()
-                if hits:
-                    # a match ends with the space after its last word: as many spaces stand before as the words up to it
-                    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 32)
-                    last = np.searchsorted(spaces, [end for end, _ in hits]) - 1
-                    for stop, (_, (count, ids)) in zip(last.tolist(), hits, strict=True):
-                        found[k].append((stop - count + 1, stop))
-                        items[k].update(ids)
-        made = []
-        for raw, n, hits, ids in zip(raws, sizes, found, items, strict=True):
-            runs = runs_of(hits)
-            made.append({"n_words": n, "n_hit": sum(b - a + 1 for a, b in runs), "spans": _word_spans(raw, runs) if runs else [], "items": sorted(ids)})
-        return pa.array(made, _RESULT)
+    def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from scan_batches(batches, folders)
 
     return scanned(text)
 
@@ -152,7 +183,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, id_col: str =
     listed. Repeated items and repeated rows count like single ones; very long texts are
     scanned whole. An empty benchmark leaves every row clean, an empty table stays empty.
     Input columns called like an output column are replaced. A benchmark of more than ``BLOCK_WINDOWS`` windows is
-    scanned for in blocks; each text is read once.
+    scanned for in blocks; each text is read once, and normalised once.
     """
     docs = without(docs, "n_words", "n_hit", "n_items", "items", "spans", "contaminated")
     folders = write_blocks(windows_of(benchmark, size, id_col, text_col))
