@@ -189,9 +189,71 @@ def lambda_of(histogram: dict[float, int]) -> float:
     return max(0.05, high)
 
 
+class LeftOut:
+    """Scores of the words of a labelled text by the counts of all other texts: what the words would be worth had the text not been learnt from."""
+
+    def __init__(self, table: pa.Table, total: dict[str, float], prior: float, weak: float, least: float, drift: float):
+        self.table, self.total, self.prior, self.weak, self.least, self.drift = table, total, prior, weak, least, drift
+
+    def __getstate__(self) -> dict:
+        return {name: v for name, v in self.__dict__.items() if name not in ("index", "counts")}
+
+    @functools.cached_property
+    def index(self) -> dict[bytes, int]:
+        return {w: k for k, w in enumerate(self.table["word"].to_pylist())}
+
+    @functools.cached_property
+    def counts(self) -> tuple[np.ndarray, ...]:
+        """For every word, and at the end for an unknown one: its share of all tokens, and its uses by label."""
+        n, n1, n0 = (np.append(self.table[c].to_numpy().astype(np.float64), 0.0) for c in ("n", "n1", "n0"))
+        return n / max(1.0, self.total["n"]), n1, n0
+
+    def _scores(self, at: np.ndarray, own: np.ndarray, length: int, y: int) -> tuple[np.ndarray, np.ndarray]:
+        """(score, standard errors from zero, -1 where there is no evidence); as ``log_odds`` has them."""
+        share, n1, n0 = (c[at] for c in self.counts)
+        used = []
+        sides = []
+        for n, c, mine in ((n1, "n1", y > 0), (n0, "n0", y <= 0)):
+            n, whole = n - own * mine, self.total[c] - length * mine
+            size = (whole + 1) * self.prior
+            used.append(n)
+            sides.append((n + share * size, whole + size))
+        known = used[0] + used[1] > 0
+        a, b = (np.where(known, c, 1.0) for c, _ in sides)
+        odds = np.log(a / (sides[0][1] - a)) - np.log(b / (sides[1][1] - b))
+        z = odds / np.sqrt(1 / a + 1 / b)
+        evidence = z**4
+        score = np.round(np.clip(odds * evidence / (evidence + self.weak**4), self.least, 8.0), 1)
+        return score, np.where(known & (score != 0), np.abs(z), -1.0)
+
+    def word_scores(self, raw: bytes | None, y: int) -> list[float]:
+        words = letter_words(raw)
+        if not words:
+            return []
+        uses = Counter(words)
+        index, unknown = self.index, len(self.index)
+        every = [list(uses)] + [[w[:n] + b"*" if len(w) >= n else b"" for w in uses] for n in STEMS]
+        found = []
+        for keys in every:
+            own = Counter()
+            for key, n in zip(keys, uses.values(), strict=True):
+                own[key] += n
+            at = np.array([index.get(k, unknown) for k in keys])
+            found.append(self._scores(at, np.array([own[k] for k in keys], dtype=np.float64), len(words), y))
+        z = np.stack([f[1] for f in found])
+        best = z.argmax(axis=0)
+        picked = np.where(z.max(axis=0) >= 0, np.stack([f[0] for f in found])[best, np.arange(len(best))], 0.0) + self.drift
+        score = dict(zip(uses, picked.tolist(), strict=True))
+        return [score[w] for w in words]
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", max_labelled: int = 200_000, drift: float = -0.6, prior: float = 0.1, weak: float = 2.5, least: float = -1.0, height: float = 4.0) -> Model:
     """Learns from the labelled rows that aren't held out; the prior counts every text.
 
+    How large segments are in clean text, and what probability an excess stands for, is read off the labelled texts too, each scored by what all the others teach (``LeftOut``),
+    as texts that nothing was learnt from would be. They are scored once and their segments kept. Both kinds of label weigh the same in the curve, however rare toxic texts are
+    among the labelled ones: a score of 0.7 says that the excess is seven to three times likelier in a toxic text than in another.
+
     ``max_labelled`` bounds the labelled rows, and with them the words that the model has a score for. ``prior`` is
     the prior's weight as a share of the labelled tokens, ``weak`` the number of standard errors at which a word's log-odds
     count half, ``least`` the lowest score of a word, ``drift`` what is added to each score, ``height`` the score of the segments by which K is found. Without labels of both kinds
@@ -200,61 +262,68 @@ def fit(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", max_labell
     words = materialize(count_words(labelled(docs, labels, target, max_labelled, "left")), "word-counts")
     stems = [words.where(F.length("word") >= n).groupBy(F.concat(F.substring("word", 1, n), F.lit(b"*")).alias("word")) for n in STEMS]
     stems = [g.agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n0")]) for g in stems]
+    counts = functools.reduce(DataFrame.unionByName, [words, *stems]).where("n1 + n0 > 0")
     total = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("n", "n1", "n0")]).first()
-    counts = log_odds(functools.reduce(DataFrame.unionByName, [words, *stems]).where("n1 + n0 > 0"), total.asDict(), prior, weak, least)
-    scores = counts.where("score != 0").select("word", "score", F.abs("z").alias("z")).toArrow()
     train = labelled(docs, labels, target, max_labelled, "inner")
     if not total["n1"] or not total["n0"]:
         n, y = train.agg(F.count("y"), F.coalesce(F.sum("y"), F.lit(0))).first()
         return Model({}, drift, 1.0, 1.0, (math.log((y + 0.5) / (n - y + 0.5)), 0.0, 0.0))
-    # of clean text: how often each score stands there, and how many segments are high; there should be K n exp(-lambda height)
-    raw = Model(scores, drift, 1.0, 1.0, (0.0, 0.0, 0.0))
 
-    def statistics(batches):
-        own, above = Counter(), 0
+    left_out = LeftOut(counts.toArrow(), total.asDict(), prior, weak, least, drift)
+
+    def scanned(batches):
         for batch in batches:
-            for text in utf8(batch.column(0)):
-                at = [round(s, 1) for s in raw.word_scores(text)]
-                own.update(at)
-                above += sum(s >= height for _, _, s in segments(at))
-        rows = [*own.items(), (None, above)]
-        yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.float64()), pa.array([c for _, c in rows], pa.int64())], ["score", "n"])
-
-    clean = train.where("y = 0").mapInArrow(statistics, "score double, n long").groupBy("score").agg(F.sum("n")).collect()
-    histogram = {s: c for s, c in clean if s is not None}
-    above = sum(c for s, c in clean if s is None)
+            out = []
+            for text, y in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                at = [round(s, 1) for s in left_out.word_scores(text, y)]
+                own = Counter(at) if y <= 0 else {}
+                out.append((int(y > 0), len(at), [x for _, _, x in segments(at)], list(own), list(own.values())))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(_SCANNED.types)], schema=_SCANNED)
+
+    # of clean text: how often each score stands there, and how many segments are high; there should be K n exp(-lambda height)
+    held = materialize(train.mapInArrow(scanned, "y int, n long, segments array<double>, scores array<double>, uses array<long>"), "toxicity-scanned")
+    uses = held.where("y = 0").select(F.explode(F.arrays_zip("scores", "uses")).alias("u")).groupBy(F.col("u.scores").alias("score")).agg(F.sum("u.uses").alias("n")).collect()
+    histogram = {r["score"]: r["n"] for r in uses}
+    above = held.where("y = 0").agg(F.coalesce(F.sum(F.size(F.filter("segments", lambda x: x >= height))), F.lit(0))).first()[0]
     lam = lambda_of(histogram)
     k = max(1e-6, (above + 0.5) / max(1, sum(histogram.values())) * math.exp(lam * height))
-    model = Model(scores, drift, lam, k, (0.0, 0.0, 0.0))
     # the curve is fitted to a histogram of the excess
-    bins = train.withColumn("bin", F.round(F.log1p(model_excess(F.col("text"), model)) * 20).cast("int"))
+    chance = F.log(F.greatest(F.col("n") * k, F.lit(1e-9)))
+    excess = F.aggregate("segments", F.lit(0.0), lambda a, x: a + F.greatest(F.lit(0.0), x * lam - chance))
+    bins = held.withColumn("bin", F.round(F.log1p(excess) * 20).cast("int"))
     table = bins.groupBy("bin").agg(F.count_if(F.col("y") > 0).alias("n1"), F.count_if(F.col("y") <= 0).alias("n0")).collect()
     x = np.array([r["bin"] / 20 for r in table])
-    model.curve = _curve(x, np.array([r["n1"] for r in table], dtype=float), np.array([r["n0"] for r in table], dtype=float))
-    return model
+    kinds = [np.array([r[c] for r in table], dtype=float) for c in ("n1", "n0")]
+    curve = _curve(x, *[c * (kinds[0].sum() + kinds[1].sum()) / (2 * c.sum()) if c.sum() else c for c in kinds])
+    scores = log_odds(counts, total.asDict(), prior, weak, least).where("score != 0").select("word", "score", F.abs("z").alias("z")).toArrow()
+    return Model(scores, drift, lam, k, curve)
+
+
+_SCANNED = pa.schema([("y", pa.int32()), ("n", pa.int64()), ("segments", pa.list_(pa.float64())), ("scores", pa.list_(pa.float64())), ("uses", pa.list_(pa.int64()))])
 
 
 def _curve(x: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression on (1, x, x > 0) by Newton's method with a small ridge."""
+    """Logistic regression on (1, x, x > 0) by Newton's method with a small ridge; a term by which more excess would lower the score is left out and the others are fitted anew."""
     design = np.stack([np.ones_like(x), x, (x > 0).astype(float)], axis=1)
-    w, ridge = np.zeros(3), np.diag([1e-3, 1e-2, 1e-2])
+    used, ridge = [0, 1, 2], np.array([1e-3, 1e-2, 1e-2])
+    while True:
+        w = _newton(design[:, used], n1, n0, np.diag(ridge[used]))
+        wrong = [k for k, v in zip(used, w, strict=True) if k and v < 0]
+        if not wrong:
+            full = dict(zip(used, w.tolist(), strict=True))
+            return full[0], full.get(1, 0.0), full.get(2, 0.0)
+        used = [k for k in used if k not in wrong]
+
+
+def _newton(design: np.ndarray, n1: np.ndarray, n0: np.ndarray, ridge: np.ndarray) -> np.ndarray:
+    w, n = np.zeros(design.shape[1]), n1 + n0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        n = n1 + n0
         step = np.linalg.solve(design.T @ (design * (n * p * (1 - p) + 1e-9)[:, None]) + ridge, design.T @ (n1 - n * p) - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    # more excess never lowers the score
-    return float(w[0]), max(0.0, float(w[1])), max(0.0, float(w[2]))
-
-
-def model_excess(text: Column, model: Model) -> Column:
-    @F.arrow_udf("double")
-    def excess(texts: pa.Array) -> pa.Array:
-        return pa.array([model.excess(raw) for raw in utf8(texts)], pa.float64())
-
-    return excess(text)
+    return w
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.7, spans: bool = False) -> DataFrame:
