@@ -37,7 +37,7 @@ PAIRED = 256
 #: Shingles whose bits are counted at once.
 _COUNTED = 1 << 16
 #: Rows of at most four longs that are broadcast; Spark's hash table of them has some 20 MB.
-BROADCAST_ROWS = 250_000
+BROADCAST_ROWS = 500_000
 
 
 def shingle_hashes(raw: bytes | None, k: int, seed: int = 42) -> np.ndarray:
@@ -367,11 +367,13 @@ class _Near:
         same texts stand once, under the smallest of them, with the largest ``rest``: such texts meet once, not under every shingle of a passage they share. Lists are the same
         if their lengths and 128 bits of their texts' hashes are.
         """
-        listed = self.rooted(self.texts.select("node", "n", F.posexplode("tokens").alias("at", "token")), found, "node", "root")
-        shared = listed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
+        rooted = self.rooted(self.texts.select("node", "tokens"), found, "node", "root").select("root", F.explode("tokens").alias("token"))
+        shared = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
         shared = materialize(shared.select("token"), "near-shared")
+        # what is moved for all first shingles is narrow; roots come to those that are shared
+        listed = self.texts.select("node", "n", F.posexplode("tokens").alias("at", "token")).select("token", "node", (F.col("n") - F.col("at")).alias("rest"))
         met = join_checked(listed, shared, ["token"], "inner", BROADCAST_ROWS)
-        met = materialize(met.select("token", "node", "root", "n", (F.col("n") - F.col("at")).alias("rest")), "near-met")
+        met = materialize(self.rooted(met, found, "node", "root"), "near-met")
         marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
         sizes = met.groupBy("token", "root").agg(F.count(F.lit(1)).alias("count"), *marks)
         # of two texts of different roots one at least isn't of the largest root
@@ -380,8 +382,8 @@ class _Near:
         same = ["count", "h1", "h2"]
         once = materialize(sizes.join(sizes.groupBy(*same).agg(F.min("token").alias("one")), same).select("token", "one", "count", "main"), "near-once")
         met = join_checked(met, once, ["token"], "inner", BROADCAST_ROWS)
-        met = met.groupBy(F.col("one").alias("token"), "node", "root", "n", "count", "main").agg(F.max("rest").alias("rest"))
-        return materialize(met.join(self.texts.select("node", "bits"), "node"), "near-postings")
+        met = met.groupBy(F.col("one").alias("token"), "node", "root", "count", "main").agg(F.max("rest").alias("rest"))
+        return materialize(met.join(self.texts.select("node", "n", "bits"), "node"), "near-postings")
 
     def by_prefix(self, found: DataFrame) -> DataFrame:
         """Pairs of texts of different roots, among them all whose similarity is ``least`` or more.
