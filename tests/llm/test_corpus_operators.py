@@ -1,7 +1,9 @@
 """The corpus operators against brute force, SQL and round trips, on small tables."""
 
+import html
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -56,6 +58,56 @@ def test_main_text():
     assert [t for t, own, _ in html_extract.blocks_of("<article><p>cut &am") if own] == ["cut &am"]
 
 
+def test_names_inside_an_article():
+    own = lambda page: [t for t, kept, _ in html_extract.blocks_of(page) if kept]
+    assert own('<div class="post"><p class="share-price">Price</p><p>Text of the post</p></div>') == ["Price", "Text of the post"]
+    assert own('<article><div class="login-tutorial"><p>How to</p></div><p>More</p></article>') == ["How to", "More"]
+    assert own('<article><p>Text</p><div class="comment-list"><p>Reader</p></div><div class="ad box"><p>Buy</p></div></article>') == ["Text"]
+    assert own("<p>A &<b>amp; B</b> &lt;i&gt;</p>") == ["A &amp; B <i>"]
+    began = time.time()
+    own("<xmp>" * 20_000 + "x")
+    assert time.time() - began < 1
+
+
+def made_page(rng):
+    """A random page and the blocks of its main text, as they were put in."""
+    word = lambda: rng.choice(["alpha", "beta &amp; co", "gamma&nbsp;x", "<b>bold</b>", "un<i>brok</i>en", "caf&eacute;", "a\n  b"])
+    plain = lambda t: " ".join(html.unescape(re.sub("<[^>]*>", "", t)).split())
+    wanted = []
+
+    def line():
+        return " ".join(word() for _ in range(rng.randint(3, 12)))
+
+    def put(tag):
+        t = line()
+        wanted.append(plain(t))
+        return f"<{tag}>{t}</{tag}>"
+
+    def content(depth):
+        kind = rng.randrange(6 if depth else 3)
+        if kind < 3:
+            return put(rng.choice(["p", "h2", "blockquote"]))
+        if kind == 3:
+            return "<ul>" + "".join(put("li") for _ in range(rng.randint(1, 3))) + "</ul>"
+        if kind == 4:
+            return f'<div class="{rng.choice(["part", "lead", "body-text"])}">' + "".join(content(depth - 1) for _ in range(rng.randint(1, 3))) + "</div>"
+        return rng.choice(['<div class="ad">{}</div>', '<section id="comments"><p>{}</p></section>', "<form><p>{}</p></form>", "<aside>{}</aside>", "<script>{}</script>", "<!-- {} -->"]).format(line())
+
+    around = lambda: "".join(rng.choice(["<nav><ul><li>{}</li></ul></nav>", '<div class="cookie-notice"><p>{}</p></div>', "<header><h1>{}</h1></header>", "<footer><p>{}</p></footer>", '<div class="sidebar"><ul><li>{}</li></ul></div>', "<style>{}</style>"]).format(line()) for _ in range(rng.randrange(4)))
+    tag = rng.choice(["article", "main"])
+    before = around()
+    body = "".join(content(2) for _ in range(rng.randint(2, 6)))
+    return f"<!DOCTYPE html><html><head><title>{line()}</title></head><body>{before}<div class='wrap'><{tag}>{body}</{tag}></div>{around()}</body></html>", wanted
+
+
+def test_made_pages_give_what_was_put_in(spark):
+    rng = random.Random(4)
+    pages = [(k, f"http://h{k % 3}.example/{k}", *made_page(rng)) for k in range(300)]
+    df = spark.createDataFrame([p[:3] for p in pages], "page_id int, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert got == {k: "\n\n".join(wanted) for k, _, _, wanted in pages}
+
+
 @pytest.mark.parametrize(
     "page",
     [

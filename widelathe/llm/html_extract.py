@@ -41,6 +41,8 @@ CONTAINERS = frozenset("div section header footer nav aside form ul ol dl table
 DROPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices popup promo promoted related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: Parts of a name that say nothing of what a subtree is.
+NEUTRAL_NAMES = frozenset("area block body box container group holder inner item items list outer panel section slot top bottom unit wrap wrapper".split())
 #: The article stands for the page if it has at least this share of the text that isn't dropped.
 ARTICLE_SHARE = 0.25
 #: Inside the article these are content however often they recur.
@@ -65,6 +67,11 @@ def _names(attributes: str) -> tuple[set[str], set[str], list[str]]:
     return names, roles, words
 
 
+def _in_full(words: list[str], dropped: frozenset[str]) -> bool:
+    """Whether some whole word of class or id says no more than a dropped name: ``ad``, ``ad-box`` and ``comment-list``, but not ``share-price``."""
+    return any(parts & dropped and parts <= dropped | NEUTRAL_NAMES for parts in ({p for p in _PARTS.split(w) if p} for w in words))
+
+
 class _Named:
     """A subtree that is dropped by its name, unless it is found to hold the page's article; ``over`` is the place of the next one around it."""
 
@@ -116,7 +123,8 @@ def parse(page: str | None) -> tuple[list[tuple[str, bool, bool, int]], list[tup
     """(text, not dropped, inside an article or main element, innermost container) for each block of text, and (hash, parent) for each container.
 
     A subtree goes by its name, but not if a main element is in it; with a name that has the dropped word as a part only, not
-    if an article is in it, or, where the word isn't the first part, most of the text of the page's paragraphs. Containers
+    if an article is in it, or, where the word isn't the first part, most of the text of the page's paragraphs; inside an article and on
+    a paragraph only a name that says nothing else counts. Containers
     come after their parents; the hash is of the names, the text and the containers inside, and null where the
     container is no template: without text, or with most of an article in it. The time is in proportion to the page, however deep it is nested.
     """
@@ -130,7 +138,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, bool, bool, int]], list[tup
     holds: list[tuple[int, int, int, int]] = []
 
     def flush() -> None:
-        words = html.unescape("".join(text)).split() if text else ()
+        words = "".join(text).split()
         text.clear()
         if words:
             top = stack[-1] if stack else None
@@ -164,7 +172,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, bool, bool, int]], list[tup
         tag = m[2]
         if tag is None:
             if page[m.start()] != "<" or at == m.start() + 1:
-                text.append(m[0])
+                text.append(html.unescape(m[0]) if "&" in m[0] else m[0])  # a reference ends where a tag begins
             continue
         tag = tag.lower()
         block = tag in BLOCK_TAGS
@@ -190,10 +198,9 @@ def parse(page: str | None) -> tuple[list[tuple[str, bool, bool, int]], list[tup
                     break
                 if stack[k].tag in CONTAINERS or stack[k].tag in ("article", "main", "blockquote", "td", "th", "li"):
                     break
-        if tag in UNPARSED:
+        if tag in UNPARSED and tag in DROPPED_TAGS:
             end = re.compile(rf"</{tag}\b", re.I).search(page, at)
-            if tag in DROPPED_TAGS:
-                at = end.start() if end else len(page)
+            at = end.start() if end else len(page)
         top = stack[-1] if stack else None
         names, roles, words = _names(m[3])
         article = top.article if top else 0
@@ -207,7 +214,8 @@ def parse(page: str | None) -> tuple[list[tuple[str, bool, bool, int]], list[tup
             named[over].main |= main
             named[over].article = True
         dropped = DROPPED_NAMES | {"header"} if not article and tag in CONTAINERS else DROPPED_NAMES
-        if tag not in ("html", "body", "article", "main") and names & dropped:
+        # inside an article and on a paragraph a part of a name isn't enough
+        if tag not in ("html", "body", "article", "main") and names & dropped and (not (article or tag in PARAGRAPH_TAGS) or _in_full(words, dropped)):
             named.append(_Named(words, dropped, over))
             named[-1].main, named[-1].article = main, "article" in roles
             over = len(named) - 1
