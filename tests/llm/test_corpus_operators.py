@@ -155,7 +155,7 @@ def test_deep_pages_take_time_in_proportion():
 
     page = lambda n: "".join(f"<div class=sidebar-x><p>t{k}</p>" for k in range(n)) + "</div>" * n
     began = time.time()
-    blocks, containers = html_extract.parse(page(8000))
+    blocks, containers, _ = html_extract.parse(page(8000))
     assert len(blocks) == len(containers) == 8000 and time.time() - began < 5
     assert [p for _, p in containers] == list(range(-1, 7999))
 
@@ -170,7 +170,7 @@ def test_templates_against_brute_force(spark):
     data += data[:5]  # repeated rows
     pages = {}
     for _, url, page in data:
-        blocks, containers = html_extract.parse(page)
+        blocks, containers, _ = html_extract.parse(page)
         host = url.split("/")[2]
         pages[url] = host, blocks, containers, "\n".join(t for t, own, _, _ in blocks if own)
     counts = Counter()
@@ -192,6 +192,23 @@ def test_templates_against_brute_force(spark):
     assert len(got) == 65 and {r["url"]: r["text"] for r in got} == wanted and 0 < changed
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_shapes_that_recur_are_template(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(html_extract, "BROADCAST_SUBTREES", broadcast)
+    # a menu and a box that are filled anew on each page, under names that say nothing; content in plain containers and, on host two, mostly in named ones
+    box = lambda k: f'<div class="zz{" x" * (k % 2)}"><a>Offer {k}</a><a>More {k * 7}</a></div>'
+    one = lambda k: f'{box(2 * k)}<div><p>Story {k} is told here at some length</p><p>and goes on {k}</p></div><section><p>Then it ends {k}</p></section>'
+    two = lambda k: "".join(f'<div class="para"><p>Paragraph {j} of story {k} is here</p></div>' for j in range(4))
+    data = [(k, f"http://one.example/{k}", one(k)) for k in range(30)] + [(100 + k, f"http://two.example/{k}", two(k)) for k in range(30)] + [(200 + k, f"http://few.example/{k}", one(k)) for k in range(9)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert got[3] == "Story 3 is told here at some length\n\nand goes on 3\n\nThen it ends 3"
+    assert got[103] == "\n\n".join(f"Paragraph {j} of story 3 is here" for j in range(4))
+    assert "Offer" in got[203]  # too few pages to tell
+    alone = {r["page_id"]: r["text"] for r in html_extract.extract(df, by_count=False).collect()}
+    assert "Offer" in alone[3]
+
+
 def test_the_share_of_a_large_host_does_not_grow_with_it(spark):
     data = [(k, f"http://h.example/{k}", ("<div>Notice</div>" if k < 10 else "") + f"<p>Own text {k}</p>") for k in range(40)]
     pages = spark.createDataFrame(data, "page_id long, url string, html string")
