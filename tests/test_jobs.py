@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from widelathe.operators import combine, enrich, reports
+from widelathe.operators import combine, dedup, enrich, reports
 from widelathe.plans import release
 from widelathe.sources import csv, sinks
 from widelathe.streaming import ingest
@@ -89,7 +89,9 @@ def test_flexible_csv_reads_without_quotes_what_does_not_balance(spark, tmp_path
     assert [r["K"] for r in read.where("K < 3").orderBy("src_ord").collect()] == ["1", "2"]
 
 
-def test_the_order_of_files_is_data(spark, tmp_path):
+@pytest.mark.parametrize("few", [100_000, 1])
+def test_the_order_of_files_is_data(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(dedup, "BROADCAST_FILES", few)
     for name, first in (("b", 100), ("a", 0), ("c", 200)):
         (tmp_path / f"{name}.csv").write_text("entity_id;endpoint_key;value\n" + "\n".join(f"RM{k:08d};e;{k}" for k in range(first, first + 50)), "utf-8")
     rows = csv.normalize_long(spark.read.options(header=True, sep=";").csv(str(tmp_path)))

@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shared import materialize
+from ..shared import materialize, small_enough
 
+#: Lists of files are ranked in one task and broadcast up to this many.
+BROADCAST_FILES = 100_000
 #: Texts that count as empty, in lower case.
 EMPTY_WORDS = ("", "nan", "none", "na")
 
@@ -21,11 +23,14 @@ def source_order(df: DataFrame, name: str = "src_ord") -> DataFrame:
     """
     file = F.col("_metadata.file_path")
     paths = df.select(file.alias("_path")).distinct()
-    rank = paths.withColumn("_rank", F.row_number().over(Window.orderBy("_path")))  # a row for each file
+    if small_enough(paths, BROADCAST_FILES):
+        rank = F.broadcast(paths.withColumn("_rank", F.row_number().over(Window.orderBy("_path"))))
+    else:
+        rank = row_index(paths, [F.col("_path")], "_rank")
     big = lambda c: c.cast("decimal(38,0)")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     within = F.expr("cast(cast(_metadata.file_block_start AS decimal(15,0)) * 100000000000BD AS decimal(38,0))") + big(row)
-    placed = df.withColumns({"_path": file, "_within": within}).join(F.broadcast(rank), "_path", "left")
+    placed = df.withColumns({"_path": file, "_within": within}).join(rank, "_path", "left")
     return placed.withColumn(name, F.expr("cast(cast(_rank AS decimal(12,0)) * 100000000000000000000000000BD + _within AS decimal(38,0))")).drop("_path", "_rank", "_within")
 
 
