@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.labels import readable_report_label
 from ..operators import charts, combine, enrich
 from ..sources import sinks
 from ..streaming import ingest as streaming
@@ -81,6 +82,32 @@ def backlog_bucketed(spark, sf_dir):
     return combine.backlog_of_table(work_list(spark, sf_dir), name, keys)
 
 
+@query("SELECT event_type, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, count(*) AS n, round(sum(value), 2) AS value FROM events GROUP BY ALL")
+def windowed_activity(spark, sf_dir):
+    """Counts and sums by day and type out of a stream of landed events, as its last update left them."""
+    path = sinks.work_dir(spark, "activity")
+    events = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    events.repartition(4).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    counted = streaming.windowed_activity(stream, "ts", ["event_type"], late="100 days")
+    keep = lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/out")
+    counted.writeStream.foreachBatch(keep).outputMode("complete").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("event_type", F.col("window.start").cast("timestamp_ntz").alias("day"), "n", F.round("value", 2).alias("value"))
+
+
+@query(r"""
+WITH l AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN '2.4.c.1' ELSE '2.2.b.2' END AS d, CASE p_partkey % 4 WHEN 0 THEN 'Situazione della scuola - classi | ' || p_name WHEN 1 THEN 'a|b|' || p_name || '|x' WHEN 2 THEN 'x_|_|' || p_name || '_|_y' ELSE '  ' || p_name || ' ' END AS c FROM part),
+t AS (SELECT p_partkey, CASE WHEN d = '2.4.c.1' AND len(string_split(c, '|')) > 2 THEN array_to_string(string_split(c, '|')[3:], '|') ELSE c END AS c FROM l),
+r AS (SELECT p_partkey, regexp_replace(replace(replace(c, '_|_|', ''), '_|_', ''), '(?i)situazione[_ ]+della[_ ]+scuola', '', 'g') AS c FROM t)
+SELECT p_partkey, trim(regexp_replace(regexp_replace(c, '[|_\\\-–—]+', ' ', 'g'), '\s+', ' ', 'g')) AS label FROM r
+""")
+def report_labels(spark, sf_dir):
+    """Labels of report columns for readers; of the descriptor with four parts only the last ones count."""
+    label = "CASE p_partkey % 4 WHEN 0 THEN concat('Situazione della scuola - classi | ', p_name) WHEN 1 THEN concat('a|b|', p_name, '|x') WHEN 2 THEN concat('x_|_|', p_name, '_|_y') ELSE concat('  ', p_name, ' ') END"
+    rows = table(spark, sf_dir, "part").selectExpr("p_partkey", "if(p_partkey % 3 = 0, '2.4.c.1', '2.2.b.2') AS descriptor", f"{label} AS column")
+    return rows.select("p_partkey", readable_report_label(F.col("descriptor"), F.col("column")).alias("label"))
+
+
 _SPELT = "CASE {k} % 3 WHEN 0 THEN 'Forlì d''Està ' || {n} WHEN 1 THEN 'FORLI D''ESTA ' || {n} ELSE 'forlí d''èstâ ' || {n} END"
 
 
