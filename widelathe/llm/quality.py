@@ -105,7 +105,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, target: str = "quality", max_labe
     """Learns from the labelled rows that aren't held out, of which ``max_labelled`` at most.
 
     Seven tenths of them, by hash of the statistics, fit the weights; the others calibrate.
-    Without labels of both kinds every score is the smoothed share of label 1.
+    Without labels of both kinds, in an empty table too, every score is the smoothed share of label 1. Statistics are of whole texts, however long, and are clipped at 6 deviations.
+    Repeated rows count as often as they stand there and fall on the same side; ties in the statistics share a step of the calibration. Null and empty texts have statistics of zero.
     """
     d = len(STATISTICS)
     rows = labelled(docs, labels, target, max_labelled, "inner").select(text_statistics(F.col("text")).alias("x"), F.when(F.col("y") > 0, 1.0).otherwise(0.0).alias("y"))
@@ -153,8 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, target: str = "quality", max_labe
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """Adds ``score`` (0 to 1) and ``predicted`` (1 from ``threshold``) to every row.
 
-    Null and empty texts have statistics of zero and are scored like any other. Input columns
-    called like an output column are replaced.
+    Null and empty texts have statistics of zero and are scored like any other; very long texts are read whole. Repeated rows and texts that tie in their
+    statistics have the same score, an empty table stays empty. Input columns called like an output column are replaced.
     """
 
     @F.arrow_udf("double")

@@ -136,7 +136,8 @@ def simhash_components(docs: DataFrame, *, k: int = 3, tau: int = 2, id_col: str
     Texts are linked if their fingerprints differ in at most ``tau`` bits. A text with fewer
     than ``k`` words is one shingle; null and empty texts have fingerprint
     zero and are linked like any other. Null ids are passed over in the
-    smallest id, which is null if a component has no other. An empty table gives an empty one. Input
+    smallest id, which is null if a component has no other. Very long texts count whole, shingle by shingle; repeated rows have the same fingerprint
+    and each a row in the result. An empty table gives an empty one. Input
     columns called like an output column are replaced. ``columns``: the input columns to return, by default the id.
     """
     columns = [c for c in (columns or [id_col]) if c.lower() not in ("fingerprint", "component_id")]

@@ -232,7 +232,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, *, end_id: int =
 
     Returns the manifest (shard, file, first_key, last_key, records, ids), in order of shard. Null
     texts count as empty; null keys come first. Equal keys follow each other,
-    told apart by their place in the input. A file is written under a name
+    told apart by their place in the input, so that repeated rows stand there as often as in the input. Very long texts are encoded whole, in pieces that the
+    tokenizer treats alone anyway. An empty table writes no file. Other columns aren't read. A file is written under a name
     that its task alone uses and then renamed: a task that runs again replaces it.
     """
     spark = docs.sparkSession
@@ -352,7 +353,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
 def token_table(docs: DataFrame, tokenizer: str, folder: str | None = None, **options) -> DataFrame:
     """Writes ``docs`` as shards and reads back, for each document, doc_id, start, n_tokens and ids_crc32.
 
-    An empty table writes no file and gives an empty table.
+    An empty table writes no file and gives an empty table; else as ``write_shards`` says of nulls, repeated keys and very long texts.
     """
     spark = docs.sparkSession
     folder = folder or new_path(spark, "tokens")
