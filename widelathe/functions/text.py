@@ -75,16 +75,20 @@ def town_key(c: Column) -> Column:
     return F.upper(squeeze(c))
 
 
-def place_key(c: Column, exact: bool = False) -> Column:
-    """Key of a place name: no accents, upper case, no apostrophe after a vowel, other punctuation a space."""
-    out = F.upper(strip_text((strip_accents_exact if exact else strip_accents)(c)))
-    out = F.regexp_replace(F.replace(out, F.lit("’"), F.lit("'")), "([AEIOU])'", "$1")
-    return F.trim(F.regexp_replace(F.regexp_replace(out, "[^A-Z0-9' ]+", " "), " +", " "))
+def plain_upper(c: Column, exact: bool = False) -> Column:
+    """Upper case without accents, the text that place keys are made of; where several are wanted of one text it is worth a column of its own."""
+    return F.upper((strip_accents_exact if exact else strip_accents)(c))
 
 
-def place_key_spaced(c: Column) -> Column:
+def place_key(c: Column, exact: bool = False, plain: bool = False) -> Column:
+    """Key of a place name: no accents, upper case, no apostrophe after a vowel, other punctuation a space. ``plain``: ``c`` is ``plain_upper`` already."""
+    out = F.replace(c if plain else plain_upper(c, exact), F.lit("’"), F.lit("'"))
+    return F.trim(F.regexp_replace(F.regexp_replace(out, "([AEIOU])'", "$1"), "[^A-Z0-9']+", " "))
+
+
+def place_key_spaced(c: Column, plain: bool = False) -> Column:
     """As ``place_key``, with every apostrophe, hyphen and slash a space."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.upper(strip_accents(c)), "[^A-Z0-9]+", " "), " +", " "))
+    return F.trim(F.regexp_replace(c if plain else plain_upper(c), "[^A-Z0-9]+", " "))
 
 
 def postal_code(c: Column) -> Column:

@@ -72,7 +72,8 @@ SELECT doc_id, trim(regexp_replace(regexp_replace(a, '[^A-Z0-9'' ]+', ' ', 'g'),
     trim(regexp_replace(regexp_replace(b, '[^A-Z0-9]+', ' ', 'g'), ' +', ' ', 'g')) AS spaced FROM u
 """)
 def place_key(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.place_key(F.coalesce("text", F.lit(""))).alias("place"), text.place_key_spaced(F.coalesce("text", F.lit(""))).alias("spaced"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.plain_upper(F.coalesce("text", F.lit(""))).alias("plain"))
+    return rows.select("doc_id", text.place_key(F.col("plain"), plain=True).alias("place"), text.place_key_spaced(F.col("plain"), plain=True).alias("spaced"))
 
 
 @query("""
