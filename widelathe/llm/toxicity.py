@@ -196,7 +196,20 @@ class LeftOut:
         self.table, self.total, self.prior, self.weak, self.least, self.drift = table, total, prior, weak, least, drift
 
     def __getstate__(self) -> dict:
-        return {name: v for name, v in self.__dict__.items() if name not in ("index", "counts")}
+        return {name: v for name, v in self.__dict__.items() if name not in ("index", "counts", "memo")}
+
+    @functools.cached_property
+    def memo(self) -> dict[bytes, tuple[int, ...]]:
+        return {}
+
+    def keys(self, word: bytes) -> tuple[int, ...]:
+        """The places of a word and of its stems in the table."""
+        if (found := self.memo.get(word)) is None:
+            index, unknown = self.index, len(self.index)
+            found = (index.get(word, unknown), *[index.get(word[:n] + b"*", unknown) if len(word) >= n else unknown for n in STEMS])
+            if len(self.memo) < _HELD // 2:
+                self.memo[word] = found
+        return found
 
     @functools.cached_property
     def index(self) -> dict[bytes, int]:
@@ -231,18 +244,12 @@ class LeftOut:
         if not words:
             return []
         uses = Counter(words)
-        index, unknown = self.index, len(self.index)
-        every = [list(uses)] + [[w[:n] + b"*" if len(w) >= n else b"" for w in uses] for n in STEMS]
-        found = []
-        for keys in every:
-            own = Counter()
-            for key, n in zip(keys, uses.values(), strict=True):
-                own[key] += n
-            at = np.array([index.get(k, unknown) for k in keys])
-            found.append(self._scores(at, np.array([own[k] for k in keys], dtype=np.float64), len(words), y))
-        z = np.stack([f[1] for f in found])
-        best = z.argmax(axis=0)
-        picked = np.where(z.max(axis=0) >= 0, np.stack([f[0] for f in found])[best, np.arange(len(best))], 0.0) + self.drift
+        at, where = np.unique(np.array([self.keys(w) for w in uses]), return_inverse=True)
+        where = where.reshape(len(uses), -1)
+        own = np.bincount(where.ravel(), weights=np.repeat(np.fromiter(uses.values(), dtype=np.float64), where.shape[1]))
+        score, z = self._scores(at, own, len(words), y)
+        best = np.take_along_axis(where, z[where].argmax(axis=1)[:, None], axis=1)[:, 0]
+        picked = np.where(z[best] >= 0, score[best], 0.0) + self.drift
         score = dict(zip(uses, picked.tolist(), strict=True))
         return [score[w] for w in words]
 
@@ -269,7 +276,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", max_labell
         n, y = train.agg(F.count("y"), F.coalesce(F.sum("y"), F.lit(0))).first()
         return Model({}, drift, 1.0, 1.0, (math.log((y + 0.5) / (n - y + 0.5)), 0.0, 0.0))
 
-    left_out = LeftOut(counts.toArrow(), total.asDict(), prior, weak, least, drift)
+    # a word with one use has none left without its text
+    left_out = LeftOut(counts.where("n1 + n0 > 1").toArrow(), total.asDict(), prior, weak, least, drift)
 
     def scanned(batches):
         for batch in batches:
