@@ -36,8 +36,13 @@ BITS = 64
 PAIRED = 256
 #: Shingles whose bits are counted at once.
 _COUNTED = 1 << 16
-#: Rows of at most four longs that are broadcast; Spark's hash table of them has some 20 MB.
-BROADCAST_ROWS = 500_000
+#: Bytes of Spark's hash table of a side that is broadcast: 16 and 8 for each column, by row.
+BROADCAST_BYTES = 24 << 20
+
+
+def join_bounded(big: DataFrame, side: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Joins ``side``, whose columns are numbers, by broadcast if it is found to have ``BROADCAST_BYTES`` at most, else by a shuffle."""
+    return join_checked(big, side, on, how, BROADCAST_BYTES // (16 + 8 * len(side.columns)))
 
 
 def shingle_hashes(raw: bytes | None, k: int, seed: int = 42) -> np.ndarray:
@@ -301,14 +306,14 @@ class _Near:
         first = known.groupBy("s1", "s2").agg(F.min("uid").alias("node"), F.max("uid").alias("last")).where(F.col("node") != F.col("last"))
         repeated = materialize(first.select("s1", "s2", "node"), "near-repeated")
         #: (uid, node) of the rows whose word sequence stands in an earlier row
-        self.copies = materialize(join_checked(known, repeated, ["s1", "s2"], "inner", BROADCAST_ROWS).where(F.col("uid") != F.col("node")).select("uid", "node"), "near-copies")
-        self.texts = join_checked(rows.select(F.col("uid"), "sig"), self.copies.select("uid"), ["uid"], "left_anti", BROADCAST_ROWS).select(F.col("uid").alias("node"), "sig.*")
+        self.copies = materialize(join_bounded(known, repeated, ["s1", "s2"], "inner").where(F.col("uid") != F.col("node")).select("uid", "node"), "near-copies")
+        self.texts = join_bounded(rows.select(F.col("uid"), "sig"), self.copies.select("uid"), ["uid"], "left_anti").select(F.col("uid").alias("node"), "sig.*")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (a, b) whose sets of shingles have the similarity ``least`` or more."""
         pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
         wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "near-wanted")
-        texts = join_checked(self.rows.select("uid", "text"), wanted, ["uid"], "inner", BROADCAST_ROWS)
+        texts = join_bounded(self.rows.select("uid", "text"), wanted, ["uid"], "inner")
         both = pairs.join(texts.withColumnsRenamed({"uid": "b", "text": "y"}), "b").join(texts.withColumnsRenamed({"uid": "a", "text": "x"}), "a")
         return both.where(_similar(F.col("x"), F.col("y"), self.k, self.least)).select("a", "b")
 
@@ -328,7 +333,7 @@ class _Near:
         """
         listed = self.texts.select("node", F.explode("bands").alias("key"))
         size = materialize(listed.groupBy("key").count().where(F.col("count") > 1), "band-keys")
-        met = materialize(join_checked(listed, size, ["key"], "inner", BROADCAST_ROWS), "band-met")
+        met = materialize(join_bounded(listed, size, ["key"], "inner"), "band-met")
         score = met.groupBy("node").agg(F.sum("count").alias("score"))
         heads = met.join(score, "node").groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("head"), F.max("score").alias("score"))
         stars = met.join(heads, "key").where(F.col("node") != F.col("head")).groupBy("node", "head").agg(F.max("score").alias("score"))
@@ -340,14 +345,14 @@ class _Near:
     def rooted(self, frame: DataFrame, found: DataFrame, node: str, root: str) -> DataFrame:
         """Adds the root of each ``node``, which is itself where it has no link."""
         roots = found.select(F.col("node").alias(node), F.col("root").alias(root))
-        return join_checked(frame, roots, [node], "left", BROADCAST_ROWS).withColumn(root, F.coalesce(root, node))
+        return join_bounded(frame, roots, [node], "left").withColumn(root, F.coalesce(root, node))
 
     def apart(self, pairs: DataFrame, found: DataFrame) -> DataFrame:
         """The pairs of different roots that may be similar by their sizes and bitmaps."""
         pairs = self.rooted(self.rooted(pairs, found, "a", "r"), found, "b", "s").where(F.col("r") != F.col("s")).select("a", "b")
         pairs = materialize(pairs, "near-apart")
         wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-sized")
-        sized = join_checked(self.texts.select("node", "n", "bits"), wanted, ["node"], "inner", BROADCAST_ROWS)
+        sized = join_bounded(self.texts.select("node", "n", "bits"), wanted, ["node"], "inner")
         both = pairs.join(sized.withColumnsRenamed({"node": "a", "n": "n", "bits": "x"}), "a").join(sized.withColumnsRenamed({"node": "b", "n": "m", "bits": "y"}), "b")
         return both.where(_may(self.least, F.col("n"), F.col("m"), "x", "y")).select("a", "b", "n", "m")
 
@@ -356,7 +361,7 @@ class _Near:
         pairs = materialize(pairs.distinct(), "near-sized")
         large = pairs.where(F.least("n", "m") > BITMAP // 4)
         wanted = materialize(large.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-wanted")
-        wide = join_checked(self.texts.select("node", "wide"), wanted, ["node"], "inner", BROADCAST_ROWS)
+        wide = join_bounded(self.texts.select("node", "wide"), wanted, ["node"], "inner")
         both = large.join(wide.withColumnsRenamed({"node": "b", "wide": "y"}), "b").join(wide.withColumnsRenamed({"node": "a", "wide": "x"}), "a")
         kept = both.where(_close(F.col("n"), F.col("m"), F.col("x"), F.col("y"), self.least))
         return kept.select("a", "b").unionByName(pairs.where(F.least("n", "m") <= BITMAP // 4).select("a", "b"))
@@ -373,7 +378,7 @@ class _Near:
         shared = materialize(shared.select("token"), "near-shared")
         # what is moved for all first shingles is narrow; roots come to those that are shared
         listed = self.texts.select("node", "n", F.posexplode("tokens").alias("at", "token")).select("token", "node", (F.col("n") - F.col("at")).alias("rest"))
-        met = join_checked(listed, shared, ["token"], "inner", BROADCAST_ROWS)
+        met = join_bounded(listed, shared, ["token"], "inner")
         met = materialize(self.rooted(met, found, "node", "root"), "near-met")
         marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
         sizes = met.groupBy("token", "root").agg(F.count(F.lit(1)).alias("count"), *marks)
@@ -382,7 +387,7 @@ class _Near:
         sizes = materialize(sizes.groupBy("token").agg(main, F.sum("count").alias("count"), *[F.bit_xor(f"h{k}").alias(f"h{k}") for k in (1, 2)]), "near-sizes")
         same = ["count", "h1", "h2"]
         once = materialize(sizes.join(sizes.groupBy(*same).agg(F.min("token").alias("one")), same).select("token", "one", "count", "main"), "near-once")
-        met = join_checked(met, once, ["token"], "inner", BROADCAST_ROWS)
+        met = join_bounded(met, once, ["token"], "inner")
         met = met.groupBy(F.col("one").alias("token"), "node", "root", "count", "main").agg(F.max("rest").alias("rest"))
         return materialize(met.join(self.texts.select("node", "n", "bits"), "node"), "near-postings")
 
@@ -440,8 +445,8 @@ def keep_one(docs: DataFrame, *, k: int = 5, least: float = 0.8, tau: int = 2, i
     groups = near.groups()
     id_ = F.col(f"row.`{id_col}`")
     keys = rows.select(F.struct(id_.isNull().alias("none"), id_.alias("id"), F.col("uid").alias("uid")).alias("order"), "uid")
-    keys = join_checked(keys, near.copies, ["uid"], "left", BROADCAST_ROWS).select("order", F.coalesce("node", "uid").alias("node"))
+    keys = join_bounded(keys, near.copies, ["uid"], "left").select("order", F.coalesce("node", "uid").alias("node"))
     named = near.rooted(keys, groups, "node", "root").select("order", "root")
     best = named.groupBy("root").agg(F.min("order").alias("best"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
-    gone = join_checked(named, materialize(best, "near-best"), ["root"], "inner", BROADCAST_ROWS).where(F.col("order.uid") != F.col("best.uid")).select(F.col("order.uid").alias("uid"))
-    return join_checked(rows, materialize(gone, "near-gone"), ["uid"], "left_anti", BROADCAST_ROWS).select("row.*")
+    gone = join_bounded(named, materialize(best, "near-best"), ["root"], "inner").where(F.col("order.uid") != F.col("best.uid")).select(F.col("order.uid").alias("uid"))
+    return join_bounded(rows, materialize(gone, "near-gone"), ["uid"], "left_anti").select("row.*")
