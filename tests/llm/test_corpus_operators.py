@@ -35,7 +35,7 @@ def spaced(text):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         duck.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df, sql = queries.queries()[name](spark, SF), duck.sql(queries.oracle_sql()[name])
     names = sorted(df.columns)

@@ -139,6 +139,16 @@ SELECT doc_id, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY place
     count(*) OVER (PARTITION BY text_sha256) AS group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
+OP13_SQL = r"""
+WITH r AS (SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (SELECT a.u AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM r a JOIN r b ON a.u <> b.u WHERE a.vec_id % 100 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS k FROM s WHERE same),
+n AS (SELECT anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor, k ORDER BY s.score DESC, s.vec_id) AS rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+    FROM p JOIN s USING (anchor, anchor_id) WHERE k <= 5 AND NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score)
+SELECT * REPLACE (CAST(rank AS INTEGER) AS rank) FROM n WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": OP5_SQL, "op8_decontamination": OP8_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op5_url_filter": OP5_SQL, "op8_decontamination": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op13_hard_negatives": OP13_SQL}
