@@ -266,9 +266,10 @@ def summarize(obs: DataFrame, blocks: list[Block], key: str = "entity_id", by: t
             "_cat": of(by_need["cat"], slug_or(label, "cat_empty", 50), "string"),
             "_year": of(by_need["year"], year_index(label), "int"),
             "_scope": of(by_need["scope"], whole_scope(label, level), "boolean"),
-            "_whole": F.explode(F.coalesce(of(by_need["year"], F.array(*parts), "array<boolean>"), F.array(parts[0]))),
         }
     )
+    # after the labels are worked out, so that this is done once a row
+    rows = rows.withColumn("_whole", F.explode(F.coalesce(of(by_need["year"], F.array(*parts), "array<boolean>"), F.array(parts[0]))))
     named = ["entity_name"] if "entity_name" in obs.columns else []
     apart = [F.when(~F.col("_whole"), F.col(c)).alias(c) for c in (*named, "_cat", "_year")]
     scope = F.when(~F.col("_whole") | F.coalesce(F.col("endpoint_key").isin(sorted(years[True])), F.lit(False)), F.col("_scope")).alias("_scope")

@@ -182,12 +182,12 @@ def open_pivot_areas(spark, sf_dir):
 _SLOPE_SQL = "nullif(regr_slope(v, y) FILTER ({0}), 'nan'::DOUBLE)"
 
 _OPEN_YEARS_SQL = """o AS (SELECT CAST(user_id AS VARCHAR) AS entity_id, 'user ' || user_id AS entity_name, value AS v, event_id AS ord, 1 + (day(ts) - 1) // 7 AS w, event_type AS ep FROM events),
-y AS (SELECT *, CASE WHEN ord % 11 = 0 THEN NULL WHEN ord % 7 = 0 THEN 2020 + ord % 2 WHEN w = 5 THEN 6 ELSE w END AS y FROM o WHERE ep = 'view')"""
+y AS (SELECT *, CASE WHEN ep <> 'view' OR ord % 11 = 0 THEN NULL WHEN ord % 7 = 0 THEN 2020 + ord % 2 WHEN w = 5 THEN 6 ELSE w END AS y FROM o)"""
 
 
-@query(f"""WITH {_OPEN_YEARS_SQL} SELECT n.entity_id, min(entity_name) AS entity_name, {", ".join(f'arg_min(v, ord) FILTER (y = {k}) AS "10_view_y{k}"' for k in (1, 2, 3, 4, 6, 2020, 2021))},
+@query(f"""WITH {_OPEN_YEARS_SQL} SELECT entity_id, min(entity_name) AS entity_name, {", ".join(f'arg_min(v, ord) FILTER (y = {k}) AS "10_view_y{k}"' for k in (1, 2, 3, 4, 6, 2020, 2021))},
     avg(v) FILTER (y IS NOT NULL) AS "*10_view_mean_y", avg(v) FILTER (y IN (1, 2)) AS "*10_view_mean_y1y2", {_SLOPE_SQL.format("y BETWEEN 1 AND 5")} AS "*10_view_slope_y"
-FROM (SELECT DISTINCT entity_id, entity_name FROM o) n LEFT JOIN y USING (entity_id, entity_name) GROUP BY n.entity_id""")
+FROM y GROUP BY entity_id""")
 def wide_years_open(spark, sf_dir):
     """Years as the data have them: a sixth year and calendar years get columns, labels that name no year count nowhere."""
     label = (
