@@ -17,6 +17,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +118,33 @@ def segments(scores: list[float], at: list[int] | None = None, gap: float = 0.0)
     return [(a, b, high - low) for low, high, a, b, _ in stack]
 
 
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words and stems; among some millions of them two meet with a chance of one in millions."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def with_stems(words: list[bytes]) -> list[bytes]:
+    """The words, then for each length of ``STEMS`` their stems; of a shorter word the word again."""
+    return words + [w[:n] + b"*" if len(w) >= n else w for n in STEMS for w in words]
+
+
+class Hashed:
+    """Places of words in a table by their hashes: 8 bytes for a word, where a dictionary has some 200."""
+
+    def __init__(self, words: pa.ChunkedArray):
+        found = np.concatenate([hashes_of(c.to_pylist()) for c in words.chunks] or [np.zeros(0, dtype=np.uint64)])
+        self.order = np.argsort(found, kind="stable").astype(np.int32)
+        self.keys = found[self.order]
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """The place of each word, or the table's length for an unknown one."""
+        if not len(self.keys):
+            return np.zeros(len(words), dtype=np.int64)
+        asked = hashes_of(words)
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        return np.where(self.keys[at] == asked, self.order[at], len(self.keys)).astype(np.int64)
+
+
 class Model:
     """Scores of words and of stems (first bytes of a word), the drift, extreme-value parameters and the calibration curve.
 
@@ -133,26 +161,32 @@ class Model:
         self.memo: dict[bytes, float] = {}
 
     def __getstate__(self) -> dict:
-        return {name: v for name, v in self.__dict__.items() if name != "scores"} | {"memo": {}}
+        return {name: v for name, v in self.__dict__.items() if name not in ("scores", "hashed")} | {"memo": {}}
 
     @functools.cached_property
     def scores(self) -> dict[bytes, tuple[float, float]]:
         words, *values = (c.to_pylist() for c in self.table.columns)
         return dict(zip(words, zip(*values, strict=True), strict=True))
 
-    def score(self, word: bytes) -> float:
-        found = [self.scores.get(word), *[self.scores.get(word[:n] + b"*") for n in STEMS if len(word) >= n]]
-        return max((f for f in found if f), key=lambda f: f[1], default=(0.0, 0.0))[0] + self.drift
+    @functools.cached_property
+    def hashed(self) -> tuple[Hashed, np.ndarray, np.ndarray]:
+        """Places, scores and standard errors; at the end those of an unknown word."""
+        columns = (np.append(self.table[c].to_numpy(), none) for c, none in (("score", 0.0), ("z", -1.0)))
+        return Hashed(self.table["word"]), *columns
+
+    def scored(self, words: list[bytes]) -> list[float]:
+        table, score, z = self.hashed
+        at = table.places(with_stems(words)).reshape(1 + len(STEMS), len(words))
+        best = np.take_along_axis(at, z[at].argmax(axis=0)[None], axis=0)[0]
+        return (score[best] + self.drift).tolist()
 
     def word_scores(self, raw: bytes | None) -> list[float]:
         words, memo = letter_words(raw), self.memo
-        out = [memo.get(w) for w in words]
-        for k, s in enumerate(out):
-            if s is None:
-                out[k] = self.score(words[k])
-                if len(memo) < _HELD:
-                    memo[words[k]] = out[k]
-        return out
+        new = [w for w in dict.fromkeys(words) if w not in memo]
+        own = dict(zip(new, self.scored(new), strict=True)) if new else {}
+        if len(memo) + len(own) <= _HELD // 2:
+            memo.update(own)
+        return [memo[w] if w in memo else own[w] for w in words]
 
     def found(self, raw: bytes | None) -> tuple[int, list[tuple[int, int, float]]]:
         """(number of words, segments as first word, word after the last, score)."""
@@ -196,24 +230,11 @@ class LeftOut:
         self.table, self.total, self.prior, self.weak, self.least, self.drift = table, total, prior, weak, least, drift
 
     def __getstate__(self) -> dict:
-        return {name: v for name, v in self.__dict__.items() if name not in ("index", "counts", "memo")}
-
-    @functools.cached_property
-    def memo(self) -> dict[bytes, tuple[int, ...]]:
-        return {}
-
-    def keys(self, word: bytes) -> tuple[int, ...]:
-        """The places of a word and of its stems in the table."""
-        if (found := self.memo.get(word)) is None:
-            index, unknown = self.index, len(self.index)
-            found = (index.get(word, unknown), *[index.get(word[:n] + b"*", unknown) if len(word) >= n else unknown for n in STEMS])
-            if len(self.memo) < _HELD // 2:
-                self.memo[word] = found
-        return found
+        return {name: v for name, v in self.__dict__.items() if name not in ("index", "counts")}
 
     @functools.cached_property
-    def index(self) -> dict[bytes, int]:
-        return {w: k for k, w in enumerate(self.table["word"].to_pylist())}
+    def index(self) -> Hashed:
+        return Hashed(self.table["word"])
 
     @functools.cached_property
     def counts(self) -> tuple[np.ndarray, ...]:
@@ -244,9 +265,13 @@ class LeftOut:
         if not words:
             return []
         uses = Counter(words)
-        at, where = np.unique(np.array([self.keys(w) for w in uses]), return_inverse=True)
-        where = where.reshape(len(uses), -1)
-        own = np.bincount(where.ravel(), weights=np.repeat(np.fromiter(uses.values(), dtype=np.float64), where.shape[1]))
+        # a short word has no stems: it is asked for again, and counts once
+        keys = with_stems(list(uses))
+        places = self.index.places(keys)
+        at, where = np.unique(places, return_inverse=True)
+        stem = np.array([k < len(uses) or keys[k][-1:] == b"*" for k in range(len(keys))])
+        own = np.bincount(where, weights=np.tile(np.fromiter(uses.values(), dtype=np.float64), 1 + len(STEMS)) * stem)
+        where = where.reshape(1 + len(STEMS), len(uses)).T
         score, z = self._scores(at, own, len(words), y)
         best = np.take_along_axis(where, z[where].argmax(axis=1)[:, None], axis=1)[:, 0]
         picked = np.where(z[best] >= 0, score[best], 0.0) + self.drift
