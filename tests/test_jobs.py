@@ -189,6 +189,17 @@ def test_release_by_the_files_areas(spark, tmp_path, monkeypatch, observed):
     assert release.release(obs, str(tmp_path), "v2", area=None).count() == 1
 
 
+def test_a_release_out_of_files(spark, tmp_path):
+    for area, k in (("SUD", 1), ("NORD_EST", 2)):
+        (tmp_path / "in" / area).mkdir(parents=True)
+        (tmp_path / "in" / area / "o.csv").write_text(f"CODICE_SCUOLA;endpoint;category;value\nRM0000000{k};abbandoni_24_25;y{k};{k},5\n", "utf-8")
+    obs = csv.normalize_long(csv.read_flexible(spark, [f"{tmp_path}/in"], order="src_ord", file="src_file"))
+    packages = release.release(obs, f"{tmp_path}/out", "v1")
+    assert sorted(map(tuple, packages.collect())) == [("ALL", 2), ("areas/NORD_EST", 1), ("areas/SUD", 1)]
+    north = release.read_package(spark, f"{tmp_path}/out", "v1", "NORD_EST").first().asDict()
+    assert north["10_abbandoni_y2"] == 2.5 and "10_abbandoni_y1" not in north
+
+
 def test_signature_ignores_order_only(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "k int, v string")
     sign = lambda d: combine.signature(d, ["k", "v"]).first()[0]

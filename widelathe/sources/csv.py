@@ -304,10 +304,10 @@ def dialects(spark: SparkSession, paths: list[str], by_count: bool = False) -> d
     return {(r["d"]["sep"], ENCODINGS[0 if r["valid"] else 1], r["quoting"], tuple(r["d"]["header"])): r["paths"] for r in found.toLocalIterator()}
 
 
-def read_flexible(spark: SparkSession, paths: list[str], by_count: bool = False, order: str | None = None) -> DataFrame:
+def read_flexible(spark: SparkSession, paths: list[str], by_count: bool = False, order: str | None = None, file: str | None = None) -> DataFrame:
     """CSV files of any of the known delimiters and encodings, united by their upper-case header names.
 
-    Files whose quotes don't balance are read without quoting. ``order`` names a column for the place of each row in the files.
+    Files whose quotes don't balance are read without quoting. ``order`` names a column for the place of each row in the files, ``file`` one for the file's path.
     """
     frames = []
     for (sep, encoding, quoting, header), files in sorted(dialects(spark, paths, by_count).items()):
@@ -317,6 +317,7 @@ def read_flexible(spark: SparkSession, paths: list[str], by_count: bool = False,
             seen.add(h)
         quotes = {"quote": "", "escape": "\\"} if quoting == "off" else {"escape": '"'}
         rows = spark.read.schema(text_schema(names)).options(header=True, sep=sep, encoding=encoding, multiLine=quoting == "lines", enforceSchema=True, **quotes).csv(files)
+        rows = rows.withColumn(file, F.col("_metadata.file_path")) if file else rows
         rows = source_order(rows, order) if order else rows
         if encoding != ENCODINGS[0]:
             rows = rows.withColumns({c: F.translate(f"`{c}`", "".join(_WINDOWS), "".join(_WINDOWS.values())) for c in names})
@@ -327,7 +328,7 @@ def read_flexible(spark: SparkSession, paths: list[str], by_count: bool = False,
 
 
 def normalize_long(df: DataFrame, order: Column | None = None) -> DataFrame:
-    """The long table: entity_id, entity_name, endpoint_key, category, level, value_num, value_text and src_ord.
+    """The long table: entity_id, entity_name, endpoint_key, category, level, value_num, value_text and src_ord, and ``src_file`` and ``area`` if ``df`` has them.
 
     Columns are found under any of their known names; rows without a code go. The order is ``order``, else a column ``src_ord``
     that ``df`` has, else the place in the files that ``df`` is read from; without any of them a ``ValueError`` asks for one.
@@ -342,7 +343,7 @@ def normalize_long(df: DataFrame, order: Column | None = None) -> DataFrame:
     number, rest = split_value(text("value"))
     columns = [canonical_code(text("entity_id")).alias("entity_id"), *[text(k).alias(k) for k in ("entity_name", "endpoint_key", "category", "level")]]
     at = order if order is not None else F.col("src_ord")
-    return df.select(*columns, number.alias("value_num"), rest.alias("value_text"), at.alias("src_ord")).where("entity_id != ''")
+    return df.select(*columns, number.alias("value_num"), rest.alias("value_text"), at.alias("src_ord"), *[c for c in ("src_file", "area") if c in df.columns]).where("entity_id != ''")
 
 
 def read_school_list(df: DataFrame, order: list[Column], required: tuple[str, ...] = ("CODICESCUOLA", "DENOMINAZIONESCUOLA")) -> DataFrame:
