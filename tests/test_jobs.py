@@ -287,3 +287,17 @@ def test_collated_keys(spark):
     rows = spark.createDataFrame([("forlí",), ("Forli",), ("Cesena",), (None,)], "place string")
     got = {r["place"]: r["class"] for r in enrich.lookup_with_default(rows, look, "place", "class", "none", collation="UNICODE_CI_AI").collect()}
     assert got == {"forlí": "a", "Forli": "a", "Cesena": "none", None: "none"}
+
+
+def test_document_files_are_written_by_tasks_and_read_as_bytes(spark, tmp_path):
+    docs = [("e1", "a", '{"x": 1}'), ("e 2/é+", "_b.c", "{broken"), ("e1", "empty", ""), ("e3", "a", "[1,\n2]")]
+    rows = spark.createDataFrame(docs, "entity_id string, endpoint_key string, body string").repartition(3)
+    assert sinks.write_document_files(rows, f"{tmp_path}/docs") == 4
+    assert len([f for f in (tmp_path / "docs").rglob("*") if f.is_file()]) == 4  # no checksums, no other files
+    read = csv.read_documents(spark, f"file://{tmp_path}/docs")
+    got = {tuple(r) for r in read.select(F.url_decode("entity_id"), F.url_decode(F.url_decode("endpoint_key")), "body", "ok").collect()}
+    assert got == {(*d, d[0] != "e 2/é+") for d in docs if d[2]}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan
+    with pytest.raises(Exception, match="no file can be written"):
+        sinks.write_document_files(spark.createDataFrame([("e", None, "x")], rows.schema), f"file://{tmp_path}/more")

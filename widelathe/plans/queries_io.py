@@ -369,10 +369,11 @@ def json_documents(spark, sf_dir):
     path = sinks.work_dir(spark, "json")
     docs = table(spark, sf_dir, "events").select("user_id", "event_type").distinct()
     body = F.when(F.col("user_id") % 3 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct("user_id", "event_type")))
-    docs.select(F.concat("user_id", F.lit("/"), "event_type").alias("k"), body.alias("value")).repartition(8, "k").write.partitionBy("k").text(path)
-    rows = csv.read_documents(spark, path, ".txt")
-    key = F.split(F.url_decode(F.regexp_replace("entity_id", "^k=", "")), "/")
-    return rows.groupBy(F.get(key, F.lit(0)).alias("entity_id"), F.get(key, F.lit(1)).alias("endpoint_key"), "ok").agg(F.count(F.lit(1)).alias("n"))
+    sinks.write_document_files(docs.select(F.col("user_id").alias("entity_id"), F.col("event_type").alias("endpoint_key"), body.alias("body")), path)
+    rows = csv.read_documents(spark, path)
+    # names were encoded for the files, and come encoded once more in the path
+    key = (F.url_decode("entity_id").alias("entity_id"), F.url_decode(F.url_decode("endpoint_key")).alias("endpoint_key"))
+    return rows.groupBy(*key, "ok").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""WITH {OBS_SQL}, a AS (SELECT *, CASE user_id % 3 WHEN 0 THEN 'CENTRO' WHEN 1 THEN 'SUD' END AS area FROM obs JOIN (SELECT event_id, user_id FROM events) ON event_id = ord)

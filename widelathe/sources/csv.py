@@ -401,8 +401,10 @@ def repair_catalogue(lines: DataFrame, columns: list[str], value: str = "value")
 
 
 def read_documents(spark: SparkSession, root: str, suffix: str = ".json") -> DataFrame:
-    """(entity_id, endpoint_key, body, ok) of files called ``entity/endpoint.json``; bodies that are no JSON aren't ok."""
-    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").text(root, wholetext=True)
+    """(entity_id, endpoint_key, body, ok) of files called ``entity/endpoint.json``; bodies that are no JSON aren't ok, empty files have no row."""
+    # whole files as bytes: the text source makes a new configuration for each file
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(root)
     path = F.split("_metadata.file_path", "/")
     name = F.regexp_replace(F.element_at(path, -1), rf"\{suffix}$", "")
-    return rows.select(F.url_decode(F.element_at(path, -2)).alias("entity_id"), name.alias("endpoint_key"), F.col("value").alias("body"), F.try_parse_json("value").isNotNull().alias("ok"))
+    body = F.col("content").cast("string")
+    return rows.select(F.url_decode(F.element_at(path, -2)).alias("entity_id"), name.alias("endpoint_key"), body.alias("body"), F.try_parse_json(body).isNotNull().alias("ok"))
