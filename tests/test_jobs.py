@@ -89,6 +89,17 @@ def test_flexible_csv_reads_without_quotes_what_does_not_balance(spark, tmp_path
     assert [r["K"] for r in read.where("K < 3").orderBy("src_ord").collect()] == ["1", "2"]
 
 
+def test_flexible_csv_tells_an_even_number_of_stray_quotes_from_lines_that_go_on(spark, tmp_path):
+    (tmp_path / "stray.csv").write_text('k;n\n1;"open\n2;b\n3;"more;x\n', "utf-8")
+    (tmp_path / "both.csv").write_text('k;n\n4;"two\nlines"\n5;"open\n6;b\n7;"more\n', "utf-8")
+    (tmp_path / "whole.csv").write_text('k;n\n10;"""two"" \nlines;"\n11;"a;b"\n12;6" x\n13;8" y\n', "utf-8")
+    found = {f.rsplit("/", 1)[1]: quoting for (_, _, quoting, _), files in csv.dialects(spark, [str(tmp_path)]).items() for f in files}
+    assert found == {"stray.csv": "off", "both.csv": "off", "whole.csv": "lines"}
+    got = {r["K"]: r["N"] for r in csv.read_flexible(spark, [str(tmp_path)]).collect()}
+    assert {k: got[k] for k in ("1", "2", "3", "5", "6", "7")} == {"1": '"open', "2": "b", "3": '"more', "5": '"open', "6": "b", "7": '"more'}
+    assert {k: got[k] for k in ("10", "11", "12", "13")} == {"10": '"two" \nlines;', "11": "a;b", "12": '6" x', "13": '8" y'}
+
+
 @pytest.mark.parametrize("few", [100_000, 1])
 def test_the_order_of_files_is_data(spark, tmp_path, monkeypatch, few):
     monkeypatch.setattr(dedup, "BROADCAST_FILES", few)

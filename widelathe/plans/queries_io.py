@@ -259,7 +259,7 @@ def three_column_csv(spark, sf_dir):
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS CODICE, CASE c_custkey % 4 WHEN 1 THEN 'Forlì ' WHEN 3 THEN '\"' ELSE '' END || c_name AS NOME, CASE WHEN c_custkey % 4 IN (0, 3) THEN c_mktsegment END AS SEGMENTO FROM customer")
 def flexible_csv(spark, sf_dir):
-    """One table in four files of other delimiters, encodings and headers, one of them with quotes that don't balance."""
+    """One table in four folders of other delimiters, encodings and headers, one of them with quotes that are never closed."""
     path = sinks.work_dir(spark, "flexible")
     rows = table(spark, sf_dir, "customer").selectExpr("c_custkey AS codice", "if(c_custkey % 4 = 1, concat('Forlì ', c_name), c_name) AS Nome", "c_mktsegment AS segmento")
     for k, (sep, encoding) in enumerate(((";", "UTF-8"), (",", "ISO-8859-1"), ("\t", "UTF-8"))):
@@ -267,9 +267,9 @@ def flexible_csv(spark, sf_dir):
         (part if k == 0 else part.drop("segmento")).write.options(header=True, sep=sep, encoding=encoding).csv(f"{path}/{k}")
     broken = rows.where("codice % 4 = 3").select(F.concat(F.lit(""), "codice", F.lit(';"'), "Nome", F.lit(";"), "segmento").alias("value")).repartition("value")
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
-    # an odd number of quotes in each file: one more in its header
-    even = F.when(first, F.lit("codice;Nome;segmento\n")).otherwise(F.lit(""))
-    broken.coalesce(1).select(F.concat(even, "value").alias("value")).write.text(f"{path}/3")
+    # a quote in each line but the header, so that a file has an odd or an even number of them
+    head = F.when(first, F.lit("codice;Nome;segmento\n")).otherwise(F.lit(""))
+    broken.select(F.concat(head, "value").alias("value")).write.text(f"{path}/3")
     read = csv.read_flexible(spark, [path])
     return read.select("CODICE", "NOME", "SEGMENTO")
 
