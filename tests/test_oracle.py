@@ -33,6 +33,28 @@ def test_same_rows_as_sql(spark, duck, name):
     assert found == wanted
 
 
+def same_on(spark, folder, name, **tables):
+    """The query and its SQL on tables of one's own, which come as SELECTs; the rows of the query."""
+    for t, select in tables.items():
+        duckdb.sql(f"COPY ({select}) TO '{folder}/{t}.parquet'")
+    connection = duckdb.connect()
+    for t in tables:
+        connection.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    df, sql = catalog.queries()[name](spark, str(folder)), connection.sql(catalog.oracle_sql()[name])
+    rows = df.collect()
+    wanted = sql.select(*[f'"{c}"' for c in df.columns]).fetchall()
+    assert sorted(str(tuple(map(plain, r))) for r in rows) == sorted(str(tuple(map(plain, r))) for r in wanted)
+    return rows
+
+
+def test_registry_union_has_no_postal_code_of_six_digits(spark, tmp_path):
+    customers = f"SELECT * REPLACE (c_custkey * 1000 + 7 AS c_custkey) FROM '{SF}/customer.parquet'"
+    suppliers = f"SELECT * REPLACE (s_suppkey * 1000 + 7 + s_suppkey % 2 AS s_suppkey) FROM '{SF}/supplier.parquet'"
+    rows = {r["entity_id"]: r for r in same_on(spark, tmp_path, "registry_union", customer=customers, supplier=suppliers)}
+    assert rows["AB00099007"]["cap"] == "99007" and rows["AB00100007"]["cap"] is None
+    assert rows["AB00001008"]["nome"] == "later" and rows["AB00001008"]["cap"] is None  # a supplier alone
+
+
 def test_entry_gives_rows(spark):
     import __spark_entry__
 

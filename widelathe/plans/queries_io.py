@@ -328,8 +328,9 @@ def run_manifest(spark, sf_dir):
 
 
 @query("""
-SELECT 'AB' || lpad(CAST(k AS VARCHAR), 8, '0') AS entity_id, lpad(CAST(k AS VARCHAR), 5, '0') AS cap, CASE WHEN k % 2 = 0 THEN 'Liceo classico' ELSE 'ZZ' END AS "tipoDiIstruzione", c AS nome, s AS altro
-FROM (SELECT c_custkey AS k, c_name AS c, s_name AS s FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey)
+SELECT 'AB' || lpad(CAST(coalesce(c_custkey, s_suppkey) AS VARCHAR), 8, '0') AS entity_id, CASE WHEN length(CAST(c_custkey AS VARCHAR)) <= 5 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') END AS cap,
+    CASE c_custkey % 2 WHEN 0 THEN 'Liceo classico' WHEN 1 THEN 'ZZ' END AS "tipoDiIstruzione", coalesce(c_name, 'later') AS nome, s_name AS altro
+FROM customer FULL JOIN supplier ON s_suppkey = c_custkey -- a postal code has five digits at most, a longer number is none
 """)
 def registry_union(spark, sf_dir):
     a = table(spark, sf_dir, "customer").selectExpr("concat('ab', lpad(c_custkey, 8, '0')) AS codice", "cast(c_custkey AS string) AS CAP", "if(c_custkey % 2 = 0, 'pc ', 'zz') AS tipo_di_istruzione", "c_name AS nome", "c_custkey AS o")
