@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,18 @@ def source_order(df: DataFrame, name: str = "src_ord") -> DataFrame:
     return placed.withColumn(name, F.expr("cast(cast(_rank AS decimal(12,0)) * 100000000000000000000000000BD + _within AS decimal(38,0))")).drop("_path", "_rank", "_within")
 
 
+def fixed_width_order(first: Column, then: Column) -> Column:
+    """Order by a whole number (5 * 10^18 at most either way), then by a double, as one number; a null double counts as zero.
+
+    Aggregates over a struct of both would sort all rows, over a number of fixed width they hash.
+    """
+    # the bits of doubles rise with them, those of negative ones fall; NaN is the largest, and there is no negative zero here
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(then.cast("double"), F.lit(0.0)) + F.lit(0.0)).cast("long")
+    big = lambda c: c.cast("decimal(38,0)")
+    rising = F.when(then < 0, -bits.bitwiseAND(F.lit((1 << 63) - 1))).otherwise(bits)
+    return big(big(first) * F.lit(Decimal(1 << 64)).cast("decimal(38,0)") + big(rising))
+
+
 def is_empty(c: Column) -> Column:
     return c.isNull() | F.lower(F.trim(c.cast("string"))).isin(*EMPTY_WORDS)
 

@@ -151,8 +151,9 @@ def scope_fallback_rows(spark, sf_dir):
 @query("""
 SELECT CAST(l_suppkey AS VARCHAR) AS entity_id, """ + ", ".join(f"arg_min(l_quantity, l_orderkey * 100 + l_linenumber) FILTER (l_returnflag || ' ' || l_linestatus = '{c}') AS entrate_{c.lower().replace(' ', '_')}_pct" for c in ("A F", "A O", "N F", "N O", "R F", "R O")) + " FROM (SELECT l_suppkey, l_orderkey, l_linenumber, l_returnflag, l_linestatus, min(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL) GROUP BY l_suppkey")
 def share_pivot_open(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").agg(F.min("l_quantity").alias("value_num"))
-    obs = lines.selectExpr("cast(l_suppkey AS string) AS entity_id", "'lines' AS endpoint_key", "concat(l_returnflag, ' ', l_linestatus) AS category", "value_num", "struct(l_orderkey * 100 + l_linenumber AS o, value_num AS v) AS src_ord")
+    # of lines with the same number the one of the least quantity counts
+    at = dedup.fixed_width_order(F.expr("l_orderkey * 100 + l_linenumber"), F.col("l_quantity"))
+    obs = table(spark, sf_dir, "lineitem").withColumn("src_ord", at).selectExpr("cast(l_suppkey AS string) AS entity_id", "'lines' AS endpoint_key", "concat(l_returnflag, ' ', l_linestatus) AS category", "l_quantity AS value_num", "src_ord")
     return blocks.share_pivot(obs, "lines")
 
 
